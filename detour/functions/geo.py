@@ -12,6 +12,7 @@ EARTH_RADIUS_M = 6371008.8  # mean Earth radius (IUGG)
 
 def haversine_m(lat1, lon1, lat2, lon2, radius_m: float = EARTH_RADIUS_M) -> Column:
     """Haversine distance in metres between two points given in degrees."""
+    lat1, lon1, lat2, lon2 = [F.col(c) if isinstance(c, str) else c for c in (lat1, lon1, lat2, lon2)]
     p1, p2 = F.radians(lat1), F.radians(lat2)
     dphi = F.radians(lat2 - lat1)
     dlmb = F.radians(lon2 - lon1)

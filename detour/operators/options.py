@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from detour.operators.sizing import MAX_BROADCAST_ROWS, row_count_at_most
+
 from detour.operators.paths import PATH_COLUMNS
 from detour.params import DEFAULT, Params
 
@@ -62,3 +64,14 @@ def line_options(nearest: DataFrame, lines: DataFrame, p: Params = DEFAULT) -> D
 def is_gridlock(n_routes: Column, p: Params = DEFAULT) -> Column:
     """A4: too few distinct alternative routes."""
     return n_routes < F.lit(p.min_routes)
+
+
+def bounded_options(options: DataFrame, lines: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Mark ``options`` for broadcast when the line table proves it small.
+
+    ``options`` has exactly one row per line and every row is bounded (lists cut
+    at ``path_limit`` / ``nearby_limit``), so its size is bounded by the number of
+    lines times a constant. The count runs on the ``lines`` dimension table, not on
+    the options plan. Beyond ``max_rows`` lines the planner decides (shuffle join).
+    """
+    return F.broadcast(options) if row_count_at_most(lines, max_rows) else options

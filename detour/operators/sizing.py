@@ -12,5 +12,9 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> D
     """Hint a broadcast when ``df`` has at most ``max_rows`` rows, else leave the
     choice to the planner (shuffle join). Use on materialised inputs (a written
     snapshot), where the bounded count reads little; ``limit`` stops it early."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
+
+
+def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows; reads at most ``max_rows + 1``."""
+    return df.limit(max_rows + 1).count() <= max_rows

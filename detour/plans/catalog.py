@@ -16,7 +16,7 @@ from detour.functions.columns import gridlock_label, iso_utc, py_timestamp_str,
 from detour.operators import graph as G
 from detour.operators.alerts import build_alerts
 from detour.operators.geo_join import radius_join as _radius_join
-from detour.operators.options import line_options as _line_options
+from detour.operators.options import bounded_options, line_options as _line_options
 from detour.operators.parse import disrupted, parse_records
 from detour.operators.paths import ID_COLUMNS, PATH_COLUMNS, nearest_paths as _nearest, path_rows, restrict_line
 from detour.operators.reports import alert_summary as _summary, first_alerts as _first, latest_alerts as _latest
@@ -41,16 +41,19 @@ def _t(spark, base, name):
 
 # ---- alerts ---------------------------------------------------------------------------
 
-def options_for(spark: SparkSession, base: str, radius: float, p: Params = P) -> DataFrame:
+def options_for(spark: SparkSession, base: str, radius: float, p: Params = P,
+                broadcastable: bool = False) -> DataFrame:
     g = proxy.graph(spark, base, radius)
-    return _line_options(_nearest(g, p.path_limit), g.lines, p)
+    o = _line_options(_nearest(g, p.path_limit), g.lines, p)
+    return bounded_options(o, g.lines) if broadcastable else o
 
 
 def alerts_for(spark: SparkSession, base: str, radius: float = ALERT_RADIUS, p: Params = P) -> DataFrame:
     """Alerts for every disrupted event, ``processed_at`` = the event time."""
-    ev = proxy.status_events(_t(spark, base, "events"), p)
+    ev = proxy.status_events(_t(spark, base, "events"), p, disrupted_only=True)
     d = disrupted(ev, processed_at=F.col("ts"))
-    return build_alerts(d, options_for(spark, base, radius, p), p, batch_id=0, keep=["event_id"])
+    return build_alerts(d, options_for(spark, base, radius, p, broadcastable=True), p, batch_id=0,
+                        keep=["event_id"])
 
 
 def alert_scalars(alerts: DataFrame) -> DataFrame:

@@ -35,9 +35,17 @@ def lat_lon(key: str, mults: tuple[int, int]) -> list[Column]:
             coord(key, mults[1], 10009, -0.2, 0.16).alias("lon")]
 
 
-def nearby_edges(spark: SparkSession, base: str) -> DataFrame:
-    """(station_id, stop_id, distance_metres): one edge per supplier/part pair."""
-    return (load_table(spark, base, "lineitem")
+def nearby_edges(spark: SparkSession, base: str, max_distance: float | None = None) -> DataFrame:
+    """(station_id, stop_id, distance_metres): one edge per supplier/part pair.
+
+    With ``max_distance`` only pairs whose distance is within it are kept. Because
+    the distance is a minimum, ``min(x) <= r`` holds exactly when some row has
+    ``x <= r``, so the bound is applied to the rows and reaches the parquet scan.
+    """
+    li = load_table(spark, base, "lineitem")
+    if max_distance is not None:
+        li = li.filter(F.col("l_extendedprice") <= F.lit(float(max_distance)))
+    return (li
             .groupBy(F.col("l_suppkey").alias("station_id"), F.col("l_partkey").alias("stop_id"))
             .agg(F.min("l_extendedprice").alias("distance_metres")))
 
@@ -56,7 +64,7 @@ def graph(spark: SparkSession, base: str, radius: float | None = None) -> Graph:
                        .select("route_id", F.col("route_id").alias("name")),
         serves=supplier.select(F.col("s_nationkey").cast("long").alias("line_id"),
                                F.col("s_suppkey").alias("station_id")),
-        has_nearby_stop=nearby_edges(spark, base),
+        has_nearby_stop=nearby_edges(spark, base, radius),
         served_by=part.select(F.col("p_partkey").alias("stop_id"), F.col("p_brand").alias("route_id")),
     )
     return g.with_radius(radius)
@@ -81,10 +89,16 @@ def status_rows(events: DataFrame, view_has_no_severity: bool) -> DataFrame:
     )
 
 
-def status_events(events: DataFrame, p) -> DataFrame:
+def status_events(events: DataFrame, p, disrupted_only: bool = False) -> DataFrame:
     """Status events (the broker contract) with event_id and ts kept alongside.
-    Each event row is its line's only status in this form."""
+    Each event row is its line's only status in this form.
+
+    ``disrupted_only`` adds ``value < threshold`` on the raw rows, which equals
+    ``floor(value) < threshold`` and, unlike it, is pushed into the parquet scan.
+    """
     from detour.operators.status import events_from_worst
+    if disrupted_only:
+        events = events.filter(F.col("value") < F.lit(float(p.severity_threshold)))
     rows = status_rows(events, view_has_no_severity=False)
     return events_from_worst(rows, F.col("line_id"), line_name_of(F.col("line_id")),
                              iso_utc(F.col("poll_ts")), p, keep=["event_id", "ts"])
