@@ -16,8 +16,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from detour.functions.columns import title_from_id
+from detour.operators.geo_join import radius_join
 from detour.operators.upsert import distinct_edges, latest_per_key, upsert
-from detour.schemas import METRO_STATION_TYPE
+from detour.schemas import BUS_STOP_TYPE, METRO_STATION_TYPE
 from detour.sources import documents as D
 
 
@@ -88,6 +89,27 @@ def members_from_documents(member_docs: DataFrame, stop_type: str = METRO_STATIO
             .select("line_id", F.col("id").alias("station_id"), "seq"))
 
 
+def nearby_by_radius(stations: DataFrame, stop_points: DataFrame, radius_m: float,
+                     stop_type: str | None = BUS_STOP_TYPE) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Re-aimed S5: nearby stops computed from a table of all stop points instead of
+    one radius request per station.
+
+    ``stop_points``: (id, commonName, lat, lon, stopType, lines[]{id, name}).
+    P8 keeps bus stops, J3 pairs them with stations within ``radius_m``.
+    Returns (bus_stops, has_nearby_stop, bus_routes, served_by) — only stops near
+    some station and only their routes, as the per-station requests would give.
+    """
+    pts = stop_points if stop_type is None else select_type(stop_points, "stopType", stop_type)
+    pts = pts.select(F.col("id").alias("stop_id"), F.col("commonName").alias("name"), "lat", "lon", "lines")
+    near = radius_join(stations.select("station_id", "lat", "lon"), pts.select("stop_id", "lat", "lon"), radius_m)
+    stops = pts.join(near.select("stop_id"), "stop_id", "left_semi")
+    rl = stops.select("stop_id", F.posexplode(F.coalesce(F.col("lines"), F.array())).alias("lpos", "l"))
+    routes = latest_per_key(rl.select(F.col("l.id").alias("route_id"), F.col("l.name").alias("name"),
+                                      "stop_id", "lpos"), ["route_id"], ["stop_id", "lpos"])
+    served = distinct_edges(rl.select("stop_id", F.col("l.id").alias("route_id")), ["stop_id", "route_id"])
+    return (stops.drop("lines"), near, routes.select("route_id", "name"), served)
+
+
 def lines_from_members(members: DataFrame) -> DataFrame:
     """P14 + F3: a line becomes a node only when it has at least one station."""
     return (members.select("line_id").distinct()

@@ -30,3 +30,11 @@ def disrupted(events: DataFrame, processed_at: Column | None = None) -> DataFram
     """P4 keep disrupted (drops false and null), P5 stamp processing time."""
     stamp = F.current_timestamp() if processed_at is None else processed_at
     return events.filter(F.col("is_disrupted")).withColumn("processed_at_utc", stamp)
+
+
+def quarantine(records: DataFrame, schema=STATUS_EVENT) -> DataFrame:
+    """The raw records that parse to nothing, kept as text with their broker time."""
+    parsed = parse_records(records.select("value", "timestamp",
+                                          F.col("value").cast("string").alias("raw_value")),
+                           schema, keep=["raw_value"])
+    return parsed.filter(rejected(parsed, schema)).select("raw_value", "event_hub_timestamp")

@@ -38,7 +38,7 @@ def stream_disrupted(spark: SparkSession, base: str) -> DataFrame:
 
 def _run_alerts(spark: SparkSession, base: str, history: str, options: str, run_id: str,
                 writes_per_batch: int = 1) -> None:
-    writer = AlertBatchWriter(options, history, run_id, C.P, keep=["event_id"],
+    writer = AlertBatchWriter(options, history, run_id, C.P, keep=["event_id", "event_hub_timestamp"],
                               writes_per_batch=writes_per_batch)
     q = start_alert_stream(_disrupted_events_stream(spark, base), writer,
                            fresh_path(spark, "stream_alerts", "checkpoint"), AVAILABLE_NOW)
