@@ -20,7 +20,7 @@ from detour.operators.options import bounded_options, line_options as _line_opti
 from detour.operators.parse import disrupted, parse_records
 from detour.operators.paths import ID_COLUMNS, PATH_COLUMNS, nearest_paths as _nearest, path_rows, restrict_line
 from detour.operators.reports import alert_summary as _summary, first_alerts as _first, latest_alerts as _latest
-from detour.operators.reports import payload_preview
+from detour.operators.reports import payload_preview, unique_lines as _unique_lines
 from detour.operators.status import events_from_worst, poll_counts, worst_status_rows
 from detour.operators.upsert import upsert
 from detour.params import DEFAULT, Params
@@ -235,12 +235,42 @@ def radius_join(spark, base):
     return pairs.withColumn("distance_metres", F.round("distance_metres", 3))
 
 
+def nearby_seed(spark, base):
+    """P8 + J3 graph build: bus stops (customers of one segment) within the radius of
+    each station, with the routes each stop lists."""
+    st = _t(spark, base, "supplier").select(F.col("s_suppkey").alias("station_id"),
+                                            *proxy.lat_lon("s_suppkey", proxy.STATION_MULT))
+    route = F.concat(F.lit("N"), F.col("c_nationkey").cast("string"))
+    pts = _t(spark, base, "customer").select(
+        F.col("c_custkey").alias("id"), F.col("c_name").alias("commonName"),
+        *proxy.lat_lon("c_custkey", proxy.STOP_MULT), F.col("c_mktsegment").alias("stopType"),
+        F.array(F.struct(route.alias("id"), route.alias("name"))).alias("lines"))
+    stops, near, routes, served = G.nearby_by_radius(st, pts, P.radius_m, stop_type="BUILDING")
+    return near.join(served, "stop_id").select(
+        "station_id", "stop_id", F.round("distance_metres", 3).alias("distance_metres"), "route_id")
+
+
+def stations_per_line(spark, base):
+    g = proxy.graph(spark, base)
+    return g.serves.groupBy("line_id").agg(F.count(F.lit(1)).alias("n_stations"))
+
+
+def stops_per_station(spark, base):
+    g = proxy.graph(spark, base, ALERT_RADIUS)
+    return g.has_nearby_stop.groupBy("station_id").agg(F.count(F.lit(1)).alias("n_stops"),
+                                                      F.min("distance_metres").alias("nearest_metres"))
+
+
 # ---- history reports ------------------------------------------------------------------
 
 def alert_summary(spark, base):
     return _summary(alerts_for(spark, base))
 
 
+def alert_lines(spark, base):
+    return _unique_lines(alerts_for(spark, base))
+
+
 def latest_alerts(spark, base):
     return _latest(alerts_for(spark, base), 10, tie_breakers=["event_id"])
 
@@ -283,6 +313,10 @@ def batch_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "line_options": line_options_q,
         "gridlock_label": gridlock_label_q,
         "radius_join": radius_join,
+        "nearby_seed": nearby_seed,
+        "stations_per_line": stations_per_line,
+        "stops_per_station": stops_per_station,
+        "alert_lines": alert_lines,
         "alert_summary": alert_summary,
         "latest_alerts": latest_alerts,
         "first_alerts": first_alerts,

@@ -214,6 +214,24 @@ d AS (SELECT station_id, stop_id,
                CAST(1.0 AS DOUBLE)))) AS dist
       FROM st, cu)
 SELECT station_id, stop_id, round(dist, 3) AS distance_metres FROM d WHERE dist <= 300.0""",
+        "nearby_seed": f"""WITH st AS (SELECT s_suppkey AS station_id, {_lat('s_suppkey', 7919)} AS lat1,
+                   {_lon('s_suppkey', 6151)} AS lon1 FROM supplier),
+cu AS (SELECT c_custkey AS stop_id, 'N' || CAST(c_nationkey AS VARCHAR) AS route_id,
+              {_lat('c_custkey', 4421)} AS lat2, {_lon('c_custkey', 9203)} AS lon2
+       FROM customer WHERE c_mktsegment = 'BUILDING'),
+d AS (SELECT station_id, stop_id, route_id,
+             CAST(12742017.6 AS DOUBLE) * asin(sqrt(least(
+               pow(sin(radians(lat2 - lat1) / 2), 2)
+               + cos(radians(lat1)) * cos(radians(lat2)) * pow(sin(radians(lon2 - lon1) / 2), 2),
+               CAST(1.0 AS DOUBLE)))) AS dist
+      FROM st, cu)
+SELECT station_id, stop_id, round(dist, 3) AS distance_metres, route_id FROM d WHERE dist <= 300.0""",
+        "stations_per_line": """SELECT CAST(s_nationkey AS BIGINT) AS line_id, count(*) AS n_stations
+FROM supplier GROUP BY s_nationkey""",
+        "stops_per_station": """SELECT l_suppkey AS station_id, count(*) AS n_stops, min(d) AS nearest_metres FROM (
+  SELECT l_suppkey, l_partkey, min(l_extendedprice) AS d FROM lineitem GROUP BY 1, 2 HAVING min(l_extendedprice) <= 1200.0)
+GROUP BY l_suppkey""",
+        "alert_lines": a + "SELECT DISTINCT line_name FROM alerts",
         "alert_summary": a + """SELECT count(*) AS total_alerts, count(DISTINCT line_name) AS unique_lines,
        min(processed_at_utc) AS first_processed_at, max(processed_at_utc) AS last_processed_at FROM alerts""",
         "latest_alerts": a + """SELECT line_name, severity, gridlock_alert, processed_at_utc, event_id FROM alerts
