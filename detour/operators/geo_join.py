@@ -17,13 +17,14 @@ from detour.functions.geo import EARTH_RADIUS_M, cell_sizes, haversine_m, lat_ce
 
 
 def max_abs_latitude(*frames_and_cols) -> float:
-    """Largest |lat| over the inputs: one global aggregate, a single number to the driver."""
-    best = 0.0
-    for df, col in frames_and_cols:
-        v = df.agg(F.max(F.abs(F.col(col)))).first()[0]
-        if v is not None:
-            best = max(best, float(v))
-    return best
+    """Largest |lat| over the inputs: one global aggregate (partial per task), a single
+    number to the driver."""
+    parts = [df.select(F.abs(F.col(col)).alias("_a")) for df, col in frames_and_cols]
+    u = parts[0]
+    for p in parts[1:]:
+        u = u.unionByName(p)
+    v = u.agg(F.max("_a")).first()[0]
+    return 0.0 if v is None else float(v)
 
 
 def radius_join(left: DataFrame, right: DataFrame, radius_m: float,

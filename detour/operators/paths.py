@@ -66,7 +66,9 @@ def nearest_paths(g: Graph, limit: int | None = 100) -> DataFrame:
     have a route. Pairs are cut first, then expanded into routes and cut again; both
     cuts are ``row_number`` filters that Spark evaluates partially on the map side
     (``WindowGroupLimit``), so a line with a huge neighbourhood never reaches one
-    task whole. ``limit=None`` ranks all rows.
+    task whole. The routes of each stop are cut to ``limit`` the same way, so a stop
+    listing very many routes cannot inflate the expansion either: per line at most
+    ``limit * limit`` rows reach the last cut. ``limit=None`` ranks all rows.
     """
     routes = _stop_routes(g)
     pairs = _station_stop_pairs(g)
@@ -77,6 +79,10 @@ def nearest_paths(g: Graph, limit: int | None = 100) -> DataFrame:
     routed = pairs.join(routes.select("stop_id"), "stop_id", "left_semi")
     wp = Window.partitionBy("line_id").orderBy(*_pair_order())
     top_pairs = routed.withColumn("_pr", F.row_number().over(wp)).filter(F.col("_pr") <= limit).drop("_pr")
-    rows = top_pairs.join(routes, "stop_id")
+    # Within a pair rows are ordered by route id, so no line can use more than the
+    # first ``limit`` routes of a stop: cut each stop's routes the same way.
+    ws = Window.partitionBy("stop_id").orderBy(F.col("route_id").asc_nulls_last())
+    first_routes = routes.withColumn("_sr", F.row_number().over(ws)).filter(F.col("_sr") <= limit).drop("_sr")
+    rows = top_pairs.join(first_routes, "stop_id")
     w = Window.partitionBy("line_id").orderBy(*_row_order())
     return _finish(rows).withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= limit)
