@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from detour.functions.geo import EARTH_RADIUS_M, cell_sizes, haversine_m, lat_cell, lon_cell
+from detour.operators.sizing import row_count_at_most
 
 
 def max_abs_latitude(*frames_and_cols) -> float:
@@ -30,12 +31,13 @@ def max_abs_latitude(*frames_and_cols) -> float:
 def radius_join(left: DataFrame, right: DataFrame, radius_m: float,
                 left_key: str = "station_id", right_key: str = "stop_id",
                 max_abs_lat: float | None = None, earth_radius_m: float = EARTH_RADIUS_M,
-                out: str = "distance_metres") -> DataFrame:
+                out: str = "distance_metres", max_broadcast_points: int = 100_000) -> DataFrame:
     """Pairs (left_key, right_key, distance) with distance <= radius_m.
 
     Both inputs need ``lat`` and ``lon`` in degrees. ``left`` is the side that is
     replicated nine times, so pass the smaller one there. ``max_abs_lat`` sizes the
-    longitude cells; computed from the data when not given.
+    longitude cells; computed from the data when not given. Up to
+    ``max_broadcast_points`` left points the replicated side is broadcast.
     """
     if max_abs_lat is None:
         max_abs_lat = max_abs_latitude((left, "lat"), (right, "lat"))
@@ -57,6 +59,10 @@ def radius_join(left: DataFrame, right: DataFrame, radius_m: float,
     R = (R.withColumn("_ci", lat_cell(F.col("_rlat"), dlat))
           .withColumn("_cj", lon_cell(F.col("_rlon"), n_lon)))
 
+    # The replicated side is broadcast only when a bounded count proves it small
+    # (nine copies per point); otherwise both sides are shuffled on the cell key and
+    # AQE splits a crowded cell.
+    L = F.broadcast(L) if row_count_at_most(left, max_broadcast_points) else L.hint("merge")
     d = haversine_m(F.col("_llat"), F.col("_llon"), F.col("_rlat"), F.col("_rlon"), earth_radius_m)
     return (L.join(R, ["_ci", "_cj"])
              .select(F.col("_lk").alias(left_key), F.col("_rk").alias(right_key), d.alias(out))

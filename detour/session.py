@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -46,8 +45,9 @@ def apply_sql_defaults(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (local runs, tests) is a private
-    folder created and registered as the checkpoint directory.
+    Read from the session; only when it is unset on a ``local[...]`` master (local
+    runs, tests) is a private folder created and registered as the checkpoint
+    directory. On a cluster an unset value is an error, never a machine-local folder.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if d:
@@ -56,6 +56,8 @@ def shared_dir(spark: SparkSession) -> str:
     cur = sc.getCheckpointDir()
     if cur:
         return cur.rstrip("/")
+    if not sc.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
     d = tempfile.mkdtemp(prefix="detour-ckpt-")
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir().rstrip("/")
@@ -65,6 +67,3 @@ def fresh_path(spark: SparkSession, *parts: str) -> str:
     """A new, unused location under the shared folder."""
     return "/".join([shared_dir(spark), *parts, uuid.uuid4().hex])
 
-
-def is_local_path(p: str) -> bool:
-    return p.startswith("/") or p.startswith("file:") or os.path.isabs(p)

@@ -60,3 +60,15 @@ def test_property_random_clusters(spark, centres, jitter, r):
     R = [(100 * i + j, max(min(la + dj[0], 89.0), -89.0), ((lo + dj[1] + 180) % 360) - 180)
          for i, (la, lo) in enumerate(centres) for j, dj in enumerate(jitter)]
     assert _run(spark, L, R, r) == brute(L, R, r)
+
+
+def test_shuffled_cell_join_matches(spark):
+    rnd = random.Random(5)
+    L = [(i, 51.45 + rnd.random() * 0.05, -0.2 + rnd.random() * 0.08) for i in range(50)]
+    R = [(i, 51.45 + rnd.random() * 0.05, -0.2 + rnd.random() * 0.08) for i in range(300)]
+    Ld = spark.createDataFrame(L, "station_id long, lat double, lon double")
+    Rd = spark.createDataFrame(R, "stop_id long, lat double, lon double")
+    j = radius_join(Ld, Rd, 300.0, max_broadcast_points=0)
+    plan = j._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan
+    assert {(x.station_id, x.stop_id) for x in j.collect()} == brute(L, R, 300.0)
