@@ -110,8 +110,13 @@ def nearby_by_radius(stations: DataFrame, stop_points: DataFrame, radius_m: floa
     return (stops.drop("lines"), near, routes.select("route_id", "name"), served)
 
 
-def lines_from_members(members: DataFrame) -> DataFrame:
-    """P14 + F3: a line becomes a node only when it has at least one station."""
+def lines_from_members(members: DataFrame, count_as: str | None = None) -> DataFrame:
+    """P14 + F3: a line becomes a node only when it has at least one station.
+    With ``count_as`` the number of member rows per line (A11) comes along in the
+    same aggregate."""
+    if count_as:
+        agg = members.groupBy("line_id").agg(F.count(F.lit(1)).alias(count_as))
+        return agg.select("line_id", title_from_id(F.col("line_id")).alias("name"), count_as)
     return (members.select("line_id").distinct()
             .select("line_id", title_from_id(F.col("line_id")).alias("name")))
 

@@ -176,9 +176,8 @@ def line_vocabulary_q(spark, base):
                                                  F.col("s_suppkey").alias("station_id"))
     vocab = line_vocabulary(spark)
     m = members.join(vocab, "position").select("line_id", "station_id")
-    lines = G.lines_from_members(m)
-    counts = m.groupBy("line_id").agg(F.count(F.lit(1)).alias("n_stations"))
-    return lines.join(counts, "line_id").select("line_id", F.col("name").alias("line_name"), "n_stations")
+    return G.lines_from_members(m, count_as="n_stations").select(
+        "line_id", F.col("name").alias("line_name"), "n_stations")
 
 
 def link_counts(spark, base):

@@ -114,3 +114,32 @@ def test_prelimit_equals_full_ranking(spark):
         slow = path_rows(g).withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= k) \
             .select("line_id", "station_id", "stop_id", "route_id", "rn")
         assert sorted(fast.collect()) == sorted(slow.collect())
+
+
+def test_point_lookup_by_line(spark):
+    """The lookup of one line equals that line's slice of the all-lines ranking."""
+    from detour.operators.paths import restrict_line
+    near = [("S1", "B1", 3.0), ("S2", "B2", 1.0), ("S3", "B3", 2.0)]
+    routes = [("B1", "r1", "1"), ("B2", "r2", "2"), ("B3", "r3", "3")]
+    g = make_graph(spark, near, routes, lines=("L1", "L2"))
+    g = g.__class__(**{**g.tables(), "serves": spark.createDataFrame(
+        [("L1", "S1"), ("L1", "S2"), ("L2", "S3")], "line_id string, station_id string")})
+    one = nearest_paths(restrict_line(g, "L1"), 100).select("stop_id", "rn").collect()
+    assert sorted(tuple(r) for r in one) == [("B1", 2), ("B2", 1)]
+    full = nearest_paths(g, 100).filter(F.col("line_id") == "L1").select("stop_id", "rn").collect()
+    assert sorted(tuple(r) for r in full) == sorted(tuple(r) for r in one)
+
+
+def test_report_columns_and_order(spark):
+    """P13 + T4 + T5 over a small history."""
+    from detour.operators.reports import alert_summary, first_alerts, latest_alerts
+    h = spark.createDataFrame(
+        [(f"L{i % 3}", "Severe", i % 2 == 0, f"2024-01-01 00:00:{i:02d}", i) for i in range(15)],
+        "line_name string, severity string, gridlock_alert boolean, processed_at_utc string, k int")
+    top = latest_alerts(h, 10, tie_breakers=["k"])
+    assert top.columns == ["line_name", "severity", "gridlock_alert", "processed_at_utc", "k"]
+    assert [r.k for r in top.collect()] == list(range(14, 4, -1))
+    assert [r.k for r in first_alerts(h, 4, order=["k"]).collect()] == [0, 1, 2, 3]
+    s = alert_summary(h).first()
+    assert (s.total_alerts, s.unique_lines, s.first_processed_at, s.last_processed_at) == \
+        (15, 3, "2024-01-01 00:00:00", "2024-01-01 00:00:14")
