@@ -72,11 +72,16 @@ def seed(spark: SparkSession, stations_path: str, nearby_path: str, members_path
          current_dir: str | None = None, mode: str = "upsert", p: Params = DEFAULT) -> DataFrame:
     """Build (or upsert onto ``current_dir``) the graph, write it as a new version at
     ``out_dir`` together with ``out_dir/options``, and return the node counts (A10)."""
-    st = D.read_json(spark, stations_path, S.STATION_DOC)
-    nb = D.read_json(spark, nearby_path, S.NEARBY_DOC)
-    mb = D.read_json(spark, members_path, S.MEMBERSHIP_DOC)
+    # Seven tables are written from the same documents: parse the JSON once.
+    st = D.read_json(spark, stations_path, S.STATION_DOC).persist()
+    nb = D.read_json(spark, nearby_path, S.NEARBY_DOC).persist()
+    mb = D.read_json(spark, members_path, S.MEMBERSHIP_DOC).persist()
     current = read_graph(spark, current_dir) if current_dir else None
-    write_graph(build_graph(st, nb, mb, current, mode), out_dir)
+    try:
+        write_graph(build_graph(st, nb, mb, current, mode), out_dir)
+    finally:
+        for d in (st, nb, mb):
+            d.unpersist()
     g = read_graph(spark, out_dir)
     write_options_snapshot(line_options(nearest_paths(g, p.path_limit), g.lines, p), f"{out_dir}/options")
     return graph_summary(g)

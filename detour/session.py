@@ -18,6 +18,19 @@ SQL_DEFAULTS = {
 }
 
 
+# Sizing for large inputs on a cluster, applied only to keys the deployment left
+# unset: large scan splits, a high initial shuffle width that AQE coalesces to
+# ~256 MB partitions, and skew splitting above 512 MB.
+SCALE_DEFAULTS = {
+    "spark.sql.shuffle.partitions": "4000",
+    "spark.sql.files.maxPartitionBytes": "512m",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+}
+
+
 def build_session(master: str | None = None, app: str = "detour",
                   shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
     b = SparkSession.builder.appName(app)
@@ -33,6 +46,11 @@ def build_session(master: str | None = None, app: str = "detour",
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     apply_sql_defaults(spark)
+    if not spark.sparkContext.master.startswith("local"):
+        explicit = spark.sparkContext.getConf()
+        for k, v in SCALE_DEFAULTS.items():
+            if not explicit.contains(k) and k not in conf:
+                spark.conf.set(k, v)
     return spark
 
 

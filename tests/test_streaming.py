@@ -51,3 +51,27 @@ def test_stream_source_is_streaming(spark):
     s = stream_table(spark, SF, "events")
     assert s.isStreaming
     assert J._disrupted_events_stream(spark, SF).isStreaming
+
+
+def test_several_micro_batches(spark):
+    """Three input files, one per trigger: three history partitions whose union is the batch answer."""
+    from detour.schemas import BROKER_RECORD
+    from detour.sources.broker import to_broker_records
+    from detour.plans.proxy import status_events
+
+    ev = status_events(spark.read.parquet(f"{SF}/events.parquet"), C.P)
+    rec = to_broker_records(ev, C.PAYLOAD_FIELDS, timestamp_col="ts")
+    src = fresh_path(spark, "test", "broker")
+    for i in range(3):
+        rec.filter(F.col("timestamp").isNotNull() & (F.pmod(F.hash("value"), F.lit(3)) == i)).coalesce(1) \
+           .write.mode("append").parquet(src)
+    options = write_options_snapshot(C.options_for(spark, SF, C.ALERT_RADIUS), fresh_path(spark, "test", "options"))
+    history = fresh_path(spark, "test", "history")
+    parsed = spark.readStream.schema(BROKER_RECORD).option("maxFilesPerTrigger", "1").parquet(src)
+    from detour.operators.parse import disrupted, parse_records
+    events = disrupted(parse_records(parsed, C.PAYLOAD_SCHEMA), processed_at=F.col("event_hub_timestamp"))
+    w = AlertBatchWriter(options, history, "r", C.P, keep=["event_id"])
+    start_alert_stream(events, w, fresh_path(spark, "test", "ckpt"), J.AVAILABLE_NOW).awaitTermination()
+    h = read_history(spark, history)
+    assert h.select("batch_id").distinct().count() == 3
+    assert _sorted(C.alert_scalars(h)) == _sorted(C.gridlock_alerts(spark, SF))
