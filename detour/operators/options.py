@@ -7,12 +7,12 @@ flag. Everything is computed from the capped rows, before any distinct (D1).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from detour.operators.sizing import MAX_BROADCAST_ROWS, row_count_at_most
 
-from detour.operators.paths import PATH_COLUMNS
+from detour.operators.paths import PATH_COLUMNS, row_order
 from detour.params import DEFAULT, Params
 
 
@@ -27,24 +27,29 @@ def _with_null(arr: Column, has_null: Column) -> Column:
 
 
 def line_options(nearest: DataFrame, lines: DataFrame, p: Params = DEFAULT) -> DataFrame:
-    """``nearest``: output of :func:`nearest_paths`; ``lines``: (line_id, name).
+    """``nearest``: path rows of :func:`nearest_paths` (capped or not); ``lines``:
+    (line_id, name).
 
     Aggregates are partial (map-side): sets are bounded by the distinct names of a
     line, the nested list by ``nearby_limit`` rows.
     """
     st_set, st_null = _distinct_keep_null("station_name")
     rt_set, rt_null = _distinct_keep_null("route_name")
-    nested = F.struct("rn", *PATH_COLUMNS)
+    # Rank again for the nested list: a cut at ``nearby_limit`` (a partial
+    # WindowGroupLimit), so this works on capped and on uncapped rows alike.
+    w = Window.partitionBy("line_id").orderBy(*row_order())
+    ranked = nearest.withColumn("_nr", F.row_number().over(w)).filter(F.col("_nr") <= p.nearby_limit)
+    nested_rows = ranked.groupBy("line_id").agg(
+        F.sort_array(F.collect_list(F.struct(F.col("_nr").alias("rn"), *PATH_COLUMNS))).alias("_near"))
     per_line = nearest.groupBy("line_id").agg(
         F.count(F.lit(1)).alias("n_path_rows"),
         st_set.alias("_st"), st_null.alias("_stn"),
         rt_set.alias("_rt"), rt_null.alias("_rtn"),
-        F.collect_list(F.when(F.col("rn") <= p.nearby_limit, nested)).alias("_near"),
-    ).select(
+    ).join(nested_rows, "line_id", "left").select(
         "line_id", "n_path_rows",
         _with_null(F.col("_st"), F.col("_stn")).alias("affected_stations"),
         _with_null(F.col("_rt"), F.col("_rtn")).alias("available_routes"),
-        F.transform(F.sort_array(F.col("_near")),
+        F.transform(F.col("_near"),
                     lambda x: F.struct(*[x[c].alias(c) for c in PATH_COLUMNS])).alias("nearby_bus_stops"),
     )
     empty_s = F.array().cast("array<string>")

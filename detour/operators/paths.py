@@ -19,6 +19,11 @@ PATH_COLUMNS = ["station_name", "bus_stop_name", "bus_stop_id", "lat", "lon", "d
 ID_COLUMNS = ["line_id", "station_id", "stop_id", "route_id"]
 
 
+def row_order():
+    """The order of path rows within a line (public for consumers that rank)."""
+    return _row_order()
+
+
 def _pair_order():
     return [F.col("distance_metres").asc_nulls_last(), F.col("station_id").asc_nulls_last(),
             F.col("stop_id").asc_nulls_last()]
@@ -68,14 +73,15 @@ def nearest_paths(g: Graph, limit: int | None = 100) -> DataFrame:
     (``WindowGroupLimit``), so a line with a huge neighbourhood never reaches one
     task whole. The routes of each stop are cut to ``limit`` the same way, so a stop
     listing very many routes cannot inflate the expansion either: per line at most
-    ``limit * limit`` rows reach the last cut. ``limit=None`` ranks all rows.
+    ``limit * limit`` rows reach the last cut. ``limit=None`` returns all path rows
+    without ``rn``.
     """
     routes = _stop_routes(g)
     pairs = _station_stop_pairs(g)
     if limit is None:
-        rows = pairs.join(routes, "stop_id")
-        w = Window.partitionBy("line_id").orderBy(*_row_order())
-        return _finish(rows).withColumn("rn", F.row_number().over(w))
+        # Uncapped: every path row, unranked. Ranking all rows of a line would put a
+        # line whole into one task; consumers rank only the few rows they keep.
+        return path_rows(g)
     routed = pairs.join(routes.select("stop_id"), "stop_id", "left_semi")
     wp = Window.partitionBy("line_id").orderBy(*_pair_order())
     top_pairs = routed.withColumn("_pr", F.row_number().over(wp)).filter(F.col("_pr") <= limit).drop("_pr")
