@@ -70,14 +70,16 @@ def shared_dir(spark: SparkSession) -> str:
     d = spark.conf.get("spark.checkpoint.dir", None)
     if d:
         return d.rstrip("/")
-    sc = spark.sparkContext
-    cur = sc.getCheckpointDir()
-    if cur:
-        return cur.rstrip("/")
-    if not sc.master.startswith("local"):
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - no JVM context (e.g. Spark Connect): nothing to fall back on
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir().rstrip("/")
+    master = spark.conf.get("spark.master", "")
+    if sc is None or not master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    d = tempfile.mkdtemp(prefix="detour-ckpt-")
-    sc.setCheckpointDir(d)
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="detour-ckpt-"))
     return sc.getCheckpointDir().rstrip("/")
 
 

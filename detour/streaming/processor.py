@@ -38,20 +38,21 @@ class AlertBatchWriter:
     collected to the driver."""
 
     def __init__(self, options_path: str, history_path: str, run_id: str, p: Params = DEFAULT,
-                 keep: list[str] | None = None, writes_per_batch: int = 1):
+                 keep: list[str] | None = None, writes_per_batch: int = 1, fmt: str = "parquet"):
         self.options_path = options_path
         self.history_path = history_path
         self.run_id = run_id
         self.p = p
         self.keep = keep or []
         self.writes_per_batch = writes_per_batch   # > 1 only to exercise replays in tests
+        self.fmt = fmt                             # "delta" where its jar is on the classpath
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         options = broadcast_if_bounded(spark.read.parquet(self.options_path))
         alerts = build_alerts(batch, options, self.p, batch_id=int(batch_id), keep=self.keep)
         for _ in range(self.writes_per_batch):
-            write_batch(alerts, self.history_path, self.run_id)
+            write_batch(alerts, self.history_path, self.run_id, self.fmt)
 
 
 def start_alert_stream(events: DataFrame, writer: AlertBatchWriter, checkpoint: str,
