@@ -5,9 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Labels written into alerts.
-GRIDLOCK_TEXT = "GRIDLOCK ALERT"
-ALTERNATIVES_TEXT = "Alternatives available"
+from detour.fixed import ALTERNATIVES_TEXT, GRIDLOCK_TEXT
 
 
 def _c(c) -> Column:

@@ -31,7 +31,7 @@ from detour.sources import documents as D
 from detour.sources.broker import to_broker_records
 from detour.sources.history import read_history
 from detour.streaming.processor import (
-    AlertBatchWriter, disrupted_stream, start_alert_stream, write_options_snapshot,
+    DEFAULT_TRIGGER, AlertBatchWriter, disrupted_stream, start_alert_stream, write_options_snapshot,
 )
 
 GRAPH_TABLES = ["lines", "stations", "bus_stops", "bus_routes", "serves", "has_nearby_stop", "served_by"]
@@ -103,7 +103,7 @@ def stream(records: DataFrame, options_path: str, history_path: str, checkpoint:
     if quarantine_path:
         w = (quarantine(records).writeStream.format("parquet").option("path", quarantine_path)
              .option("checkpointLocation", f"{checkpoint}/quarantine"))
-        qs.append(w.trigger(**(trigger or {"processingTime": "30 seconds"})).start())
+        qs.append(w.trigger(**(trigger or DEFAULT_TRIGGER)).start())
     return qs
 
 

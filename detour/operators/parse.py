@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from detour.fixed import BROKER_TIME_COLUMN
 from detour.schemas import STATUS_EVENT
 
 
@@ -15,8 +16,8 @@ def parse_records(records: DataFrame, schema=STATUS_EVENT, keep: list[str] | Non
     return (records
             .select(*keep,
                     F.from_json(F.col("value").cast("string"), schema).alias("data"),
-                    F.col("timestamp").alias("event_hub_timestamp"))
-            .select(*keep, "data.*", "event_hub_timestamp"))
+                    F.col("timestamp").alias(BROKER_TIME_COLUMN))
+            .select(*keep, "data.*", BROKER_TIME_COLUMN))
 
 
 def rejected(parsed: DataFrame, schema=STATUS_EVENT) -> Column:
@@ -37,4 +38,4 @@ def quarantine(records: DataFrame, schema=STATUS_EVENT) -> DataFrame:
     parsed = parse_records(records.select("value", "timestamp",
                                           F.col("value").cast("string").alias("raw_value")),
                            schema, keep=["raw_value"])
-    return parsed.filter(rejected(parsed, schema)).select("raw_value", "event_hub_timestamp")
+    return parsed.filter(rejected(parsed, schema)).select("raw_value", BROKER_TIME_COLUMN)

@@ -9,13 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from detour.fixed import STATUS_EVENT_TYPE, UNKNOWN_LINE_ID, UNKNOWN_LINE_NAME, UNKNOWN_SEVERITY_DESC
 from detour.params import DEFAULT, Params
-from detour.schemas import STATUS_EVENT_TYPE
-
-# Defaults for missing keys in the feed.
-UNKNOWN_LINE_ID = "unknown"
-UNKNOWN_LINE_NAME = "Unknown Line"
-UNKNOWN_SEVERITY_DESC = "Unknown"
 
 
 def is_disrupted(severity: Column, p: Params = DEFAULT) -> Column:

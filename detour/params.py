@@ -4,20 +4,22 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from detour import fixed as X
+
 
 @dataclass(frozen=True)
 class Params:
-    # Fixed values that must equal the original pipeline's behaviour.
-    severity_threshold: int = 10      # disrupted when severity < threshold
-    missing_severity_rank: int = 99   # a status without severity sorts as 99 ...
-    missing_severity_report: int = 10  # ... and is reported as 10
-    radius_m: float = 300.0           # nearby bus stop radius
-    path_limit: int | None = 100      # nearest path rows kept per line (None = all)
-    nearby_limit: int = 20            # nested path rows stored per alert
-    display_routes: int = 10          # route names shown per alert
-    min_routes: int = 3               # gridlock when distinct routes < min_routes
-    preview_chars: int = 200          # alert payload preview length
-    earth_radius_m: float = 6371008.8
+    # Defaults are the fixed values of detour.fixed.
+    severity_threshold: int = X.SEVERITY_THRESHOLD
+    missing_severity_rank: int = X.MISSING_SEVERITY_RANK
+    missing_severity_report: int = X.MISSING_SEVERITY_REPORT
+    radius_m: float = float(X.NEARBY_RADIUS_M)
+    path_limit: int | None = X.PATH_LIMIT        # nearest path rows kept per line (None = all)
+    nearby_limit: int = X.NEARBY_LIMIT           # nested path rows stored per alert
+    display_routes: int = X.DISPLAY_ROUTES       # route names shown per alert
+    min_routes: int = X.MIN_ROUTES               # gridlock when distinct routes < min_routes
+    preview_chars: int = X.PREVIEW_CHARS         # alert payload preview length
+    earth_radius_m: float = 6371008.8            # mean Earth radius (IUGG)
 
 
 DEFAULT = Params()

@@ -91,7 +91,4 @@ ALERT = StructType([
     StructField("processed_at_utc", StringType()),
 ])
 
-# Fixed values of the source system.
-METRO_STATION_TYPE = "NaptanMetroStation"
-BUS_STOP_TYPE = "NaptanPublicBusCoachTram"
-STATUS_EVENT_TYPE = "tube_line_status"
+from detour.fixed import BUS_STOP_TYPE, METRO_STATION_TYPE, STATUS_EVENT_TYPE  # noqa: E402,F401

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from detour.fixed import BROKER_REQUEST_TIMEOUT_MS, BROKER_SESSION_TIMEOUT_MS
 from detour.functions.columns import json_payload
 
 
@@ -20,8 +21,8 @@ def kafka_options(bootstrap: str, topic: str, sasl_jaas: str | None = None,
         "subscribe": topic,
         "startingOffsets": starting_offsets,
         "failOnDataLoss": "false",
-        "kafka.request.timeout.ms": "60000",
-        "kafka.session.timeout.ms": "30000",
+        "kafka.request.timeout.ms": BROKER_REQUEST_TIMEOUT_MS,
+        "kafka.session.timeout.ms": BROKER_SESSION_TIMEOUT_MS,
     }
     if sasl_jaas:
         opts.update({

@@ -5,12 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# The tube line ids, in their original order.
-TUBE_LINES = [
-    "bakerloo", "central", "circle", "district",
-    "hammersmith-city", "jubilee", "metropolitan",
-    "northern", "piccadilly", "victoria", "waterloo-city",
-]
+from detour.fixed import TUBE_LINES
 
 
 def line_vocabulary(spark: SparkSession, ids: list[str] | None = None) -> DataFrame:

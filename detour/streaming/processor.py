@@ -15,11 +15,12 @@ from pyspark.sql.streaming import StreamingQuery
 from detour.operators.alerts import build_alerts
 from detour.operators.parse import disrupted, parse_records
 from detour.operators.sizing import broadcast_if_bounded
+from detour.fixed import TRIGGER_INTERVAL
 from detour.params import DEFAULT, Params
 from detour.schemas import STATUS_EVENT
 from detour.streaming.sink import write_batch
 
-DEFAULT_TRIGGER = {"processingTime": "30 seconds"}
+DEFAULT_TRIGGER = {"processingTime": TRIGGER_INTERVAL}
 
 
 def disrupted_stream(records: DataFrame, schema=STATUS_EVENT, processed_at: Column | None = None) -> DataFrame:
