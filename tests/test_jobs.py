@@ -85,3 +85,34 @@ def test_nearby_by_radius_matches_cross_product(spark):
     direct = radius_join(stations, pts.filter(F.col("stopType") == "NaptanPublicBusCoachTram")
                          .withColumnRenamed("id", "stop_id"), 300.0)
     assert sorted(tuple(r) for r in near.collect()) == sorted(tuple(r) for r in direct.collect())
+
+
+def test_streaming_ingest_and_cli_report(spark, tmp_path, capsys):
+    from detour.__main__ import main
+    from detour.sources.broker import to_broker_records
+    from detour.operators.parse import parse_records
+
+    land = tmp_path / "landing"
+    land.mkdir()
+    (land / "poll1.json").write_text("\n".join(json.dumps(r) for r in [
+        {"id": "central", "name": "Central", "lineStatuses": [{"statusSeverity": 6}]},
+        {"id": "victoria", "name": "Victoria", "lineStatuses": [{"statusSeverity": 10}]}]))
+    events = jobs.status_events(spark, str(land), streaming=True)
+    assert events.isStreaming
+    out, ck = fresh_path(spark, "e2e", "events"), fresh_path(spark, "e2e", "ck")
+    q = (to_broker_records(events, jobs.EVENT_FIELDS).writeStream.format("parquet")
+         .option("path", out).option("checkpointLocation", ck).trigger(availableNow=True).start())
+    q.awaitTermination()
+    back = parse_records(spark.read.parquet(out)).collect()
+    assert sorted((r.line_id, r.is_disrupted, r.severity_desc) for r in back) == [
+        ("central", True, "Unknown"), ("victoria", False, "Unknown")]
+    assert all(r.ingested_at_utc.endswith("+00:00") for r in back)
+
+    # the CLI report over a history written by the stream query
+    from detour.streaming import jobs as J
+    from tests.conftest import SF
+    hist = fresh_path(spark, "cli", "history")
+    J._run_alerts(spark, SF, hist, J._snapshot(spark, SF), "cli-run")
+    main(["report", hist])
+    text = capsys.readouterr().out
+    assert "summary" in text and "latest" in text and "total_alerts" in text
