@@ -20,8 +20,10 @@ ALERT_COLUMNS = ["line_id", "line_name", "severity", "gridlock_alert", "affected
 
 def attach_options(events: DataFrame, options: DataFrame) -> DataFrame:
     """Left join on ``line_id``. ``options`` has one row per line, so the join
-    never multiplies events; the planner broadcasts it when its measured size is
-    under the broadcast threshold and shuffles both sides otherwise."""
+    never multiplies events. Callers mark it for broadcast after a bounded count
+    (:func:`detour.operators.options.bounded_options`,
+    :func:`detour.operators.sizing.broadcast_if_bounded`); unmarked, the planner
+    broadcasts it only under its size threshold and shuffles both sides otherwise."""
     o = options.select("line_id", "affected_stations", "available_routes", "nearby_bus_stops",
                        F.lit(True).alias("is_known_line"))
     return events.join(o, "line_id", "left")

@@ -2,7 +2,8 @@
 
 One row per known line: the distinct affected station names, the distinct route
 names, the first ``nearby_limit`` path rows as nested structs, and the gridlock
-flag. Everything is computed from the capped rows, before any distinct (D1).
+flag. With a path cap everything is computed from the capped rows, before any
+distinct (D1).
 """
 
 from __future__ import annotations
@@ -10,9 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from detour.operators.sizing import MAX_BROADCAST_ROWS, row_count_at_most
-
 from detour.operators.paths import PATH_COLUMNS, row_order
+from detour.operators.sizing import MAX_BROADCAST_ROWS, row_count_at_most
 from detour.params import DEFAULT, Params
 
 
@@ -71,12 +71,16 @@ def is_gridlock(n_routes: Column, p: Params = DEFAULT) -> Column:
     return n_routes < F.lit(p.min_routes)
 
 
-def bounded_options(options: DataFrame, lines: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+def bounded_options(options: DataFrame, lines: DataFrame, p: Params = DEFAULT,
+                    max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Mark ``options`` for broadcast when the line table proves it small.
 
-    ``options`` has exactly one row per line and every row is bounded (lists cut
-    at ``path_limit`` / ``nearby_limit``), so its size is bounded by the number of
-    lines times a constant. The count runs on the ``lines`` dimension table, not on
-    the options plan. Beyond ``max_rows`` lines the planner decides (shuffle join).
+    ``options`` has exactly one row per line, and with a path cap every row is
+    bounded (at most ``path_limit`` names per list, ``nearby_limit`` nested rows),
+    so its size is at most the number of lines times a constant. The count runs on
+    the ``lines`` dimension table, not on the options plan. Without a cap, or beyond
+    ``max_rows`` lines, the planner decides (a measured broadcast or a shuffle join).
     """
-    return F.broadcast(options) if row_count_at_most(lines, max_rows) else options
+    if p.path_limit is None or not row_count_at_most(lines, max_rows):
+        return options
+    return F.broadcast(options)

@@ -45,7 +45,7 @@ def options_for(spark: SparkSession, base: str, radius: float, p: Params = P,
                 broadcastable: bool = False) -> DataFrame:
     g = proxy.graph(spark, base, radius)
     o = _line_options(_nearest(g, p.path_limit), g.lines, p)
-    return bounded_options(o, g.lines) if broadcastable else o
+    return bounded_options(o, g.lines, p) if broadcastable else o
 
 
 def alerts_for(spark: SparkSession, base: str, radius: float = ALERT_RADIUS, p: Params = P) -> DataFrame:
