@@ -50,7 +50,9 @@ class AlertBatchWriter:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        options = broadcast_if_bounded(spark.read.parquet(self.options_path))
+        options = spark.read.parquet(self.options_path)
+        if self.p.path_limit is not None:   # rows are bounded only under a path cap
+            options = broadcast_if_bounded(options)
         alerts = build_alerts(batch, options, self.p, batch_id=int(batch_id), keep=self.keep)
         for _ in range(self.writes_per_batch):
             write_batch(alerts, self.history_path, self.run_id, self.fmt)
