@@ -218,13 +218,25 @@ def nearby_stops_top20(spark, base):
 
 
 def line_options_q(spark, base):
-    o = options_for(spark, base, CAP_RADIUS)
+    return _options_scalars(options_for(spark, base, CAP_RADIUS))
+
+
+def _options_scalars(o: DataFrame) -> DataFrame:
     return o.select("line_id", "graph_line_name", "n_path_rows", "n_stations", "n_routes", "gridlock_alert",
                     F.array_join("affected_stations", "|").alias("affected_stations"),
                     F.array_join("available_routes", "|").alias("available_routes"),
                     F.array_join("display_routes", "|").alias("display_routes"))
 
 
+def nearest_paths_gaps(spark, base):
+    return _nearest(proxy.graph_with_gaps(spark, base, CAP_RADIUS), P.path_limit)
+
+
+def line_options_gaps(spark, base):
+    g = proxy.graph_with_gaps(spark, base, CAP_RADIUS)
+    return _options_scalars(_line_options(_nearest(g, P.path_limit), g.lines, P))
+
+
 def radius_join(spark, base):
     st = _t(spark, base, "supplier").select(F.col("s_suppkey").alias("station_id"),
                                             *proxy.lat_lon("s_suppkey", proxy.STATION_MULT))
@@ -310,6 +322,8 @@ def batch_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "nearest_paths": nearest_paths_q,
         "nearby_stops_top20": nearby_stops_top20,
         "line_options": line_options_q,
+        "nearest_paths_gaps": nearest_paths_gaps,
+        "line_options_gaps": line_options_gaps,
         "gridlock_label": gridlock_label_q,
         "radius_join": radius_join,
         "nearby_seed": nearby_seed,

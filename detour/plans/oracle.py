@@ -33,7 +33,9 @@ def _pystr(ts: str) -> str:
             f"ELSE strftime({ts}, '%Y-%m-%d %H:%M:%S') END")
 
 
-def _paths(radius: float) -> str:
+def _paths(radius: float, gaps: bool = False) -> str:
+    dist = "CASE WHEN p.p_size > 40 THEN NULL ELSE e.distance_metres END" if gaps else "e.distance_metres"
+    rname = "CASE WHEN p.p_brand = 'Brand#13' THEN NULL ELSE p.p_brand END" if gaps else "p.p_brand"
     return f"""
 edges AS (
   SELECT l_suppkey AS station_id, l_partkey AS stop_id, min(l_extendedprice) AS distance_metres
@@ -43,7 +45,7 @@ paths AS (
   SELECT CAST(n.n_nationkey AS BIGINT) AS line_id, s.s_suppkey AS station_id, p.p_partkey AS stop_id,
          p.p_brand AS route_id, s.s_name AS station_name, p.p_name AS bus_stop_name,
          p.p_partkey AS bus_stop_id, {_lat('p.p_partkey', 4421)} AS lat, {_lon('p.p_partkey', 9203)} AS lon,
-         e.distance_metres, p.p_brand AS route_name
+         {dist} AS distance_metres, {rname} AS route_name
   FROM nation n
   JOIN supplier s ON s.s_nationkey = n.n_nationkey
   JOIN edges e ON e.station_id = s.s_suppkey
@@ -54,15 +56,19 @@ ranked AS (
   FROM paths)"""
 
 
-def _options(radius: float) -> str:
-    return _paths(radius) + """,
+def _options(radius: float, gaps: bool = False) -> str:
+    # A null route name is one more distinct route; it sorts first, so it also takes
+    # one of the ten display slots (and prints as nothing).
+    return _paths(radius, gaps) + """,
 capped AS (SELECT * FROM ranked WHERE rn <= 100),
 opts AS (
-  SELECT line_id, count(DISTINCT station_name) AS n_stations, count(DISTINCT route_name) AS n_routes,
+  SELECT line_id, count(DISTINCT station_name) AS n_stations,
+         count(DISTINCT route_name) + max(CASE WHEN route_name IS NULL THEN 1 ELSE 0 END) AS n_routes,
          count(*) AS n_path_rows,
          string_agg(DISTINCT station_name, '|' ORDER BY station_name) AS affected_stations,
          string_agg(DISTINCT route_name, '|' ORDER BY route_name) AS available_routes,
-         array_to_string(list_slice(list_sort(list_distinct(list(route_name))), 1, 10), '|') AS display_routes
+         array_to_string(list_slice(list_sort(list_distinct(list(route_name))), 1,
+                                    10 - max(CASE WHEN route_name IS NULL THEN 1 ELSE 0 END)), '|') AS display_routes
   FROM capped GROUP BY line_id)"""
 
 
@@ -111,6 +117,17 @@ w AS (
 """
 
 
+_LINE_OPTIONS_SELECT = """
+SELECT CAST(n.n_nationkey AS BIGINT) AS line_id, n.n_name AS graph_line_name,
+       CAST(coalesce(o.n_path_rows, 0) AS BIGINT) AS n_path_rows,
+       CAST(coalesce(o.n_stations, 0) AS INTEGER) AS n_stations,
+       CAST(coalesce(o.n_routes, 0) AS INTEGER) AS n_routes,
+       coalesce(o.n_routes, 0) < 3 AS gridlock_alert,
+       coalesce(o.affected_stations, '') AS affected_stations,
+       coalesce(o.available_routes, '') AS available_routes,
+       coalesce(o.display_routes, '') AS display_routes
+FROM nation n LEFT JOIN opts o ON o.line_id = n.n_nationkey"""
+
 _VOCAB = ", ".join(f"({i}, '{x}')" for i, x in enumerate(TUBE_LINES))
 
 _EVENT_COLS = f"""event_id, 'tube_line_status' AS event_type, line_id, line_name, severity_code, severity_desc,
@@ -190,6 +207,9 @@ SELECT * FROM ranked WHERE rn <= 100""",
         "nearby_stops_top20": "WITH " + _paths(6000.0) + """
 SELECT line_id, rn - 1 AS pos, station_name, bus_stop_name, bus_stop_id, lat, lon, distance_metres, route_name
 FROM ranked WHERE rn <= 20""",
+        "nearest_paths_gaps": "WITH " + _paths(6000.0, gaps=True) + """
+SELECT * FROM ranked WHERE rn <= 100""",
+        "line_options_gaps": "WITH " + _options(6000.0, gaps=True) + _LINE_OPTIONS_SELECT,
         "line_options": "WITH " + _options(6000.0) + """
 SELECT CAST(n.n_nationkey AS BIGINT) AS line_id, n.n_name AS graph_line_name,
        CAST(coalesce(o.n_path_rows, 0) AS BIGINT) AS n_path_rows,

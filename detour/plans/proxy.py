@@ -102,3 +102,24 @@ def status_events(events: DataFrame, p, disrupted_only: bool = False) -> DataFra
     rows = status_rows(events, view_has_no_severity=False)
     return events_from_worst(rows, F.col("line_id"), line_name_of(F.col("line_id")),
                              iso_utc(F.col("poll_ts")), p, keep=["event_id", "ts"])
+
+
+# Gaps: attributes that the feed may leave out.
+GAP_MIN_SIZE = 40          # a stop of a part larger than this has no distance
+GAP_BRAND = "Brand#13"     # this route has no name
+
+
+def graph_with_gaps(spark: SparkSession, base: str, radius: float) -> Graph:
+    """The proxy graph with missing values: null distances (stops of large parts)
+    and a route without a name, so ordering and distinct counting meet nulls."""
+    g = graph(spark, base, radius)
+    big = load_table(spark, base, "part").select(F.col("p_partkey").alias("stop_id"),
+                                                 (F.col("p_size") > GAP_MIN_SIZE).alias("_gap"))
+    near = g.has_nearby_stop.join(big, "stop_id").select(
+        "station_id", "stop_id",
+        F.when(F.col("_gap"), F.lit(None).cast("double")).otherwise(F.col("distance_metres")).alias("distance_metres"))
+    routes = g.bus_routes.select(
+        "route_id", F.when(F.col("route_id") == F.lit(GAP_BRAND), F.lit(None).cast("string"))
+        .otherwise(F.col("name")).alias("name"))
+    return Graph(lines=g.lines, stations=g.stations, bus_stops=g.bus_stops, bus_routes=routes,
+                 serves=g.serves, has_nearby_stop=near, served_by=g.served_by)
