@@ -37,12 +37,25 @@ def stream_disrupted(spark: SparkSession, base: str) -> DataFrame:
 
 
 def _run_alerts(spark: SparkSession, base: str, history: str, options: str, run_id: str,
-                writes_per_batch: int = 1) -> None:
+                writes_per_batch: int = 1) -> list[dict]:
     writer = AlertBatchWriter(options, history, run_id, C.P, keep=["event_id", "event_hub_timestamp"],
                               writes_per_batch=writes_per_batch)
     q = start_alert_stream(_disrupted_events_stream(spark, base), writer,
                            fresh_path(spark, "stream_alerts", "checkpoint"), AVAILABLE_NOW)
     q.awaitTermination()
+    return q.recentProgress
+
+
+def alert_stream_progress(spark: SparkSession, base: str) -> dict:
+    """Run the alert stream once over the events table; report what its progress
+    events say (input rows, trigger time, rows per second of processing)."""
+    history = fresh_path(spark, "stream_progress", "history")
+    prog = [p for p in _run_alerts(spark, base, history, _snapshot(spark, base), uuid.uuid4().hex)
+            if p.get("numInputRows")]
+    rows = sum(p["numInputRows"] for p in prog)
+    trigger_ms = sum(p.get("durationMs", {}).get("triggerExecution", 0) for p in prog)
+    return {"batches": len(prog), "input_rows": rows, "trigger_execution_ms": trigger_ms,
+            "rows_per_sec": round(rows / (trigger_ms / 1000.0), 1) if trigger_ms else None}
 
 
 def _snapshot(spark: SparkSession, base: str) -> str:
