@@ -35,17 +35,22 @@ def line_options(nearest: DataFrame, lines: DataFrame, p: Params = DEFAULT) -> D
     """
     st_set, st_null = _distinct_keep_null("station_name")
     rt_set, rt_null = _distinct_keep_null("route_name")
-    # Rank again for the nested list: a cut at ``nearby_limit`` (a partial
-    # WindowGroupLimit), so this works on capped and on uncapped rows alike.
-    w = Window.partitionBy("line_id").orderBy(*row_order())
-    ranked = nearest.withColumn("_nr", F.row_number().over(w)).filter(F.col("_nr") <= p.nearby_limit)
-    nested_rows = ranked.groupBy("line_id").agg(
-        F.sort_array(F.collect_list(F.struct(F.col("_nr").alias("rn"), *PATH_COLUMNS))).alias("_near"))
-    per_line = nearest.groupBy("line_id").agg(
-        F.count(F.lit(1)).alias("n_path_rows"),
-        st_set.alias("_st"), st_null.alias("_stn"),
-        rt_set.alias("_rt"), rt_null.alias("_rtn"),
-    ).join(nested_rows, "line_id", "left").select(
+    sets = [F.count(F.lit(1)).alias("n_path_rows"),
+            st_set.alias("_st"), st_null.alias("_stn"), rt_set.alias("_rt"), rt_null.alias("_rtn")]
+    nested = F.struct("rn", *PATH_COLUMNS)
+    if "rn" in nearest.columns:
+        # Capped rows carry their rank: one aggregate, the nested list keeps rn <= limit.
+        per_line = nearest.groupBy("line_id").agg(
+            *sets, F.sort_array(F.collect_list(F.when(F.col("rn") <= p.nearby_limit, nested))).alias("_near"))
+    else:
+        # Uncapped rows: rank only the nested top-N (a partial WindowGroupLimit), never
+        # a whole line.
+        w = Window.partitionBy("line_id").orderBy(*row_order())
+        ranked = (nearest.withColumn("rn", F.row_number().over(w))
+                  .filter(F.col("rn") <= p.nearby_limit))
+        nested_rows = ranked.groupBy("line_id").agg(F.sort_array(F.collect_list(nested)).alias("_near"))
+        per_line = nearest.groupBy("line_id").agg(*sets).join(nested_rows, "line_id", "left")
+    per_line = per_line.select(
         "line_id", "n_path_rows",
         _with_null(F.col("_st"), F.col("_stn")).alias("affected_stations"),
         _with_null(F.col("_rt"), F.col("_rtn")).alias("available_routes"),
