@@ -20,18 +20,28 @@ def haversine_m(lat1, lon1, lat2, lon2, radius_m: float = EARTH_RADIUS_M) -> Col
     return F.lit(2.0 * radius_m) * F.asin(F.sqrt(F.least(a, F.lit(1.0))))
 
 
+# Cells are enlarged by this relative margin so rounding can never lose a pair.
+CELL_MARGIN = 1e-9
+
+
 def cell_sizes(radius_m: float, max_abs_lat: float, earth_radius_m: float = EARTH_RADIUS_M):
     """Cell edge in degrees of latitude and longitude so that any pair within
     ``radius_m`` lies in the same or an adjacent cell.
 
-    Latitude degrees per metre are constant; longitude degrees per metre grow with
-    latitude, so the longitude edge is sized at the largest absolute latitude present.
+    From hav(d) = hav(dphi) + cos(phi1) cos(phi2) hav(dlambda): a pair within r has
+    dphi <= r / R, and, with both |phi| <= phi_max,
+    sin(dlambda / 2) <= sin(r / 2R) / cos(phi_max). The longitude edge is sized from
+    that bound at the largest absolute latitude present; when the bound reaches the
+    whole circle (near a pole) there is one longitude cell.
     Returns (dlat, n_lon_cells): longitude cells tile the full circle so that the
     antimeridian wraps.
     """
-    dlat = math.degrees(radius_m / earth_radius_m)
-    lat = min(abs(max_abs_lat), 89.0)
-    dlon = min(dlat / math.cos(math.radians(lat)), 360.0)
+    dlat = math.degrees(radius_m / earth_radius_m) * (1 + CELL_MARGIN)
+    c = math.cos(math.radians(min(abs(max_abs_lat), 90.0)))
+    s = math.sin(radius_m / (2 * earth_radius_m)) / c if c > 0 else float("inf")
+    if s >= 1.0:
+        return dlat, 1
+    dlon = math.degrees(2 * math.asin(s)) * (1 + CELL_MARGIN)
     n_lon = max(int(math.floor(360.0 / dlon)), 1)
     return dlat, n_lon
 

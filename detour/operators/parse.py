@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,7 +26,8 @@ def rejected(parsed: DataFrame, schema=STATUS_EVENT) -> Column:
     """A record whose every schema field came out null (bad JSON, null value,
     a JSON array ...). Such rows are dropped by the disruption filter; this predicate
     lets a caller count them into a quarantine output instead."""
-    return F.coalesce(*[F.col(f.name).isNotNull() for f in schema.fields], F.lit(False)) == F.lit(False)
+    present = [F.col(f.name).isNotNull() for f in schema.fields]
+    return ~reduce(lambda a, b: a | b, present, F.lit(False))
 
 
 def disrupted(events: DataFrame, processed_at: Column | None = None) -> DataFrame:

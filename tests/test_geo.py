@@ -72,3 +72,22 @@ def test_shuffled_cell_join_matches(spark):
     plan = j._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" not in plan
     assert {(x.station_id, x.stop_id) for x in j.collect()} == brute(L, R, 300.0)
+
+
+def test_polar_points_match_brute_force(spark):
+    rnd = random.Random(11)
+    L = [(i, 89.99 - rnd.random() * 0.01, rnd.uniform(-180, 180)) for i in range(40)]
+    R = [(i, 89.99 - rnd.random() * 0.01, rnd.uniform(-180, 180)) for i in range(120)]
+    want = brute(L, R, 300.0)
+    assert want and _run(spark, L, R, 300.0) == want
+
+
+def test_cell_sizes_cover_the_haversine_bound():
+    from detour.functions.geo import cell_sizes
+    for lat in (0.0, 45.0, 70.0, 85.0, 89.9):
+        dlat, n_lon = cell_sizes(300.0, lat)
+        width = 360.0 / n_lon
+        # the widest longitude gap of a 300 m pair at this latitude fits in one cell width
+        s = math.sin(300.0 / (2 * EARTH_RADIUS_M)) / math.cos(math.radians(lat))
+        assert s >= 1 or width >= math.degrees(2 * math.asin(s))
+        assert dlat >= math.degrees(300.0 / EARTH_RADIUS_M)

@@ -61,3 +61,10 @@ def test_publish_then_parse_round_trip(spark):
     assert '"disruption_detail":null' in rec.first().value.decode()
     back = P.parse_records(rec).drop("event_hub_timestamp")
     assert sorted(back.collect()) == sorted(ev.collect())
+
+
+def test_rejected_checks_every_field(spark):
+    txt = GOOD.replace('"event_type":"tube_line_status",', '')   # first field missing, others present
+    parsed = P.parse_records(_records(spark, [txt, "{}"]))
+    assert [r.line_id for r in parsed.filter(~P.rejected(parsed)).collect()] == ["central"]
+    assert parsed.filter(P.rejected(parsed)).count() == 1
