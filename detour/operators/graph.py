@@ -79,7 +79,7 @@ def nearby_from_documents(nearby_docs: DataFrame) -> tuple[DataFrame, DataFrame,
                     F.posexplode(F.coalesce(F.col("lines"), F.array())).alias("lpos", "l"))
     routes = rl.select(F.col("l.id").alias("route_id"), F.col("l.name").alias("name"),
                        "station_id", "seq", "lpos")
-    served = rl.select("stop_id", F.col("l.id").alias("route_id"))
+    served = rl.select("stop_id", F.col("l.id").alias("route_id"), "station_id")
     return stops, near, routes, served
 
 
@@ -124,7 +124,13 @@ def lines_from_members(members: DataFrame, count_as: str | None = None) -> DataF
 def build_graph(station_docs: DataFrame, nearby_docs: DataFrame, member_docs: DataFrame,
                 current: Graph | None = None, mode: str = "upsert") -> Graph:
     """Documents -> upserted node and edge tables (U1: a stop reached from many
-    stations is one node; T6: the last write of a key wins, nulls included)."""
+    stations is one node; T6: the last write of a key wins, nulls included).
+
+    Write order is station-document order, then each station's nearby list in list
+    order; with several station documents, give each its own seed run (positions
+    restart per document). Nearby lists of stations not in the station documents
+    are ignored, as the original only requests lists for the stations it fetched.
+    """
     st = stations_from_documents(station_docs)
     stops, near, routes, served = nearby_from_documents(nearby_docs)
     members = members_from_documents(member_docs)
@@ -148,6 +154,8 @@ def build_graph(station_docs: DataFrame, nearby_docs: DataFrame, member_docs: Da
         lines = latest_per_key(current.lines.withColumn("_s", F.lit(0))
                                .unionByName(lines.withColumn("_s", F.lit(1))), ["line_id"], ["_s"]).drop("_s")
     serves = distinct_edges(members, ["line_id", "station_id"])
+    # Only the nearby lists of listed stations are processed, as for stops and routes.
+    served = served.join(st.select("station_id"), "station_id", "left_semi")
     served_by = distinct_edges(served, ["stop_id", "route_id"])
     if current is not None and mode == "upsert":
         serves = distinct_edges(current.serves.unionByName(serves), ["line_id", "station_id"])

@@ -34,7 +34,9 @@ def docs(spark, tmp_path):
              "lines": [{"id": "r8", "name": None}]},
             {"id": "B3", "commonName": "Stop Three", "lat": 51.513, "lon": -0.150}]},
         {"station_id": "S_MISSING", "stopPoints": [
-            {"id": "B9", "commonName": "Orphan", "lat": 51.0, "lon": 0.0, "distance": 10, "lines": []}]},
+            {"id": "B9", "commonName": "Orphan", "lat": 51.0, "lon": 0.0, "distance": 10, "lines": []},
+            {"id": "B1", "commonName": "Stop One elsewhere", "lat": 51.0, "lon": 0.0, "distance": 5,
+             "lines": [{"id": "r999", "name": "999"}]}]},
     ], S.NEARBY_DOC)
     members = _docs(spark, tmp_path, "members", [
         {"line_id": "central", "stops": [{"id": "S1", "stopType": "NaptanMetroStation"},
