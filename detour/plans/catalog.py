@@ -27,6 +27,7 @@ from detour.params import DEFAULT, Params
 from detour.plans import proxy
 from detour.sources.broker import to_broker_records
 from detour.sources.tables import load_table
+from detour.session import fresh_path
 from detour.sources.vocabulary import line_vocabulary
 
 ALERT_RADIUS = 1200.0     # proxy "nearby" radius for alerts
@@ -237,6 +238,20 @@ def line_options_gaps(spark, base):
     return _options_scalars(_line_options(_nearest(g, P.path_limit), g.lines, P))
 
 
+def document_graph_options(spark, base):
+    """Documents -> graph (S4-S6, P7, P9, K3/K4, U1, J4, P14, F3) -> options.
+
+    As in the seed job, the built graph is written to the shared folder first and
+    the options are computed from the written tables: the graph tables are deep
+    plans that the path joins reference several times, and a written table cuts
+    that lineage (and survives lost executors)."""
+    from detour.jobs import read_graph, write_graph
+    path = fresh_path(spark, "document_graph")
+    write_graph(G.build_graph(*proxy.documents(spark, base, CAP_RADIUS)), path)
+    g = read_graph(spark, path)
+    return _options_scalars(_line_options(_nearest(g, P.path_limit), g.lines, P))
+
+
 def radius_join(spark, base):
     st = _t(spark, base, "supplier").select(F.col("s_suppkey").alias("station_id"),
                                             *proxy.lat_lon("s_suppkey", proxy.STATION_MULT))
@@ -324,6 +339,7 @@ def batch_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "line_options": line_options_q,
         "nearest_paths_gaps": nearest_paths_gaps,
         "line_options_gaps": line_options_gaps,
+        "document_graph_options": document_graph_options,
         "gridlock_label": gridlock_label_q,
         "radius_join": radius_join,
         "nearby_seed": nearby_seed,

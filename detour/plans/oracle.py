@@ -210,6 +210,36 @@ FROM ranked WHERE rn <= 20""",
         "nearest_paths_gaps": "WITH " + _paths(6000.0, gaps=True) + """
 SELECT * FROM ranked WHERE rn <= 100""",
         "line_options_gaps": "WITH " + _options(6000.0, gaps=True) + _LINE_OPTIONS_SELECT,
+        "document_graph_options": """WITH edges AS (
+  SELECT l_suppkey AS station_id, l_partkey AS stop_id, min(l_extendedprice) AS distance_metres
+  FROM lineitem GROUP BY l_suppkey, l_partkey HAVING min(l_extendedprice) <= 6000.0),
+paths AS (
+  SELECT CAST(s.s_nationkey AS VARCHAR) AS line_id, CAST(s.s_suppkey AS VARCHAR) AS station_id,
+         CAST(p.p_partkey AS VARCHAR) AS stop_id, p.p_brand AS route_id, s.s_name AS station_name,
+         e.distance_metres, p.p_brand AS route_name
+  FROM supplier s JOIN edges e ON e.station_id = s.s_suppkey JOIN part p ON p.p_partkey = e.stop_id),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY line_id ORDER BY distance_metres ASC NULLS LAST,
+                               station_id, stop_id, route_id) AS rn
+  FROM paths),
+capped AS (SELECT * FROM ranked WHERE rn <= 100),
+opts AS (
+  SELECT line_id, count(DISTINCT station_name) AS n_stations, count(DISTINCT route_name) AS n_routes,
+         count(*) AS n_path_rows,
+         string_agg(DISTINCT station_name, '|' ORDER BY station_name) AS affected_stations,
+         string_agg(DISTINCT route_name, '|' ORDER BY route_name) AS available_routes,
+         array_to_string(list_slice(list_sort(list_distinct(list(route_name))), 1, 10), '|') AS display_routes
+  FROM capped GROUP BY line_id),
+lines AS (SELECT DISTINCT CAST(s_nationkey AS VARCHAR) AS line_id FROM supplier)
+SELECT l.line_id, l.line_id AS graph_line_name,
+       CAST(coalesce(o.n_path_rows, 0) AS BIGINT) AS n_path_rows,
+       CAST(coalesce(o.n_stations, 0) AS INTEGER) AS n_stations,
+       CAST(coalesce(o.n_routes, 0) AS INTEGER) AS n_routes,
+       coalesce(o.n_routes, 0) < 3 AS gridlock_alert,
+       coalesce(o.affected_stations, '') AS affected_stations,
+       coalesce(o.available_routes, '') AS available_routes,
+       coalesce(o.display_routes, '') AS display_routes
+FROM lines l LEFT JOIN opts o ON o.line_id = l.line_id""",
         "line_options": "WITH " + _options(6000.0) + """
 SELECT CAST(n.n_nationkey AS BIGINT) AS line_id, n.n_name AS graph_line_name,
        CAST(coalesce(o.n_path_rows, 0) AS BIGINT) AS n_path_rows,

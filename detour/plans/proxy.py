@@ -123,3 +123,30 @@ def graph_with_gaps(spark: SparkSession, base: str, radius: float) -> Graph:
         .otherwise(F.col("name")).alias("name"))
     return Graph(lines=g.lines, stations=g.stations, bus_stops=g.bus_stops, bus_routes=routes,
                  serves=g.serves, has_nearby_stop=near, served_by=g.served_by)
+
+
+def documents(spark: SparkSession, base: str, radius: float) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The feed's documents rebuilt from the tables, one document per row (each list
+    holds one entry, so no grouping is needed): station documents (suppliers),
+    nearby-stop documents (supplier/part pairs within ``radius``, the part's brand as
+    its one route) and line membership documents (supplier under its nation)."""
+    from detour.fixed import METRO_STATION_TYPE
+    supplier = load_table(spark, base, "supplier")
+    part = load_table(spark, base, "part")
+    sid = F.col("s_suppkey").cast("string")
+    stations = supplier.select(F.array(F.struct(
+        sid.alias("id"), F.col("s_name").alias("commonName"), *lat_lon("s_suppkey", STATION_MULT),
+        F.lit(METRO_STATION_TYPE).alias("stopType"))).alias("stopPoints"))
+    edges = nearby_edges(spark, base, radius).join(
+        part.select(F.col("p_partkey").alias("stop_id"), "p_name", "p_brand"), "stop_id")
+    nearby = edges.select(
+        F.col("station_id").cast("string").alias("station_id"),
+        F.array(F.struct(
+            F.col("stop_id").cast("string").alias("id"), F.col("p_name").alias("commonName"),
+            *lat_lon("stop_id", STOP_MULT), F.col("distance_metres").alias("distance"),
+            F.array(F.struct(F.col("p_brand").alias("id"), F.col("p_brand").alias("name"))).alias("lines"),
+        )).alias("stopPoints"))
+    members = supplier.select(
+        F.col("s_nationkey").cast("string").alias("line_id"),
+        F.array(F.struct(sid.alias("id"), F.lit(METRO_STATION_TYPE).alias("stopType"))).alias("stops"))
+    return stations, nearby, members
