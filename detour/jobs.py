@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from detour.functions.columns import iso_utc
-from detour.operators.graph import Graph, build_graph, graph_summary
+from detour.operators.graph import Graph, build_graph, graph_summary, guard_graph
 from detour.operators.options import line_options
 from detour.operators.parse import quarantine
 from detour.operators.paths import nearest_paths
@@ -63,9 +63,21 @@ def read_graph(spark: SparkSession, graph_dir: str) -> Graph:
     return Graph(**{t: spark.read.parquet(f"{graph_dir}/{t}") for t in GRAPH_TABLES})
 
 
+NODE_TABLES = ["lines", "stations", "bus_stops", "bus_routes"]
+EDGE_TABLES = ["serves", "has_nearby_stop", "served_by"]
+
+
 def write_graph(g: Graph, graph_dir: str) -> None:
-    for t in GRAPH_TABLES:
+    """Write the node tables, then the edges guarded (J4) against the *written*
+    nodes: each edge write reads small finished tables instead of re-running the
+    node upserts, and every table is a lineage cut that survives lost executors."""
+    for t in NODE_TABLES:
         getattr(g, t).write.mode("overwrite").parquet(f"{graph_dir}/{t}")
+    spark = g.lines.sparkSession
+    nodes = {t: spark.read.parquet(f"{graph_dir}/{t}") for t in NODE_TABLES}
+    guarded = guard_graph(Graph(**nodes, **{t: getattr(g, t) for t in EDGE_TABLES}))
+    for t in EDGE_TABLES:
+        getattr(guarded, t).write.mode("overwrite").parquet(f"{graph_dir}/{t}")
 
 
 def seed(spark: SparkSession, stations_path: str, nearby_path: str, members_path: str, out_dir: str,
@@ -78,7 +90,7 @@ def seed(spark: SparkSession, stations_path: str, nearby_path: str, members_path
     mb = D.read_json(spark, members_path, S.MEMBERSHIP_DOC).persist()
     current = read_graph(spark, current_dir) if current_dir else None
     try:
-        write_graph(build_graph(st, nb, mb, current, mode), out_dir)
+        write_graph(build_graph(st, nb, mb, current, mode, guard=False), out_dir)
     finally:
         for d in (st, nb, mb):
             d.unpersist()

@@ -122,7 +122,7 @@ def lines_from_members(members: DataFrame, count_as: str | None = None) -> DataF
 
 
 def build_graph(station_docs: DataFrame, nearby_docs: DataFrame, member_docs: DataFrame,
-                current: Graph | None = None, mode: str = "upsert") -> Graph:
+                current: Graph | None = None, mode: str = "upsert", guard: bool = True) -> Graph:
     """Documents -> upserted node and edge tables (U1: a stop reached from many
     stations is one node; T6: the last write of a key wins, nulls included).
 
@@ -130,6 +130,8 @@ def build_graph(station_docs: DataFrame, nearby_docs: DataFrame, member_docs: Da
     order; with several station documents, give each its own seed run (positions
     restart per document). Nearby lists of stations not in the station documents
     are ignored, as the original only requests lists for the stations it fetched.
+    ``guard=False`` leaves the J4 edge checks to the caller (``jobs.write_graph``
+    applies them against the written node tables).
     """
     st = stations_from_documents(station_docs)
     stops, near, routes, served = nearby_from_documents(nearby_docs)
@@ -163,7 +165,7 @@ def build_graph(station_docs: DataFrame, nearby_docs: DataFrame, member_docs: Da
     g = Graph(lines=lines, stations=stations.drop("is_updated"), bus_stops=bus_stops.drop("is_updated"),
               bus_routes=bus_routes.drop("is_updated"), serves=serves,
               has_nearby_stop=has_near.drop("is_updated"), served_by=served_by)
-    return guard_graph(g)
+    return guard_graph(g) if guard else g
 
 
 # ---- integrity ----------------------------------------------------------------------

@@ -247,7 +247,12 @@ def document_graph_options(spark, base):
     that lineage (and survives lost executors)."""
     from detour.jobs import read_graph, write_graph
     path = fresh_path(spark, "document_graph")
-    write_graph(G.build_graph(*proxy.documents(spark, base, CAP_RADIUS)), path)
+    docs = [d.persist() for d in proxy.documents(spark, base, CAP_RADIUS)]
+    try:
+        write_graph(G.build_graph(*docs, guard=False), path)
+    finally:
+        for d in docs:
+            d.unpersist()
     g = read_graph(spark, path)
     return _options_scalars(_line_options(_nearest(g, P.path_limit), g.lines, P))
 
