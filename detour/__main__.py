@@ -21,6 +21,7 @@ def main(argv=None) -> None:
     s.add_argument("out")
     s.add_argument("--current", default=None)
     s.add_argument("--mode", choices=["upsert", "replace"], default="upsert")
+    s.add_argument("--publish", default=None, help="options root that running streams read")
     r = sub.add_parser("stream", help="broker records -> alert history")
     r.add_argument("options")
     r.add_argument("history")
@@ -42,7 +43,8 @@ def main(argv=None) -> None:
         opts = json.loads(args.kafka_options) if args.kafka_options else None
         jobs.ingest(spark, args.docs, args.out, args.format, opts).show(truncate=False)
     elif args.cmd == "seed":
-        jobs.seed(spark, args.stations, args.nearby, args.members, args.out, args.current, args.mode).show()
+        jobs.seed(spark, args.stations, args.nearby, args.members, args.out, args.current, args.mode,
+                  publish_root=args.publish).show()
     elif args.cmd == "stream":
         from detour.schemas import BROKER_RECORD
         from detour.sources.broker import read_broker

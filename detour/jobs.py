@@ -31,7 +31,8 @@ from detour.sources import documents as D
 from detour.sources.broker import to_broker_records
 from detour.sources.history import read_history
 from detour.streaming.processor import (
-    DEFAULT_TRIGGER, AlertBatchWriter, disrupted_stream, start_alert_stream, write_options_snapshot,
+    DEFAULT_TRIGGER, AlertBatchWriter, disrupted_stream, publish_snapshot, start_alert_stream,
+    write_options_snapshot,
 )
 
 GRAPH_TABLES = ["lines", "stations", "bus_stops", "bus_routes", "serves", "has_nearby_stop", "served_by"]
@@ -81,9 +82,12 @@ def write_graph(g: Graph, graph_dir: str) -> None:
 
 
 def seed(spark: SparkSession, stations_path: str, nearby_path: str, members_path: str, out_dir: str,
-         current_dir: str | None = None, mode: str = "upsert", p: Params = DEFAULT) -> DataFrame:
+         current_dir: str | None = None, mode: str = "upsert", p: Params = DEFAULT,
+         publish_root: str | None = None) -> DataFrame:
     """Build (or upsert onto ``current_dir``) the graph, write it as a new version at
-    ``out_dir`` together with ``out_dir/options``, and return the node counts (A10)."""
+    ``out_dir`` together with ``out_dir/options``, and return the node counts (A10).
+    With ``publish_root`` the new options become current for streams reading that
+    root (see :func:`detour.streaming.processor.publish_snapshot`)."""
     # Seven tables are written from the same documents: parse the JSON once.
     st = D.read_json(spark, stations_path, S.STATION_DOC).persist()
     nb = D.read_json(spark, nearby_path, S.NEARBY_DOC).persist()
@@ -96,6 +100,8 @@ def seed(spark: SparkSession, stations_path: str, nearby_path: str, members_path
             d.unpersist()
     g = read_graph(spark, out_dir)
     write_options_snapshot(line_options(nearest_paths(g, p.path_limit), g.lines, p), f"{out_dir}/options")
+    if publish_root:
+        publish_snapshot(spark, publish_root, f"{out_dir}/options")
     return graph_summary(g)
 
 
@@ -106,6 +112,9 @@ def stream(records: DataFrame, options_path: str, history_path: str, checkpoint:
            p: Params = DEFAULT) -> list[StreamingQuery]:
     """Start the alert query on broker records (``value``, ``timestamp``).
 
+    ``options_path`` is a snapshot folder, or a root that seeds publish to (then
+    every batch uses the newest published snapshot).
+
     ``run_id`` must be new whenever ``checkpoint`` is new (batch ids restart).
     With ``quarantine_path`` a second query keeps the records that did not parse.
     """

@@ -2,13 +2,15 @@
 
 R1 parse and filter are the batch functions applied to a streaming DataFrame.
 R2 ``foreachBatch`` joins each batch with the current per-line options snapshot
-(re-read every batch, so a re-seeded graph is picked up) and writes through the
-replay-safe sink. R3 trigger, R4 checkpoint.
+(resolved every batch through an append-only pointer table, so a re-seeded graph
+is picked up without restarting the stream) and writes through the replay-safe
+sink. R3 trigger, R4 checkpoint.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -28,12 +30,37 @@ def disrupted_stream(records: DataFrame, schema=STATUS_EVENT, processed_at: Colu
     return disrupted(parse_records(records, schema), processed_at)
 
 
+POINTER = "_versions"
+
+
 def write_options_snapshot(options: DataFrame, path: str) -> str:
     """Materialise the per-line options (one row per line) that every batch joins."""
     options.write.mode("overwrite").parquet(path)
     return path
 
 
+def publish_snapshot(spark: SparkSession, root: str, snapshot_path: str) -> None:
+    """Make ``snapshot_path`` the current options for streams reading ``root``.
+
+    Appends (version, path) to an append-only pointer table under ``root``: a new
+    file becomes visible at job commit, old rows never change, so a reader sees
+    either the previous or the new snapshot, never a half-written one."""
+    (spark.createDataFrame([(snapshot_path,)], "path string")
+          .select(F.unix_micros(F.current_timestamp()).alias("version"), "path")
+          .coalesce(1).write.mode("append").parquet(f"{root.rstrip('/')}/{POINTER}"))
+
+
+def current_snapshot(spark: SparkSession, path: str) -> str:
+    """``path`` itself, or, when it is a root with a pointer table, the newest
+    published snapshot (one row read, per batch)."""
+    try:
+        ptr = spark.read.parquet(f"{path.rstrip('/')}/{POINTER}")
+    except AnalysisException:
+        return path
+    row = ptr.orderBy(F.col("version").desc(), F.col("path").desc()).select("path").first()
+    return row[0] if row else path
+
+
 class AlertBatchWriter:
     """R2: the ``foreachBatch`` function. One write action per batch; nothing is
     collected to the driver."""
@@ -50,7 +77,7 @@ class AlertBatchWriter:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        options = spark.read.parquet(self.options_path)
+        options = spark.read.parquet(current_snapshot(spark, self.options_path))
         if self.p.path_limit is not None:   # rows are bounded only under a path cap
             options = broadcast_if_bounded(options)
         alerts = build_alerts(batch, options, self.p, batch_id=int(batch_id), keep=self.keep)

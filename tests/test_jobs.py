@@ -116,3 +116,34 @@ def test_streaming_ingest_and_cli_report(spark, tmp_path, capsys):
     main(["report", hist])
     text = capsys.readouterr().out
     assert "summary" in text and "latest" in text and "total_alerts" in text
+
+
+def test_stream_picks_up_a_new_seed(spark, tmp_path, docs):  # noqa: F811
+    """Batch 0 runs on graph v1; a re-seed published in between changes batch 1."""
+    stations, nearby, members = docs
+    sdir, mdir = str(tmp_path / "st"), str(tmp_path / "mb")
+    stations.write.json(sdir)
+    members.write.json(mdir)
+    n1, n2 = str(tmp_path / "nb1"), str(tmp_path / "nb2")
+    nearby.write.json(n1)
+    nearby.filter(F.col("station_id") == "S2").write.json(n2)   # v2: S1 lists no stops
+    root = fresh_path(spark, "e2e", "options_root")
+    jobs.seed(spark, sdir, n1, mdir, fresh_path(spark, "e2e", "g1"), publish_root=root)
+
+    status = lambda i: _write(tmp_path, f"status{i}", [
+        {"id": "central", "name": "Central", "lineStatuses": [{"statusSeverity": 6}]}])
+    broker = fresh_path(spark, "e2e", "broker2")
+    jobs.ingest(spark, status(0), broker)
+    history, ckpt = fresh_path(spark, "e2e", "history2"), fresh_path(spark, "e2e", "ckpt2")
+
+    def run():
+        records = spark.readStream.schema(BROKER_RECORD).option("maxFilesPerTrigger", "1").parquet(broker)
+        for q in jobs.stream(records, root, history, ckpt, run_id="r", trigger={"availableNow": True}):
+            q.awaitTermination()
+
+    run()
+    jobs.seed(spark, sdir, n2, mdir, fresh_path(spark, "e2e", "g2"), mode="replace", publish_root=root)
+    jobs.ingest(spark, status(1), broker)
+    run()
+    got = {r.batch_id: r.available_routes for r in spark.read.parquet(history).collect()}
+    assert got == {0: [None, "390", "73"], 1: [None]}
