@@ -18,7 +18,7 @@ from detour.operators.alerts import build_alerts
 from detour.operators.geo_join import radius_join as _radius_join
 from detour.operators.options import bounded_options, line_options as _line_options
 from detour.operators.parse import disrupted, parse_records
-from detour.operators.paths import ID_COLUMNS, PATH_COLUMNS, nearest_paths as _nearest, path_rows, restrict_line
+from detour.operators.paths import PATH_COLUMNS, nearest_paths as _nearest, path_rows, restrict_line
 from detour.operators.reports import alert_summary as _summary, first_alerts as _first, latest_alerts as _latest
 from detour.operators.reports import payload_preview, unique_lines as _unique_lines
 from detour.operators.status import events_from_worst, poll_counts, worst_status_rows

@@ -3,7 +3,6 @@
 import datetime as dt
 import json
 
-from pyspark.sql import functions as F
 
 from detour.functions import columns as C
 from detour.sources.vocabulary import TUBE_LINES

@@ -5,7 +5,6 @@ import random
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from detour.functions.geo import EARTH_RADIUS_M, haversine_m
 from detour.operators.geo_join import radius_join
