@@ -33,7 +33,8 @@ def _event_columns(line_id: Column, line_name: Column, sev: Column, desc: Column
     ]
 
 
-def events_from_documents(raw_lines: DataFrame, ingested_at: Column, p: Params = DEFAULT) -> DataFrame:
+def events_from_documents(raw_lines: DataFrame, ingested_at: Column, p: Params = DEFAULT,
+                          keep: list[str] | None = None) -> DataFrame:
     """Raw line records (id, name, lineStatuses[]) -> status events.
 
     The worst status is an arg-min inside the row: ``array_min`` over
@@ -48,7 +49,7 @@ def events_from_documents(raw_lines: DataFrame, ingested_at: Column, p: Params =
     )))["status"]
     return (raw_lines
             .filter(F.size(statuses) > 0)                                   # P6
-            .select(*_event_columns(
+            .select(*(keep or []), *_event_columns(
                 F.coalesce(F.col("id"), F.lit(UNKNOWN_LINE_ID)),
                 F.coalesce(F.col("name"), F.lit(UNKNOWN_LINE_NAME)),
                 worst["statusSeverity"],

@@ -21,7 +21,7 @@ from detour.operators.parse import disrupted, parse_records
 from detour.operators.paths import PATH_COLUMNS, nearest_paths as _nearest, path_rows, restrict_line
 from detour.operators.reports import alert_summary as _summary, first_alerts as _first, latest_alerts as _latest
 from detour.operators.reports import payload_preview, unique_lines as _unique_lines
-from detour.operators.status import events_from_worst, poll_counts, worst_status_rows
+from detour.operators.status import events_from_documents, events_from_worst, poll_counts, worst_status_rows
 from detour.operators.upsert import upsert
 from detour.params import DEFAULT, Params
 from detour.plans import proxy
@@ -88,6 +88,12 @@ def _worst(spark, base):
                              keep=[F.col("worst_pos").alias("worst_event_id"), "n_statuses"])
 
 
+def document_status_events(spark, base):
+    """S3 + P6 + A12 (array form) + F1 + F2 + P10 + P11 on documents rebuilt from events."""
+    docs = proxy.status_documents(_t(spark, base, "events"))
+    return events_from_documents(docs, iso_utc(F.col("poll_ts")), P, keep=["event_id"])
+
+
 def worst_status(spark, base):
     return _worst(spark, base)
 
@@ -323,6 +329,7 @@ def batch_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "gridlock_alerts": gridlock_alerts,
         "disrupted_events": disrupted_events,
         "worst_status": worst_status,
+        "document_status_events": document_status_events,
         "status_counts": status_counts,
         "parse_props": parse_props,
         "event_payload": event_payload,

@@ -142,6 +142,22 @@ def oracle_sql() -> dict[str, str]:
         "disrupted_events": "WITH " + _EV.strip() + f"""
 SELECT {_EVENT_COLS} FROM ev WHERE severity_code < 10""",
         "worst_status": _worst() + "SELECT * FROM w",
+        "document_status_events": f"""WITH d AS (
+  SELECT event_id, date_trunc('hour', ts) AS poll_ts, CAST(user_id % 30 AS VARCHAR) AS line_id,
+         'LINE_' || CAST(user_id % 30 AS VARCHAR) AS line_name,
+         CASE WHEN event_type = 'view' THEN NULL ELSE CAST(floor(value) AS INTEGER) END AS s1,
+         event_type AS d1, props AS t1,
+         CAST(CAST(json_extract_string(props, '$.k') AS INTEGER) % 25 AS INTEGER) AS s2
+  FROM events),
+w AS (
+  SELECT *, coalesce(s1, 99) <= coalesce(s2, 99) AS first_wins FROM d)
+SELECT event_id, 'tube_line_status' AS event_type, line_id, line_name,
+       CAST(coalesce(CASE WHEN first_wins THEN s1 ELSE s2 END, 10) AS INTEGER) AS severity_code,
+       coalesce(CASE WHEN first_wins THEN d1 ELSE 'k' END, 'Unknown') AS severity_desc,
+       coalesce(CASE WHEN first_wins THEN s1 ELSE s2 END, 10) < 10 AS is_disrupted,
+       CASE WHEN first_wins THEN t1 ELSE NULL END AS disruption_detail,
+       {_iso('poll_ts')} AS ingested_at_utc
+FROM w""",
         "status_counts": _worst() + """SELECT ingested_at_utc, count(*) AS n_lines,
        count(*) FILTER (WHERE NOT is_disrupted) AS n_ok, count(*) FILTER (WHERE is_disrupted) AS n_disrupted
 FROM w GROUP BY ingested_at_utc""",

@@ -150,3 +150,25 @@ def documents(spark: SparkSession, base: str, radius: float) -> tuple[DataFrame,
         F.col("s_nationkey").cast("string").alias("line_id"),
         F.array(F.struct(sid.alias("id"), F.lit(METRO_STATION_TYPE).alias("stopType"))).alias("stops"))
     return stations, nearby, members
+
+
+def status_documents(events: DataFrame) -> DataFrame:
+    """Line-status documents rebuilt from events rows (one document per row, two
+    statuses each): the first from the event (no severity for views, the event's
+    props as disruption text), the second from the props value ``k`` (k % 25, no
+    disruption). Carries ``event_id`` and ``poll_ts`` alongside."""
+    k = F.from_json(F.col("props"), "k int")["k"]
+    first = F.struct(
+        F.when(F.col("event_type") == F.lit("view"), F.lit(None).cast("int"))
+         .otherwise(F.floor(F.col("value")).cast("int")).alias("statusSeverity"),
+        F.col("event_type").alias("statusSeverityDescription"),
+        F.struct(F.col("props").alias("description")).alias("disruption"))
+    second = F.struct(
+        (k % F.lit(25)).cast("int").alias("statusSeverity"),
+        F.lit("k").alias("statusSeverityDescription"),
+        F.lit(None).cast("struct<description:string>").alias("disruption"))
+    line = F.col("user_id") % F.lit(N_PROXY_LINES)
+    return events.select(
+        "event_id", F.date_trunc("hour", F.col("ts")).alias("poll_ts"),
+        line.cast("string").alias("id"), line_name_of(line).alias("name"),
+        F.array(first, second).alias("lineStatuses"))
