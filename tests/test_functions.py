@@ -44,3 +44,11 @@ def test_gridlock_label(spark):
 def test_default_coalesce(spark):
     df = spark.createDataFrame([(None,), ("x",)], "s string")
     assert [r.v for r in df.select(C.with_default("s", "unknown").alias("v")).collect()] == ["unknown", "x"]
+
+
+def test_title_differs_from_python_only_after_non_blank_separators(spark):
+    """Initcap capitalises after blanks only; Python's title() after any non-letter."""
+    df = spark.createDataFrame([("king's cross-x",)], "id string")
+    got = df.select(C.title_from_id("id").alias("t")).first().t
+    assert got == "King's Cross X"
+    assert "king's cross-x".replace("-", " ").title() == "King'S Cross X"

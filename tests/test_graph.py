@@ -117,3 +117,12 @@ def test_flatten_and_sizes(spark):
     df = spark.createDataFrame([(1, ["a", "b"]), (2, []), (3, None)], "k int, xs array<string>")
     assert _rows(G.flatten_list(df, "k", "xs", "x"), "k", "pos", "x", "list_size") == [(1, 0, "a", 2), (1, 1, "b", 2)]
     assert _rows(G.list_sizes(df, "k", "xs", "n"), "k", "n") == [(1, 2), (2, 0), (3, 0)]
+
+
+def test_integer_distance_is_stored_as_double(spark, tmp_path):
+    """An integer distance (0) becomes 0.0 in a double column."""
+    nearby = _docs(spark, tmp_path, "nb_int", [{"station_id": "S1", "stopPoints": [
+        {"id": "B1", "commonName": "x", "lat": 1.0, "lon": 2.0, "distance": 0, "lines": []}]}], S.NEARBY_DOC)
+    _, near, _, _ = G.nearby_from_documents(nearby)
+    r = near.first()
+    assert near.schema["distance_metres"].dataType.typeName() == "double" and r.distance_metres == 0.0

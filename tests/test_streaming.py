@@ -75,3 +75,16 @@ def test_several_micro_batches(spark):
     h = read_history(spark, history)
     assert h.select("batch_id").distinct().count() == 3
     assert _sorted(C.alert_scalars(h)) == _sorted(C.gridlock_alerts(spark, SF))
+
+
+def test_write_errors_fail_the_stream(spark, tmp_path):
+    """A history write that fails is not swallowed; the query stops with the error."""
+    import pytest
+    from pyspark.errors import StreamingQueryException
+    blocker = tmp_path / "not_a_dir"
+    blocker.write_text("x")                         # history path is a file: every write fails
+    options = write_options_snapshot(C.options_for(spark, SF, C.ALERT_RADIUS), fresh_path(spark, "test", "o"))
+    w = AlertBatchWriter(options, str(blocker), "r", C.P, keep=["event_id"])
+    q = start_alert_stream(J._disrupted_events_stream(spark, SF), w, fresh_path(spark, "test", "c"), J.AVAILABLE_NOW)
+    with pytest.raises(StreamingQueryException):
+        q.awaitTermination()
