@@ -14,7 +14,6 @@ SQL_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
@@ -55,7 +54,8 @@ def build_session(master: str | None = None, app: str = "detour",
 
 
 def apply_sql_defaults(spark: SparkSession) -> None:
-    """Runtime SQL settings the operators rely on (UTC clock, dynamic overwrite)."""
+    """Runtime SQL settings the operators rely on (UTC clock for the timestamp texts,
+    AQE). The history sink sets dynamic partition overwrite on its own writes."""
     for k, v in SQL_DEFAULTS.items():
         spark.conf.set(k, v)
 
