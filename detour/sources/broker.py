@@ -14,16 +14,22 @@ from detour.functions.columns import json_payload
 
 
 def kafka_options(bootstrap: str, topic: str, sasl_jaas: str | None = None,
-                  starting_offsets: str = "latest") -> dict:
-    """Options of the original broker subscription (SASL_SSL / PLAIN, tolerate data loss)."""
+                  starting_offsets: str = "latest", for_sink: bool = False) -> dict:
+    """Options of the original broker subscription (SASL_SSL / PLAIN, tolerate data
+    loss, start at the latest offsets); ``for_sink=True`` gives the publishing side."""
     opts = {
         "kafka.bootstrap.servers": bootstrap,
-        "subscribe": topic,
-        "startingOffsets": starting_offsets,
-        "failOnDataLoss": "false",
         "kafka.request.timeout.ms": BROKER_REQUEST_TIMEOUT_MS,
-        "kafka.session.timeout.ms": BROKER_SESSION_TIMEOUT_MS,
     }
+    if for_sink:
+        opts["topic"] = topic
+    else:
+        opts.update({
+            "subscribe": topic,
+            "startingOffsets": starting_offsets,
+            "failOnDataLoss": "false",
+            "kafka.session.timeout.ms": BROKER_SESSION_TIMEOUT_MS,
+        })
     if sasl_jaas:
         opts.update({
             "kafka.security.protocol": "SASL_SSL",

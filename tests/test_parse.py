@@ -68,3 +68,12 @@ def test_rejected_checks_every_field(spark):
     parsed = P.parse_records(_records(spark, [txt, "{}"]))
     assert [r.line_id for r in parsed.filter(~P.rejected(parsed)).collect()] == ["central"]
     assert parsed.filter(P.rejected(parsed)).count() == 1
+
+
+def test_kafka_options_source_and_sink():
+    from detour.sources.broker import kafka_options
+    src = kafka_options("h:9093", "t", sasl_jaas="jaas")
+    assert src["subscribe"] == "t" and src["startingOffsets"] == "latest" and src["failOnDataLoss"] == "false"
+    assert src["kafka.security.protocol"] == "SASL_SSL" and src["kafka.sasl.mechanism"] == "PLAIN"
+    snk = kafka_options("h:9093", "t", for_sink=True)
+    assert snk["topic"] == "t" and "subscribe" not in snk and "startingOffsets" not in snk
