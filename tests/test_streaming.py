@@ -88,3 +88,18 @@ def test_write_errors_fail_the_stream(spark, tmp_path):
     q = start_alert_stream(J._disrupted_events_stream(spark, SF), w, fresh_path(spark, "test", "c"), J.AVAILABLE_NOW)
     with pytest.raises(StreamingQueryException):
         q.awaitTermination()
+
+
+def test_processing_time_trigger(spark):
+    """The query runs on a processing-time trigger until stopped."""
+    options = write_options_snapshot(C.options_for(spark, SF, C.ALERT_RADIUS), fresh_path(spark, "test", "o"))
+    history = fresh_path(spark, "test", "h")
+    w = AlertBatchWriter(options, history, "r", C.P, keep=["event_id"])
+    q = start_alert_stream(J._disrupted_events_stream(spark, SF), w, fresh_path(spark, "test", "c"),
+                           {"processingTime": "1 second"})
+    try:
+        q.processAllAvailable()
+        assert q.isActive
+    finally:
+        q.stop()
+    assert _sorted(C.alert_scalars(read_history(spark, history))) == _sorted(C.gridlock_alerts(spark, SF))
