@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from detour.operators.graph import Graph
+from detour.operators.sizing import MAX_BROADCAST_ROWS, row_count_at_most
 
 PATH_COLUMNS = ["station_name", "bus_stop_name", "bus_stop_id", "lat", "lon", "distance_metres", "route_name"]
 ID_COLUMNS = ["line_id", "station_id", "stop_id", "route_id"]
@@ -89,6 +90,10 @@ def nearest_paths(g: Graph, limit: int | None = 100) -> DataFrame:
     # first ``limit`` routes of a stop: cut each stop's routes the same way.
     ws = Window.partitionBy("stop_id").orderBy(F.col("route_id").asc_nulls_last())
     first_routes = routes.withColumn("_sr", F.row_number().over(ws)).filter(F.col("_sr") <= limit).drop("_sr")
+    # The surviving pairs are at most ``limit`` per line: with a bounded line count
+    # they are broadcast and the (large) stop-route table streams past them.
+    if row_count_at_most(g.lines, max(MAX_BROADCAST_ROWS // limit, 1)):
+        top_pairs = F.broadcast(top_pairs)
     rows = top_pairs.join(first_routes, "stop_id")
     w = Window.partitionBy("line_id").orderBy(*_row_order())
     return _finish(rows).withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= limit)
