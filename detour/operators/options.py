@@ -77,7 +77,7 @@ def is_gridlock(n_routes: Column, p: Params = DEFAULT) -> Column:
 
 
 def bounded_options(options: DataFrame, lines: DataFrame, p: Params = DEFAULT,
-                    max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+                    max_rows: int = MAX_BROADCAST_ROWS, known_small: bool = False) -> DataFrame:
     """Mark ``options`` for broadcast when the line table proves it small.
 
     ``options`` has exactly one row per line, and with a path cap every row is
@@ -85,7 +85,8 @@ def bounded_options(options: DataFrame, lines: DataFrame, p: Params = DEFAULT,
     so its size is at most the number of lines times a constant. The count runs on
     the ``lines`` dimension table, not on the options plan. Without a cap, or beyond
     ``max_rows`` lines, the planner decides (a measured broadcast or a shuffle join).
+    ``known_small=True`` reuses a count the caller already made with a smaller bound.
     """
-    if p.path_limit is None or not row_count_at_most(lines, max_rows):
+    if p.path_limit is None or not (known_small or row_count_at_most(lines, max_rows)):
         return options
     return F.broadcast(options)

@@ -64,7 +64,13 @@ def restrict_line(g: Graph, line_id) -> Graph:
                    serves=g.serves.filter(F.col("line_id") == F.lit(line_id)))
 
 
-def nearest_paths(g: Graph, limit: int | None = 100) -> DataFrame:
+def pairs_broadcastable(g: Graph, limit: int) -> bool:
+    """Whether the surviving pairs (at most ``limit`` per line) are small enough to
+    broadcast: one bounded count of the lines table."""
+    return row_count_at_most(g.lines, max(MAX_BROADCAST_ROWS // limit, 1))
+
+
+def nearest_paths(g: Graph, limit: int | None = 100, few_lines: bool | None = None) -> DataFrame:
     """T1 + T2: the ``limit`` nearest path rows per line with their rank ``rn``.
 
     Every path row belongs to one (station, stop) pair and all rows of a pair sort
@@ -75,7 +81,8 @@ def nearest_paths(g: Graph, limit: int | None = 100) -> DataFrame:
     task whole. The routes of each stop are cut to ``limit`` the same way, so a stop
     listing very many routes cannot inflate the expansion either: per line at most
     ``limit * limit`` rows reach the last cut. ``limit=None`` returns all path rows
-    without ``rn``.
+    without ``rn``. ``few_lines`` is the result of :func:`pairs_broadcastable` when the
+    caller already has it.
     """
     routes = _stop_routes(g)
     pairs = _station_stop_pairs(g)
@@ -92,7 +99,7 @@ def nearest_paths(g: Graph, limit: int | None = 100) -> DataFrame:
     first_routes = routes.withColumn("_sr", F.row_number().over(ws)).filter(F.col("_sr") <= limit).drop("_sr")
     # The surviving pairs are at most ``limit`` per line: with a bounded line count
     # they are broadcast and the (large) stop-route table streams past them.
-    if row_count_at_most(g.lines, max(MAX_BROADCAST_ROWS // limit, 1)):
+    if pairs_broadcastable(g, limit) if few_lines is None else few_lines:
         top_pairs = F.broadcast(top_pairs)
     rows = top_pairs.join(first_routes, "stop_id")
     w = Window.partitionBy("line_id").orderBy(*_row_order())

@@ -18,7 +18,9 @@ from detour.operators.alerts import build_alerts
 from detour.operators.geo_join import radius_join as _radius_join
 from detour.operators.options import bounded_options, line_options as _line_options
 from detour.operators.parse import disrupted, parse_records
-from detour.operators.paths import PATH_COLUMNS, nearest_paths as _nearest, path_rows, restrict_line
+from detour.operators.paths import (
+    PATH_COLUMNS, nearest_paths as _nearest, pairs_broadcastable, path_rows, restrict_line,
+)
 from detour.operators.reports import alert_summary as _summary, first_alerts as _first, latest_alerts as _latest
 from detour.operators.reports import payload_preview, unique_lines as _unique_lines
 from detour.operators.status import events_from_documents, events_from_worst, poll_counts, worst_status_rows
@@ -45,8 +47,9 @@ def _t(spark, base, name):
 def options_for(spark: SparkSession, base: str, radius: float, p: Params = P,
                 broadcastable: bool = False) -> DataFrame:
     g = proxy.graph(spark, base, radius)
-    o = _line_options(_nearest(g, p.path_limit), g.lines, p)
-    return bounded_options(o, g.lines, p) if broadcastable else o
+    few = pairs_broadcastable(g, p.path_limit) if p.path_limit else False
+    o = _line_options(_nearest(g, p.path_limit, few_lines=few), g.lines, p)
+    return bounded_options(o, g.lines, p, known_small=few) if broadcastable else o
 
 
 def alerts_for(spark: SparkSession, base: str, radius: float = ALERT_RADIUS, p: Params = P) -> DataFrame:
