@@ -67,15 +67,18 @@ def alert_scalars(alerts: DataFrame) -> DataFrame:
 
 
 def gridlock_alerts(spark, base):
+    """One alert per disrupted event (radius 1200)."""
     return alert_scalars(alerts_for(spark, base))
 
 
 def gridlock_label_q(spark, base):
+    """A4, F8: the display label of each alert."""
     a = alerts_for(spark, base)
     return a.select("event_id", "line_id", "gridlock_alert", gridlock_label(F.col("gridlock_alert")).alias("status_label"))
 
 
 def disrupted_events(spark, base):
+    """Disrupted status events (processing time dropped)."""
     ev = proxy.status_events(_t(spark, base, "events"), P)
     return disrupted(ev).drop("processed_at_utc", "ts")
 
@@ -98,14 +101,17 @@ def document_status_events(spark, base):
 
 
 def worst_status(spark, base):
+    """A12 (row form), D6, F1, F4, P10, P11: worst status per line and poll."""
     return _worst(spark, base)
 
 
 def status_counts(spark, base):
+    """Lines OK / disrupted per poll."""
     return poll_counts(_worst(spark, base))
 
 
 def parse_props(spark, base):
+    """Bytes -> text -> struct by schema, broker time kept."""
     ev = _t(spark, base, "events")
     rec = ev.select("event_id", F.col("props").cast("binary").alias("value"),
                     F.col("ts").cast("timestamp").alias("timestamp"))
@@ -127,10 +133,12 @@ def broker_events(events: DataFrame, p: Params = P) -> DataFrame:
 
 
 def event_payload(spark, base):
+    """K1 + P1-P3: events published as JSON bytes and parsed back."""
     return broker_events(_t(spark, base, "events")).drop("event_hub_timestamp")
 
 
 def iso_timestamp(spark, base):
+    """ISO-8601 UTC and Python-style timestamp texts."""
     ev = _t(spark, base, "events")
     return ev.select("event_id", iso_utc(F.col("ts")).alias("ingested_at_utc"),
                      py_timestamp_str(F.col("ts")).alias("processed_at_utc"),
@@ -140,24 +148,28 @@ def iso_timestamp(spark, base):
 # ---- graph ----------------------------------------------------------------------------
 
 def type_filter(spark, base):
+    """Stop-type filter and node renames."""
     part = _t(spark, base, "part")
     return G.select_type(part, "p_type", "ECONOMY").select(
         F.col("p_partkey").alias("stop_id"), F.col("p_name").alias("name"), F.col("p_type").alias("stop_type"))
 
 
 def line_names(spark, base):
+    """F3 (+ A11 count): line ids to display names."""
     o = _t(spark, base, "orders")
     return (o.groupBy(F.col("o_orderpriority").alias("line_id")).agg(F.count(F.lit(1)).alias("n_orders"))
              .select("line_id", title_from_id(F.col("line_id")).alias("line_name"), "n_orders"))
 
 
 def flatten_members(spark, base):
+    """a nested list per row flattened with positions and sizes."""
     part = _t(spark, base, "part")
     stops = part.select(F.col("p_partkey").alias("stop_id"), F.split("p_name", " ").alias("lines"))
     return G.flatten_list(stops, "stop_id", "lines", "route_name")
 
 
 def node_upsert(spark, base):
+    """Node upsert, latest write wins."""
     cust = _t(spark, base, "customer").select(F.col("c_custkey").alias("node_id"), F.col("c_acctbal").alias("value"))
     inc = (_t(spark, base, "orders").filter(F.col("o_orderpriority") == "1-URGENT")
            .select(F.col("o_custkey").alias("node_id"), F.col("o_totalprice").alias("value"),
@@ -166,6 +178,7 @@ def node_upsert(spark, base):
 
 
 def edge_upsert(spark, base):
+    """Edge upsert on the endpoint pair."""
     li = _t(spark, base, "lineitem")
     inc = li.select(F.col("l_suppkey").alias("station_id"), F.col("l_partkey").alias("stop_id"),
                     F.col("l_extendedprice").alias("distance_metres"),
@@ -175,6 +188,7 @@ def edge_upsert(spark, base):
 
 
 def guarded_edges(spark, base):
+    """Edges kept only when both endpoint nodes exist."""
     edges = proxy.nearby_edges(spark, base)
     st = _t(spark, base, "supplier").filter(F.col("s_acctbal") > 0)
     stops = _t(spark, base, "part").filter(F.col("p_size") <= 25)
@@ -182,6 +196,7 @@ def guarded_edges(spark, base):
 
 
 def line_vocabulary_q(spark, base):
+    """The fixed line-id list joined to its members."""
     members = _t(spark, base, "supplier").select(F.col("s_nationkey").alias("position"),
                                                  F.col("s_suppkey").alias("station_id"))
     vocab = line_vocabulary(spark)
@@ -191,6 +206,7 @@ def line_vocabulary_q(spark, base):
 
 
 def link_counts(spark, base):
+    """Linked and missing members per line."""
     members = _t(spark, base, "lineitem").select(F.col("l_suppkey").alias("line_id"),
                                                  F.col("l_partkey").alias("station_id")).distinct()
     nodes = _t(spark, base, "part").filter(F.col("p_size") <= 25)
@@ -198,10 +214,12 @@ def link_counts(spark, base):
 
 
 def key_violations(spark, base):
+    """Keys occurring more than once or null."""
     return G.key_violations(_t(spark, base, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
 def graph_summary(spark, base):
+    """Node counts per label, one row."""
     g = G.prune_unreferenced(G.guard_graph(proxy.graph(spark, base, ALERT_RADIUS)))
     return G.graph_summary(g)
 
@@ -209,25 +227,30 @@ def graph_summary(spark, base):
 # ---- paths ----------------------------------------------------------------------------
 
 def line_paths(spark, base):
+    """Every path row line -> station -> stop -> route."""
     return path_rows(proxy.graph(spark, base, ALERT_RADIUS))
 
 
 def line_lookup(spark, base):
+    """The parameterised lookup of one line's nearest path rows."""
     g = restrict_line(proxy.graph(spark, base, CAP_RADIUS), LOOKUP_LINE)
     return _nearest(g, P.path_limit)
 
 
 def nearest_paths_q(spark, base):
+    """The 100 nearest path rows per line."""
     return _nearest(proxy.graph(spark, base, CAP_RADIUS), P.path_limit)
 
 
 def nearby_stops_top20(spark, base):
+    """The nested 20 nearest rows per line, exploded."""
     o = options_for(spark, base, CAP_RADIUS)
     return o.select("line_id", F.posexplode("nearby_bus_stops").alias("pos", "s")).select(
         "line_id", "pos", *[F.col("s")[c].alias(c) for c in PATH_COLUMNS])
 
 
 def line_options_q(spark, base):
+    """Per-line distinct stations and routes, gridlock flag."""
     return _options_scalars(options_for(spark, base, CAP_RADIUS))
 
 
@@ -239,10 +262,12 @@ def _options_scalars(o: DataFrame) -> DataFrame:
 
 
 def nearest_paths_gaps(spark, base):
+    """Nearest rows when some distances are missing."""
     return _nearest(proxy.graph_with_gaps(spark, base, CAP_RADIUS), P.path_limit)
 
 
 def line_options_gaps(spark, base):
+    """Options when a route has no name."""
     g = proxy.graph_with_gaps(spark, base, CAP_RADIUS)
     return _options_scalars(_line_options(_nearest(g, P.path_limit), g.lines, P))
 
@@ -267,6 +292,7 @@ def document_graph_options(spark, base):
 
 
 def radius_join(spark, base):
+    """station/stop pairs within 300 m with their distance."""
     st = _t(spark, base, "supplier").select(F.col("s_suppkey").alias("station_id"),
                                             *proxy.lat_lon("s_suppkey", proxy.STATION_MULT))
     stops = _t(spark, base, "customer").select(F.col("c_custkey").alias("stop_id"),
@@ -291,11 +317,13 @@ def nearby_seed(spark, base):
 
 
 def stations_per_line(spark, base):
+    """Stations per line."""
     g = proxy.graph(spark, base)
     return g.serves.groupBy("line_id").agg(F.count(F.lit(1)).alias("n_stations"))
 
 
 def stops_per_station(spark, base):
+    """Nearby stops per station and the nearest distance."""
     g = proxy.graph(spark, base, ALERT_RADIUS)
     return g.has_nearby_stop.groupBy("station_id").agg(F.count(F.lit(1)).alias("n_stops"),
                                                       F.min("distance_metres").alias("nearest_metres"))
@@ -304,18 +332,22 @@ def stops_per_station(spark, base):
 # ---- history reports ------------------------------------------------------------------
 
 def alert_summary(spark, base):
+    """Alert count, distinct lines, processing-time range."""
     return _summary(alerts_for(spark, base))
 
 
 def alert_lines(spark, base):
+    """Distinct line names in the alert history."""
     return _unique_lines(alerts_for(spark, base))
 
 
 def latest_alerts(spark, base):
+    """The newest 10 alerts."""
     return _latest(alerts_for(spark, base), 10, tie_breakers=["event_id"])
 
 
 def first_alerts(spark, base):
+    """The first 20 alerts (ordered for repeatability)."""
     return _first(alerts_for(spark, base), 20, order=["processed_at_utc", "event_id"])
 
 
@@ -323,6 +355,7 @@ PREVIEW_FIELDS = ["line_id", "line_name", "severity", "gridlock_alert", "affecte
 
 
 def alert_preview(spark, base):
+    """the first 200 characters of each alert's JSON."""
     a = payload_preview(alerts_for(spark, base), PREVIEW_FIELDS, P.preview_chars)
     return a.select("event_id", "preview")
 
