@@ -82,7 +82,7 @@ class AlertBatchWriter:
             options = broadcast_if_bounded(options)
         alerts = build_alerts(batch, options, self.p, batch_id=int(batch_id), keep=self.keep)
         for _ in range(self.writes_per_batch):
-            write_batch(alerts, self.history_path, self.run_id, self.fmt)
+            write_batch(alerts, self.history_path, self.run_id, self.fmt, int(batch_id))
 
 
 def start_alert_stream(events: DataFrame, writer: AlertBatchWriter, checkpoint: str,
