@@ -35,7 +35,7 @@ POINTER = "_versions"
 
 def write_options_snapshot(options: DataFrame, path: str) -> str:
     """Materialise the per-line options (one row per line) that every batch joins."""
-    options.write.mode("overwrite").parquet(path)
+    options.hint("rebalance").write.mode("overwrite").parquet(path)
     return path
 
 

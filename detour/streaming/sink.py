@@ -23,7 +23,10 @@ def write_batch(alerts: DataFrame, path: str, run_id: str, fmt: str = "parquet",
     idempotent by the table's transaction ids (``txnAppId`` = run, ``txnVersion`` =
     batch): a replayed batch is skipped, and no per-batch folders accumulate.
     """
-    out = alerts.withColumn("run_id", F.lit(run_id))
+    # REBALANCE: AQE sizes the output into a few files of the advisory size instead
+    # of one file per task of the batch (thousands per trigger on a wide topic),
+    # while the work before the write keeps its parallelism.
+    out = alerts.withColumn("run_id", F.lit(run_id)).hint("rebalance")
     if fmt == "delta" and batch_id is not None:
         (out.write.format("delta").mode("append")
             .option("txnAppId", run_id).option("txnVersion", str(batch_id))
