@@ -49,13 +49,21 @@ def status_events(spark: SparkSession, docs_path: str, streaming: bool = False,
 
 def ingest(spark: SparkSession, docs_path: str, out: str, fmt: str = "parquet",
            kafka_options: dict | None = None) -> DataFrame:
-    """Batch ingest of one poll: publish the events (K1) and return the per-poll counts."""
-    events = status_events(spark, docs_path)
-    if fmt == "kafka":
-        to_broker_records(events, EVENT_FIELDS).write.format("kafka").options(**(kafka_options or {})).save()
-    else:
-        to_broker_records(events, EVENT_FIELDS).write.mode("append").format(fmt).save(out)
-    return poll_counts(events)
+    """Batch ingest of one poll: publish the events (K1) and return the per-poll counts.
+
+    The events feed two outputs, so they are computed once and kept (with the poll
+    time fixed) for the counts, which are materialised before the events are released.
+    """
+    events = status_events(spark, docs_path).persist()
+    try:
+        if fmt == "kafka":
+            to_broker_records(events, EVENT_FIELDS).write.format("kafka").options(**(kafka_options or {})).save()
+        else:
+            to_broker_records(events, EVENT_FIELDS).write.mode("append").format(fmt).save(out)
+        rows = poll_counts(events).collect()     # one row per poll: bounded
+    finally:
+        events.unpersist()
+    return spark.createDataFrame(rows, "ingested_at_utc string, n_lines long, n_ok long, n_disrupted long")
 
 
 # ---- E3 ---------------------------------------------------------------------------------
