@@ -16,9 +16,10 @@ def _lon(key: str, b: int) -> str:
 
 
 def _title(x: str) -> str:
-    """initcap(replace(x, '-', ' ')) in DuckDB terms."""
-    return (f"array_to_string(list_transform(string_split(replace({x}, '-', ' '), ' '), "
-            f"lambda w: upper(substr(w, 1, 1)) || lower(substr(w, 2))), ' ')")
+    """initcap(replace(x, '-', ' ')) in DuckDB terms, without lambda syntax."""
+    return (f"(SELECT string_agg(upper(substr(w, 1, 1)) || lower(substr(w, 2)), ' ' ORDER BY i) "
+            f"FROM (SELECT unnest(string_split(replace({x}, '-', ' '), ' ')) AS w, "
+            f"generate_subscripts(string_split(replace({x}, '-', ' '), ' '), 1) AS i))")
 
 
 def _iso(ts: str) -> str:
