@@ -33,6 +33,7 @@ def main(argv=None) -> None:
     r.add_argument("--available-now", action="store_true")
     p = sub.add_parser("report", help="summarise the alert history")
     p.add_argument("history")
+    p.add_argument("--run-id", default=None, help="report one run only (partition pruning)")
     args = ap.parse_args(argv)
 
     from detour import jobs
@@ -57,7 +58,7 @@ def main(argv=None) -> None:
                              args.quarantine):
             q.awaitTermination()
     elif args.cmd == "report":
-        for name, df in jobs.report(spark, args.history).items():
+        for name, df in jobs.report(spark, args.history, args.run_id).items():
             print(name)
             df.show(truncate=False)
 

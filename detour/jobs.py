@@ -138,8 +138,12 @@ def stream(records: DataFrame, options_path: str, history_path: str, checkpoint:
 
 # ---- E4 ---------------------------------------------------------------------------------
 
-def report(spark: SparkSession, history_path: str) -> dict[str, DataFrame]:
+def report(spark: SparkSession, history_path: str, run_id: str | None = None) -> dict[str, DataFrame]:
+    """Summary, newest 10 and first 20 alerts; ``run_id`` restricts to one run, which
+    prunes the history to that run's partition folders."""
     h = read_history(spark, history_path)
+    if run_id is not None:
+        h = h.filter(F.col("run_id") == F.lit(run_id))
     return {"summary": alert_summary(h),
             "latest": latest_alerts(h, 10, tie_breakers=["line_id", "batch_id"]),
             "first": first_alerts(h, 20, order=["run_id", "batch_id", "line_id"])}

@@ -103,3 +103,15 @@ def test_processing_time_trigger(spark):
     finally:
         q.stop()
     assert _sorted(C.alert_scalars(read_history(spark, history))) == _sorted(C.gridlock_alerts(spark, SF))
+
+
+def test_report_for_one_run_prunes_partitions(spark):
+    from detour import jobs
+    history = fresh_path(spark, "test", "hist_runs")
+    options = J._snapshot(spark, SF)
+    J._run_alerts(spark, SF, history, options, "run-a")
+    J._run_alerts(spark, SF, history, options, "run-b")
+    rep = jobs.report(spark, history, run_id="run-a")
+    plan = rep["summary"]._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(run_id" in plan and "run-a" in plan
+    assert rep["summary"].first().total_alerts == read_history(spark, history).filter("run_id = 'run-a'").count()
