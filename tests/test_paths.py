@@ -143,3 +143,24 @@ def test_report_columns_and_order(spark):
     s = alert_summary(h).first()
     assert (s.total_alerts, s.unique_lines, s.first_processed_at, s.last_processed_at) == \
         (15, 3, "2024-01-01 00:00:00", "2024-01-01 00:00:14")
+
+
+def test_hot_line_and_hot_stop_stay_exact(spark):
+    """One line owns almost all pairs and one stop lists more routes than the cap:
+    the pair and per-stop route cuts still give the exact top rows."""
+    near = [("S0", f"B{i:03d}", float(i % 7)) for i in range(300)] + [("S9", "B999", 1.0)]
+    routes = [("B000", f"r{j:03d}", f"{j}") for j in range(150)]
+    routes += [(f"B{i:03d}", f"q{i % 5}", f"q{i % 5}") for i in range(1, 300)] + [("B999", "z", "z")]
+    g = make_graph(spark, near, routes, lines=("HOT",), stations=["S0", "S9"])
+    g = g.__class__(**{**g.tables(), "lines": spark.createDataFrame(
+        [("HOT", "Hot"), ("COLD", "Cold")], "line_id string, name string"),
+        "serves": spark.createDataFrame([("HOT", "S0"), ("COLD", "S9")], "line_id string, station_id string")})
+    for k in (5, 100):
+        fast = nearest_paths(g, k).select("line_id", "station_id", "stop_id", "route_id", "rn")
+        w = Window.partitionBy("line_id").orderBy(
+            F.col("distance_metres").asc_nulls_last(), "station_id", "stop_id", "route_id")
+        slow = path_rows(g).withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= k) \
+            .select("line_id", "station_id", "stop_id", "route_id", "rn")
+        got = sorted(fast.collect())
+        assert got == sorted(slow.collect())
+        assert sum(1 for r in got if r.line_id == "HOT") == k
