@@ -115,3 +115,20 @@ def test_report_for_one_run_prunes_partitions(spark):
     plan = rep["summary"]._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(run_id" in plan and "run-a" in plan
     assert rep["summary"].first().total_alerts == read_history(spark, history).filter("run_id = 'run-a'").count()
+
+
+def test_history_carries_the_alert_contract(spark):
+    """Every field of the alert schema, with its type (nested path rows included)."""
+    from detour.schemas import ALERT
+    history = fresh_path(spark, "test", "contract")
+    J._run_alerts(spark, SF, history, J._snapshot(spark, SF), "r")
+    got = read_history(spark, history).schema
+
+    def norm(t: str) -> str:           # the proxy's line and stop ids are numbers
+        return t.replace("bus_stop_id:bigint", "bus_stop_id:string")
+
+    for f in ALERT.fields:
+        assert f.name in got.fieldNames(), f.name
+        if f.name == "line_id":
+            continue
+        assert norm(got[f.name].dataType.simpleString()) == f.dataType.simpleString(), f.name
