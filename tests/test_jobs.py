@@ -147,3 +147,25 @@ def test_stream_picks_up_a_new_seed(spark, tmp_path, docs):  # noqa: F811
     run()
     got = {r.batch_id: r.available_routes for r in spark.read.parquet(history).collect()}
     assert got == {0: [None, "390", "73"], 1: [None]}
+
+
+def test_seeded_tables_have_the_graph_contract(spark, tmp_path, docs):  # noqa: F811
+    """FIXTURES A7/A8: node and edge tables with exactly these columns and types."""
+    stations, nearby, members = docs
+    paths = []
+    for name, df in (("st", stations), ("nb", nearby), ("mb", members)):
+        df.write.json(str(tmp_path / name))
+        paths.append(str(tmp_path / name))
+    out = fresh_path(spark, "e2e", "contract")
+    jobs.seed(spark, *paths, out)
+    want = {
+        "lines": "struct<line_id:string,name:string>",
+        "stations": "struct<station_id:string,name:string,lat:double,lon:double>",
+        "bus_stops": "struct<stop_id:string,name:string,lat:double,lon:double>",
+        "bus_routes": "struct<route_id:string,name:string>",
+        "serves": "struct<line_id:string,station_id:string>",
+        "has_nearby_stop": "struct<station_id:string,stop_id:string,distance_metres:double>",
+        "served_by": "struct<stop_id:string,route_id:string>",
+    }
+    g = jobs.read_graph(spark, out)
+    assert {t: getattr(g, t).schema.simpleString() for t in jobs.GRAPH_TABLES} == want
