@@ -79,3 +79,9 @@ def test_split_and_poll_counts(spark):
     assert (ok.count(), bad.count()) == (1, 2)
     r = st.poll_counts(ev).first()
     assert (r.n_lines, r.n_ok, r.n_disrupted) == (3, 1, 2)
+
+
+def test_events_have_the_event_contract(spark):
+    """FIXTURES A2: the event columns and types of the broker contract."""
+    ev = _events(spark, [("central", "Central", [_status(6, "Severe", "x")])])
+    assert ev.schema.simpleString() == S.STATUS_EVENT.simpleString()
