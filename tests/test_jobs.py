@@ -169,3 +169,21 @@ def test_seeded_tables_have_the_graph_contract(spark, tmp_path, docs):  # noqa:
     }
     g = jobs.read_graph(spark, out)
     assert {t: getattr(g, t).schema.simpleString() for t in jobs.GRAPH_TABLES} == want
+
+
+def test_seed_upserts_onto_a_written_graph(spark, tmp_path, docs):  # noqa: F811
+    """D11 through the job: a second seed onto the first keeps what it no longer lists."""
+    stations, nearby, members = docs
+    for name, df in (("st", stations), ("nb", nearby), ("mb", members)):
+        df.write.json(str(tmp_path / name))
+    nearby.filter(F.col("station_id") == "S1").write.json(str(tmp_path / "nb_s1"))
+    v1, v2, v3 = (fresh_path(spark, "e2e", v) for v in ("v1", "v2", "v3"))
+    jobs.seed(spark, str(tmp_path / "st"), str(tmp_path / "nb"), str(tmp_path / "mb"), v1)
+    jobs.seed(spark, str(tmp_path / "st"), str(tmp_path / "nb_s1"), str(tmp_path / "mb"), v2, current_dir=v1)
+    jobs.seed(spark, str(tmp_path / "st"), str(tmp_path / "nb_s1"), str(tmp_path / "mb"), v3, current_dir=v1,
+              mode="replace")
+    stops = lambda v: sorted(r.stop_id for r in jobs.read_graph(spark, v).bus_stops.collect())
+    assert stops(v1) == ["B1", "B2", "B3"]
+    assert stops(v2) == ["B1", "B2", "B3"]          # upsert keeps B3 (only listed near S2 before)
+    assert stops(v3) == ["B1", "B2"]                # replace keeps only what this seed lists
+    assert spark.read.parquet(f"{v2}/options").count() == 2
