@@ -17,7 +17,7 @@ from detour.operators import graph as G
 from detour.operators.alerts import build_alerts
 from detour.operators.geo_join import radius_join as _radius_join
 from detour.operators.options import bounded_options, line_options as _line_options
-from detour.operators.parse import disrupted, parse_records
+from detour.operators.parse import disrupted, parse_records, rejected
 from detour.operators.paths import (
     PATH_COLUMNS, nearest_paths as _nearest, pairs_broadcastable, path_rows, restrict_line,
 )
@@ -119,6 +119,17 @@ def parse_props(spark, base):
     return parsed.select("event_id", "k", py_timestamp_str(F.col("event_hub_timestamp")).alias("event_hub_time"))
 
 
+def quarantine_counts(spark, base):
+    """Broker records of the props JSON, and how many parse to nothing."""
+    from pyspark.sql.types import IntegerType, StructField, StructType
+    schema = StructType([StructField("k", IntegerType())])
+    rec = _t(spark, base, "events").select(F.col("props").cast("binary").alias("value"),
+                                           F.col("ts").cast("timestamp").alias("timestamp"))
+    parsed = parse_records(rec, schema)
+    return parsed.agg(F.count(F.lit(1)).alias("n_records"),
+                      F.count_if(rejected(parsed, schema)).alias("n_rejected"))
+
+
 PAYLOAD_FIELDS = ["event_id", "event_type", "line_id", "line_name", "severity_code", "severity_desc",
                   "is_disrupted", "disruption_detail", "ingested_at_utc"]
 PAYLOAD_SCHEMA = ("event_id long, event_type string, line_id long, line_name string, severity_code int, "
@@ -368,6 +379,7 @@ def batch_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "document_status_events": document_status_events,
         "status_counts": status_counts,
         "parse_props": parse_props,
+        "quarantine_counts": quarantine_counts,
         "event_payload": event_payload,
         "iso_timestamp": iso_timestamp,
         "type_filter": type_filter,

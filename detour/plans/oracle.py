@@ -164,6 +164,9 @@ FROM w""",
 FROM w GROUP BY ingested_at_utc""",
         "parse_props": f"""SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
        {_pystr('ts')} AS event_hub_time FROM events""",
+        "quarantine_counts": """SELECT count(*) AS n_records,
+       count(*) FILTER (WHERE TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) IS NULL) AS n_rejected
+FROM events""",
         "event_payload": "WITH " + _EV.strip() + f"""
 SELECT {_EVENT_COLS} FROM ev""",
         "iso_timestamp": f"""SELECT event_id, {_iso('ts')} AS ingested_at_utc, {_pystr('ts')} AS processed_at_utc,
