@@ -37,6 +37,7 @@ def build_session(master: str | None = None, app: str = "detour",
         b = b.master(master)
     conf = dict(SQL_DEFAULTS)
     conf["spark.ui.enabled"] = "false"
+    conf["spark.ui.showConsoleProgress"] = "false"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
