@@ -30,7 +30,8 @@ def main(argv=None) -> None:
     r.add_argument("--kafka-options", default=None, help="JSON object of Kafka source options")
     r.add_argument("--run-id", default=None)
     r.add_argument("--quarantine", default=None)
-    r.add_argument("--available-now", action="store_true")
+    r.add_argument("--available-now", action="store_true", help="process what is there, then stop")
+    r.add_argument("--trigger", default=None, help="processing-time interval, default 30 seconds")
     p = sub.add_parser("report", help="summarise the alert history")
     p.add_argument("history")
     p.add_argument("--run-id", default=None, help="report one run only (partition pruning)")
@@ -53,7 +54,8 @@ def main(argv=None) -> None:
             records = read_broker(spark, json.loads(args.kafka_options))
         else:
             records = spark.readStream.schema(BROKER_RECORD).parquet(args.source)
-        trigger = {"availableNow": True} if args.available_now else None
+        trigger = ({"availableNow": True} if args.available_now
+                   else {"processingTime": args.trigger} if args.trigger else None)
         for q in jobs.stream(records, args.options, args.history, args.checkpoint, args.run_id, trigger,
                              args.quarantine):
             q.awaitTermination()
