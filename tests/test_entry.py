@@ -36,3 +36,14 @@ def test_query_matches_oracle(spark, duck, name):
     got = digest(E.queries()[name](spark, SF).toPandas())
     want = digest(duck.execute(E.oracle_sql()[name]).df())
     assert got == want
+
+
+def test_queries_do_not_depend_on_the_callers_time_zone(spark, duck):
+    """The caller's session may use any zone; the registered queries fix UTC themselves."""
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        for name in ("iso_timestamp", "worst_status", "parse_props"):
+            got = digest(E.queries()[name](spark, SF).toPandas())
+            assert got == digest(duck.execute(E.oracle_sql()[name]).df()), name
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
