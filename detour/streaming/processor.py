@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from detour.operators.alerts import build_alerts
 from detour.operators.parse import disrupted, parse_records
-from detour.operators.sizing import broadcast_if_bounded
+from detour.operators.sizing import MAX_BROADCAST_ROWS, row_count_at_most
 from detour.fixed import TRIGGER_INTERVAL
 from detour.params import DEFAULT, Params
 from detour.schemas import STATUS_EVENT
@@ -74,12 +74,17 @@ class AlertBatchWriter:
         self.keep = keep or []
         self.writes_per_batch = writes_per_batch   # > 1 only to exercise replays in tests
         self.fmt = fmt                             # "delta" where its jar is on the classpath
+        self._small: dict[str, bool] = {}          # snapshot path -> proven small (snapshots never change)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        options = spark.read.parquet(current_snapshot(spark, self.options_path))
+        path = current_snapshot(spark, self.options_path)
+        options = spark.read.parquet(path)
         if self.p.path_limit is not None:   # rows are bounded only under a path cap
-            options = broadcast_if_bounded(options)
+            if path not in self._small:      # count once per snapshot, not once per batch
+                self._small[path] = row_count_at_most(options, MAX_BROADCAST_ROWS)
+            if self._small[path]:
+                options = F.broadcast(options)
         alerts = build_alerts(batch, options, self.p, batch_id=int(batch_id), keep=self.keep)
         for _ in range(self.writes_per_batch):
             write_batch(alerts, self.history_path, self.run_id, self.fmt, int(batch_id))
