@@ -164,3 +164,30 @@ def test_hot_line_and_hot_stop_stay_exact(spark):
         got = sorted(fast.collect())
         assert got == sorted(slow.collect())
         assert sum(1 for r in got if r.line_id == "HOT") == k
+
+
+def test_alerts_same_with_and_without_broadcast(spark):
+    """bounded_options: beyond the bound the join is left to the planner (shuffle);
+    the alerts are the same either way."""
+    import re
+    from detour.operators.options import bounded_options
+    g = make_graph(spark, [("S", "B1", 1.0), ("S", "B2", 2.0)], [("B1", "r1", "1"), ("B2", "r2", "2")],
+                   lines=("L", "M"))
+    opts = line_options(nearest_paths(g, 100), g.lines)
+    ev = _events(spark, ["L", "M", "X"])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        small = build_alerts(ev, bounded_options(opts, g.lines), Params())
+        large = build_alerts(ev, bounded_options(opts, g.lines, max_rows=1), Params())
+        def plan(d):
+            d.write.format("noop").mode("overwrite").save()
+            return d._jdf.queryExecution().executedPlan().toString()
+        join = r"{} \[line_id#\d+\], \[line_id#\d+\], LeftOuter"
+        assert re.search(join.format("BroadcastHashJoin"), plan(small))
+        assert re.search(join.format("SortMergeJoin"), plan(large))
+        key = lambda d: sorted((r.line_id, r.gridlock_alert, tuple(r.available_routes)) for r in d.collect())
+        assert key(small) == key(large)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
