@@ -114,6 +114,8 @@ def test_prelimit_equals_full_ranking(spark):
         slow = path_rows(g).withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= k) \
             .select("line_id", "station_id", "stop_id", "route_id", "rn")
         assert sorted(fast.collect()) == sorted(slow.collect())
+        shuffled = nearest_paths(g, k, few_lines=False).select("line_id", "station_id", "stop_id", "route_id", "rn")
+        assert sorted(shuffled.collect()) == sorted(slow.collect())
 
 
 def test_point_lookup_by_line(spark):
