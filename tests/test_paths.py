@@ -102,7 +102,7 @@ def test_prelimit_equals_full_ranking(spark):
     near, routes = [], []
     for s in range(6):
         for b in rnd.sample(range(40), 15):
-            near.append((f"S{s}", f"B{b:02d}", float(rnd.choice([None, *range(20)])) if rnd.random() > .1 else None))
+            near.append((f"S{s}", f"B{b:02d}", float(rnd.choice(range(20))) if rnd.random() > .1 else None))
     for b in range(40):
         for r in rnd.sample(range(8), rnd.choice([0, 1, 2, 3])):
             routes.append((f"B{b:02d}", f"r{r}", f"{r}"))
