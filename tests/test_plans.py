@@ -57,3 +57,19 @@ def test_scans_read_only_needed_columns(spark):
     p = plan(C.gridlock_alerts(spark, SF).select("event_id", F.col("gridlock_alert")))
     events_scan = [x for x in p.split("\n") if "events.parquet" in x][0]
     assert "ts:" not in events_scan and "props" not in events_scan
+
+
+def test_stream_batch_shuffles_only_for_the_output_files(spark):
+    """Per micro-batch: parse, filter, broadcast join to the snapshot; the one exchange is
+    the REBALANCE before the write."""
+    from detour.operators.alerts import build_alerts
+    from detour.operators.parse import disrupted
+    from detour.operators.sizing import broadcast_if_bounded
+    from detour.streaming import jobs as J
+    opts = broadcast_if_bounded(spark.read.parquet(J._snapshot(spark, SF)))
+    batch = disrupted(C.broker_events(spark.read.parquet(f"{SF}/events.parquet")),
+                      processed_at=F.col("event_hub_timestamp"))
+    out = build_alerts(batch, opts, C.P, batch_id=0).hint("rebalance")
+    p = plan(out)
+    assert p.count("Exchange RoundRobinPartitioning") == 1 and "Exchange hashpartitioning" not in p
+    assert "BroadcastHashJoin" in p
