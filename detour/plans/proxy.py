@@ -7,7 +7,10 @@ status      <- events: line = user_id % 30, severity = floor(value)
 poll        <- (line, hour of ts); list order = event_id
 
 Coordinates are synthesised from the key so the radius join has points to work on.
-Every function returns a lazy DataFrame over the parquet scans; nothing is collected.
+``documents`` and ``status_documents`` rebuild the feed's JSON shapes row by row (one
+document per row, no grouping); ``graph_with_gaps`` blanks some distances and one
+route name so null handling meets real data. Every function returns a lazy DataFrame
+over the parquet scans; nothing is collected.
 """
 
 from __future__ import annotations
