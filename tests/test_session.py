@@ -16,3 +16,25 @@ def test_row_count_bound(spark):
     assert row_count_at_most(df, 10) and not row_count_at_most(df, 9)
     small = broadcast_if_bounded(df, 10).join(spark.range(100), "id")
     assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
+
+
+def test_no_local_scratch_folder_on_a_cluster():
+    """An unset spark.checkpoint.dir on a non-local master is an error, never a local temp dir."""
+    import pytest
+
+    class Conf:
+        def get(self, key, default=None):
+            return {"spark.master": "yarn"}.get(key, default)
+
+    class Ctx:
+        master = "yarn"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf = Conf()
+        sparkContext = Ctx()
+
+    with pytest.raises(ValueError):
+        shared_dir(Session())
