@@ -38,3 +38,14 @@ def test_no_local_scratch_folder_on_a_cluster():
 
     with pytest.raises(ValueError):
         shared_dir(Session())
+
+
+def test_configured_checkpoint_dir_is_used():
+    class Conf:
+        def get(self, key, default=None):
+            return {"spark.checkpoint.dir": "hdfs://nn/shared/ckpt/", "spark.master": "yarn"}.get(key, default)
+
+    class Session:
+        conf = Conf()
+
+    assert shared_dir(Session()) == "hdfs://nn/shared/ckpt"
