@@ -46,14 +46,21 @@ def build_session(master: str | None = None, app: str = "detour",
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     apply_sql_defaults(spark)
-    if not spark.sparkContext.master.startswith("local"):
-        explicit = spark.sparkContext.getConf()
-        for k, v in SCALE_DEFAULTS.items():
-            if not explicit.contains(k) and k not in conf:
-                spark.conf.set(k, v)
+    explicit = spark.sparkContext.getConf()
+    set_keys = {k for k in SCALE_DEFAULTS if explicit.contains(k)} | set(conf)
+    for k, v in scale_settings(spark.sparkContext.master, set_keys).items():
+        spark.conf.set(k, v)
     return spark
 
 
+def scale_settings(master: str, already_set: set[str]) -> dict[str, str]:
+    """The ``SCALE_DEFAULTS`` to apply: none on a ``local[...]`` master, and never a key
+    the deployment (or the caller) already set."""
+    if master.startswith("local"):
+        return {}
+    return {k: v for k, v in SCALE_DEFAULTS.items() if k not in already_set}
+
+
 def apply_sql_defaults(spark: SparkSession) -> None:
     """Runtime SQL settings the operators rely on (UTC clock for the timestamp texts,
     AQE). The history sink sets dynamic partition overwrite on its own writes."""

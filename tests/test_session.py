@@ -49,3 +49,11 @@ def test_configured_checkpoint_dir_is_used():
         conf = Conf()
 
     assert shared_dir(Session()) == "hdfs://nn/shared/ckpt"
+
+
+def test_scale_settings_fill_only_unset_keys_on_a_cluster():
+    from detour.session import SCALE_DEFAULTS, scale_settings
+    assert scale_settings("local[8]", set()) == {}
+    got = scale_settings("yarn", {"spark.sql.shuffle.partitions"})
+    assert "spark.sql.shuffle.partitions" not in got
+    assert got == {k: v for k, v in SCALE_DEFAULTS.items() if k != "spark.sql.shuffle.partitions"}
