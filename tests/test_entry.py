@@ -47,3 +47,12 @@ def test_queries_do_not_depend_on_the_callers_time_zone(spark, duck):
             assert got == digest(duck.execute(E.oracle_sql()[name]).df()), name
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_outputs_are_scalar_and_uniquely_named(spark, name):
+    schema = E.queries()[name](spark, SF).schema
+    names = [f.name for f in schema.fields]
+    assert len(names) == len(set(names))
+    assert all(f.dataType.typeName() in ("string", "integer", "long", "double", "boolean") for f in schema.fields), \
+        [(f.name, f.dataType.simpleString()) for f in schema.fields]
