@@ -5,19 +5,44 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from detour.llm import common, huffman, packing
+from detour.llm import common, dedup, huffman, packing, perspectives, sharding, urlmodel, winnowing
+from detour.llm.oracle import ORACLE_SQL
+
+URL_RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"),
+             ("block", "net/es/"), ("block", "net/fr/"))
 
 
 def op1_bm25_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(common.load(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op3_jump_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_rows(common.load(spark, sf_dir, "documents"), 8)
+
+
+def op4_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnowing.contamination(common.load(spark, sf_dir, "documents"), common.load(spark, sf_dir, "benchmark"))
+
+
+def op5_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup.dedup(common.load(spark, sf_dir, "documents")).drop("file", "row")
+
+
+def op6_perspective_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return perspectives.rotate(common.load(spark, sf_dir, "conversations"))
+
+
 def op7_huffman_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = huffman.write_tokens(common.load(spark, sf_dir, "documents"), common.scratch(spark, "tokens"),
                                 public_tokenizers.path("word_bpe_49k.json"), drop_space=True)
     return huffman.read_tokens(spark, path, digests=True)
 
 
-QUERIES = {f.__name__: f for f in (op1_bm25_packing, op7_huffman_tokens)}
+def op8_url_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlmodel.judge(common.load(spark, sf_dir, "pages"), URL_RULES)
+
 
-ORACLE_SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (
+    op1_bm25_packing, op3_jump_sharding, op4_winnowing, op5_stream_dedup, op6_perspective_rotation,
+    op7_huffman_tokens, op8_url_markov)}
+__all__ = ["ORACLE_SQL", "QUERIES"]
