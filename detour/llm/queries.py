@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from detour.llm import common, dedup, huffman, packing, perspectives, sharding, urlmodel, winnowing
+from detour.llm import common, dedup, huffman, packing, perspectives, probminhash, sharding, urlmodel, winnowing
 from detour.llm.oracle import ORACLE_SQL
 
 URL_RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"),
@@ -42,7 +42,11 @@ def op8_url_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlmodel.judge(common.load(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op10_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return probminhash.classes(common.load(spark, sf_dir, "documents")).select("doc_id", "class_id", "representative", "class_size", "kept")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_bm25_packing, op3_jump_sharding, op4_winnowing, op5_stream_dedup, op6_perspective_rotation,
-    op7_huffman_tokens, op8_url_markov)}
+    op7_huffman_tokens, op8_url_markov, op10_probminhash)}
 __all__ = ["ORACLE_SQL", "QUERIES"]
