@@ -90,3 +90,14 @@ def prefix_sums(df: DataFrame, order: Sequence, sums: dict[str, Column], group:
     out = out.join(offsets, on, "left").withColumns({n: F.col(f"{n}_i") + F.col(f"{n}_b") for n in sums})
     drop = [f"{n}{s}" for n in sums for s in ("_i", "_b")] + [f"{c}_o" for c in [*group, pid]]
     return out.drop(*drop)
+
+
+def neutral(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with columns called c0_, c1_, ... and {new name: old name}: nothing that an operator adds can
+    clash with what the columns are called."""
+    names = {f"c{i}_": c for i, c in enumerate(df.columns)}
+    return df.toDF(*names), names
+
+
+def restored(df: DataFrame, names: dict[str, str]) -> DataFrame:
+    return df.select(*[F.col(n).alias(c) for n, c in names.items()])

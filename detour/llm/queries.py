@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from detour.llm import common, dedup, huffman, packing, perspectives, probminhash, sharding, urlmodel, winnowing
+from detour.llm import common, dedup, huffman, labelled, packing, perspectives, probminhash, quality, sharding, toxicity, urlmodel, winnowing
 from detour.llm.oracle import ORACLE_SQL
 
 URL_RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"),
@@ -16,6 +17,12 @@ def op1_bm25_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(common.load(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op2_factorisation_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held = common.load(spark, sf_dir, "documents"), labelled.remainder(F.col("doc_id"), 5) == 0
+    scores = quality.fit(docs, common.load(spark, sf_dir, "labels"), ~held)(docs)
+    return scores.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op3_jump_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_rows(common.load(spark, sf_dir, "documents"), 8)
 
@@ -42,11 +49,18 @@ def op8_url_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlmodel.judge(common.load(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op9_boosted_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held = common.load(spark, sf_dir, "documents").select("doc_id", "text"), labelled.remainder(F.col("doc_id"), 4) == 2
+    scores = toxicity.fit(docs, common.load(spark, sf_dir, "labels"), ~held)(docs)
+    return scores.select("doc_id", held.alias("held_out"), F.col("score_").alias("score"),
+                         (F.col("score_") >= 0.3).cast("int").alias("predicted"))
+
+
 def op10_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return probminhash.classes(common.load(spark, sf_dir, "documents")).select("doc_id", "class_id", "representative", "class_size", "kept")
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_bm25_packing, op3_jump_sharding, op4_winnowing, op5_stream_dedup, op6_perspective_rotation,
-    op7_huffman_tokens, op8_url_markov, op10_probminhash)}
+    op1_bm25_packing, op2_factorisation_machine, op3_jump_sharding, op4_winnowing, op5_stream_dedup, op6_perspective_rotation,
+    op7_huffman_tokens, op8_url_markov, op9_boosted_toxicity, op10_probminhash)}
 __all__ = ["ORACLE_SQL", "QUERIES"]

@@ -71,19 +71,25 @@ def chunks(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]
         lo = hi
 
 
+class Spans:
+    """64-bit hashes of byte spans [start, end), all from one prefix sum over the bytes."""
+
+    def __init__(self, codes: np.ndarray):
+        up, self.down = _powers(len(codes) + 1)
+        self.total = np.zeros(len(codes) + 1, np.uint64)
+        np.cumsum((codes.astype(np.uint64) + np.uint64(1)) * up[:len(codes)], out=self.total[1:])
+
+    def hash(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        h = (self.total[ends] - self.total[starts]) * self.down[starts]
+        return mix(h + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+
+
 def span_hashes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of the byte spans [start, end), from one prefix sum over all bytes."""
-    if not len(starts):
-        return np.zeros(0, np.uint64)
-    up, down = _powers(len(codes) + 1)
-    total = np.zeros(len(codes) + 1, np.uint64)
-    np.cumsum((codes.astype(np.uint64) + np.uint64(1)) * up[:len(codes)], out=total[1:])
-    h = (total[ends] - total[starts]) * down[starts]
-    return mix(h + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    return Spans(codes).hash(starts, ends) if len(starts) else np.zeros(0, np.uint64)
 
 
-def words(raw: np.ndarray, at: np.ndarray, fold: np.ndarray = FOLD) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, start, end, count by document) of the words, in the order of the text."""
+def word_spans(raw: np.ndarray, at: np.ndarray, fold: np.ndarray = FOLD) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(folded bytes, start, end, count by document) of the words, in the order of the text."""
     codes = fold[raw]
     inside = codes != 0
     first = inside.copy()
@@ -94,10 +100,21 @@ def words(raw: np.ndarray, at: np.ndarray, fold: np.ndarray = FOLD) -> tuple[np.
     first[cut] = inside[cut]
     last[cut - 1] = inside[cut - 1]
     starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
-    counts = np.diff(np.searchsorted(starts, at))
+    return codes, starts, ends, np.diff(np.searchsorted(starts, at))
+
+
+def words(raw: np.ndarray, at: np.ndarray, fold: np.ndarray = FOLD) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, start, end, count by document) of the words, in the order of the text."""
+    codes, starts, ends, counts = word_spans(raw, at, fold)
     return span_hashes(codes, starts, ends), starts, ends, counts
 
 
+def by_document(values: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The sums of ``values`` between consecutive offsets (0 where nothing is between)."""
+    total = np.concatenate([np.zeros(1, np.float64), np.cumsum(values, dtype=np.float64)])
+    return total[at[1:]] - total[at[:-1]]
+
+
 def run_hashes(h: np.ndarray, counts: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """(hash, count by document) of the runs of ``k`` consecutive words inside a document;
     a document of fewer words, but not none, has one run of all its words."""

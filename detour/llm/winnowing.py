@@ -156,11 +156,11 @@ def contamination(docs: DataFrame, items: DataFrame, key: str = "doc_id", text:
 
 def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text") -> DataFrame:
     """The rows of ``docs`` (all their columns) that contain no window of an item."""
-    names = {c: f"c{i}_" for i, c in enumerate(docs.columns)}  # whatever the columns are called
-    rows = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()])
+    rows, names = common.neutral(docs)
+    text_ = next(n for n, c in names.items() if c == text)
     # The verdict depends on the text alone, so it is found by the text's digest.
-    digest = F.sha2(common.text_or_empty(names[text]).cast("binary"), 256)
-    slim, hits, _ = matched(rows.select(digest.alias("digest_"), names[text]), items, names[text])
+    digest = F.sha2(common.text_or_empty(text_).cast("binary"), 256)
+    slim, hits, _ = matched(rows.select(digest.alias("digest_"), text_), items, text_)
     bad = slim.join(hits.select("row_").distinct(), "row_", "left_semi").select("digest_").distinct()
     clean = rows.withColumn("digest_", digest).join(common.broadcast_if_small(bad, 100), "digest_", "left_anti")
-    return clean.select(*[F.col(n).alias(c) for c, n in names.items()])
+    return common.restored(clean, names)
