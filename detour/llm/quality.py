@@ -5,8 +5,9 @@ length; its structure statistics (shares of capitals, marks, digits, distinct wo
 so on) and metadata (the given number of characters against the real one), each as one of BINS steps. The
 machine scores it as w0 + <w, x> + sum of pairwise interactions <v_i, v_j> x_i x_j,
 which the identity 1/2 sum_f ((sum_i v_if x_i)^2 - sum_i v_if^2 x_i^2) gives in time linear in
-the document's words. It is fitted by MLlib on a sample of labelled rows bounded by
-``TRAIN_ROWS``; all texts are scored whole.
+the document's words. It is fitted by MLlib on one part of a sample of labelled rows bounded by
+``TRAIN_ROWS``; a logistic curve fitted on the other part turns its output into a chance. All
+texts are scored whole.
 
 Null counts as empty; an empty text is scored from its statistics alone; a null n_chars has a step of its own;
 rows that share a doc_id are scored each; an empty table gives no rows; other columns aren't
@@ -19,7 +20,8 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.classification import FMClassifier
+from pyspark.ml.classification import FMClassifier, LogisticRegression
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import SparseVector, VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,6 +33,7 @@ from detour.llm import textbytes as tb
 TRAIN_ROWS = 12_000
 WORD_BUCKETS = 1 << 12
 BINS = 12
+FIT_PART = 75  # of 100; the rest is for calibration
 FACTORS = 8
 
 # Each statistic and what its first and last steps stand for (on a square-root scale).
@@ -139,25 +142,26 @@ def _numbers(column: pa.Array) -> np.ndarray:
 
 
 def _sparse(sample: DataFrame) -> DataFrame:
-    """(label, features) of a bounded sample, for MLlib."""
+    """(part_, label, features) of a bounded sample, for MLlib."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            chars, labels = _numbers(b.column("n_chars")), b.column("label_").to_pylist()
+            chars = _numbers(b.column("n_chars"))
             index, value = [], []
             for lo, hi, raw, at in tb.chunks(b.column("text")):
                 doc, i, x = vectors(raw, at, chars[lo:hi])
                 edge = np.searchsorted(doc, np.arange(hi - lo + 1))
                 index += [i[s:e].astype(np.int32) for s, e in zip(edge[:-1], edge[1:], strict=True)]
                 value += [x[s:e] for s, e in zip(edge[:-1], edge[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(labels, pa.float64()), pa.array(index, pa.list_(pa.int32())),
-                                              pa.array(value, pa.list_(pa.float64()))], names=["label", "index", "value"])
+            yield pa.RecordBatch.from_arrays([b.column("part_"), b.column("label_").cast(pa.float64()), pa.array(index, pa.list_(pa.int32())),
+                                              pa.array(value, pa.list_(pa.float64()))], names=["part_", "label", "index", "value"])
 
     @F.udf(VectorUDT())
     def vector(index, value):
         return SparseVector(WIDTH, index, value)
 
-    found = sample.select("label_", "text", "n_chars").mapInArrow(run, "label double, index array<int>, value array<double>")
-    return found.select("label", vector("index", "value").alias("features"))
+    found = (sample.select("part_", "label_", "text", "n_chars")
+             .mapInArrow(run, "part_ int, label double, index array<int>, value array<double>"))
+    return found.select("part_", "label", vector("index", "value").alias("features"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, learn: Column, rows: int = TRAIN_ROWS) -> Callable[[DataFrame], DataFrame]:
@@ -167,12 +171,15 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, rows: int = TRAIN_ROW
     common.python_tasks(spark)
     chosen = labelled.sample(docs.select("doc_id", "text", "n_chars"), labels, "quality", learn, rows)
     sample = common.written(_sparse(chosen), f"{path}/sample")
-    share = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if len(share) < 2:
-        only = float(next(iter(share), 0.5))
-        return lambda df: df.select("doc_id", F.lit(only).alias("score"))
-    model = FMClassifier(factorSize=FACTORS, maxIter=80, stepSize=0.05, regParam=1e-4, initStd=0.05, seed=7).fit(sample)
+    learned, rest = sample.where(F.col("part_") < FIT_PART), sample.where(F.col("part_") >= FIT_PART)
+    if min(f.select("label").distinct().count() for f in (learned, rest)) < 2:
+        share = sample.agg(F.coalesce(F.avg("label"), F.lit(0.5))).first()[0]
+        return lambda df: df.select("doc_id", F.lit(float(share)).alias("score"))
+    model = FMClassifier(factorSize=FACTORS, maxIter=60, stepSize=0.05, regParam=1e-3, initStd=0.05, seed=7).fit(learned)
     bias, linear, factors = float(model.intercept), model.linear.toArray(), model.factors.toArray()
+    output = array_to_vector(F.array(vector_to_array("rawPrediction")[1])).alias("features")
+    curve = LogisticRegression(regParam=1e-3).fit(model.transform(rest).select("label", output))
+    slope, shift = max(float(curve.coefficients[0]), 0.0), float(curve.intercept)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -180,7 +187,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, rows: int = TRAIN_ROW
             for lo, hi, raw, at in tb.chunks(b.column("text")):
                 doc, index, value = vectors(raw, at, chars[lo:hi])
                 got.append(machine(doc, index, value, hi - lo, bias, linear, factors))
-            raw_score = np.clip(np.concatenate(got) if got else np.zeros(0), -700, 700)
+            raw_score = np.clip(slope * (np.concatenate(got) if got else np.zeros(0)) + shift, -700, 700)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(1 / (1 + np.exp(-raw_score)))], names=["doc_id", "score"])
 
     schema = T.StructType([docs.schema["doc_id"], T.StructField("score", T.DoubleType())])

@@ -4,8 +4,8 @@ Features of a whole text: densities of a seed lexicon and of a learned one, how
 words stand to lexicon words, capitals, punctuation and obfuscation (digits and symbols inside words, drawn-out
 letters, lexicon words that appear only once look-alike digits and symbols are read as letters). The learned
 lexicon holds words and word beginnings (inflected forms share them) that the toxic documents of
-one part of the labelled sample use more than the clean ones, by the z-score of their
-log-odds; trees are fitted on a second part, the isotonic calibration on a third.
+one part of the labelled sample use more than the clean ones, by the lower confidence bound of
+their log-odds; trees are fitted on a second part, the isotonic calibration on a third.
 
 Only the labelled sample is bounded (``TRAIN_ROWS``); all texts are scored whole. Null counts as empty; an empty text
 is scored like others, from features that are all zero; rows that share a doc_id are
@@ -33,8 +33,9 @@ from detour.llm import textbytes as tb
 TRAIN_ROWS = 12_000
 LEXICON_PART, TREE_PART = 45, 75  # of 100: up to the first the lexicon, up to the second the trees, the rest calibration
 MIN_DOCS = 4
-MIN_Z = 2.5
-STRONG_Z = 4.0
+CONFIDENCE = 1.64  # standard errors taken off the log-odds
+MIN_ODDS = 1.0
+STRONG_ODDS = 3.0
 LEXICON_SIZE = 20_000
 NEAR = 3
 STEMS = (3, 4, 5, 6, 7, 8)  # bytes of a word's beginning
@@ -45,7 +46,7 @@ SEED = ("abschaum asshole bastard bitch clown crap cretin crétin damn degenerat
         "scum shit shut stupid stupide stupido trash ugly vermin worthless").split()
 SECOND = ("deine dich dir du euch eure ihr su te ti toi tu tus tú u ur usted ustedes vos votre vous you your yours yourself").split()
 
-FEATURES = ("seed", "learned", "strong", "strong_any", "top_z", "mean_z", "near_you", "you", "disguised", "capitals", "shouted",
+FEATURES = ("seed", "learned", "strong", "strong_any", "top", "mean", "near_you", "you", "disguised", "capitals", "shouted",
             "exclaimed", "asked", "marks", "inner_digits", "inner_symbols", "drawn_out", "length")
 
 _LEET = tb.FOLD.copy()
@@ -65,26 +66,26 @@ _MARK[:33] = False
 @dataclass
 class Lexicon:
     keys: np.ndarray  # sorted hashes
-    z: np.ndarray
+    odds: np.ndarray
 
     def __post_init__(self) -> None:
         self.maybe = np.zeros(1 << 16, bool)
         self.maybe[(self.keys & np.uint64(0xFFFF)).astype(np.int64)] = True
 
     def score(self, h: np.ndarray) -> np.ndarray:
-        """z of each hash, 0 for those that aren't in the lexicon."""
+        """The weight of each hash, 0 for those that aren't in the lexicon."""
         out = np.zeros(len(h))
         may = np.flatnonzero(self.maybe[(h & np.uint64(0xFFFF)).astype(np.int64)])
         if len(may):
             where = np.minimum(np.searchsorted(self.keys, h[may]), len(self.keys) - 1)
             hit = self.keys[where] == h[may]
-            out[may[hit]] = self.z[where[hit]]
+            out[may[hit]] = self.odds[where[hit]]
         return out
 
 
-def lexicon(keys: np.ndarray, z: np.ndarray) -> Lexicon:
+def lexicon(keys: np.ndarray, odds: np.ndarray) -> Lexicon:
     order = np.argsort(keys)
-    return Lexicon(keys[order], z[order])
+    return Lexicon(keys[order], odds[order])
 
 
 def _of_words(listed: list[str]) -> Lexicon:
@@ -111,19 +112,19 @@ def features(raw: np.ndarray, at: np.ndarray, seed: Lexicon, second: Lexicon, le
     edge = np.concatenate([[0], np.cumsum(counts)])
     sums = lambda x: tb.by_document(x, edge)
     per = np.maximum(counts, 1)
-    z = np.zeros(len(starts))
+    odds = np.zeros(len(starts))  # of a word: the most of its own and its stems'
     for of, h in found:
-        np.maximum(z, _spread(of, learned.score(h), len(z)), out=z)
+        np.maximum(odds, _spread(of, learned.score(h), len(odds)), out=odds)
     is_seed = seed.score(found[0][1]) > 0
     you = second.score(found[0][1]) > 0
-    strong = (z >= STRONG_Z) | is_seed
+    strong = (odds >= STRONG_ODDS) | is_seed
     doc = np.repeat(np.arange(n), counts)
     total = np.concatenate([[0], np.cumsum(you)])
     place = np.arange(len(starts))
     near = total[np.minimum(place + NEAR + 1, edge[doc + 1])] > total[np.maximum(place - NEAR, edge[doc])]
     top, some = np.zeros(n), counts > 0
     if some.any():
-        top[some] = np.maximum.reduceat(z, edge[:-1][some])
+        top[some] = np.maximum.reduceat(odds, edge[:-1][some])
 
     # Look-alikes read as letters, at words that change by it.
     leet_codes, s2, e2, c2 = tb.word_spans(raw, at, _LEET)
@@ -131,7 +132,7 @@ def features(raw: np.ndarray, at: np.ndarray, seed: Lexicon, second: Lexicon, le
     odd = np.flatnonzero(changed[e2] > changed[s2])
     odd_hash = tb.Spans(leet_codes).hash(s2[odd], e2[odd]) if len(odd) else np.zeros(0, np.uint64)
     hidden = np.zeros(len(s2))
-    hidden[odd] = (seed.score(odd_hash) > 0) | (learned.score(odd_hash) >= STRONG_Z)
+    hidden[odd] = (seed.score(odd_hash) > 0) | (learned.score(odd_hash) >= STRONG_ODDS)
 
     byte = lambda mask: tb.by_document(mask, at)
     letter, upper = _LETTER[raw], _UPPER[raw]
@@ -143,7 +144,7 @@ def features(raw: np.ndarray, at: np.ndarray, seed: Lexicon, second: Lexicon, le
     drawn = np.zeros(len(raw), bool)
     drawn[2:] = (raw[2:] == raw[1:-1]) & (raw[1:-1] == raw[:-2]) & letter[2:]
     hit = sums(strong)
-    cols = [sums(is_seed) / per, sums(z >= MIN_Z) / per, hit / per, np.minimum(hit, 3), top, sums(z) / per, sums(strong & near) / per,
+    cols = [sums(is_seed) / per, sums(odds >= MIN_ODDS) / per, hit / per, np.minimum(hit, 3), top, sums(odds) / per, sums(strong & near) / per,
             sums(you) / per, tb.by_document(hidden, np.concatenate([[0], np.cumsum(c2)])) / per, byte(upper) / letters, sums(shouted) / per,
             byte(raw == 33) / size, byte(raw == 63) / size, byte(_MARK[raw]) / size, byte(inner & _DIGIT[raw]) / letters,
             byte(inner & _MARK[raw]) / letters, byte(drawn) / letters, np.log1p(counts)]
@@ -179,7 +180,7 @@ def _unit_counts(texts: DataFrame, among: np.ndarray | None) -> DataFrame:
 
 
 def learn_lexicon(sample: DataFrame) -> Lexicon:
-    """The words and stems of the toxic texts of a (bounded) sample by the z-score of their log-odds."""
+    """The words and stems of the toxic texts of a (bounded) sample by the least likely log-odds."""
     n = {r["label_"]: r["n"] for r in sample.groupBy("label_").agg(F.count(F.lit(1)).alias("n")).collect()}
     empty = lexicon(np.zeros(1, np.uint64), np.zeros(1))
     if not n.get(1) or not n.get(0):
@@ -193,10 +194,10 @@ def learn_lexicon(sample: DataFrame) -> Lexicon:
     clean = _unit_counts(sample.where("label_ = 0"), keys).toPandas()
     good[np.searchsorted(keys, clean["unit"].to_numpy(np.int64).view(np.uint64))] = clean["n"]
     odds = np.log((bad + 0.5) / (n[1] - bad + 0.5)) - np.log((good + 0.5) / (n[0] - good + 0.5))
-    z = odds / np.sqrt(1 / (bad + 0.5) + 1 / (good + 0.5))
-    best = np.argsort(-z, kind="stable")[:LEXICON_SIZE]
-    best = best[z[best] >= MIN_Z]
-    return lexicon(keys[best], z[best]) if len(best) else empty
+    least = odds - CONFIDENCE * np.sqrt(1 / (bad + 0.5) + 1 / (good + 0.5))
+    best = np.argsort(-least, kind="stable")[:LEXICON_SIZE]
+    best = best[least[best] >= MIN_ODDS]
+    return lexicon(keys[best], least[best]) if len(best) else empty
 
 
 def featured(docs: DataFrame, learned: Lexicon, text: str = "text", carry_text: bool = False) -> DataFrame:
