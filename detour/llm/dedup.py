@@ -30,7 +30,9 @@ SALT_ROWS = 1000    # rows of a group that are compared with one copy of its kep
 
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-BOUNDED = "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage"
+STORE = {PROVIDER: ROCKSDB, "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+         # no preallocated log files: a store for each partition would hold megabytes of them
+         "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false"}
 
 
 def sha256(text: Column) -> Column:
@@ -47,9 +49,9 @@ def fold(spark: SparkSession, arrivals: str, checkpoint: str, batch_bytes: int =
     """Stream the rows (digest, id_, at_) below ``arrivals`` that ``checkpoint`` has not
     seen into its state; return the state: (digest, group_size, kept: id_ and at_)."""
     schema = spark.read.parquet(arrivals).schema
-    before = {k: spark.conf.get(k, None) for k in (PROVIDER, BOUNDED)}
-    spark.conf.set(PROVIDER, ROCKSDB)
-    spark.conf.set(BOUNDED, "true")
+    before = {k: spark.conf.get(k, None) for k in STORE}
+    for k, v in STORE.items():
+        spark.conf.set(k, v)
     try:
         (spark.readStream.schema(schema).option("maxBytesPerTrigger", str(batch_bytes)).parquet(arrivals)
          .groupBy("digest").agg(F.count(F.lit(1)).alias("group_size"), F.max(F.struct("id_", "at_")).alias("kept"))
