@@ -101,3 +101,19 @@ def neutral(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
 
 def restored(df: DataFrame, names: dict[str, str]) -> DataFrame:
     return df.select(*[F.col(n).alias(c) for n, c in names.items()])
+
+
+def located(docs: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """The columns of ``docs``, read straight from files, and ``at_``: each row's file and row number there."""
+    meta = docs.metadataColumn("_metadata")
+    return docs.select(*(docs.columns if columns is None else columns),
+                       F.struct(meta["file_path"].alias("file"), meta["row_index"].alias("row")).alias("at_"))
+
+
+def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
+    """``docs`` (all columns) but the rows whose ``at_`` is in ``dropped``."""
+    meta = docs.metadataColumn("_metadata")
+    names = {f"c{i}_": c for i, c in enumerate(docs.columns)}
+    rows = docs.select(*[F.col(f"`{c}`").alias(n) for n, c in names.items()], meta["file_path"].alias("file_"), meta["row_index"].alias("row_"))
+    gone = dropped.select(F.col("at_.file").alias("file_"), F.col("at_.row").alias("row_"))
+    return restored(rows.join(broadcast_if_small(gone, 150), ["file_", "row_"], "left_anti"), names)

@@ -39,12 +39,6 @@ def sha256(text: Column) -> Column:
     return F.sha2(text.cast("binary"), 256)
 
 
-def located(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(id_, text_, at_) of documents read from files: ``at_`` is the content locator."""
-    return docs.select(F.col(key).alias("id_"), common.text_or_empty(text).alias("text_"),
-                       F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")).alias("at_"))
-
-
 def fold(spark: SparkSession, arrivals: str, checkpoint: str, batch_bytes: int = BATCH_BYTES) -> DataFrame:
     """Stream the rows (digest, id_, at_) below ``arrivals`` that ``checkpoint`` has not
     seen into its state; return the state: (digest, group_size, kept: id_ and at_)."""
@@ -78,10 +72,10 @@ def differing(texts: DataFrame, groups: DataFrame) -> DataFrame:
 
 def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", digest: Callable[[Column], Column] = sha256,
           batch_bytes: int = BATCH_BYTES) -> DataFrame:
-    """(key, keep_id, group_size, kept, text_sha256, file, row) of every row of ``docs``, which
-    must come straight from files (so that ``_metadata`` locates a row)."""
+    """(key, keep_id, group_size, kept, text_sha256, at_) of every row of ``docs``, which must
+    come straight from files; ``at_`` is the row's locator."""
     spark, path = docs.sparkSession, common.scratch(docs.sparkSession, "dedup")
-    found = located(docs, key, text)
+    found = common.located(docs, [key, text]).select(F.col(key).alias("id_"), common.text_or_empty(text).alias("text_"), "at_")
     keyed = found.withColumn("digest", digest(F.col("text_")))
     arrived = common.written(keyed.select("id_", "at_", "digest", sha256(F.col("text_")).alias("sha")), f"{path}/arrivals")
     groups = common.written(fold(spark, f"{path}/arrivals", f"{path}/state", batch_bytes), f"{path}/groups")
@@ -99,5 +93,9 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", digest: Call
             apart.join(exact, ["digest", "text_"])
             .select("digest", "id_", "at_", sha256(F.col("text_")).alias("sha"), "group_size", "kept").withColumn("whole", F.lit(False)))
     return joined.select(F.col("id_").alias(key), F.col("kept.id_").alias("keep_id"), "group_size",
-                         (F.col("at_") == F.col("kept.at_")).alias("kept"), F.col("sha").alias("text_sha256"),
-                         F.col("at_.file").alias("file"), F.col("at_.row").alias("row"))
+                         (F.col("at_") == F.col("kept.at_")).alias("kept"), F.col("sha").alias("text_sha256"), "at_")
+
+
+def deduplicated(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` (all their columns) that stay."""
+    return common.without(docs, dedup(docs).where(~F.col("kept")))

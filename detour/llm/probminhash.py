@@ -30,6 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from detour.llm import common, components
 from detour.llm import textbytes as tb
@@ -100,7 +101,9 @@ def bands(registers: np.ndarray) -> np.ndarray:
 
 
 def sketched(docs: DataFrame) -> DataFrame:
-    """(row, doc_id, text_key, content, keys): ``content`` is one for copies, ``keys`` the bucket keys (null: no words)."""
+    """``docs`` with, in place of the text, ``content`` (one for copies) and ``keys`` (of the buckets; null: no words)."""
+    rest = [f for f in docs.schema.fields if f.name != "text"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             content, keys = [], []
@@ -112,10 +115,12 @@ def sketched(docs: DataFrame) -> DataFrame:
                     data = h[e - n:e].tobytes() if n else b"\0" + raw[at[i]:at[i + 1]].tobytes()
                     content.append(hashlib.md5(data).digest())
                     keys.append(key[i] if n else None)
-            yield pa.RecordBatch.from_arrays([b.column("row"), b.column("doc_id"), b.column("text_key"), pa.array(content, pa.binary()),
-                                              pa.array(keys, pa.list_(pa.int64()))], names=["row", "doc_id", "text_key", "content", "keys"])
+            yield pa.RecordBatch.from_arrays(
+                [*[b.column(f.name) for f in rest], pa.array(content, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
+                names=[*[f.name for f in rest], "content", "keys"])
 
-    return docs.mapInArrow(run, "row long, doc_id long, text_key string, content binary, keys array<bigint>")
+    added = [T.StructField("content", T.BinaryType()), T.StructField("keys", T.ArrayType(T.LongType()))]
+    return docs.mapInArrow(run, T.StructType([*rest, *added]))
 
 
 def probability_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
@@ -164,14 +169,15 @@ def _between(members: DataFrame) -> int:
 
 
 def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """(row, doc_id, class_id, representative, class_size, kept, class_row) of every row of ``docs`` (doc_id, text).
+    """(doc_id, class_id, representative, class_size, kept, class_row, row, at_) of every row of ``docs``, which must
+    come straight from files; ``at_`` is the row's locator.
 
     ``class_id`` is the least doc_id of the class (null only if all are), ``representative`` the least
     among the row's own copies, ``kept`` marks one row of each class, whose number is ``class_row``."""
     spark, path = docs.sparkSession, common.scratch(docs.sparkSession, "probminhash")
     common.python_tasks(spark)
     text = common.text_or_empty()
-    keyed = docs.select("doc_id", text.alias("text"), F.md5(text.cast("binary")).alias("text_key"))
+    keyed = common.located(docs, ["doc_id", "text"]).withColumns({"text": text, "text_key": F.md5(text.cast("binary"))})
     rows = common.written(sketched(keyed.withColumn("row", F.monotonically_increasing_id())), f"{path}/rows")
     least = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row", "text_key")).alias("first")
     nodes = common.written(rows.groupBy("content").agg(least, F.first("keys").alias("keys"))
@@ -218,5 +224,10 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     table = named.join(whole, "component").select(
         "content", F.col("head.doc_id").alias("class_id"), F.col("head.row").alias("class_row"),
         F.col("first.doc_id").alias("representative"), "class_size")
-    return rows.select("row", "doc_id", "content").join(table, "content").select(
-        "row", "doc_id", "class_id", "representative", "class_size", (F.col("row") == F.col("class_row")).alias("kept"), "class_row")
+    return rows.select("row", "doc_id", "content", "at_").join(table, "content").select(
+        "doc_id", "class_id", "representative", "class_size", (F.col("row") == F.col("class_row")).alias("kept"), "class_row", "row", "at_")
+
+
+def one_of_each(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """The rows of ``docs`` (all their columns) but one of each class only."""
+    return common.without(docs, classes(docs, similarity).where(~F.col("kept")))

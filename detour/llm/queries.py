@@ -32,7 +32,7 @@ def op4_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup.dedup(common.load(spark, sf_dir, "documents")).drop("file", "row")
+    return dedup.dedup(common.load(spark, sf_dir, "documents")).drop("at_")
 
 
 def op6_perspective_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,7 +60,12 @@ def op10_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return probminhash.classes(common.load(spark, sf_dir, "documents")).select("doc_id", "class_id", "representative", "class_size", "kept")
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline  # it stands at the repository's top and imports this subpackage
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_bm25_packing, op2_factorisation_machine, op3_jump_sharding, op4_winnowing, op5_stream_dedup, op6_perspective_rotation,
-    op7_huffman_tokens, op8_url_markov, op9_boosted_toxicity, op10_probminhash)}
+    op7_huffman_tokens, op8_url_markov, op9_boosted_toxicity, op10_probminhash, pipeline)}
 __all__ = ["ORACLE_SQL", "QUERIES"]
