@@ -8,20 +8,22 @@ from pyspark.sql import functions as F
 from detour.llm import common
 
 
-def _with_least(edges: DataFrame) -> DataFrame:
-    """(u, v, m): every directed edge with the least of u and its neighbours."""
+def _with_least(edges: DataFrame, nodes: int) -> DataFrame:
+    """(u, v, m): every directed edge with the least of u and its neighbours; ``nodes`` bounds the nodes."""
     least = edges.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("n"), F.least("u", "m").alias("m"))
+    if nodes * 32 <= common.MAX_BROADCAST_BYTES:
+        least = F.broadcast(least)
     return edges.join(least, F.col("u") == F.col("n")).select("u", "v", "m")
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, nodes: int) -> DataFrame:
     both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    return _with_least(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+    return _with_least(both, nodes).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, nodes: int) -> DataFrame:
     """Edges point from the larger to the smaller end (u > v)."""
-    down = _with_least(edges)
+    down = _with_least(edges, nodes)
     moved = down.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(down.select("u", F.col("m").alias("v")))
     return moved.where("u <> v").distinct()
 
@@ -29,9 +31,9 @@ def _small_star(edges: DataFrame) -> DataFrame:
 def components(edges: DataFrame, path: str) -> DataFrame:
     """(node, component): the least node of its component, for every node of an edge (u, v).
 
-    The minima are map-side sums, the joins are split by AQE where a node has many
-    edges; each round is written below ``path``, and rounds follow the logarithm of
-    a component's size. The end is seen by count and checksum of the edges.
+    The minima are map-side sums and are broadcast while their counted bound allows; else the joins
+    are split by AQE where a node has many edges. Each round is written below ``path``, and
+    rounds follow the logarithm of a component's size. The end is seen by count and checksum of the edges.
     """
     now = common.written(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), f"{path}/0")
     seen, step = None, 0
@@ -41,5 +43,4 @@ def components(edges: DataFrame, path: str) -> DataFrame:
             return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
                 now.select(F.col("v").alias("node"), F.col("v").alias("component"))).distinct()
         seen, step = mark, step + 1
-        large = common.written(_large_star(now), f"{path}/{step}-large")
-        now = common.written(_small_star(large), f"{path}/{step}")
+        now = common.written(_small_star(_large_star(now, 2 * mark[0]), 2 * mark[0]), f"{path}/{step}")

@@ -9,10 +9,13 @@ Jaccard similarity J_P (the Jaccard similarity, if all counts are one).
 
 BANDS bands of ROWS registers make the buckets: at J_P = 0.8 a pair meets in one with probability
 1 - (1 - 0.8^4)^24 > 0.999996. J_P of candidates is then computed from the whole texts.
-A bucket never emits all its pairs: its members are compared with one pivot of the
-bucket, linked ones are merged into components, and again with other pivots, until the pairs that are left
-between different components of a bucket are few; these are all compared. Within a component
-no comparison is needed any more, so no class that all pairs would give is lost.
+A bucket never emits all its pairs. Shingles that no other document in the buckets has bound J_P from
+above: a document with too many of them can't reach the similarity with any other, and of
+the rest many pairs can't. Members are compared with one pivot of the bucket, the one with the
+least share of such shingles; linked ones are merged into components, and again with other
+pivots, until the pairs left between different components are bounded by a multiple of the
+members; of these all that the bound allows are compared. Within a component no comparison is
+needed any more, so no class that all pairs would give is lost.
 
 Texts with the same words in the same order are copies and are represented by one of them; a class
 is a connected component of links. Null counts as empty; texts without words are copies
@@ -28,7 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,7 +43,7 @@ SIMILARITY = 0.8
 BANDS, ROWS = 24, 4
 M = BANDS * ROWS
 PIVOT_ROUNDS = 6
-PAIRS_PER_MEMBER = 4  # pairs between components that may be left to compare, for each member of a bucket
+PAIRS_PER_MEMBER = 100  # pairs between components that may be left to look at, for each member of a bucket
 
 _GOLD = 0x9E3779B97F4A7C15
 
@@ -161,6 +164,37 @@ def similar(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     return pairs.join(a, "u").join(b, "v").select("u", "v", "a", "b").mapInArrow(check, "u long, v long, linked boolean")
 
 
+def rare(texts: DataFrame) -> DataFrame:
+    """(node, n, own, weight, own_weight): the number and weight of a text's shingles and of those that
+    no other text of the table has."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            node = b.column("node").to_numpy()
+            for lo, hi, raw, at in tb.chunks(b.column("text")):
+                _, _, doc, shingle, weight = weighted(raw, at)
+                yield pa.RecordBatch.from_arrays([pa.array(node[lo:hi][doc]), pa.array(shingle.view(np.int64)), pa.array(weight)],
+                                                 names=["node", "shingle", "weight"])
+
+    every = texts.select("node", "text").mapInArrow(run, "node long, shingle long, weight long")
+    by = every.groupBy("shingle").agg(F.count(F.lit(1)).alias("texts"), F.min("node").alias("node"), F.min("weight").alias("weight"))
+    own = by.where("texts = 1").groupBy("node").agg(F.count(F.lit(1)).alias("own"), F.sum("weight").alias("own_weight"))
+    whole = every.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.sum("weight").alias("weight"))
+    return whole.join(own, "node", "left").select("node", "n", "weight", F.coalesce("own", F.lit(0)).cast("long").alias("own"),
+                                                  F.coalesce("own_weight", F.lit(0)).cast("long").alias("own_weight"))
+
+
+def _possible(a: str, b: str, similarity: float) -> Column:
+    """Whether J_P of two texts, given their columns of :func:`rare` with suffixes, may reach ``similarity``.
+
+    J_P is at most 1 less the weight share of either's own shingles. If all counts are one it is the Jaccard
+    similarity, and the texts share at most the shingles that aren't one's own."""
+    c = lambda name, side: F.col(f"{name}{side}")
+    shares = [c("own_weight", x) <= (1 - similarity + 1e-9) * c("weight", x) for x in (a, b)]
+    both = F.least(c("n", a) - c("own", a), c("n", b) - c("own", b))
+    sets = (c("n", a) == c("weight", a)) & (c("n", b) == c("weight", b))
+    return shares[0] & shares[1] & (~sets | (both * (1 + similarity) >= similarity * (c("n", a) + c("n", b)) - 1e-6))
+
+
 def _between(members: DataFrame) -> int:
     """Pairs of members of one bucket in different components, counted without making them."""
     part = members.groupBy("band", "key", "component").agg(F.count(F.lit(1)).alias("n"))
@@ -190,27 +224,35 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     texts = common.written(keyed.select("text_key", "text").join(common.broadcast_if_small(wanted, 100), "text_key")
                            .groupBy("node").agg(F.first("text").alias("text")), f"{path}/texts")
 
+    stats = ["n", "own", "weight", "own_weight"]
+    able = common.written(rare(texts), f"{path}/rare").where(F.col("own_weight") <= (1 - similarity + 1e-9) * F.col("weight"))
+    members = common.written(members.join(able, "node"), f"{path}/able")
+    looked_at = PAIRS_PER_MEMBER * members.count()
+
+    def sides(df: DataFrame, suffix: str, *more: str) -> DataFrame:
+        return df.select("band", "key", *[F.col(c).alias(c + suffix) for c in ("node", "component", *stats, *more)])
+
     checked = common.written(spark.createDataFrame([], "u long, v long, linked boolean"), f"{path}/checked0")
     of = members.select("node").distinct().withColumn("component", F.col("node"))
     for step in range(1, PIVOT_ROUNDS + 2):
-        placed = common.written(members.join(of, "node").select("node", "band", "key", "component"), f"{path}/placed{step}")
-        left, last = _between(placed), False
+        placed = common.written(members.join(of, "node"), f"{path}/placed{step}")
+        left = _between(placed)
         if not left:
             break
-        if step > PIVOT_ROUNDS or left <= PAIRS_PER_MEMBER * members.count() and step > 1:
-            last = True  # few are left: all of them
-            other = placed.select("band", "key", F.col("node").alias("node2"), F.col("component").alias("component2"))
-            pairs = placed.join(other, ["band", "key"]).where("component < component2").select(
-                F.greatest("node", "node2").alias("u"), F.least("node", "node2").alias("v"))
+        last = step > PIVOT_ROUNDS or step > 1 and left <= looked_at  # few are left: all of them
+        if last:
+            others = sides(placed, "_b")
         else:
-            by = F.struct("node", "component") if step == 1 else F.struct(F.xxhash64(F.lit(step), "node"), "node", "component")
-            pivot = placed.groupBy("band", "key").agg(F.min(by).alias("p")).select(
-                "band", "key", F.col("p.node").alias("pivot"), F.col("p.component").alias("pivot_component"))
-            pairs = placed.join(pivot, ["band", "key"]).where("component <> pivot_component").select(
-                F.greatest("node", "pivot").alias("u"), F.least("node", "pivot").alias("v"))
-        new = pairs.distinct().join(checked.select("u", "v"), ["u", "v"], "left_anti")
+            first = F.col("own_weight") / F.col("weight") if step == 1 else F.xxhash64(F.lit(step), "node")
+            best = placed.groupBy("band", "key").agg(F.min(F.struct(first, "node", "component", *stats)).alias("p")).select("band", "key", "p.*")
+            others = sides(best, "_b")
+        apart = F.col("component_a") < F.col("component_b") if last else F.col("component_a") != F.col("component_b")
+        met = sides(placed, "_a").withColumnsRenamed({"band": "band_a", "key": "key_a"})
+        pairs = met.join(others, (F.col("band_a") == F.col("band")) & (F.col("key_a") == F.col("key")) & apart & _possible("_a", "_b", similarity))
+        pairs = pairs.select(F.greatest("node_a", "node_b").alias("u"), F.least("node_a", "node_b").alias("v")).distinct()
+        new = pairs if step == 1 else pairs.join(checked.select("u", "v"), ["u", "v"], "left_anti")
         found = common.written(similar(new, texts, similarity), f"{path}/found{step}")
-        checked = common.written(checked.unionByName(found), f"{path}/checked{step}")
+        checked = checked.unionByName(found)
         of = components.components(checked.where("linked").select("u", "v"), f"{path}/components{step}")
         of = common.written(members.select("node").distinct().join(of, "node", "left")
                             .select("node", F.coalesce("component", "node").alias("component")), f"{path}/of{step}")
