@@ -1,0 +1,50 @@
+from detour.llm import perspectives
+
+from .helpers import table
+
+TURNS = "conv_id long, turn long, role string, text string, extra string"
+
+
+def brute(rows):
+    out, convs = [], {}
+    for r in rows:
+        convs.setdefault(r[0], []).append((r[1], r[2] if r[2] is not None else "unknown", r[3] or ""))
+    for conv, turns in convs.items():
+        turns.sort(key=lambda t: (t[0] is not None, t[0] or 0, t[1], t[2]))
+        for who in {t[1] for t in turns} - {"system"}:
+            at = 0
+            for i, (turn, role, text) in enumerate(turns):
+                kind = "system" if role == "system" else "assistant" if role == who else "user"
+                header = f"<|im_start|>{kind}" + (f" name={role}" if kind == "user" else "") + "\n"
+                segment = header + text + "<|im_end|>\n"
+                span = (at + len(header), at + len(segment) - 1) if kind == "assistant" else (None, None)
+                out.append((conv, who, i, turn, role, kind, segment, at, *span))
+                at += len(segment)
+    return out
+
+
+def check(spark, rows):
+    got = perspectives.rotate(table(spark, rows, TURNS)).collect()
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, brute(rows)))
+
+
+def test_many_parties_nulls_ties_and_repeats(spark):
+    rows = [(1, 0, "system", "rules", "x"), (1, 1, "ann", "hi", "x"), (1, 2, "bob", None, "x"), (1, 3, "cat", "Grüße 😀", "x"), (1, 3, "ann", "tie", "x"),
+            (1, 3, "ann", "tie", "x"), (2, None, None, "who", "x"), (2, 1, "assistant", "", "x"), (None, 0, "user", "no id", "x"),
+            (3, 0, "system", "alone", "x"), (4, 5, "user", "word " * 4000, "x")]
+    check(spark, rows)
+
+
+def test_long_conversation(spark):
+    check(spark, [(9, i, f"p{i % 3}", f"turn {i}", None) for i in range(600)])
+
+
+def test_view_is_the_segments_in_order(spark):
+    rows = [(1, i, "user" if i % 2 else "assistant", f"t{i}", None) for i in range(6)]
+    got = sorted((r for r in perspectives.rotate(table(spark, rows, TURNS)).collect() if r.perspective == "user"), key=lambda r: r.position)
+    view = "".join(r.segment for r in got)
+    assert [view[r.trained_start:r.trained_end] for r in got if r.trained_start is not None] == [f"t{i}<|im_end|>" for i in (1, 3, 5)]
+
+
+def test_empty(spark):
+    assert perspectives.rotate(table(spark, [], TURNS)).count() == 0
