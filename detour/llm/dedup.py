@@ -31,6 +31,7 @@ SALT_ROWS = 1000    # rows of a group that are compared with one copy of its kep
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 STORE = {PROVIDER: ROCKSDB, "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+         "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "64",  # of an executor, for all its stores
          # no preallocated log files: a store for each partition would hold megabytes of them
          "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false"}
 

@@ -31,8 +31,8 @@ from detour.llm import common, tokens
 from detour.llm.huffman import tokenised
 
 WINDOW = 2048
-SHARD_DOCS = 4096
-SHARD_IDS = 4_000_000
+SHARD_DOCS = 2048
+SHARD_IDS = 1_500_000
 QUERY_TERMS = 16
 K1, B = 1.2, 0.75
 

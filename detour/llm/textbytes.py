@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 CHUNK_DOCS = 4096
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, hence invertible modulo 2**64

@@ -17,7 +17,8 @@ import pyarrow as pa
 
 from detour.llm import textbytes as tb
 
-CACHE_PIECES = 2_000_000
+CACHE_PIECES = 1_000_000
+LEARN_PIECES = 4096
 
 _SPACE, _LETTER, _MARK, _OTHER = 1, 2, 3, 0
 _KIND = np.zeros(256, np.uint8)
@@ -84,10 +85,15 @@ class PieceTokenizer:
         texts = [blob[s:e].decode("utf-8") for s, e in zip(starts.tolist(), ends.tolist(), strict=True)]
         if len(self.keys) + len(texts) > self.cache_pieces:
             raise OverflowError
-        got = self.lib.encode(texts, is_pretokenized=True, add_special_tokens=False)
-        ids = np.asarray(got.ids, np.uint16)
-        of = np.asarray(got.word_ids, np.int64) if len(ids) else np.zeros(0, np.int64)
-        count = np.bincount(of, minlength=len(texts)).astype(np.int64)
+        all_ids, counts = [], []
+        for k in range(0, len(texts), LEARN_PIECES):  # an encoding holds far more than its ids
+            some = texts[k:k + LEARN_PIECES]
+            got = self.lib.encode(some, is_pretokenized=True, add_special_tokens=False)
+            own = np.asarray(got.ids, np.uint16)
+            of = np.asarray(got.word_ids, np.int64) if len(own) else np.zeros(0, np.int64)
+            all_ids.append(own)
+            counts.append(np.bincount(of, minlength=len(some)).astype(np.int64))
+        ids, count = np.concatenate(all_ids), np.concatenate(counts)
         first = self.used + np.cumsum(count) - count
         while self.used + len(ids) > len(self.pool):
             self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
