@@ -24,32 +24,37 @@ def haversine_m(lat1, lon1, lat2, lon2, radius_m: float = EARTH_RADIUS_M) -> Col
 CELL_MARGIN = 1e-9
 
 
-def cell_sizes(radius_m: float, max_abs_lat: float, earth_radius_m: float = EARTH_RADIUS_M):
-    """Cell edge in degrees of latitude and longitude so that any pair within
-    ``radius_m`` lies in the same or an adjacent cell.
-
-    From hav(d) = hav(dphi) + cos(phi1) cos(phi2) hav(dlambda): a pair within r has
-    dphi <= r / R, and, with both |phi| <= phi_max,
-    sin(dlambda / 2) <= sin(r / 2R) / cos(phi_max). The longitude edge is sized from
-    that bound at the largest absolute latitude present; when the bound reaches the
-    whole circle (near a pole) there is one longitude cell.
-    Returns (dlat, n_lon_cells): longitude cells tile the full circle so that the
-    antimeridian wraps.
-    """
-    dlat = math.degrees(radius_m / earth_radius_m) * (1 + CELL_MARGIN)
-    c = math.cos(math.radians(min(abs(max_abs_lat), 90.0)))
-    s = math.sin(radius_m / (2 * earth_radius_m)) / c if c > 0 else float("inf")
-    if s >= 1.0:
-        return dlat, 1
-    dlon = math.degrees(2 * math.asin(s)) * (1 + CELL_MARGIN)
-    n_lon = max(int(math.floor(360.0 / dlon)), 1)
-    return dlat, n_lon
+def lat_step(radius_m: float, earth_radius_m: float = EARTH_RADIUS_M) -> float:
+    """Height of a latitude band in degrees: a pair within ``radius_m`` lies in the same
+    or an adjacent band (hav(d) >= hav(dphi), so dphi <= r / R)."""
+    return math.degrees(radius_m / earth_radius_m) * (1 + CELL_MARGIN)
 
 
-def lat_cell(lat, dlat: float) -> Column:
+def lat_band(lat, dlat: float) -> Column:
     return F.floor((lat + F.lit(90.0)) / F.lit(dlat))
 
 
-def lon_cell(lon, n_lon: int) -> Column:
-    width = 360.0 / n_lon
-    return F.pmod(F.floor((lon + F.lit(180.0)) / F.lit(width)), F.lit(n_lon))
+def lon_cells(band: Column, dlat: float, radius_m: float, earth_radius_m: float = EARTH_RADIUS_M) -> Column:
+    """Number of longitude cells of a band, so that a pair within ``radius_m`` with one end
+    in the band lies in the same or an adjacent cell of it.
+
+    hav(d) >= cos(phi1) cos(phi2) hav(dlambda) gives sin(dlambda / 2) <= sin(r / 2R) / cos(phi_max);
+    the other end is at most one band away, so phi_max is taken over the band and both
+    its neighbours. Where the bound reaches the whole circle (at a pole) there is one cell.
+    Cells tile the full circle, so the antimeridian wraps.
+    """
+    south = F.abs((band - F.lit(1)) * F.lit(dlat) - F.lit(90.0))
+    north = F.abs((band + F.lit(2)) * F.lit(dlat) - F.lit(90.0))
+    c = F.cos(F.radians(F.least(F.greatest(south, north), F.lit(90.0))))
+    s = F.lit(math.sin(radius_m / (2 * earth_radius_m))) / F.greatest(c, F.lit(1e-12))
+    dlon = F.degrees(F.lit(2.0) * F.asin(F.least(s, F.lit(1.0)))) * F.lit(1 + CELL_MARGIN)
+    return F.when(s >= F.lit(1.0), F.lit(1)).otherwise(F.greatest(F.floor(F.lit(360.0) / dlon), F.lit(1))).cast("long")
+
+
+def lon_cell(lon, n_cells: Column) -> Column:
+    return F.pmod(F.floor((lon + F.lit(180.0)) / (F.lit(360.0) / n_cells)), n_cells)
+
+
+def is_point(lat, lon) -> Column:
+    """Coordinates that are a place: no null, NaN, infinity or latitude beyond a pole."""
+    return F.coalesce((F.abs(lat) <= F.lit(90.0)) & (F.abs(lon) <= F.lit(1e6)), F.lit(False))

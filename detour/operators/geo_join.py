@@ -1,11 +1,13 @@
 """Every (station, stop) pair within a radius, with its distance.
 
-A grid-cell equi-join instead of a cross product: points are keyed by a cell of at
-least ``radius`` on each side, the query side is replicated into its 3 x 3
-neighbourhood, the two sides are joined on the cell key (a shuffle on the key, or a
-broadcast when the planner measures one side as small) and the exact haversine
-distance filters the candidates. Every true pair shares a neighbouring cell, so the
-result equals the brute-force one.
+A grid-cell equi-join instead of a cross product: points are keyed by a latitude band at
+least ``radius`` high and a longitude cell of that band at least ``radius`` wide, the
+query side is replicated into the 3 x 3 neighbourhood, the two sides are joined on the
+cell key (a shuffle on the key, or a broadcast of a side of counted size) and the exact
+haversine distance filters the candidates. Every true pair shares a neighbouring cell, so
+the result equals the brute-force one. The number of cells follows each band's own
+latitude, so points near a pole don't widen the cells of others. Rows without a valid
+place (null, NaN, latitude beyond 90 degrees) pair with nothing.
 """
 
 from __future__ import annotations
@@ -13,51 +15,37 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from detour.functions.geo import EARTH_RADIUS_M, cell_sizes, haversine_m, lat_cell, lon_cell
+from detour.functions.geo import EARTH_RADIUS_M, haversine_m, is_point, lat_band, lat_step, lon_cell, lon_cells
 from detour.operators.sizing import row_count_at_most
 
 
-def max_abs_latitude(*frames_and_cols) -> float:
-    """Largest |lat| over the inputs: one global aggregate (partial per task), a single
-    number to the driver."""
-    parts = [df.select(F.abs(F.col(col)).alias("_a")) for df, col in frames_and_cols]
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
-    v = u.agg(F.max("_a")).first()[0]
-    return 0.0 if v is None else float(v)
-
-
 def radius_join(left: DataFrame, right: DataFrame, radius_m: float,
                 left_key: str = "station_id", right_key: str = "stop_id",
-                max_abs_lat: float | None = None, earth_radius_m: float = EARTH_RADIUS_M,
-                out: str = "distance_metres", max_broadcast_points: int = 100_000) -> DataFrame:
-    """Pairs (left_key, right_key, distance) with distance <= radius_m.
+                earth_radius_m: float = EARTH_RADIUS_M, out: str = "distance_metres",
+                max_broadcast_points: int = 100_000, carry: list[str] | None = None) -> DataFrame:
+    """Pairs (left_key, right_key, distance) with distance <= radius_m, and the columns
+    ``carry`` of the right side.
 
     Both inputs need ``lat`` and ``lon`` in degrees. ``left`` is the side that is
-    replicated nine times, so pass the smaller one there. ``max_abs_lat`` sizes the
-    longitude cells; computed from the data when not given. Up to
-    ``max_broadcast_points`` left points the replicated side is broadcast.
+    replicated nine times, so pass the smaller one there. Up to ``max_broadcast_points``
+    left points the replicated side is broadcast.
     """
-    if max_abs_lat is None:
-        max_abs_lat = max_abs_latitude((left, "lat"), (right, "lat"))
-    dlat, n_lon = cell_sizes(radius_m, max_abs_lat, earth_radius_m)
-
-    L = left.select(F.col(left_key).alias("_lk"), F.col("lat").alias("_llat"), F.col("lon").alias("_llon"))
-    R = right.select(F.col(right_key).alias("_rk"), F.col("lat").alias("_rlat"), F.col("lon").alias("_rlon"))
-    L = L.filter(F.col("_llat").isNotNull() & F.col("_llon").isNotNull())
-    R = R.filter(F.col("_rlat").isNotNull() & F.col("_rlon").isNotNull())
+    carry = carry or []
+    dlat = lat_step(radius_m, earth_radius_m)
+    L = left.filter(is_point(F.col("lat"), F.col("lon"))).select(
+        F.col(left_key).alias("_lk"), F.col("lat").alias("_llat"), F.col("lon").alias("_llon"))
+    R = right.filter(is_point(F.col("lat"), F.col("lon"))).select(
+        F.col(right_key).alias("_rk"), F.col("lat").alias("_rlat"), F.col("lon").alias("_rlon"), *carry)
 
     offsets = F.array(*[F.lit(i) for i in (-1, 0, 1)])
-    L = (L.withColumn("_ci", lat_cell(F.col("_llat"), dlat))
-          .withColumn("_cj", lon_cell(F.col("_llon"), n_lon))
-          .withColumn("_di", F.explode(offsets))
-          .withColumn("_dj", F.explode(F.array_distinct(F.transform(
-              offsets, lambda d: F.pmod(F.col("_cj") + d, F.lit(n_lon))))))
-          .select("_lk", "_llat", "_llon", (F.col("_ci") + F.col("_di")).alias("_ci"),
-                  F.col("_dj").alias("_cj")))
-    R = (R.withColumn("_ci", lat_cell(F.col("_rlat"), dlat))
-          .withColumn("_cj", lon_cell(F.col("_rlon"), n_lon)))
+    n = lon_cells(F.col("_ci"), dlat, radius_m, earth_radius_m)
+    L = (L.withColumn("_ci", F.explode(F.transform(offsets, lambda d: lat_band(F.col("_llat"), dlat) + d)))
+          .withColumn("_n", n)
+          .withColumn("_cj", F.explode(F.array_distinct(F.transform(
+              offsets, lambda d: F.pmod(lon_cell(F.col("_llon"), F.col("_n")) + d, F.col("_n"))))))
+          .drop("_n"))
+    R = (R.withColumn("_ci", lat_band(F.col("_rlat"), dlat))
+          .withColumn("_cj", lon_cell(F.col("_rlon"), n)))
 
     # The replicated side is broadcast only when a bounded count proves it small
     # (nine copies per point); otherwise both sides are shuffled on the cell key and
@@ -65,6 +53,5 @@ def radius_join(left: DataFrame, right: DataFrame, radius_m: float,
     L = F.broadcast(L) if row_count_at_most(left, max_broadcast_points) else L.hint("merge")
     d = haversine_m(F.col("_llat"), F.col("_llon"), F.col("_rlat"), F.col("_rlon"), earth_radius_m)
     return (L.join(R, ["_ci", "_cj"])
-             .select(F.col("_lk").alias(left_key), F.col("_rk").alias(right_key), d.alias(out))
+             .select(F.col("_lk").alias(left_key), F.col("_rk").alias(right_key), d.alias(out), *carry)
              .filter(F.col(out) <= F.lit(float(radius_m))))
-

@@ -81,12 +81,26 @@ def test_polar_points_match_brute_force(spark):
     assert want and _run(spark, L, R, 300.0) == want
 
 
-def test_cell_sizes_cover_the_haversine_bound():
-    from detour.functions.geo import cell_sizes
-    for lat in (0.0, 45.0, 70.0, 85.0, 89.9):
-        dlat, n_lon = cell_sizes(300.0, lat)
-        width = 360.0 / n_lon
-        # the widest longitude gap of a 300 m pair at this latitude fits in one cell width
-        s = math.sin(300.0 / (2 * EARTH_RADIUS_M)) / math.cos(math.radians(lat))
-        assert s >= 1 or width >= math.degrees(2 * math.asin(s))
-        assert dlat >= math.degrees(300.0 / EARTH_RADIUS_M)
+def test_cells_cover_the_haversine_bound(spark):
+    """The widest longitude gap of a 300 m pair with an end in the band fits in one cell of it."""
+    from pyspark.sql import functions as F
+
+    from detour.functions.geo import lat_step, lon_cells
+    dlat = lat_step(300.0)
+    assert dlat >= math.degrees(300.0 / EARTH_RADIUS_M)
+    lats = [0.0, 45.0, -70.0, 85.0, 89.9, -89.9999, 89.9999]
+    rows = spark.createDataFrame([(la, int((la + 90) // dlat)) for la in lats], "lat double, band long")
+    for r in rows.withColumn("n", lon_cells(F.col("band"), dlat, 300.0)).collect():
+        s = math.sin(300.0 / (2 * EARTH_RADIUS_M)) / math.cos(math.radians(r.lat))
+        assert r.n == 1 or 360.0 / r.n >= math.degrees(2 * math.asin(s))
+        assert abs(r.lat) > 85 or r.n > 5000   # a point elsewhere doesn't widen these cells
+
+
+def test_one_bad_latitude_changes_nothing_else(spark):
+    """A polar, a NaN, a null and an impossible place among London points."""
+    rnd = random.Random(8)
+    L = [(i, 51.45 + rnd.random() * 0.05, -0.2 + rnd.random() * 0.08) for i in range(30)]
+    R = [(i, 51.45 + rnd.random() * 0.05, -0.2 + rnd.random() * 0.08) for i in range(200)]
+    want = brute(L, R, 300.0)
+    bad = [(900, float("nan"), 0.0), (901, 89.99999, 10.0), (902, 95.0, 0.0), (903, None, 0.0), (904, 51.5, float("nan")), (905, 90.0, -120.0)]
+    assert _run(spark, L + bad, R + bad, 300.0) == want | {(901, 901), (901, 905), (905, 901), (905, 905)}
