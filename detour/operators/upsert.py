@@ -2,7 +2,7 @@
 
 Graph writes are ``MERGE`` by key followed by ``SET``: the last write wins,
 including nulls, and nothing is ever deleted. On tables that is: union the current
-table with the incoming rows, keep the latest row per key.
+rows that no incoming key replaces with the latest incoming row per key.
 """
 
 from __future__ import annotations
@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from detour.operators.sizing import MAX_BROADCAST_ROWS, row_count_at_most
+
 
 def latest_per_key(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """One row per key, the greatest by ``order`` (descending, nulls last).
@@ -23,26 +25,29 @@ def latest_per_key(rows: DataFrame, keys: list[str], order: list[str]) -> DataFr
 
 
 def upsert(existing: DataFrame | None, incoming: DataFrame, keys: list[str], seq: list[str],
-           mode: str = "upsert") -> DataFrame:
-    """Apply ``incoming`` (ordered by ``seq``) on top of ``existing``.
+           mode: str = "upsert", max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Apply ``incoming`` (ordered by ``seq``) on top of ``existing`` (one row per key).
 
     mode ``upsert``: keys absent from ``incoming`` keep their row (D11).
     mode ``replace``: the result holds only keys present in ``incoming``.
     Output columns: those of ``incoming`` minus ``seq``, plus ``is_updated``.
+
+    The incoming rows are cut to the last write per key; the current rows stay where no
+    incoming key replaces them (an anti join, null keys included). Up to ``max_broadcast_rows``
+    incoming rows their keys are broadcast, so that the current table isn't shuffled.
     """
     payload = [c for c in incoming.columns if c not in seq]
-    inc = incoming.select(*payload, F.lit(1).alias("_src"),
-                          *[F.col(c).alias(f"_seq{i}") for i, c in enumerate(seq)])
+    new = latest_per_key(incoming, keys, seq).select(*payload, F.lit(True).alias("is_updated"))
     if existing is None or mode == "replace":
-        rows = inc
-    else:
-        cur = existing.select(*payload, F.lit(0).alias("_src"),
-                              *[F.lit(None).cast(incoming.schema[c].dataType).alias(f"_seq{i}")
-                                for i, c in enumerate(seq)])
-        rows = cur.unionByName(inc)
-    order = ["_src"] + [f"_seq{i}" for i in range(len(seq))]
-    out = latest_per_key(rows, keys, order)
-    return out.select(*payload, (F.col("_src") == 1).alias("is_updated"))
+        return new
+    written = incoming.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)])
+    if row_count_at_most(incoming, max_broadcast_rows):
+        written = F.broadcast(written)
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    kept = existing.select(*payload).join(written, same, "left_anti")
+    return kept.withColumn("is_updated", F.lit(False)).unionByName(new)
 
 
 def distinct_edges(edges: DataFrame, keys: list[str]) -> DataFrame:
