@@ -12,13 +12,17 @@ Each is a thin composition of the operators; the CLI in ``__main__`` calls them.
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from detour.functions.columns import iso_utc
-from detour.operators.graph import Graph, build_graph, graph_summary, guard_graph
+from detour.operators.graph import (
+    Graph, build_graph, graph_summary, guard_graph, key_violations, link_counts, members_from_documents,
+    nearby_documents, nearby_pairs, stations_from_documents,
+)
 from detour.operators.options import line_options
 from detour.operators.parse import quarantine
 from detour.operators.paths import nearest_paths
@@ -27,6 +31,7 @@ from detour.operators.status import events_from_documents, poll_counts
 from detour import schemas as S
 from detour.params import DEFAULT, Params
 from detour.schemas import STATUS_EVENT
+from detour.session import fresh_path
 from detour.sources import documents as D
 from detour.sources.broker import to_broker_records
 from detour.sources.history import read_history
@@ -41,20 +46,24 @@ EVENT_FIELDS = [f.name for f in STATUS_EVENT.fields]
 
 # ---- E1 ---------------------------------------------------------------------------------
 
-def status_events(spark: SparkSession, docs_path: str, streaming: bool = False, p: Params = DEFAULT) -> DataFrame:
+def status_events(spark: SparkSession, docs_path: str, streaming: bool = False, p: Params = DEFAULT,
+                  multiline: bool = False) -> DataFrame:
     """Line-status documents -> one event per line, stamped with the poll time."""
-    raw = D.read_line_status(spark, docs_path, streaming)
+    raw = D.read_line_status(spark, docs_path, streaming, multiline)
     return events_from_documents(raw, iso_utc(F.current_timestamp()), p)
 
 
 def ingest(spark: SparkSession, docs_path: str, out: str, fmt: str = "parquet",
-           kafka_options: dict | None = None) -> DataFrame:
+           kafka_options: dict | None = None, multiline: bool = False, quarantine_path: str | None = None) -> DataFrame:
     """Batch ingest of one poll: publish the events (K1) and return the per-poll counts.
 
     The events feed two outputs, so they are computed once and kept (with the poll
     time fixed) for the counts, which are materialised before the events are released.
     """
-    events = status_events(spark, docs_path).persist()
+    raw = D.landed(D.read_line_status(spark, docs_path, multiline=multiline), fresh_path(spark, "ingest"))
+    if quarantine_path:
+        D.unparsed(raw, "line status document").write.mode("append").parquet(quarantine_path)
+    events = events_from_documents(raw, iso_utc(F.current_timestamp())).persist()
     try:
         if fmt == "kafka":
             to_broker_records(events, EVENT_FIELDS).write.format("kafka").options(**(kafka_options or {})).save()
@@ -89,24 +98,43 @@ def write_graph(g: Graph, graph_dir: str) -> None:
         getattr(guarded, t).write.mode("overwrite").parquet(f"{graph_dir}/{t}")
 
 
-def seed(spark: SparkSession, stations_path: str, nearby_path: str, members_path: str, out_dir: str,
+def integrity(g: Graph, members: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(U2: node keys that are null or occur more than once; J6: linked and missing members per line)."""
+    keys = {"lines": "line_id", "stations": "station_id", "bus_stops": "stop_id", "bus_routes": "route_id"}
+    bad = [key_violations(getattr(g, t), [k]).select(F.lit(t).alias("table"), F.col(k).cast("string").alias("key"), "n_rows")
+           for t, k in keys.items()]
+    return reduce(DataFrame.unionByName, bad), link_counts(members, g.stations, "line_id", "station_id", "station_id")
+
+
+def seed(spark: SparkSession, stations_path: str, nearby_path: str | None, members_path: str, out_dir: str,
          current_dir: str | None = None, mode: str = "upsert", p: Params = DEFAULT,
-         publish_root: str | None = None) -> DataFrame:
+         publish_root: str | None = None, stop_points: DataFrame | None = None, multiline: bool = False) -> DataFrame:
     """Build (or upsert onto ``current_dir``) the graph, write it as a new version at
     ``out_dir`` together with ``out_dir/options``, and return the node counts (A10).
-    With ``publish_root`` the new options become current for streams reading that
-    root (see :func:`detour.streaming.processor.publish_snapshot`)."""
-    # Seven tables are written from the same documents: parse the JSON once.
-    st = D.read_json(spark, stations_path, S.STATION_DOC).persist()
-    nb = D.read_json(spark, nearby_path, S.NEARBY_DOC).persist()
-    mb = D.read_json(spark, members_path, S.MEMBERSHIP_DOC).persist()
+    Without ``nearby_path`` the nearby stops of each station are those of ``stop_points`` within
+    the radius (P8 + J3).
+
+    Also written: ``rejected`` (documents and rows that can't be used), ``key_violations`` (U2) and
+    ``link_counts`` (J6). With ``publish_root`` the new options become current for streams
+    reading that root (see :func:`detour.streaming.processor.publish_snapshot`)."""
+    # Seven tables are written from the same documents: they are parsed once, into tables that every
+    # executor can read again.
+    def land(path: str, schema, name: str) -> DataFrame:
+        return D.landed(D.read_json(spark, path, schema, multiline=multiline), f"{out_dir}/documents/{name}")
+
+    st, mb = land(stations_path, S.STATION_DOC, "stations"), land(members_path, S.MEMBERSHIP_DOC, "members")
+    if nearby_path is not None:
+        nb = land(nearby_path, S.NEARBY_DOC, "nearby")
+    else:
+        pairs = nearby_pairs(stations_from_documents(st).dropDuplicates(["station_id"]), stop_points, p.radius_m)
+        nb = D.landed(nearby_documents(pairs), f"{out_dir}/documents/nearby")
+    D.rejected_documents(st, nb, mb).write.parquet(f"{out_dir}/rejected")
     current = read_graph(spark, current_dir) if current_dir else None
-    try:
-        write_graph(build_graph(st, nb, mb, current, mode, guard=False), out_dir)
-    finally:
-        for d in (st, nb, mb):
-            d.unpersist()
+    write_graph(build_graph(st, nb, mb, current, mode, guard=False), out_dir)
     g = read_graph(spark, out_dir)
+    bad, linked = integrity(g, members_from_documents(mb).select("line_id", "station_id").distinct())
+    bad.write.parquet(f"{out_dir}/key_violations")
+    linked.write.parquet(f"{out_dir}/link_counts")
     write_options_snapshot(line_options(nearest_paths(g, p.path_limit), g.lines, p), f"{out_dir}/options")
     if publish_root:
         publish_snapshot(spark, publish_root, f"{out_dir}/options")

@@ -32,13 +32,6 @@ class Graph:
     has_nearby_stop: DataFrame
     served_by: DataFrame
 
-    def with_radius(self, max_distance: float | None) -> "Graph":
-        """Keep only nearby-stop edges within ``max_distance`` metres."""
-        if max_distance is None:
-            return self
-        return replace(self, has_nearby_stop=self.has_nearby_stop.filter(
-            F.col("distance_metres") <= F.lit(float(max_distance))))
-
     def tables(self) -> dict[str, DataFrame]:
         return {k: getattr(self, k) for k in self.__dataclass_fields__}
 
@@ -57,8 +50,8 @@ def flatten_list(rows: DataFrame, key: str, array_col: str, out: str) -> DataFra
 
 
 def stations_from_documents(station_docs: DataFrame, stop_type: str = METRO_STATION_TYPE) -> DataFrame:
-    """S4 + P7 + P9: metro stations only, renamed to node columns; ``seq`` = list position."""
-    return (select_type(D.station_points(station_docs), "stopType", stop_type)
+    """S4 + P7 + P9: metro stations only, renamed to node columns; ``seq`` = document and list position."""
+    return (select_type(D.complete(D.station_points(station_docs), D.REQUIRED_POINT), "stopType", stop_type)
             .select(F.col("id").alias("station_id"), F.col("commonName").alias("name"),
                     "lat", "lon", "seq"))
 
@@ -69,14 +62,14 @@ def nearby_from_documents(nearby_docs: DataFrame) -> tuple[DataFrame, DataFrame,
     Each output carries ``seq`` (station_id, position) so that a later upsert can
     tell which write came last. A missing distance is 0 metres, stored as double (D13).
     """
-    pts = D.nearby_stop_points(nearby_docs)
+    pts = D.complete(D.nearby_stop_points(nearby_docs), ("station_id", *D.REQUIRED_POINT))
     stops = pts.select(F.col("id").alias("stop_id"), F.col("commonName").alias("name"),
                        "lat", "lon", "station_id", "seq")
     near = pts.select("station_id", F.col("id").alias("stop_id"),
                       F.coalesce(F.col("distance").cast("double"), F.lit(0.0)).alias("distance_metres"),
                       "seq")
     rl = pts.select(F.col("id").alias("stop_id"), "station_id", "seq",
-                    F.posexplode(F.coalesce(F.col("lines"), F.array())).alias("lpos", "l"))
+                    F.posexplode(F.coalesce(F.col("lines"), F.array())).alias("lpos", "l")).filter(F.col("l.id").isNotNull())
     routes = rl.select(F.col("l.id").alias("route_id"), F.col("l.name").alias("name"),
                        "station_id", "seq", "lpos")
     served = rl.select("stop_id", F.col("l.id").alias("route_id"), "station_id")
@@ -85,29 +78,49 @@ def nearby_from_documents(nearby_docs: DataFrame) -> tuple[DataFrame, DataFrame,
 
 def members_from_documents(member_docs: DataFrame, stop_type: str = METRO_STATION_TYPE) -> DataFrame:
     """S6 + P7: (line_id, station_id) for metro-station members, in list order."""
-    return (select_type(D.membership_points(member_docs), "stopType", stop_type)
+    return (select_type(D.complete(D.membership_points(member_docs), ("line_id", "id")), "stopType", stop_type)
             .select("line_id", F.col("id").alias("station_id"), "seq"))
 
 
-def nearby_by_radius(stations: DataFrame, stop_points: DataFrame, radius_m: float,
-                     stop_type: str | None = BUS_STOP_TYPE) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """Re-aimed S5: nearby stops computed from a table of all stop points instead of
-    one radius request per station.
+def nearby_pairs(stations: DataFrame, stop_points: DataFrame, radius_m: float,
+                 stop_type: str | None = BUS_STOP_TYPE) -> DataFrame:
+    """P8 + J3, re-aimed S5: nearby stops from a table of all stop points instead of one
+    radius request per station.
 
-    ``stop_points``: (id, commonName, lat, lon, stopType, lines[]{id, name}).
-    P8 keeps bus stops, J3 pairs them with stations within ``radius_m``.
-    Returns (bus_stops, has_nearby_stop, bus_routes, served_by) — only stops near
-    some station and only their routes, as the per-station requests would give.
+    ``stop_points``: (id, commonName, lat, lon, stopType, lines[]{id, name}). P8 keeps bus stops,
+    J3 pairs them with stations within ``radius_m``. One row per pair with the stop's
+    attributes: (station_id, stop_id, distance_metres, name, stop_lat, stop_lon, lines).
     """
     pts = stop_points if stop_type is None else select_type(stop_points, "stopType", stop_type)
-    pts = pts.select(F.col("id").alias("stop_id"), F.col("commonName").alias("name"), "lat", "lon", "lines")
-    near = radius_join(stations.select("station_id", "lat", "lon"), pts.select("stop_id", "lat", "lon"), radius_m)
-    stops = pts.join(near.select("stop_id"), "stop_id", "left_semi")
-    rl = stops.select("stop_id", F.posexplode(F.coalesce(F.col("lines"), F.array())).alias("lpos", "l"))
+    pts = pts.select(F.col("id").alias("stop_id"), F.col("commonName").alias("name"), "lat", "lon",
+                     F.col("lat").alias("stop_lat"), F.col("lon").alias("stop_lon"), "lines")
+    return radius_join(stations.select("station_id", "lat", "lon"), pts, radius_m,
+                       carry=["name", "stop_lat", "stop_lon", "lines"])
+
+
+def nearby_documents(pairs: DataFrame) -> DataFrame:
+    """:func:`nearby_pairs` in the shape of nearby-stop documents: one pair per document, so no grouping."""
+    return pairs.select("station_id", F.array(F.struct(
+        F.col("stop_id").alias("id"), F.col("name").alias("commonName"), F.col("stop_lat").alias("lat"), F.col("stop_lon").alias("lon"),
+        F.col("distance_metres").alias("distance"), "lines")).alias("stopPoints"))
+
+
+def nearby_tables(pairs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """The (bus_stops, has_nearby_stop, bus_routes, served_by) of :func:`nearby_pairs` — only
+    stops near some station and only their routes, as the per-station requests would give.
+    Write the pairs first where more than one of the four is used."""
+    stops = pairs.select("stop_id", "name", F.col("stop_lat").alias("lat"), F.col("stop_lon").alias("lon")).dropDuplicates(["stop_id"])
+    rl = pairs.select("stop_id", F.posexplode(F.coalesce(F.col("lines"), F.array())).alias("lpos", "l"))
     routes = latest_per_key(rl.select(F.col("l.id").alias("route_id"), F.col("l.name").alias("name"),
                                       "stop_id", "lpos"), ["route_id"], ["stop_id", "lpos"])
     served = distinct_edges(rl.select("stop_id", F.col("l.id").alias("route_id")), ["stop_id", "route_id"])
-    return (stops.drop("lines"), near, routes.select("route_id", "name"), served)
+    return stops, pairs.select("station_id", "stop_id", "distance_metres"), routes.select("route_id", "name"), served
+
+
+def nearby_by_radius(stations: DataFrame, stop_points: DataFrame, radius_m: float,
+                     stop_type: str | None = BUS_STOP_TYPE) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """:func:`nearby_tables` of :func:`nearby_pairs`."""
+    return nearby_tables(nearby_pairs(stations, stop_points, radius_m, stop_type))
 
 
 def lines_from_members(members: DataFrame, count_as: str | None = None) -> DataFrame:
@@ -126,10 +139,11 @@ def build_graph(station_docs: DataFrame, nearby_docs: DataFrame, member_docs: Da
     """Documents -> upserted node and edge tables (U1: a stop reached from many
     stations is one node; T6: the last write of a key wins, nulls included).
 
-    Write order is station-document order, then each station's nearby list in list
-    order; with several station documents, give each its own seed run (positions
-    restart per document). Nearby lists of stations not in the station documents
-    are ignored, as the original only requests lists for the stations it fetched.
+    Write order is station-document order (file and place in it, then list position), then
+    each station's nearby list in list order. Nearby lists of stations not in the station
+    documents are ignored, as the original only requests lists for the stations it
+    fetched; a station in several documents counts with its last place. Rows without the
+    keys of a node are left out (``sources.documents.rejected_documents`` has them).
     ``guard=False`` leaves the J4 edge checks to the caller (``jobs.write_graph``
     applies them against the written node tables).
     """
@@ -138,6 +152,7 @@ def build_graph(station_docs: DataFrame, nearby_docs: DataFrame, member_docs: Da
     members = members_from_documents(member_docs)
 
     stations = upsert(current.stations if current else None, st, ["station_id"], ["seq"], mode)
+    st = st.groupBy("station_id").agg(F.max("seq").alias("seq"))
     # Order of writes: stations in document order, then each station's stops in list order.
     stop_rows = stops.join(st.select("station_id", F.col("seq").alias("station_seq")), "station_id")
     stop_rows = stop_rows.select("stop_id", "name", "lat", "lon", "station_seq", "seq")
@@ -240,8 +255,3 @@ def graph_summary(g: Graph) -> DataFrame:
         u = u.unionByName(p)
     return u.agg(*[F.coalesce(F.sum(F.when(F.col("label") == lbl, F.col("n"))), F.lit(0)).cast("long").alias(lbl)
                    for lbl in ("lines", "stations", "bus_stops", "routes")])
-
-
-def list_sizes(docs: DataFrame, key: str, array_col: str, out: str) -> DataFrame:
-    """F10 + A11: length of a nested list per document (stops per station, stations per line)."""
-    return docs.select(key, F.size(F.coalesce(F.col(array_col), F.array())).alias(out))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from detour.fixed import STATUS_EVENT_TYPE, UNKNOWN_LINE_ID, UNKNOWN_LINE_NAME, UNKNOWN_SEVERITY_DESC
 from detour.params import DEFAULT, Params
+from detour.sources.documents import parsed
 
 
 def is_disrupted(severity: Column, p: Params = DEFAULT) -> Column:
@@ -47,7 +48,7 @@ def events_from_documents(raw_lines: DataFrame, ingested_at: Column, p: Params =
         i.alias("pos"),
         s.alias("status"),
     )))["status"]
-    return (raw_lines
+    return (parsed(raw_lines)
             .filter(F.size(statuses) > 0)                                   # P6
             .select(*(keep or []), *_event_columns(
                 F.coalesce(F.col("id"), F.lit(UNKNOWN_LINE_ID)),

@@ -116,7 +116,6 @@ def test_upsert_on_existing_graph_keeps_vanished(spark, docs):
 def test_flatten_and_sizes(spark):
     df = spark.createDataFrame([(1, ["a", "b"]), (2, []), (3, None)], "k int, xs array<string>")
     assert _rows(G.flatten_list(df, "k", "xs", "x"), "k", "pos", "x", "list_size") == [(1, 0, "a", 2), (1, 1, "b", 2)]
-    assert _rows(G.list_sizes(df, "k", "xs", "n"), "k", "n") == [(1, 2), (2, 0), (3, 0)]
 
 
 def test_integer_distance_is_stored_as_double(spark, tmp_path):
