@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from detour.operators.graph import Graph
-from detour.operators.sizing import MAX_BROADCAST_ROWS, row_count_at_most
 
 PATH_COLUMNS = ["station_name", "bus_stop_name", "bus_stop_id", "lat", "lon", "distance_metres", "route_name"]
 ID_COLUMNS = ["line_id", "station_id", "stop_id", "route_id"]
@@ -64,43 +63,17 @@ def restrict_line(g: Graph, line_id) -> Graph:
                    serves=g.serves.filter(F.col("line_id") == F.lit(line_id)))
 
 
-def pairs_broadcastable(g: Graph, limit: int) -> bool:
-    """Whether the surviving pairs (at most ``limit`` per line) are small enough to
-    broadcast: one bounded count of the lines table."""
-    return row_count_at_most(g.lines, max(MAX_BROADCAST_ROWS // limit, 1))
-
-
-def nearest_paths(g: Graph, limit: int | None = 100, few_lines: bool | None = None) -> DataFrame:
+def nearest_paths(g: Graph, limit: int | None = 100) -> DataFrame:
     """T1 + T2: the ``limit`` nearest path rows per line with their rank ``rn``.
 
-    Every path row belongs to one (station, stop) pair and all rows of a pair sort
-    together, so the first ``limit`` rows come from the first ``limit`` pairs that
-    have a route. Pairs are cut first, then expanded into routes and cut again; both
-    cuts are ``row_number`` filters that Spark evaluates partially on the map side
-    (``WindowGroupLimit``), so a line with a huge neighbourhood never reaches one
-    task whole. The routes of each stop are cut to ``limit`` the same way, so a stop
-    listing very many routes cannot inflate the expansion either: per line at most
-    ``limit * limit`` rows reach the last cut. ``limit=None`` returns all path rows
-    without ``rn``. ``few_lines`` is the result of :func:`pairs_broadcastable` when the
-    caller already has it.
+    The rows of a line are cut by a ``row_number`` filter that Spark evaluates partially on the
+    map side (``WindowGroupLimit``): each task keeps its own ``limit`` rows per line,
+    so a line with a huge neighbourhood never reaches one task whole, and every
+    table of the graph is read once. ``limit=None`` returns all path rows without ``rn``:
+    ranking them would put a line whole into one task; consumers rank the few they keep.
     """
-    routes = _stop_routes(g)
-    pairs = _station_stop_pairs(g)
+    rows = path_rows(g)
     if limit is None:
-        # Uncapped: every path row, unranked. Ranking all rows of a line would put a
-        # line whole into one task; consumers rank only the few rows they keep.
-        return path_rows(g)
-    routed = pairs.join(routes.select("stop_id"), "stop_id", "left_semi")
-    wp = Window.partitionBy("line_id").orderBy(*_pair_order())
-    top_pairs = routed.withColumn("_pr", F.row_number().over(wp)).filter(F.col("_pr") <= limit).drop("_pr")
-    # Within a pair rows are ordered by route id, so no line can use more than the
-    # first ``limit`` routes of a stop: cut each stop's routes the same way.
-    ws = Window.partitionBy("stop_id").orderBy(F.col("route_id").asc_nulls_last())
-    first_routes = routes.withColumn("_sr", F.row_number().over(ws)).filter(F.col("_sr") <= limit).drop("_sr")
-    # The surviving pairs are at most ``limit`` per line: with a bounded line count
-    # they are broadcast and the (large) stop-route table streams past them.
-    if pairs_broadcastable(g, limit) if few_lines is None else few_lines:
-        top_pairs = F.broadcast(top_pairs)
-    rows = top_pairs.join(first_routes, "stop_id")
+        return rows
     w = Window.partitionBy("line_id").orderBy(*_row_order())
-    return _finish(rows).withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= limit)
+    return rows.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= limit)

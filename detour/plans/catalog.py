@@ -8,8 +8,9 @@ they compare value by value with the SQL in :mod:`detour.plans.oracle`.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
@@ -20,23 +21,23 @@ from detour.operators.geo_join import radius_join as _radius_join
 from detour.operators.options import bounded_options, line_options as _line_options
 from detour.operators.parse import disrupted, parse_records, rejected
 from detour.operators.paths import (
-    PATH_COLUMNS, nearest_paths as _nearest, pairs_broadcastable, path_rows, restrict_line,
+    PATH_COLUMNS, nearest_paths as _nearest, path_rows, restrict_line,
 )
-from detour.operators.reports import alert_summary as _summary, first_alerts as _first, latest_alerts as _latest
-from detour.operators.reports import payload_preview, unique_lines as _unique_lines
-from detour.operators.status import events_from_documents, events_from_worst, poll_counts, worst_status_rows
+from detour.operators.reports import payload_preview
+from detour.operators.status import events_from_documents, events_from_worst, poll_counts, split_by_disruption, worst_status_rows
 from detour.operators.upsert import upsert
 from detour.params import DEFAULT, Params
 from detour.plans import proxy
+from detour.schemas import METRO_STATION_TYPE, STATION_DOC
 from detour.sources.broker import to_broker_records
+from detour.sources.documents import REQUIRED_POINT, incomplete, landed, read_json, read_line_status, station_points, unparsed
 from detour.sources.tables import load_table
 from detour.session import fresh_path
 from detour.sources.vocabulary import line_vocabulary
 
-ALERT_RADIUS = 1200.0     # proxy "nearby" radius for alerts
-CAP_RADIUS = 6000.0       # wider radius under which the 100-row cap is reached
 LOOKUP_LINE = 7
 P = DEFAULT
+STRICT = replace(DEFAULT, min_routes=10)   # a stricter rule, under which some known lines are in gridlock
 
 
 def _t(spark, base, name):
@@ -45,19 +46,21 @@ def _t(spark, base, name):
 
 # ---- alerts ---------------------------------------------------------------------------
 
-def options_for(spark: SparkSession, base: str, radius: float, p: Params = P,
-                broadcastable: bool = False) -> DataFrame:
-    g = proxy.graph(spark, base, radius)
-    few = pairs_broadcastable(g, p.path_limit) if p.path_limit else False
-    o = _line_options(_nearest(g, p.path_limit, few_lines=few), g.lines, p)
-    return bounded_options(o, g.lines, p, known_small=few) if broadcastable else o
+def options_of(g: G.Graph, p: Params = P) -> DataFrame:
+    return _line_options(_nearest(g, p.path_limit), g.lines, p)
 
 
-def alerts_for(spark: SparkSession, base: str, radius: float = ALERT_RADIUS, p: Params = P) -> DataFrame:
+def options_for(spark: SparkSession, base: str, p: Params = P, broadcastable: bool = False) -> DataFrame:
+    """The options of the network of stops within the radius."""
+    g = proxy.graph(spark, base, p)
+    return bounded_options(options_of(g, p), g.lines, p) if broadcastable else options_of(g, p)
+
+
+def alerts_for(spark: SparkSession, base: str, p: Params = P) -> DataFrame:
     """Alerts for every disrupted event, ``processed_at`` = the event time."""
     ev = proxy.status_events(_t(spark, base, "events"), p, disrupted_only=True)
     d = disrupted(ev, processed_at=F.col("ts"))
-    return build_alerts(d, options_for(spark, base, radius, p, broadcastable=True), p, batch_id=0,
+    return build_alerts(d, options_for(spark, base, p, broadcastable=True), p, batch_id=0,
                         keep=["event_id"])
 
 
@@ -68,10 +71,28 @@ def alert_scalars(alerts: DataFrame) -> DataFrame:
 
 
 def gridlock_alerts(spark, base):
-    """One alert per disrupted event (radius 1200)."""
+    """One alert per disrupted event."""
     return alert_scalars(alerts_for(spark, base))
 
 
+def gridlock_alerts_strict(spark, base):
+    """A4 with another ``min_routes``: known lines with either flag."""
+    return alert_scalars(alerts_for(spark, base, STRICT))
+
+
+def exploded_options(alerts: DataFrame, *clocks: str) -> DataFrame:
+    """One row per nested row (position and stop -1 for an alert without any)."""
+    kept = ["event_id", "batch_id", "ingested_at_utc", "processed_at_utc", *clocks]
+    return alerts.select(*kept, F.posexplode_outer("nearby_bus_stops").alias("pos", "s")).select(
+        *kept, F.coalesce("pos", F.lit(-1)).alias("pos"),
+        *[(F.coalesce(F.col("s")[c], F.lit(-1)) if c == "bus_stop_id" else F.col("s")[c]).alias(c) for c in PATH_COLUMNS])
+
+
+def alert_options_exploded(spark, base):
+    """The nested rows and the clocks of each alert."""
+    return exploded_options(alerts_for(spark, base))
+
+
 def gridlock_label_q(spark, base):
     """A4, F8: the display label of each alert."""
     a = alerts_for(spark, base)
@@ -101,11 +122,56 @@ def document_status_events(spark, base):
     return events_from_documents(docs, iso_utc(F.col("poll_ts")), P, keep=["event_id"])
 
 
+def intake_status_events(spark, base):
+    """S3, P6, F1 over JSON files: documents without id, name or statuses and broken ones, written and
+    read back; events by line and severity, and how many documents were rejected."""
+    path, e = fresh_path(spark, "intake", "status"), F.col("event_id")
+    json = F.to_json(F.struct(F.when(e % 11 != 0, F.col("id")).alias("id"), F.when(e % 13 != 0, F.col("name")).alias("name"),
+                              F.when(e % 7 != 0, F.col("lineStatuses")).otherwise(F.slice("lineStatuses", 1, 0)).alias("lineStatuses")))
+    proxy.status_documents(_t(spark, base, "events")).select(
+        F.when(e % 17 == 0, F.substring(json, 1, 10)).otherwise(json).alias("value")).write.text(path)
+    raw = landed(read_line_status(spark, path), f"{path}-parsed")
+    events = events_from_documents(raw, F.lit("2024-01-01T00:00:00+00:00"), P).groupBy(
+        F.lit("accepted").alias("state"), "line_id", "line_name", "severity_code", "severity_desc").agg(F.count(F.lit(1)).alias("n"))
+    bad = unparsed(raw, "line status").groupBy(F.lit("rejected").alias("state"), F.col("kind").alias("line_id"),
+                                               F.col("reason").alias("line_name")).agg(F.count(F.lit(1)).alias("n"))
+    return events.unionByName(bad.withColumns({"severity_code": F.lit(-1), "severity_desc": F.lit("")}))
+
+
+def intake_stations(spark, base):
+    """S4, T6, U1 over JSON files: stations in two documents, without id or name, and broken documents;
+    the stations as written last, and the rejected rows counted."""
+    path, k = fresh_path(spark, "intake", "stations"), F.col("s_suppkey")
+    sup = _t(spark, base, "supplier").select("s_suppkey", "s_name", *proxy.lat_lon("s_suppkey", proxy.STATION_MULT))
+
+    def document(name: Column) -> Column:
+        return F.to_json(F.struct(F.array(F.struct(
+            F.when(k % 10 != 9, k.cast("string")).alias("id"), F.when(k % 10 != 7, name).alias("commonName"), "lat", "lon",
+            F.lit(METRO_STATION_TYPE).alias("stopType"))).alias("stopPoints")))
+
+    first = document(F.concat("s_name", F.lit(" old")))
+    sup.select(F.when(k % 25 == 3, F.substring(first, 1, 30)).otherwise(first).alias("value")).write.text(f"{path}/1")
+    sup.filter(k % 2 == 0).select(document(F.col("s_name")).alias("value")).write.text(f"{path}/2")
+    docs = landed(read_json(spark, f"{path}/*", STATION_DOC), f"{path}-parsed")
+    kept = upsert(None, G.stations_from_documents(docs), ["station_id"], ["seq"]).select(
+        F.lit("accepted").alias("state"), "station_id", "name", F.lit(1).cast("long").alias("n"))
+    bad = unparsed(docs, "station document").unionByName(incomplete(station_points(docs), REQUIRED_POINT, "station"))
+    return kept.unionByName(bad.groupBy(F.lit("rejected").alias("state"), F.col("kind").alias("station_id"), F.col("reason").alias("name"))
+                            .agg(F.count(F.lit(1)).alias("n")))
+
+
 def worst_status(spark, base):
     """A12 (row form), D6, F1, F4, P10, P11: worst status per line and poll."""
     return _worst(spark, base)
 
 
+def disruption_split(spark, base):
+    """The events in order and the disrupted ones, each by line."""
+    ok, bad = split_by_disruption(_worst(spark, base))
+    one = lambda df, part: df.groupBy("line_id").agg(F.count(F.lit(1)).alias("n_events")).withColumn("part", F.lit(part))
+    return one(ok, "ok").unionByName(one(bad, "disrupted"))
+
+
 def status_counts(spark, base):
     """Lines OK / disrupted per poll."""
     return poll_counts(_worst(spark, base))
@@ -182,12 +248,19 @@ def flatten_members(spark, base):
 def node_upsert(spark, base):
     """Node upsert, latest write wins."""
     cust = _t(spark, base, "customer").select(F.col("c_custkey").alias("node_id"), F.col("c_acctbal").alias("value"))
-    inc = (_t(spark, base, "orders").filter(F.col("o_orderpriority") == "1-URGENT")
-           .select(F.col("o_custkey").alias("node_id"), F.col("o_totalprice").alias("value"),
-                   "o_orderdate", "o_orderkey"))
+    inc = _t(spark, base, "orders").select(F.col("o_custkey").alias("node_id"), F.col("o_totalprice").alias("value"),
+                                           "o_orderdate", "o_orderkey")
     return upsert(cust, inc, ["node_id"], ["o_orderdate", "o_orderkey"])
 
 
+def document_upsert(spark, base):
+    """An upsert that reaches some of the current keys only: labels onto documents."""
+    docs = _t(spark, base, "documents").select(F.col("doc_id").alias("node_id"), F.col("n_chars").alias("value"))
+    inc = _t(spark, base, "labels").select(F.col("doc_id").alias("node_id"),
+                                           F.col("quality").cast("long").alias("value"), "toxic")
+    return upsert(docs, inc, ["node_id"], ["toxic"])
+
+
 def edge_upsert(spark, base):
     """Edge upsert on the endpoint pair."""
     li = _t(spark, base, "lineitem")
@@ -198,12 +271,18 @@ def edge_upsert(spark, base):
                   ["l_shipdate", "l_orderkey", "l_linenumber", "price_seq"]).drop("is_updated")
 
 
+def edge_upsert_existing(spark, base):
+    """The stops within the radius written onto the listed edges: kept, updated and new ones."""
+    inc = proxy.radius_edges(spark, base).withColumn("seq", F.lit(1))
+    return upsert(proxy.listed_edges(spark, base), inc, ["station_id", "stop_id"], ["seq"])
+
+
 def guarded_edges(spark, base):
-    """Edges kept only when both endpoint nodes exist."""
-    edges = proxy.nearby_edges(spark, base)
-    st = _t(spark, base, "supplier").filter(F.col("s_acctbal") > 0)
-    stops = _t(spark, base, "part").filter(F.col("p_size") <= 25)
-    return G.guard_edges(edges, st, "s_suppkey", stops, "p_partkey", "station_id", "stop_id")
+    """Edges kept only when both endpoint nodes exist: (conversation, document of that number)
+    edges, where a conversation or the document's label may be missing."""
+    edges = _t(spark, base, "documents").select("source", "doc_id", (F.col("doc_id") % 250).alias("conv_id"))
+    return G.guard_edges(edges, _t(spark, base, "conversations").select("conv_id").distinct(), "conv_id",
+                         _t(spark, base, "labels"), "doc_id", "conv_id", "doc_id")
 
 
 def line_vocabulary_q(spark, base):
@@ -218,10 +297,8 @@ def line_vocabulary_q(spark, base):
 
 def link_counts(spark, base):
     """Linked and missing members per line."""
-    members = _t(spark, base, "lineitem").select(F.col("l_suppkey").alias("line_id"),
-                                                 F.col("l_partkey").alias("station_id")).distinct()
-    nodes = _t(spark, base, "part").filter(F.col("p_size") <= 25)
-    return G.link_counts(members, nodes, "line_id", "station_id", "p_partkey")
+    members = _t(spark, base, "documents").select(F.col("source").alias("line_id"), F.col("doc_id").alias("station_id"))
+    return G.link_counts(members, _t(spark, base, "labels"), "line_id", "station_id", "doc_id")
 
 
 def key_violations(spark, base):
@@ -231,38 +308,40 @@ def key_violations(spark, base):
 
 def graph_summary(spark, base):
     """Node counts per label, one row."""
-    g = G.prune_unreferenced(G.guard_graph(proxy.graph(spark, base, ALERT_RADIUS)))
-    return G.graph_summary(g)
+    from detour.jobs import read_graph, write_graph
+    path = fresh_path(spark, "graph_summary")
+    write_graph(proxy.graph(spark, base), path)   # the counts read the written tables, as after a seed
+    return G.graph_summary(G.prune_unreferenced(read_graph(spark, path)))
 
 
 # ---- paths ----------------------------------------------------------------------------
 
 def line_paths(spark, base):
     """Every path row line -> station -> stop -> route."""
-    return path_rows(proxy.graph(spark, base, ALERT_RADIUS))
+    return path_rows(proxy.graph(spark, base))
 
 
 def line_lookup(spark, base):
     """The parameterised lookup of one line's nearest path rows."""
-    g = restrict_line(proxy.graph(spark, base, CAP_RADIUS), LOOKUP_LINE)
+    g = restrict_line(proxy.listed_graph(spark, base), LOOKUP_LINE)
     return _nearest(g, P.path_limit)
 
 
 def nearest_paths_q(spark, base):
     """The 100 nearest path rows per line."""
-    return _nearest(proxy.graph(spark, base, CAP_RADIUS), P.path_limit)
+    return _nearest(proxy.listed_graph(spark, base), P.path_limit)
 
 
 def nearby_stops_top20(spark, base):
     """The nested 20 nearest rows per line, exploded."""
-    o = options_for(spark, base, CAP_RADIUS)
+    o = options_of(proxy.listed_graph(spark, base))
     return o.select("line_id", F.posexplode("nearby_bus_stops").alias("pos", "s")).select(
         "line_id", "pos", *[F.col("s")[c].alias(c) for c in PATH_COLUMNS])
 
 
 def line_options_q(spark, base):
     """Per-line distinct stations and routes, gridlock flag."""
-    return _options_scalars(options_for(spark, base, CAP_RADIUS))
+    return _options_scalars(options_of(proxy.listed_graph(spark, base)))
 
 
 def _options_scalars(o: DataFrame) -> DataFrame:
@@ -274,12 +353,12 @@ def _options_scalars(o: DataFrame) -> DataFrame:
 
 def nearest_paths_gaps(spark, base):
     """Nearest rows when some distances are missing."""
-    return _nearest(proxy.graph_with_gaps(spark, base, CAP_RADIUS), P.path_limit)
+    return _nearest(proxy.graph_with_gaps(spark, base), P.path_limit)
 
 
 def line_options_gaps(spark, base):
     """Options when a route has no name."""
-    g = proxy.graph_with_gaps(spark, base, CAP_RADIUS)
+    g = proxy.graph_with_gaps(spark, base)
     return _options_scalars(_line_options(_nearest(g, P.path_limit), g.lines, P))
 
 
@@ -292,20 +371,18 @@ def document_graph_options(spark, base):
     that lineage (and survives lost executors)."""
     from detour.jobs import read_graph, write_graph
     path = fresh_path(spark, "document_graph")
-    docs = [d.persist() for d in proxy.documents(spark, base, CAP_RADIUS)]
-    try:
-        write_graph(G.build_graph(*docs, guard=False), path)
-    finally:
-        for d in docs:
-            d.unpersist()
+    docs = []
+    for name, d in zip(("stations", "nearby", "members"), proxy.documents(spark, base)):
+        d.write.parquet(f"{path}/documents/{name}")
+        docs.append(spark.read.schema(d.schema).parquet(f"{path}/documents/{name}"))
+    write_graph(G.build_graph(*docs, guard=False), path)
     g = read_graph(spark, path)
     return _options_scalars(_line_options(_nearest(g, P.path_limit), g.lines, P))
 
 
 def radius_join(spark, base):
     """station/stop pairs within 300 m with their distance."""
-    st = _t(spark, base, "supplier").select(F.col("s_suppkey").alias("station_id"),
-                                            *proxy.lat_lon("s_suppkey", proxy.STATION_MULT))
+    st = proxy.stations(spark, base)
     stops = _t(spark, base, "customer").select(F.col("c_custkey").alias("stop_id"),
                                                *proxy.lat_lon("c_custkey", proxy.STOP_MULT))
     pairs = _radius_join(st, stops, P.radius_m, earth_radius_m=P.earth_radius_m)
@@ -315,53 +392,32 @@ def radius_join(spark, base):
 def nearby_seed(spark, base):
     """P8 + J3 graph build: bus stops (customers of one segment) within the radius of
     each station, with the routes each stop lists."""
-    st = _t(spark, base, "supplier").select(F.col("s_suppkey").alias("station_id"),
-                                            *proxy.lat_lon("s_suppkey", proxy.STATION_MULT))
+    st = proxy.stations(spark, base)
     route = F.concat(F.lit("N"), F.col("c_nationkey").cast("string"))
     pts = _t(spark, base, "customer").select(
         F.col("c_custkey").alias("id"), F.col("c_name").alias("commonName"),
         *proxy.lat_lon("c_custkey", proxy.STOP_MULT), F.col("c_mktsegment").alias("stopType"),
         F.array(F.struct(route.alias("id"), route.alias("name"))).alias("lines"))
-    stops, near, routes, served = G.nearby_by_radius(st, pts, P.radius_m, stop_type="BUILDING")
-    return near.join(served, "stop_id").select(
-        "station_id", "stop_id", F.round("distance_metres", 3).alias("distance_metres"), "route_id")
+    pairs = G.nearby_pairs(st, pts, P.radius_m, stop_type="BUILDING")
+    return pairs.select("station_id", "stop_id", F.round("distance_metres", 3).alias("distance_metres"),
+                        F.explode("lines").alias("l")).select("station_id", "stop_id", "distance_metres", F.col("l.id").alias("route_id"))
 
 
 def stations_per_line(spark, base):
     """Stations per line."""
-    g = proxy.graph(spark, base)
+    g = proxy.listed_graph(spark, base)
     return g.serves.groupBy("line_id").agg(F.count(F.lit(1)).alias("n_stations"))
 
 
 def stops_per_station(spark, base):
     """Nearby stops per station and the nearest distance."""
-    g = proxy.graph(spark, base, ALERT_RADIUS)
+    g = proxy.graph(spark, base)
     return g.has_nearby_stop.groupBy("station_id").agg(F.count(F.lit(1)).alias("n_stops"),
                                                       F.min("distance_metres").alias("nearest_metres"))
 
 
 # ---- history reports ------------------------------------------------------------------
 
-def alert_summary(spark, base):
-    """Alert count, distinct lines, processing-time range."""
-    return _summary(alerts_for(spark, base))
-
-
-def alert_lines(spark, base):
-    """Distinct line names in the alert history."""
-    return _unique_lines(alerts_for(spark, base))
-
-
-def latest_alerts(spark, base):
-    """The newest 10 alerts."""
-    return _latest(alerts_for(spark, base), 10, tie_breakers=["event_id"])
-
-
-def first_alerts(spark, base):
-    """The first 20 alerts (ordered for repeatability)."""
-    return _first(alerts_for(spark, base), 20, order=["processed_at_utc", "event_id"])
-
-
 PREVIEW_FIELDS = ["line_id", "line_name", "severity", "gridlock_alert", "affected_stations", "available_routes"]
 
 
@@ -374,10 +430,15 @@ def alert_preview(spark, base):
 def batch_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "gridlock_alerts": gridlock_alerts,
+        "gridlock_alerts_strict": gridlock_alerts_strict,
+        "alert_options_exploded": alert_options_exploded,
         "disrupted_events": disrupted_events,
         "worst_status": worst_status,
         "document_status_events": document_status_events,
+        "intake_status_events": intake_status_events,
+        "intake_stations": intake_stations,
         "status_counts": status_counts,
+        "disruption_split": disruption_split,
         "parse_props": parse_props,
         "quarantine_counts": quarantine_counts,
         "event_payload": event_payload,
@@ -386,7 +447,9 @@ def batch_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "line_names": line_names,
         "flatten_members": flatten_members,
         "node_upsert": node_upsert,
+        "document_upsert": document_upsert,
         "edge_upsert": edge_upsert,
+        "edge_upsert_existing": edge_upsert_existing,
         "guarded_edges": guarded_edges,
         "line_vocabulary": line_vocabulary_q,
         "link_counts": link_counts,
@@ -405,9 +468,5 @@ def batch_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "nearby_seed": nearby_seed,
         "stations_per_line": stations_per_line,
         "stops_per_station": stops_per_station,
-        "alert_lines": alert_lines,
-        "alert_summary": alert_summary,
-        "latest_alerts": latest_alerts,
-        "first_alerts": first_alerts,
         "alert_preview": alert_preview,
     }

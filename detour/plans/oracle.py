@@ -34,14 +34,29 @@ def _pystr(ts: str) -> str:
             f"ELSE strftime({ts}, '%Y-%m-%d %H:%M:%S') END")
 
 
-def _paths(radius: float, gaps: bool = False) -> str:
+_DIST = """CAST(12742017.6 AS DOUBLE) * asin(sqrt(least(
+               pow(sin(radians(lat2 - lat1) / 2), 2)
+               + cos(radians(lat1)) * cos(radians(lat2)) * pow(sin(radians(lon2 - lon1) / 2), 2),
+               CAST(1.0 AS DOUBLE))))"""
+
+_LISTED_EDGES = """edges AS (
+  SELECT l_suppkey AS station_id, l_partkey AS stop_id, min(l_extendedprice) AS distance_metres
+  FROM lineitem GROUP BY l_suppkey, l_partkey)"""
+
+# Brute force: the distance of every supplier and part.
+_RADIUS_EDGES = f"""edges AS (
+  SELECT station_id, stop_id, round(dist, 3) AS distance_metres FROM (
+    SELECT station_id, stop_id, {_DIST} AS dist
+    FROM (SELECT s_suppkey AS station_id, {_lat('s_suppkey', 7919)} AS lat1, {_lon('s_suppkey', 6151)} AS lon1 FROM supplier),
+         (SELECT p_partkey AS stop_id, {_lat('p_partkey', 4421)} AS lat2, {_lon('p_partkey', 9203)} AS lon2 FROM part))
+  WHERE dist <= 300.0)"""
+
+
+def _paths(listed: bool = False, gaps: bool = False) -> str:
     dist = "CASE WHEN p.p_size > 40 THEN NULL ELSE e.distance_metres END" if gaps else "e.distance_metres"
     rname = "CASE WHEN p.p_brand = 'Brand#13' THEN NULL ELSE p.p_brand END" if gaps else "p.p_brand"
     return f"""
-edges AS (
-  SELECT l_suppkey AS station_id, l_partkey AS stop_id, min(l_extendedprice) AS distance_metres
-  FROM lineitem GROUP BY l_suppkey, l_partkey
-  HAVING min(l_extendedprice) <= {radius}),
+{_LISTED_EDGES if listed else _RADIUS_EDGES},
 paths AS (
   SELECT CAST(n.n_nationkey AS BIGINT) AS line_id, s.s_suppkey AS station_id, p.p_partkey AS stop_id,
          p.p_brand AS route_id, s.s_name AS station_name, p.p_name AS bus_stop_name,
@@ -57,10 +72,10 @@ ranked AS (
   FROM paths)"""
 
 
-def _options(radius: float, gaps: bool = False) -> str:
+def _options(listed: bool = False, gaps: bool = False) -> str:
     # A null route name is one more distinct route; it sorts first, so it also takes
     # one of the ten display slots (and prints as nothing).
-    return _paths(radius, gaps) + """,
+    return _paths(listed, gaps) + """,
 capped AS (SELECT * FROM ranked WHERE rn <= 100),
 opts AS (
   SELECT line_id, count(DISTINCT station_name) AS n_stations,
@@ -81,17 +96,17 @@ ev AS (
   FROM events)"""
 
 
-def _alerts(radius: float) -> str:
-    return "WITH " + _options(radius) + "," + _EV + """,
+def _alerts(min_routes: int = 3) -> str:
+    return "WITH " + _options() + "," + _EV + f""",
 alerts AS (
   SELECT ev.event_id, ev.ts, ev.line_id, ev.line_name, ev.severity_desc AS severity,
          (kn.n_nationkey IS NOT NULL) AS is_known_line,
          CAST(coalesce(o.n_stations, 0) AS INTEGER) AS n_stations,
          CAST(coalesce(o.n_routes, 0) AS INTEGER) AS n_routes,
-         coalesce(o.n_routes, 0) < 3 AS gridlock_alert,
+         coalesce(o.n_routes, 0) < {min_routes} AS gridlock_alert,
          coalesce(o.affected_stations, '') AS affected_stations_text,
          coalesce(o.available_routes, '') AS available_routes_text,
-         """ + _pystr("ev.ts") + """ AS processed_at_utc
+         {_iso("ev.poll_ts")} AS ingested_at_utc, {_pystr("ev.ts")} AS processed_at_utc
   FROM ev LEFT JOIN nation kn ON kn.n_nationkey = ev.line_id
   LEFT JOIN opts o ON o.line_id = ev.line_id
   WHERE ev.severity_code < 10)
@@ -136,10 +151,21 @@ _EVENT_COLS = f"""event_id, 'tube_line_status' AS event_type, line_id, line_name
 
 
 def oracle_sql() -> dict[str, str]:
-    a = _alerts(1200.0)
+    a = _alerts()
     return {
         "gridlock_alerts": a + """SELECT event_id, line_id, line_name, severity, is_known_line, n_stations,
        n_routes, gridlock_alert FROM alerts""",
+        "gridlock_alerts_strict": _alerts(10) + """SELECT event_id, line_id, line_name, severity, is_known_line,
+       n_stations, n_routes, gridlock_alert FROM alerts""",
+        "alert_options_exploded": a + """SELECT a.event_id, CAST(0 AS BIGINT) AS batch_id, a.ingested_at_utc, a.processed_at_utc,
+       CAST(coalesce(r.rn - 1, -1) AS INTEGER) AS pos, r.station_name, r.bus_stop_name, coalesce(r.bus_stop_id, -1) AS bus_stop_id, r.lat, r.lon,
+       r.distance_metres, r.route_name
+FROM alerts a LEFT JOIN (SELECT * FROM ranked WHERE rn <= 20) r ON r.line_id = a.line_id""",
+        "history_options_exploded": a + """SELECT a.event_id, CAST(0 AS BIGINT) AS batch_id, a.ingested_at_utc, a.processed_at_utc,
+       a.processed_at_utc AS event_hub_time,
+       CAST(coalesce(r.rn - 1, -1) AS INTEGER) AS pos, r.station_name, r.bus_stop_name, coalesce(r.bus_stop_id, -1) AS bus_stop_id, r.lat, r.lon,
+       r.distance_metres, r.route_name
+FROM alerts a LEFT JOIN (SELECT * FROM ranked WHERE rn <= 20) r ON r.line_id = a.line_id""",
         "disrupted_events": "WITH " + _EV.strip() + f"""
 SELECT {_EVENT_COLS} FROM ev WHERE severity_code < 10""",
         "worst_status": _worst() + "SELECT * FROM w",
@@ -159,6 +185,26 @@ SELECT event_id, 'tube_line_status' AS event_type, line_id, line_name,
        CASE WHEN first_wins THEN t1 ELSE NULL END AS disruption_detail,
        {_iso('poll_ts')} AS ingested_at_utc
 FROM w""",
+        "disruption_split": _worst() + """SELECT line_id, count(*) AS n_events, 'ok' AS part FROM w WHERE NOT is_disrupted GROUP BY line_id
+UNION ALL SELECT line_id, count(*), 'disrupted' FROM w WHERE is_disrupted GROUP BY line_id""",
+        "intake_status_events": """WITH d AS (
+  SELECT event_id AS e, CASE WHEN event_id % 11 <> 0 THEN CAST(user_id % 30 AS VARCHAR) END AS line_id,
+         CASE WHEN event_id % 13 <> 0 THEN 'LINE_' || CAST(user_id % 30 AS VARCHAR) END AS line_name,
+         CASE WHEN event_type = 'view' THEN NULL ELSE CAST(floor(value) AS INTEGER) END AS s1, event_type AS d1,
+         CAST(CAST(json_extract_string(props, '$.k') AS INTEGER) % 25 AS INTEGER) AS s2
+  FROM events),
+w AS (SELECT *, coalesce(s1, 99) <= coalesce(s2, 99) AS first_wins FROM d WHERE e % 17 <> 0 AND e % 7 <> 0)
+SELECT 'accepted' AS state, coalesce(line_id, 'unknown') AS line_id, coalesce(line_name, 'Unknown Line') AS line_name,
+       CAST(coalesce(CASE WHEN first_wins THEN s1 ELSE s2 END, 10) AS INTEGER) AS severity_code,
+       CASE WHEN first_wins THEN d1 ELSE 'k' END AS severity_desc, count(*) AS n
+FROM w GROUP BY 1, 2, 3, 4, 5
+UNION ALL SELECT 'rejected', 'line status', 'not parsed', -1, '', count(*) FROM events WHERE event_id % 17 = 0 HAVING count(*) > 0""",
+        "intake_stations": """SELECT 'accepted' AS state, CAST(s_suppkey AS VARCHAR) AS station_id,
+       CASE WHEN s_suppkey % 2 = 0 THEN s_name ELSE s_name || ' old' END AS name, CAST(1 AS BIGINT) AS n
+FROM supplier WHERE s_suppkey % 2 = 0 OR (s_suppkey % 25 <> 3 AND s_suppkey % 10 NOT IN (7, 9))
+UNION ALL SELECT 'rejected', 'station document', 'not parsed', count(*) FROM supplier WHERE s_suppkey % 25 = 3 HAVING count(*) > 0
+UNION ALL SELECT 'rejected', 'station', 'lacks one of id, commonName, lat, lon', count(*) FROM supplier
+WHERE s_suppkey % 25 <> 3 AND s_suppkey % 10 IN (7, 9) HAVING count(*) > 0""",
         "status_counts": _worst() + """SELECT ingested_at_utc, count(*) AS n_lines,
        count(*) FILTER (WHERE NOT is_disrupted) AS n_ok, count(*) FILTER (WHERE is_disrupted) AS n_disrupted
 FROM w GROUP BY ingested_at_utc""",
@@ -183,7 +229,7 @@ FROM (SELECT p_partkey AS stop_id, string_split(p_name, ' ') AS arr,
   SELECT c_custkey AS node_id, c_acctbal AS value, 0 AS src, CAST(NULL AS TIMESTAMP) AS s1, CAST(NULL AS BIGINT) AS s2
   FROM customer
   UNION ALL
-  SELECT o_custkey, o_totalprice, 1, o_orderdate, o_orderkey FROM orders WHERE o_orderpriority = '1-URGENT'),
+  SELECT o_custkey, o_totalprice, 1, o_orderdate, o_orderkey FROM orders),
 r AS (SELECT *, row_number() OVER (PARTITION BY node_id ORDER BY src DESC, s1 DESC NULLS LAST, s2 DESC NULLS LAST) AS rn
       FROM u)
 SELECT node_id, value, src = 1 AS is_updated FROM r WHERE rn = 1""",
@@ -192,47 +238,47 @@ SELECT node_id, value, src = 1 AS is_updated FROM r WHERE rn = 1""",
          row_number() OVER (PARTITION BY l_suppkey, l_partkey
                             ORDER BY l_shipdate DESC, l_orderkey DESC, l_linenumber DESC, l_extendedprice DESC) AS rn
   FROM lineitem) WHERE rn = 1""",
-        "guarded_edges": """SELECT l_suppkey AS station_id, l_partkey AS stop_id, min(l_extendedprice) AS distance_metres
-FROM lineitem
-WHERE EXISTS (SELECT 1 FROM supplier s WHERE s.s_suppkey = l_suppkey AND s.s_acctbal > 0)
-  AND EXISTS (SELECT 1 FROM part p WHERE p.p_partkey = l_partkey AND p.p_size <= 25)
-GROUP BY l_suppkey, l_partkey""",
+        "document_upsert": """SELECT d.doc_id AS node_id, coalesce(l.quality, d.n_chars) AS value, l.doc_id IS NOT NULL AS is_updated
+FROM documents d LEFT JOIN labels l USING (doc_id)
+UNION ALL
+SELECT doc_id, quality, TRUE FROM labels WHERE doc_id NOT IN (SELECT doc_id FROM documents)""",
+        "edge_upsert_existing": "WITH " + _LISTED_EDGES.replace("edges AS", "listed AS") + "," + _RADIUS_EDGES + """
+SELECT coalesce(e.station_id, l.station_id) AS station_id, coalesce(e.stop_id, l.stop_id) AS stop_id,
+       coalesce(e.distance_metres, l.distance_metres) AS distance_metres, e.station_id IS NOT NULL AS is_updated
+FROM listed l FULL JOIN edges e ON e.station_id = l.station_id AND e.stop_id = l.stop_id""",
+        "guarded_edges": """SELECT source, doc_id, doc_id % 250 AS conv_id FROM documents
+WHERE doc_id IN (SELECT doc_id FROM labels) AND doc_id % 250 IN (SELECT conv_id FROM conversations)""",
         "line_vocabulary": f"""WITH vocab(position, line_id) AS (VALUES {_VOCAB})
 SELECT v.line_id, {_title('v.line_id')} AS line_name, count(*) AS n_stations
 FROM vocab v JOIN supplier s ON s.s_nationkey = v.position GROUP BY v.line_id""",
-        "link_counts": """WITH m AS (SELECT DISTINCT l_suppkey AS line_id, l_partkey AS station_id FROM lineitem)
-SELECT m.line_id, count(*) AS n_members,
-       count(*) FILTER (WHERE p.p_partkey IS NOT NULL) AS linked,
-       count(*) FILTER (WHERE p.p_partkey IS NULL) AS missing
-FROM m LEFT JOIN (SELECT DISTINCT p_partkey FROM part WHERE p_size <= 25) p ON p.p_partkey = m.station_id
-GROUP BY m.line_id""",
+        "link_counts": """SELECT d.source AS line_id, count(*) AS n_members,
+       count(*) FILTER (WHERE l.doc_id IS NOT NULL) AS linked, count(*) FILTER (WHERE l.doc_id IS NULL) AS missing
+FROM documents d LEFT JOIN (SELECT DISTINCT doc_id FROM labels) l USING (doc_id) GROUP BY d.source""",
         "key_violations": """SELECT l_orderkey, l_linenumber, count(*) AS n_rows FROM lineitem
 GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1 OR l_orderkey IS NULL OR l_linenumber IS NULL""",
-        "graph_summary": """WITH edges AS (
-  SELECT l_suppkey AS station_id, l_partkey AS stop_id FROM lineitem GROUP BY 1, 2
-  HAVING min(l_extendedprice) <= 1200.0),
+        "graph_summary": "WITH " + _RADIUS_EDGES + """,
 stops AS (SELECT p_partkey, p_brand FROM part
           WHERE p_partkey IN (SELECT e.stop_id FROM edges e JOIN supplier s ON s.s_suppkey = e.station_id))
 SELECT (SELECT count(*) FROM nation WHERE n_nationkey IN (SELECT s_nationkey FROM supplier)) AS lines,
        (SELECT count(*) FROM supplier) AS stations,
        (SELECT count(*) FROM stops) AS bus_stops,
        (SELECT count(DISTINCT p_brand) FROM stops) AS routes""",
-        "line_paths": "WITH " + _paths(1200.0) + """
+        "line_paths": "WITH " + _paths() + """
 SELECT line_id, station_id, stop_id, route_id, station_name, bus_stop_name, bus_stop_id, lat, lon,
        distance_metres, route_name FROM paths""",
-        "line_lookup": "WITH " + _paths(6000.0) + """
+        "line_lookup": "WITH " + _paths(True) + """
 SELECT * FROM ranked WHERE line_id = 7 AND rn <= 100""",
-        "nearest_paths": "WITH " + _paths(6000.0) + """
+        "nearest_paths": "WITH " + _paths(True) + """
 SELECT * FROM ranked WHERE rn <= 100""",
-        "nearby_stops_top20": "WITH " + _paths(6000.0) + """
+        "nearby_stops_top20": "WITH " + _paths(True) + """
 SELECT line_id, rn - 1 AS pos, station_name, bus_stop_name, bus_stop_id, lat, lon, distance_metres, route_name
 FROM ranked WHERE rn <= 20""",
-        "nearest_paths_gaps": "WITH " + _paths(6000.0, gaps=True) + """
+        "nearest_paths_gaps": "WITH " + _paths(True, gaps=True) + """
 SELECT * FROM ranked WHERE rn <= 100""",
-        "line_options_gaps": "WITH " + _options(6000.0, gaps=True) + _LINE_OPTIONS_SELECT,
+        "line_options_gaps": "WITH " + _options(True, gaps=True) + _LINE_OPTIONS_SELECT,
         "document_graph_options": """WITH edges AS (
   SELECT l_suppkey AS station_id, l_partkey AS stop_id, min(l_extendedprice) AS distance_metres
-  FROM lineitem GROUP BY l_suppkey, l_partkey HAVING min(l_extendedprice) <= 6000.0),
+  FROM lineitem GROUP BY l_suppkey, l_partkey),
 paths AS (
   SELECT CAST(s.s_nationkey AS VARCHAR) AS line_id, CAST(s.s_suppkey AS VARCHAR) AS station_id,
          CAST(p.p_partkey AS VARCHAR) AS stop_id, p.p_brand AS route_id, s.s_name AS station_name,
@@ -260,7 +306,7 @@ SELECT l.line_id, l.line_id AS graph_line_name,
        coalesce(o.available_routes, '') AS available_routes,
        coalesce(o.display_routes, '') AS display_routes
 FROM lines l LEFT JOIN opts o ON o.line_id = l.line_id""",
-        "line_options": "WITH " + _options(6000.0) + """
+        "line_options": "WITH " + _options(True) + """
 SELECT CAST(n.n_nationkey AS BIGINT) AS line_id, n.n_name AS graph_line_name,
        CAST(coalesce(o.n_path_rows, 0) AS BIGINT) AS n_path_rows,
        CAST(coalesce(o.n_stations, 0) AS INTEGER) AS n_stations,
@@ -298,9 +344,8 @@ d AS (SELECT station_id, stop_id, route_id,
 SELECT station_id, stop_id, round(dist, 3) AS distance_metres, route_id FROM d WHERE dist <= 300.0""",
         "stations_per_line": """SELECT CAST(s_nationkey AS BIGINT) AS line_id, count(*) AS n_stations
 FROM supplier GROUP BY s_nationkey""",
-        "stops_per_station": """SELECT l_suppkey AS station_id, count(*) AS n_stops, min(d) AS nearest_metres FROM (
-  SELECT l_suppkey, l_partkey, min(l_extendedprice) AS d FROM lineitem GROUP BY 1, 2 HAVING min(l_extendedprice) <= 1200.0)
-GROUP BY l_suppkey""",
+        "stops_per_station": "WITH " + _RADIUS_EDGES + """
+SELECT station_id, count(*) AS n_stops, min(distance_metres) AS nearest_metres FROM edges GROUP BY station_id""",
         "alert_lines": a + "SELECT DISTINCT line_name FROM alerts",
         "alert_summary": a + """SELECT count(*) AS total_alerts, count(DISTINCT line_name) AS unique_lines,
        min(processed_at_utc) AS first_processed_at, max(processed_at_utc) AS last_processed_at FROM alerts""",

@@ -1,12 +1,14 @@
 """Domain tables derived from the warehouse tables (the test proxy).
 
 line        <- nation                       station <- supplier (serves: s_nationkey)
-bus stop    <- part                         has_nearby_stop <- lineitem pairs,
-bus route   <- part.p_brand (served_by)        distance = min(l_extendedprice)
+bus stop    <- part                         has_nearby_stop <- parts within 300 m of a supplier,
+bus route   <- part.p_brand (served_by)        or lineitem pairs, distance = min(l_extendedprice)
 status      <- events: line = user_id % 30, severity = floor(value)
 poll        <- (line, hour of ts); list order = event_id
 
-Coordinates are synthesised from the key so the radius join has points to work on.
+Coordinates are synthesised from the key: the radius join finds the nearby stops of the
+alert and graph queries; the nearest-100 queries take every listed pair, so that the cap
+decides and no distance does.
 ``documents`` and ``status_documents`` rebuild the feed's JSON shapes row by row (one
 document per row, no grouping); ``graph_with_gaps`` blanks some distances and one
 route name so null handling meets real data. Every function returns a lazy DataFrame
@@ -19,7 +21,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from detour.functions.columns import iso_utc
+from detour.operators.geo_join import radius_join
 from detour.operators.graph import Graph
+from detour.params import DEFAULT, Params
 from detour.sources.tables import load_table
 
 N_PROXY_LINES = 30          # events map onto 30 line ids; 25..29 are unknown to the graph
@@ -38,39 +42,56 @@ def lat_lon(key: str, mults: tuple[int, int]) -> list[Column]:
             coord(key, mults[1], 10009, -0.2, 0.16).alias("lon")]
 
 
-def nearby_edges(spark: SparkSession, base: str, max_distance: float | None = None) -> DataFrame:
-    """(station_id, stop_id, distance_metres): one edge per supplier/part pair.
+def stations(spark: SparkSession, base: str) -> DataFrame:
+    return load_table(spark, base, "supplier").select(
+        F.col("s_suppkey").alias("station_id"), F.col("s_name").alias("name"), *lat_lon("s_suppkey", STATION_MULT))
 
-    With ``max_distance`` only pairs whose distance is within it are kept. Because
-    the distance is a minimum, ``min(x) <= r`` holds exactly when some row has
-    ``x <= r``, so the bound is applied to the rows and reaches the parquet scan.
-    """
-    li = load_table(spark, base, "lineitem")
-    if max_distance is not None:
-        li = li.filter(F.col("l_extendedprice") <= F.lit(float(max_distance)))
-    return (li
+
+def bus_stops(spark: SparkSession, base: str) -> DataFrame:
+    return load_table(spark, base, "part").select(
+        F.col("p_partkey").alias("stop_id"), F.col("p_name").alias("name"), *lat_lon("p_partkey", STOP_MULT))
+
+
+def listed_edges(spark: SparkSession, base: str) -> DataFrame:
+    """(station_id, stop_id, distance_metres): one edge per supplier/part pair of lineitem."""
+    return (load_table(spark, base, "lineitem")
             .groupBy(F.col("l_suppkey").alias("station_id"), F.col("l_partkey").alias("stop_id"))
             .agg(F.min("l_extendedprice").alias("distance_metres")))
 
 
-def graph(spark: SparkSession, base: str, radius: float | None = None) -> Graph:
+def radius_edges(spark: SparkSession, base: str, p: Params = DEFAULT) -> DataFrame:
+    """(station_id, stop_id, distance_metres): the stops within the documented radius of each
+    station (J3), the distance to the millimetre."""
+    pairs = radius_join(stations(spark, base), bus_stops(spark, base), p.radius_m, earth_radius_m=p.earth_radius_m)
+    return pairs.withColumn("distance_metres", F.round("distance_metres", 3))
+
+
+def _graph(spark: SparkSession, base: str, near: DataFrame) -> Graph:
     nation = load_table(spark, base, "nation")
     supplier = load_table(spark, base, "supplier")
     part = load_table(spark, base, "part")
-    g = Graph(
+    return Graph(
         lines=nation.select(F.col("n_nationkey").cast("long").alias("line_id"), F.col("n_name").alias("name")),
-        stations=supplier.select(F.col("s_suppkey").alias("station_id"), F.col("s_name").alias("name"),
-                                 *lat_lon("s_suppkey", STATION_MULT)),
-        bus_stops=part.select(F.col("p_partkey").alias("stop_id"), F.col("p_name").alias("name"),
-                              *lat_lon("p_partkey", STOP_MULT)),
+        stations=stations(spark, base),
+        bus_stops=bus_stops(spark, base),
         bus_routes=part.select(F.col("p_brand").alias("route_id")).distinct()
                        .select("route_id", F.col("route_id").alias("name")),
         serves=supplier.select(F.col("s_nationkey").cast("long").alias("line_id"),
                                F.col("s_suppkey").alias("station_id")),
-        has_nearby_stop=nearby_edges(spark, base, radius),
+        has_nearby_stop=near,
         served_by=part.select(F.col("p_partkey").alias("stop_id"), F.col("p_brand").alias("route_id")),
     )
-    return g.with_radius(radius)
+
+
+def graph(spark: SparkSession, base: str, p: Params = DEFAULT) -> Graph:
+    """The network whose nearby stops are those within the documented radius."""
+    return _graph(spark, base, radius_edges(spark, base, p))
+
+
+def listed_graph(spark: SparkSession, base: str) -> Graph:
+    """The network whose nearby stops are all those listed in lineitem: lines with far more
+    path rows than the cap."""
+    return _graph(spark, base, listed_edges(spark, base))
 
 
 def line_name_of(line_id: Column) -> Column:
@@ -112,10 +133,10 @@ GAP_MIN_SIZE = 40          # a stop of a part larger than this has no distance
 GAP_BRAND = "Brand#13"     # this route has no name
 
 
-def graph_with_gaps(spark: SparkSession, base: str, radius: float) -> Graph:
-    """The proxy graph with missing values: null distances (stops of large parts)
+def graph_with_gaps(spark: SparkSession, base: str) -> Graph:
+    """The listed network with missing values: null distances (stops of large parts)
     and a route without a name, so ordering and distinct counting meet nulls."""
-    g = graph(spark, base, radius)
+    g = listed_graph(spark, base)
     big = load_table(spark, base, "part").select(F.col("p_partkey").alias("stop_id"),
                                                  (F.col("p_size") > GAP_MIN_SIZE).alias("_gap"))
     near = g.has_nearby_stop.join(big, "stop_id").select(
@@ -128,11 +149,11 @@ def graph_with_gaps(spark: SparkSession, base: str, radius: float) -> Graph:
                  serves=g.serves, has_nearby_stop=near, served_by=g.served_by)
 
 
-def documents(spark: SparkSession, base: str, radius: float) -> tuple[DataFrame, DataFrame, DataFrame]:
+def documents(spark: SparkSession, base: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The feed's documents rebuilt from the tables, one document per row (each list
     holds one entry, so no grouping is needed): station documents (suppliers),
-    nearby-stop documents (supplier/part pairs within ``radius``, the part's brand as
-    its one route) and line membership documents (supplier under its nation)."""
+    nearby-stop documents (supplier/part pairs of lineitem, the part's brand as its one
+    route) and line membership documents (supplier under its nation)."""
     from detour.fixed import METRO_STATION_TYPE
     supplier = load_table(spark, base, "supplier")
     part = load_table(spark, base, "part")
@@ -140,7 +161,7 @@ def documents(spark: SparkSession, base: str, radius: float) -> tuple[DataFrame,
     stations = supplier.select(F.array(F.struct(
         sid.alias("id"), F.col("s_name").alias("commonName"), *lat_lon("s_suppkey", STATION_MULT),
         F.lit(METRO_STATION_TYPE).alias("stopType"))).alias("stopPoints"))
-    edges = nearby_edges(spark, base, radius).join(
+    edges = listed_edges(spark, base).join(
         part.select(F.col("p_partkey").alias("stop_id"), "p_name", "p_brand"), "stop_id")
     nearby = edges.select(
         F.col("station_id").cast("string").alias("station_id"),

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from detour import schemas as S
-
 
 def read_history(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """Partitioned by (run_id, batch_id); filters on them prune partitions.
@@ -17,7 +15,3 @@ def read_history(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFr
     df = spark.read.format(fmt).load(path)
     return df.withColumns({"run_id": F.col("run_id").cast("string"),
                            "batch_id": F.col("batch_id").cast("long")})
-
-
-def empty_history(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], S.ALERT)

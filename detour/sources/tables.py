@@ -2,30 +2,14 @@
 
 from __future__ import annotations
 
-import hashlib
-
 from pyspark.sql import DataFrame, SparkSession
 
 
-def _view_name(path: str) -> str:
-    name = path.rstrip("/").rsplit("/", 1)[-1].split(".")[0]
-    return f"detour_{name}_{hashlib.sha1(path.encode()).hexdigest()[:12]}"
-
-
-def load_table(spark: SparkSession, base: str, name: str, refresh: bool = False) -> DataFrame:
+def load_table(spark: SparkSession, base: str, name: str) -> DataFrame:
     """``<base>/<name>.parquet`` as a DataFrame; Catalyst prunes columns and pushes
-    filters into the scan.
-
-    The path is resolved (files listed, schema read) once per session and kept as a
-    session temporary view, the way a catalog table would be; on object storage with
-    many files that listing is the expensive part. ``refresh=True`` lists again,
-    e.g. after new files were added.
-    """
-    path = f"{base.rstrip('/')}/{name}.parquet"
-    view = _view_name(path)
-    if refresh or not spark.catalog.tableExists(view):
-        spark.read.parquet(path).createOrReplaceTempView(view)
-    return spark.table(view)
+    filters into the scan. The files are listed anew on every call, so rows appended
+    since the last one are read."""
+    return spark.read.parquet(f"{base.rstrip('/')}/{name}.parquet")
 
 
 def stream_table(spark: SparkSession, base: str, name: str, max_files_per_trigger: int | None = None) -> DataFrame:

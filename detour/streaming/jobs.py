@@ -11,10 +11,12 @@ from pyspark.sql import functions as F
 from detour.plans import catalog as C
 from detour.session import fresh_path
 from detour.sources.history import read_history
-from detour.sources.tables import stream_table
+from detour.sources.tables import load_table, stream_table
 from detour.streaming.processor import (
     AlertBatchWriter, start_alert_stream, start_event_sink, write_options_snapshot,
 )
+from detour.functions.columns import py_timestamp_str
+from detour.operators import reports as R
 from detour.operators.parse import disrupted
 
 AVAILABLE_NOW = {"availableNow": True}
@@ -37,10 +39,14 @@ def stream_disrupted(spark: SparkSession, base: str) -> DataFrame:
 
 
 def _run_alerts(spark: SparkSession, base: str, history: str, options: str, run_id: str,
-                writes_per_batch: int = 1) -> list[dict]:
-    writer = AlertBatchWriter(options, history, run_id, C.P, keep=["event_id", "event_hub_timestamp"],
-                              writes_per_batch=writes_per_batch)
-    q = start_alert_stream(_disrupted_events_stream(spark, base), writer,
+                events: DataFrame | None = None, written_twice: bool = False) -> list[dict]:
+    writer = AlertBatchWriter(options, history, run_id, C.P, keep=["event_id", "event_hub_timestamp"])
+
+    def twice(batch: DataFrame, batch_id: int) -> None:   # a batch that is replayed right after its write
+        writer(batch, batch_id)
+        writer(batch, batch_id)
+
+    q = start_alert_stream(_disrupted_events_stream(spark, base) if events is None else events, twice if written_twice else writer,
                            fresh_path(spark, "stream_alerts", "checkpoint"), AVAILABLE_NOW)
     q.awaitTermination()
     return q.recentProgress
@@ -59,7 +65,7 @@ def alert_stream_progress(spark: SparkSession, base: str) -> dict:
 
 
 def _snapshot(spark: SparkSession, base: str) -> str:
-    return write_options_snapshot(C.options_for(spark, base, C.ALERT_RADIUS),
+    return write_options_snapshot(C.options_for(spark, base),
                                   fresh_path(spark, "stream_alerts", "options"))
 
 
@@ -70,15 +76,55 @@ def stream_alerts(spark: SparkSession, base: str) -> DataFrame:
 
 
 def stream_replay(spark: SparkSession, base: str) -> DataFrame:
-    """The same run twice under fresh checkpoints (every batch is replayed), each
-    batch written twice: the history must still hold each alert once."""
-    history = fresh_path(spark, "stream_replay", "history")
+    """The events in four files, a batch for each; the same run twice under fresh checkpoints
+    (every batch is replayed), each batch of the first written twice: the history must still
+    hold each alert once."""
+    history, files = fresh_path(spark, "stream_replay", "history"), fresh_path(spark, "stream_replay", "events")
+    events = load_table(spark, base, "events")
+    events.repartition(4).write.parquet(files)
     options = _snapshot(spark, base)
     run_id = uuid.uuid4().hex
-    _run_alerts(spark, base, history, options, run_id, writes_per_batch=2)
-    _run_alerts(spark, base, history, options, run_id, writes_per_batch=1)
+    for written_twice in (True, False):
+        parts = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", "1").parquet(files)
+        parsed = disrupted(C.broker_events(parts), processed_at=F.col("event_hub_timestamp"))
+        _run_alerts(spark, base, history, options, run_id, parsed, written_twice)
     return C.alert_scalars(read_history(spark, history))
 
 
+def written_history(spark: SparkSession, base: str) -> DataFrame:
+    """The alert history that the stream wrote."""
+    history = fresh_path(spark, "reports", "history")
+    _run_alerts(spark, base, history, _snapshot(spark, base), uuid.uuid4().hex)
+    return read_history(spark, history)
+
+
+def alert_summary(spark: SparkSession, base: str) -> DataFrame:
+    """Alert count, distinct lines, processing-time range of a written history."""
+    return R.alert_summary(written_history(spark, base))
+
+
+def alert_lines(spark: SparkSession, base: str) -> DataFrame:
+    """Distinct line names in the alert history."""
+    return R.unique_lines(written_history(spark, base))
+
+
+def latest_alerts(spark: SparkSession, base: str) -> DataFrame:
+    """The newest 10 alerts."""
+    return R.latest_alerts(written_history(spark, base), 10, tie_breakers=["event_id"])
+
+
+def first_alerts(spark: SparkSession, base: str) -> DataFrame:
+    """The first 20 alerts (ordered for repeatability)."""
+    return R.first_alerts(written_history(spark, base), 20, order=["processed_at_utc", "event_id"])
+
+
+def history_options_exploded(spark: SparkSession, base: str) -> DataFrame:
+    """Nested rows, batch id and the three clocks as the history holds them."""
+    return C.exploded_options(written_history(spark, base)
+                              .withColumn("event_hub_time", py_timestamp_str(F.col("event_hub_timestamp"))), "event_hub_time")
+
+
 def stream_queries():
-    return {"stream_disrupted": stream_disrupted, "stream_alerts": stream_alerts, "stream_replay": stream_replay}
+    return {"stream_disrupted": stream_disrupted, "stream_alerts": stream_alerts, "stream_replay": stream_replay,
+            "alert_lines": alert_lines, "alert_summary": alert_summary, "latest_alerts": latest_alerts,
+            "first_alerts": first_alerts, "history_options_exploded": history_options_exploded}

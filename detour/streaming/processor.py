@@ -34,8 +34,9 @@ POINTER = "_versions"
 
 
 def write_options_snapshot(options: DataFrame, path: str) -> str:
-    """Materialise the per-line options (one row per line) that every batch joins."""
-    options.hint("rebalance").write.mode("overwrite").parquet(path)
+    """Materialise the per-line options (one row per line) that every batch joins. A snapshot
+    never changes: an existing folder is refused, a new version needs a new one."""
+    options.hint("rebalance").write.mode("errorifexists").parquet(path)
     return path
 
 
@@ -55,7 +56,9 @@ def current_snapshot(spark: SparkSession, path: str) -> str:
     published snapshot (one row read, per batch)."""
     try:
         ptr = spark.read.parquet(f"{path.rstrip('/')}/{POINTER}")
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":   # only an absent table means "no pointer"
+            raise
         return path
     row = ptr.orderBy(F.col("version").desc(), F.col("path").desc()).select("path").first()
     return row[0] if row else path
@@ -66,13 +69,12 @@ class AlertBatchWriter:
     collected to the driver."""
 
     def __init__(self, options_path: str, history_path: str, run_id: str, p: Params = DEFAULT,
-                 keep: list[str] | None = None, writes_per_batch: int = 1, fmt: str = "parquet"):
+                 keep: list[str] | None = None, fmt: str = "parquet"):
         self.options_path = options_path
         self.history_path = history_path
         self.run_id = run_id
         self.p = p
         self.keep = keep or []
-        self.writes_per_batch = writes_per_batch   # > 1 only to exercise replays in tests
         self.fmt = fmt                             # "delta" where its jar is on the classpath
         self._small: dict[str, bool] = {}          # snapshot path -> proven small (snapshots never change)
 
@@ -86,8 +88,7 @@ class AlertBatchWriter:
             if self._small[path]:
                 options = F.broadcast(options)
         alerts = build_alerts(batch, options, self.p, batch_id=int(batch_id), keep=self.keep)
-        for _ in range(self.writes_per_batch):
-            write_batch(alerts, self.history_path, self.run_id, self.fmt, int(batch_id))
+        write_batch(alerts, self.history_path, self.run_id, self.fmt, int(batch_id))
 
 
 def start_alert_stream(events: DataFrame, writer: AlertBatchWriter, checkpoint: str,
@@ -105,13 +106,3 @@ def start_event_sink(events: DataFrame, path: str, checkpoint: str, trigger: dic
     return (events.writeStream.format("parquet").option("path", path)
             .option("checkpointLocation", checkpoint)
             .trigger(**(trigger or DEFAULT_TRIGGER)).start())
-
-
-def progress_summary(q: StreamingQuery) -> dict | None:
-    """Batch id, input rows and trigger time of the last batch (what the original printed)."""
-    lp = q.lastProgress
-    if not lp:
-        return None
-    return {"batchId": lp["batchId"], "numInputRows": lp["numInputRows"],
-            "triggerExecution": lp.get("durationMs", {}).get("triggerExecution", 0)}
-

@@ -3,7 +3,6 @@
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as E
 from detour.operators.status import worst_status_rows
 from detour.operators.upsert import latest_per_key
 from detour.plans import catalog as C
@@ -17,7 +16,7 @@ def plan(df) -> str:
 
 
 def test_top_k_is_cut_before_the_shuffle(spark):
-    p = plan(nearest_paths(proxy.graph(spark, SF, C.CAP_RADIUS), 100))
+    p = plan(nearest_paths(proxy.listed_graph(spark, SF), 100))
     assert "WindowGroupLimit" in p and "Partial" in p
 
 
@@ -41,14 +40,31 @@ def test_events_are_not_shuffled_for_the_alert_join(spark):
     assert "LessThan(value,10.0)" in p
 
 
-def test_radius_bound_reaches_the_scan(spark):
-    p = plan(C.line_paths(spark, SF))
-    assert "LessThanOrEqual(l_extendedprice,1200.0)" in p
+def test_no_distance_but_the_documented_radius(spark):
+    """The nearest-100 queries take every listed edge; the others those within 300 m."""
+    assert "l_extendedprice" not in plan(C.line_paths(spark, SF))
+    scan = [x for x in plan(C.nearest_paths_q(spark, SF)).split("\n") if "lineitem.parquet" in x]
+    assert scan and all("l_extendedprice," not in x.split("PushedFilters")[1].split("ReadSchema")[0] for x in scan)
+    assert C.P.radius_m == 300.0
 
 
-@pytest.mark.parametrize("name", sorted(k for k in E.queries() if not k.startswith("stream")))
+def test_line_lookup_reads_each_table_once_a_role(spark):
+    p = plan(C.line_lookup(spark, SF))
+    assert p.count("part.parquet") <= 3 and "hashpartitioning(stop_id" not in p
+
+
+def test_upsert_leaves_the_current_table_in_place(spark):
+    from detour.operators.upsert import upsert
+    li = spark.read.parquet(f"{SF}/lineitem.parquet").select("l_orderkey", "l_quantity")
+    inc = spark.createDataFrame([(1, 2.0, 1)], "l_orderkey long, l_quantity double, seq int")
+    p = plan(upsert(li, inc, ["l_orderkey"], ["seq"]))
+    kept = p[:p.index("LocalTableScan")] if "LocalTableScan" in p else p
+    assert "BroadcastHashJoin" in kept and "LeftAnti" in kept
+
+
+@pytest.mark.parametrize("name", sorted(C.batch_queries()))
 def test_no_cross_products_or_python(spark, name):
-    p = plan(E.queries()[name](spark, SF))
+    p = plan(C.batch_queries()[name](spark, SF))
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"):
         assert bad not in p, f"{name}: {bad}"
 

@@ -27,11 +27,11 @@ def test_stream_equals_batch_alerts(spark):
 
 def test_replay_and_new_run(spark):
     history = fresh_path(spark, "test", "history")
-    options = write_options_snapshot(C.options_for(spark, SF, C.ALERT_RADIUS), fresh_path(spark, "test", "options"))
+    options = write_options_snapshot(C.options_for(spark, SF), fresh_path(spark, "test", "options"))
 
     def run(run_id, writes=1):
-        w = AlertBatchWriter(options, history, run_id, C.P, keep=["event_id"], writes_per_batch=writes)
-        q = start_alert_stream(J._disrupted_events_stream(spark, SF), w,
+        w = AlertBatchWriter(options, history, run_id, C.P, keep=["event_id"])
+        q = start_alert_stream(J._disrupted_events_stream(spark, SF), lambda b, i: [w(b, i) for _ in range(writes)],
                                fresh_path(spark, "test", "ckpt"), J.AVAILABLE_NOW)
         q.awaitTermination()
 
@@ -65,7 +65,7 @@ def test_several_micro_batches(spark):
     for i in range(3):
         rec.filter(F.col("timestamp").isNotNull() & (F.pmod(F.hash("value"), F.lit(3)) == i)).coalesce(1) \
            .write.mode("append").parquet(src)
-    options = write_options_snapshot(C.options_for(spark, SF, C.ALERT_RADIUS), fresh_path(spark, "test", "options"))
+    options = write_options_snapshot(C.options_for(spark, SF), fresh_path(spark, "test", "options"))
     history = fresh_path(spark, "test", "history")
     parsed = spark.readStream.schema(BROKER_RECORD).option("maxFilesPerTrigger", "1").parquet(src)
     from detour.operators.parse import disrupted, parse_records
@@ -83,7 +83,7 @@ def test_write_errors_fail_the_stream(spark, tmp_path):
     from pyspark.errors import StreamingQueryException
     blocker = tmp_path / "not_a_dir"
     blocker.write_text("x")                         # history path is a file: every write fails
-    options = write_options_snapshot(C.options_for(spark, SF, C.ALERT_RADIUS), fresh_path(spark, "test", "o"))
+    options = write_options_snapshot(C.options_for(spark, SF), fresh_path(spark, "test", "o"))
     w = AlertBatchWriter(options, str(blocker), "r", C.P, keep=["event_id"])
     q = start_alert_stream(J._disrupted_events_stream(spark, SF), w, fresh_path(spark, "test", "c"), J.AVAILABLE_NOW)
     with pytest.raises(StreamingQueryException):
@@ -92,7 +92,7 @@ def test_write_errors_fail_the_stream(spark, tmp_path):
 
 def test_processing_time_trigger(spark):
     """The query runs on a processing-time trigger until stopped."""
-    options = write_options_snapshot(C.options_for(spark, SF, C.ALERT_RADIUS), fresh_path(spark, "test", "o"))
+    options = write_options_snapshot(C.options_for(spark, SF), fresh_path(spark, "test", "o"))
     history = fresh_path(spark, "test", "h")
     w = AlertBatchWriter(options, history, "r", C.P, keep=["event_id"])
     q = start_alert_stream(J._disrupted_events_stream(spark, SF), w, fresh_path(spark, "test", "c"),
