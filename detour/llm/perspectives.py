@@ -37,15 +37,15 @@ def rotate(turns: DataFrame, context_roles: tuple[str, ...] = CONTEXT_ROLES) ->
     said = turns.select("conv_id", "turn", F.coalesce("role", F.lit(UNKNOWN)).alias("role"), common.text_or_empty().alias("text"))
     people = said.where(~context).select(F.col("conv_id").alias("of"), F.col("role").alias("perspective")).distinct()
     header = _header(F.col("role"), F.col("perspective"), context)
-    views = (said.join(people, F.col("conv_id").eqNullSafe(F.col("of")), "inner").drop("of")
-             .withColumns({"header": F.length(header), "body": F.concat("text", F.lit("<|im_end|>")),
-                           "segment": F.concat(header, F.col("text"), F.lit("<|im_end|>\n")),
-                           "rendered_role": F.when(context, F.col("role")).when(own, F.lit("assistant")).otherwise(F.lit("user")),
-                           "row": F.monotonically_increasing_id()}))
+    segment = F.concat(header, F.col("text"), F.lit("<|im_end|>\n"))
+    views = said.join(people, F.col("conv_id").eqNullSafe(F.col("of")), "inner").drop("of").withColumn("row", F.monotonically_increasing_id())
     group = ["conv_id", "perspective"]
     order = [*group, "turn", "role", "text", "row"]
     dealt = common.ranged(views, order, common.scratch(turns.sparkSession, "perspectives"))
-    placed = common.prefix_sums(dealt, order, {"position": F.lit(1).cast("long"), "start": F.length("segment").cast("long")}, group)
-    body = F.when(own, F.col("start") + F.col("header"))
-    return placed.select("conv_id", "perspective", "position", "turn", "role", "rendered_role", "segment", "start",
-                         body.alias("trained_start"), (body + F.length("body")).alias("trained_end"))
+    placed = common.prefix_sums(dealt, order, {"position": F.lit(1).cast("long"), "start": F.length(segment).cast("long")}, group)
+    body = F.when(own, F.col("start") + F.length(header))
+    return placed.select(
+        "conv_id", "perspective", "position", "turn", "role",
+        F.when(context, F.col("role")).when(own, F.lit("assistant")).otherwise(F.lit("user")).alias("rendered_role"),
+        segment.alias("segment"), "start", body.alias("trained_start"),
+        (body + F.length(F.concat("text", F.lit("<|im_end|>")))).alias("trained_end"))
