@@ -13,12 +13,16 @@ def main(argv=None) -> None:
     a.add_argument("docs")
     a.add_argument("out")
     a.add_argument("--format", default="parquet")
+    a.add_argument("--multiline", action="store_true", help="one document or array per file, in any layout")
+    a.add_argument("--quarantine", default=None, help="folder for documents that don't parse")
     a.add_argument("--kafka-options", default=None, help="JSON object of Kafka sink options")
     s = sub.add_parser("seed", help="documents -> graph tables + options snapshot")
     s.add_argument("stations")
-    s.add_argument("nearby")
+    s.add_argument("nearby", help="nearby-stop documents, or - to pair --stop-points with the stations by radius")
     s.add_argument("members")
     s.add_argument("out")
+    s.add_argument("--stop-points", default=None, help="parquet folder of all stop points (id, commonName, lat, lon, stopType, lines)")
+    s.add_argument("--multiline", action="store_true", help="one document or array per file, in any layout")
     s.add_argument("--current", default=None)
     s.add_argument("--mode", choices=["upsert", "replace"], default="upsert")
     s.add_argument("--publish", default=None, help="options root that running streams read")
@@ -43,10 +47,13 @@ def main(argv=None) -> None:
 
     if args.cmd == "ingest":
         opts = json.loads(args.kafka_options) if args.kafka_options else None
-        jobs.ingest(spark, args.docs, args.out, args.format, opts).show(truncate=False)
+        jobs.ingest(spark, args.docs, args.out, args.format, opts, args.multiline, args.quarantine).show(truncate=False)
     elif args.cmd == "seed":
-        jobs.seed(spark, args.stations, args.nearby, args.members, args.out, args.current, args.mode,
-                  publish_root=args.publish).show()
+        if args.nearby == "-" and not args.stop_points:
+            ap.error("without nearby documents --stop-points is needed")
+        points = spark.read.parquet(args.stop_points) if args.nearby == "-" else None
+        jobs.seed(spark, args.stations, None if args.nearby == "-" else args.nearby, args.members, args.out, args.current,
+                  args.mode, publish_root=args.publish, stop_points=points, multiline=args.multiline).show()
     elif args.cmd == "stream":
         from detour.schemas import BROKER_RECORD
         from detour.sources.broker import read_broker
