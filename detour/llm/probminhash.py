@@ -10,8 +10,8 @@ Jaccard similarity J_P (the Jaccard similarity, if all counts are one).
 BANDS bands of ROWS registers make the buckets: at J_P = 0.8 a pair meets in one with probability
 1 - (1 - 0.8^4)^24 > 0.999996. J_P of candidates is then computed from the whole texts.
 A bucket never emits all its pairs. Shingles that no other document in the buckets has bound J_P from
-above: a document with too many of them can't reach the similarity with any other, and of
-the rest many pairs can't. Members are compared with one pivot of the bucket, the one with the
+above, and so do counts of shingles by class: a document with too many unshared ones can't
+reach the similarity with any other, and of the rest most pairs that are below it can't. Members are compared with one pivot of the bucket, the one with the
 least share of such shingles; linked ones are merged into components, and again with other
 pivots, until the pairs left between different components are bounded by a multiple of the
 members; of these all that the bound allows are compared. Within a component no comparison is
@@ -42,6 +42,7 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 24, 4
 M = BANDS * ROWS
+CLASSES = 64  # of shingles, for an upper bound of what two texts share
 PIVOT_ROUNDS = 6
 PAIRS_PER_MEMBER = 100  # pairs between components that may be left to look at, for each member of a bucket
 
@@ -165,21 +166,35 @@ def similar(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
 
 
 def rare(texts: DataFrame) -> DataFrame:
-    """(node, n, own, weight, own_weight): the number and weight of a text's shingles and of those that
-    no other text of the table has."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, n, weight, hist, own, own_weight): the number and weight of a text's shingles, their weight
+    by CLASSES classes, and the number and weight of those that no other text of the table has."""
+    def chunked(batches: Iterator[pa.RecordBatch]):
         for b in batches:
             node = b.column("node").to_numpy()
             for lo, hi, raw, at in tb.chunks(b.column("text")):
-                _, _, doc, shingle, weight = weighted(raw, at)
-                yield pa.RecordBatch.from_arrays([pa.array(node[lo:hi][doc]), pa.array(shingle.view(np.int64)), pa.array(weight)],
-                                                 names=["node", "shingle", "weight"])
+                yield node[lo:hi], *weighted(raw, at)[2:]
+
+    def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for node, doc, shingle, weight in chunked(batches):
+            yield pa.RecordBatch.from_arrays([pa.array(node[doc]), pa.array(shingle.view(np.int64)), pa.array(weight)],
+                                             names=["node", "shingle", "weight"])
+
+    def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for node, doc, shingle, weight in chunked(batches):
+            n = len(node)
+            cell = doc * CLASSES + (shingle % np.uint64(CLASSES)).astype(np.int64)
+            hist = np.bincount(cell, weight, n * CLASSES).astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(node), pa.array(np.bincount(doc, minlength=n)), pa.array(np.bincount(doc, weight, n).astype(np.int64)),
+                 pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * CLASSES, pa.int32()), pa.array(hist))],
+                names=["node", "n", "weight", "hist"])
 
-    every = texts.select("node", "text").mapInArrow(run, "node long, shingle long, weight long")
-    by = every.groupBy("shingle").agg(F.count(F.lit(1)).alias("texts"), F.min("node").alias("node"), F.min("weight").alias("weight"))
+    given = texts.select("node", "text")
+    by = given.mapInArrow(shingles, "node long, shingle long, weight long").groupBy("shingle").agg(
+        F.count(F.lit(1)).alias("texts"), F.min("node").alias("node"), F.min("weight").alias("weight"))
     own = by.where("texts = 1").groupBy("node").agg(F.count(F.lit(1)).alias("own"), F.sum("weight").alias("own_weight"))
-    whole = every.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.sum("weight").alias("weight"))
-    return whole.join(own, "node", "left").select("node", "n", "weight", F.coalesce("own", F.lit(0)).cast("long").alias("own"),
+    whole = given.mapInArrow(sizes, "node long, n long, weight long, hist array<int>")
+    return whole.join(own, "node", "left").select("node", "n", "weight", "hist", F.coalesce("own", F.lit(0)).cast("long").alias("own"),
                                                   F.coalesce("own_weight", F.lit(0)).cast("long").alias("own_weight"))
 
 
@@ -187,12 +202,16 @@ def _possible(a: str, b: str, similarity: float) -> Column:
     """Whether J_P of two texts, given their columns of :func:`rare` with suffixes, may reach ``similarity``.
 
     J_P is at most 1 less the weight share of either's own shingles. If all counts are one it is the Jaccard
-    similarity, and the texts share at most the shingles that aren't one's own."""
+    similarity, and the texts share at most the shingles that aren't one's own, and in each class of
+    shingles at most the fewer of the two."""
     c = lambda name, side: F.col(f"{name}{side}")
     shares = [c("own_weight", x) <= (1 - similarity + 1e-9) * c("weight", x) for x in (a, b)]
+    needed = F.lit(similarity) * (c("n", a) + c("n", b)) / F.lit(1 + similarity) - F.lit(1e-6)
     both = F.least(c("n", a) - c("own", a), c("n", b) - c("own", b))
+    fewer = F.zip_with(c("hist", a), c("hist", b), lambda x, y: F.least(x, y))
+    shared = F.aggregate(fewer, F.lit(0), lambda s, x: s + x)
     sets = (c("n", a) == c("weight", a)) & (c("n", b) == c("weight", b))
-    return shares[0] & shares[1] & (~sets | (both * (1 + similarity) >= similarity * (c("n", a) + c("n", b)) - 1e-6))
+    return shares[0] & shares[1] & F.when(sets, (both >= needed) & (shared >= needed)).otherwise(F.lit(True))
 
 
 def _between(members: DataFrame) -> int:
@@ -224,7 +243,7 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     texts = common.written(keyed.select("text_key", "text").join(common.broadcast_if_small(wanted, 100), "text_key")
                            .groupBy("node").agg(F.first("text").alias("text")), f"{path}/texts")
 
-    stats = ["n", "own", "weight", "own_weight"]
+    stats = ["n", "own", "weight", "own_weight", "hist"]
     able = common.written(rare(texts), f"{path}/rare").where(F.col("own_weight") <= (1 - similarity + 1e-9) * F.col("weight"))
     members = common.written(members.join(able, "node"), f"{path}/able")
     looked_at = PAIRS_PER_MEMBER * members.count()
