@@ -42,7 +42,7 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 24, 4
 M = BANDS * ROWS
-CLASSES = 64  # of shingles, for an upper bound of what two texts share
+CLASSES = 128  # of shingles, for an upper bound of what two texts share
 PIVOT_ROUNDS = 6
 PAIRS_PER_MEMBER = 100  # pairs between components that may be left to look at, for each member of a bucket
 
@@ -167,7 +167,7 @@ def similar(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
 
 def rare(texts: DataFrame) -> DataFrame:
     """(node, n, weight, hist, own, own_weight): the number and weight of a text's shingles, their weight
-    by CLASSES classes, and the number and weight of those that no other text of the table has."""
+    by CLASSES classes (null: too large for it), and the number and weight of those that no other text of the table has."""
     def chunked(batches: Iterator[pa.RecordBatch]):
         for b in batches:
             node = b.column("node").to_numpy()
@@ -183,17 +183,17 @@ def rare(texts: DataFrame) -> DataFrame:
         for node, doc, shingle, weight in chunked(batches):
             n = len(node)
             cell = doc * CLASSES + (shingle % np.uint64(CLASSES)).astype(np.int64)
-            hist = np.bincount(cell, weight, n * CLASSES).astype(np.int32)
+            count = np.bincount(cell, weight, n * CLASSES).reshape(n, CLASSES)
+            hist = [None if top > 32767 else row for row, top in zip(count.astype(np.int16), count.max(axis=1, initial=0), strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(node), pa.array(np.bincount(doc, minlength=n)), pa.array(np.bincount(doc, weight, n).astype(np.int64)),
-                 pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * CLASSES, pa.int32()), pa.array(hist))],
-                names=["node", "n", "weight", "hist"])
+                 pa.array(hist, pa.list_(pa.int16()))], names=["node", "n", "weight", "hist"])
 
     given = texts.select("node", "text")
     by = given.mapInArrow(shingles, "node long, shingle long, weight long").groupBy("shingle").agg(
         F.count(F.lit(1)).alias("texts"), F.min("node").alias("node"), F.min("weight").alias("weight"))
     own = by.where("texts = 1").groupBy("node").agg(F.count(F.lit(1)).alias("own"), F.sum("weight").alias("own_weight"))
-    whole = given.mapInArrow(sizes, "node long, n long, weight long, hist array<int>")
+    whole = given.mapInArrow(sizes, "node long, n long, weight long, hist array<smallint>")
     return whole.join(own, "node", "left").select("node", "n", "weight", "hist", F.coalesce("own", F.lit(0)).cast("long").alias("own"),
                                                   F.coalesce("own_weight", F.lit(0)).cast("long").alias("own_weight"))
 
@@ -209,9 +209,9 @@ def _possible(a: str, b: str, similarity: float) -> Column:
     needed = F.lit(similarity) * (c("n", a) + c("n", b)) / F.lit(1 + similarity) - F.lit(1e-6)
     both = F.least(c("n", a) - c("own", a), c("n", b) - c("own", b))
     fewer = F.zip_with(c("hist", a), c("hist", b), lambda x, y: F.least(x, y))
-    shared = F.aggregate(fewer, F.lit(0), lambda s, x: s + x)
+    shared = F.coalesce(F.aggregate(fewer, F.lit(0), lambda s, x: s + x) >= needed, F.lit(True))
     sets = (c("n", a) == c("weight", a)) & (c("n", b) == c("weight", b))
-    return shares[0] & shares[1] & F.when(sets, (both >= needed) & (shared >= needed)).otherwise(F.lit(True))
+    return shares[0] & shares[1] & F.when(sets, (both >= needed) & shared).otherwise(F.lit(True))
 
 
 def _between(members: DataFrame) -> int:
