@@ -1,16 +1,18 @@
 """Lexical retrieval packing: sequences filled with BM25 neighbours.
 
 Every document becomes its ids and an end id. Full windows of a long document are
-sequences of their own; its rest is packed. Documents are dealt, in ranges of their
-heaviest BM25 terms, to shards of bounded size that keep alike documents together and
-split terms or sources of any weight. A shard builds an inverted index over its rests,
-with document frequencies, count and mean length of the whole corpus. From a seed, the index
-returns unused neighbours by falling score; they fill the seed's window, and the one that
-overruns it is cut: its remainder opens the next window and is the next seed. When
-no unused document shares a query term, the next unused document follows. So every window of a
-task is full but the last, which is cut into powers of two.
-
-The terms are token ids, so every table of statistics is bounded by the vocabulary.
+sequences of their own; its rest is packed. Each window has a seed, which takes its unused
+neighbours by falling BM25 score; the one that overruns the window is cut: its remainder opens
+another window and is a seed itself. When no unused document shares a term with the seed, the
+next unused document follows and is the seed. Every term of the seed counts, and every unused document of
+the table is scored: windows are filled in rounds, in each of which blocks of the index score the
+seeds of many windows, and the blocks' best are merged into one list for each seed. Windows take from
+their lists in turn; a list that ends before its window is full is asked for again in the next round. The last
+documents are ordered by one index over all of them. So every window is full but
+the last, which is cut into powers of two.
+
+The terms are token ids, so every table of statistics is bounded by the vocabulary. The driver holds a few
+bytes for each document (what is left of it, whether it is used) and the lists of one round.
 
 Null and empty texts hold the end id alone and are packed like others; repeated rows are
 packed once each; an empty table gives no rows; other columns are not carried.
@@ -31,9 +33,13 @@ from detour.llm import common, tokens
 from detour.llm.huffman import tokenised
 
 WINDOW = 2048
-SHARD_DOCS = 2048
-SHARD_IDS = 1_500_000
-QUERY_TERMS = 16
+FINAL_DOCS = 4096  # when so few are left, one index holds them all
+ROUND_WINDOWS = 8192
+BLOCK_DOCS = 8192  # scored at once, for QUERY_ROWS seeds
+QUERY_ROWS = 256
+LIST = 32          # neighbours a seed gets in a round
+DENSE_TERMS = 512  # the commonest terms are scored by a matrix product
+QUERY_TERMS = None  # of a seed: all
 K1, B = 1.2, 0.75
 
 PIECE = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
@@ -52,11 +58,6 @@ def _weights(doc: np.ndarray, term: np.ndarray, n: np.ndarray, sizes: np.ndarray
     return (idf[term] * n * (K1 + 1) / (n + norm)).astype(np.float32)
 
 
-def _ranked(doc: np.ndarray, weight: np.ndarray, n_docs: int) -> tuple[np.ndarray, np.ndarray]:
-    """(order of the terms: by document, heaviest first; where each document begins)"""
-    return np.lexsort((-weight, doc)), np.searchsorted(doc, np.arange(n_docs + 1))
-
-
 def corpus_statistics(ids: DataFrame, end_id: int = 1) -> tuple[np.ndarray, float]:
     """(idf of each term, mean length), over all documents."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -85,18 +86,53 @@ class Shard:
     """The inverted index over some documents: term -> (document, BM25 weight)."""
 
     def __init__(self, flat: np.ndarray, sizes: np.ndarray, idf: np.ndarray, mean: float, end_id: int):
-        doc, term, n = _terms(flat, sizes, end_id)
-        weight = _weights(doc, term, n, sizes, idf, mean)
-        ranked, self.begin = _ranked(doc, weight, len(sizes))
-        self.term_of = term[ranked]
+        self._build(*_terms(flat, sizes, end_id), sizes, idf, mean)
+
+    @classmethod
+    def of_terms(cls, table: pa.Table, idf: np.ndarray, mean: float) -> "Shard":
+        """From rows of the written index."""
+        terms, n_terms = tokens.ids_of(table.column("terms"))
+        counts, sizes = tokens.ids_of(table.column("counts"))[0], table.column("n_ids").to_numpy()
+        self = cls.__new__(cls)
+        self._build(np.repeat(np.arange(len(sizes)), n_terms), terms.astype(np.int64), counts, sizes, idf, mean)
+        return self
+
+    def _build(self, doc: np.ndarray, term: np.ndarray, n: np.ndarray, sizes: np.ndarray, idf: np.ndarray, mean: float) -> None:
+        self.term_of, self.begin = term, np.searchsorted(doc, np.arange(len(sizes) + 1))
         by_term = np.argsort(term, kind="stable")
-        self.doc, self.weight = doc[by_term], weight[by_term]
+        self.doc, self.weight = doc[by_term], _weights(doc, term, n, sizes, idf, mean)[by_term]
         self.edge = np.searchsorted(term[by_term], np.arange((1 << 16) + 1))
         self.n = len(sizes)
 
+    def best(self, queries: list[np.ndarray], common_terms: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(query, its best documents, their scores), LIST of them at most."""
+        column = np.full(1 << 16, -1)
+        column[common_terms] = np.arange(len(common_terms))
+        dense = np.zeros((len(common_terms), self.n), np.float32)
+        for j, t in enumerate(common_terms.tolist()):
+            at = slice(self.edge[t], self.edge[t + 1])
+            dense[j, self.doc[at]] = self.weight[at]
+        present = self.edge[1:] > self.edge[:-1]
+        for lo in range(0, len(queries), QUERY_ROWS):
+            some = queries[lo:lo + QUERY_ROWS]
+            has = np.zeros((len(some), len(common_terms)), np.float32)
+            for i, q in enumerate(some):
+                has[i, column[q][column[q] >= 0]] = 1
+            scores = has @ dense
+            for i, q in enumerate(some):
+                score, rare = scores[i], q[(column[q] < 0) & present[q]]
+                if len(rare):
+                    spans = [slice(b, e) for b, e in zip(self.edge[rare].tolist(), self.edge[rare.astype(np.int64) + 1].tolist(), strict=True)]
+                    score = score + np.bincount(np.concatenate([self.doc[s] for s in spans]),
+                                                np.concatenate([self.weight[s] for s in spans]), self.n)
+                top = np.argpartition(-score, LIST)[:LIST] if self.n > LIST else np.arange(self.n)
+                top = top[score[top] > 0]
+                if len(top):
+                    yield lo + i, top, score[top].astype(np.float32)
+
     def neighbours(self, seed: int, used: np.ndarray) -> Iterator[int]:
-        """Unused documents that share one of the seed's heaviest terms, best first."""
-        query = self.term_of[self.begin[seed]:min(self.begin[seed + 1], self.begin[seed] + QUERY_TERMS)]
+        """Unused documents that share a term with the seed, best first."""
+        query = self.term_of[self.begin[seed]:self.begin[seed + 1]][:QUERY_TERMS]
         spans = [slice(self.edge[t], self.edge[t + 1]) for t in query.tolist()]
         if not spans:
             return
@@ -135,109 +171,287 @@ def _order(shard: Shard, rests: np.ndarray, space: int) -> list[int]:
             neighbours = shard.neighbours(nxt, used)
 
 
-def pack(docs: DataFrame, tokenizer: str, drop_space: bool = False, end_id: int = 1) -> DataFrame:
-    """One row for each piece: where it comes from (doc_id, start, length, ``row``: which of rows
-    that share a doc_id), where it goes (sequence_id, offset), its digest, and whether it opens its sequence."""
-    spark = docs.sparkSession
-    ids = common.written(tokenised(docs, tokenizer, drop_space, end_id)
-                         .withColumn("row", F.monotonically_increasing_id()), common.scratch(spark, "packing_ids"))
-    idf, mean = corpus_statistics(ids, end_id)
+INDEX = "num long, n_ids long, terms binary, counts binary"
+PLACE = "row long, start long, length long, sequence_id long, offset long"
 
-    def heaviest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            flat, sizes = tokens.ids_of(b.column(1))
-            doc, term, n = _terms(flat, sizes, end_id)
-            ranked, begin = _ranked(doc, _weights(doc, term, n, sizes, idf, mean), len(sizes))
-            keys = []
-            for j in (0, 1):
-                has = begin[:-1] + j < begin[1:]
-                key = np.full(len(sizes), -1, np.int32)
-                key[has] = term[ranked[begin[:-1][has] + j]]
-                keys.append(pa.array(key))
-            yield pa.RecordBatch.from_arrays([*keys, *b.columns], names=["k1", "k2", "doc_id", "ids", "row"])
-
-    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task = Filler(TaskContext.get().partitionId() << 32, idf, mean, end_id)
-        held: list[pa.RecordBatch] = []
+
+def _names(schema: str) -> list[str]:
+    return [c.split()[0] for c in schema.split(",")]
+
+
+def _kept(table: DataFrame, wanted: np.ndarray) -> DataFrame:
+    """The rows of the index whose number is set in ``wanted``."""
+    sent = table.sparkSession.sparkContext.broadcast(np.packbits(wanted))
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = sent.value
         for b in batches:
-            for lo in range(0, b.num_rows, SHARD_DOCS):
-                held.append(b.slice(lo, SHARD_DOCS))
-                if sum(x.num_rows for x in held) >= SHARD_DOCS or sum(x.nbytes for x in held) >= 2 * SHARD_IDS:
-                    yield task.shard(pa.Table.from_batches(held).combine_chunks())
-                    held = []
-        if held:
-            yield task.shard(pa.Table.from_batches(held).combine_chunks())
-        yield task.rest()
+            num = b.column(0).to_numpy()
+            yield b.filter(pa.array(bits[num >> 3] >> (7 - (num & 7)).astype(np.uint8) & 1 == 1))
 
-    order = ["k1", "k2", "doc_id", "row"]
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return (ids.select("doc_id", "ids", "row").mapInArrow(heaviest, "k1 int, k2 int, doc_id long, ids binary, row long")
-            .repartitionByRange(n, *order).sortWithinPartitions(*order).select("doc_id", "ids", "row").mapInArrow(fill, PIECE))
+    return table.mapInArrow(keep, table.schema)
+
+
+def _hashed(seed: np.ndarray | int, num: np.ndarray) -> np.ndarray:
+    """Breaks ties, differently for each seed: equal texts don't all ask for the same copies."""
+    return (num.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ np.uint64(seed) * np.uint64(0xC2B2AE3D27D4EB4F)) * np.uint64(0xFF51AFD7ED558CCD)
 
 
-class Filler:
-    """Lays documents of one task into windows, shard after shard."""
+def nearest(index: DataFrame, unused: np.ndarray, seeds: np.ndarray, idf: np.ndarray, mean: float, common_terms: np.ndarray) -> list[np.ndarray]:
+    """For each of ``seeds``, the numbers of its best documents among all ``unused`` ones of the table, best first."""
+    spark, is_seed = index.sparkSession, np.zeros(len(unused), bool)
+    is_seed[seeds] = True
+    own = _kept(index.select("num", "terms"), is_seed).toArrow()
+    flat, n_terms = tokens.ids_of(own.column("terms"))
+    terms = dict(zip(own.column("num").to_pylist(), np.split(flat, np.cumsum(n_terms)[:-1]), strict=True))
+    sent = spark.sparkContext.broadcast([terms[s] for s in seeds.tolist()])
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
 
-    def __init__(self, first_sequence: int, idf: np.ndarray, mean: float, end_id: int):
-        self.sequence, self.idf, self.mean, self.end_id = first_sequence, idf, mean, end_id
-        self.open: list[tuple] = []  # pieces of the window that isn't full, with their ids
-        self.filled = 0
+        def block() -> Iterator[pa.RecordBatch]:
+            t = pa.Table.from_batches(held).combine_chunks()
+            num, rows = t.column("num").to_numpy(), []
+            for q, top, value in Shard.of_terms(t, idf, mean).best(sent.value, common_terms):
+                rows.append((q, num[top].tobytes(), value.tobytes()))
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), (pa.int32(), pa.binary(), pa.binary()), strict=True)],
+                                                 names=["q", "nums", "scores"])
+        for b in batches:
+            if b.num_rows:
+                held.append(b)
+            if sum(x.num_rows for x in held) >= BLOCK_DOCS:
+                yield from block()
+                held = []
+        if held:
+            yield from block()
 
-    def shard(self, t: pa.Table) -> pa.RecordBatch:
-        flat, sizes = tokens.ids_of(t.column("ids"))
-        names, numbers = t.column("doc_id").to_pylist(), t.column("row").to_pylist()
-        begin = np.cumsum(sizes) - sizes
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, nums, scores = -1, np.zeros(0, np.int64), np.zeros(0, np.float32)
         out: list[tuple] = []
-        for i in np.flatnonzero(sizes >= WINDOW).tolist():
-            for start in range(0, int(sizes[i]) // WINDOW * WINDOW, WINDOW):
-                out.append(self._row(names[i], numbers[i], start, flat[begin[i] + start:begin[i] + start + WINDOW], int(sizes[i]),
-                                     self.sequence, 0))
-                self.sequence += 1
-        rests = sizes % WINDOW
-        index = Shard(flat, sizes, self.idf, self.mean, self.end_id)
-        for i in _order(index, rests, WINDOW - self.filled):
-            start, end = int(sizes[i] - rests[i]), int(sizes[i])
-            while start < end:
-                take = min(end - start, WINDOW - self.filled)
-                self.open.append((names[i], numbers[i], start, flat[begin[i] + start:begin[i] + start + take].copy(), int(sizes[i])))
-                self.filled += take
-                start += take
-                if self.filled == WINDOW:
-                    out += self._close(self.open)
-                    self.open, self.filled = [], 0
-        return self._batch(out)
-
-    def rest(self) -> pa.RecordBatch:
-        """The last window, cut into powers of two, so that it needs no padding."""
-        out, left = [], self.open
-        while left:
-            room, size = 0, 1 << (sum(len(p[3]) for p in left).bit_length() - 1)
+        for b in batches:
+            for q, n, v in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
+                if q != now:
+                    out.append((now, nums.tobytes()))
+                    now, nums, scores = q, np.zeros(0, np.int64), np.zeros(0, np.float32)
+                nums, scores = np.concatenate([nums, np.frombuffer(n, np.int64)]), np.concatenate([scores, np.frombuffer(v, np.float32)])
+                order = np.lexsort((_hashed(q, nums), -scores))[:LIST]
+                nums, scores = nums[order], scores[order]
+        out = [x for x in [*out, (now, nums.tobytes())] if x[0] >= 0]
+        yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int32()), pa.array([x[1] for x in out], pa.binary())], names=["q", "nums"])
+
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    got = (_kept(index, unused).mapInArrow(score, "q int, nums binary, scores binary")
+           .repartition(n, "q").sortWithinPartitions("q").mapInArrow(merge, "q int, nums binary").toArrow())
+    lists = [np.zeros(0, np.int64)] * len(seeds)
+    for q, nums in zip(got.column("q").to_pylist(), got.column("nums").to_pylist(), strict=True):
+        lists[q] = np.frombuffer(nums, np.int64)
+    sent.destroy()
+    return lists
+
+
+class Windows:
+    """Which part of each document's rest lies in which window; kept on the driver."""
+
+    def __init__(self, rests: np.ndarray, sizes_from: np.ndarray, bare: np.ndarray):
+        self.left, self.start, self.bare = rests, sizes_from, bare  # bare: without terms
+        self.free = rests > 0
+        self.sequence, self.after = 0, 0
+        self.open: list[tuple[int, list[tuple]]] = []  # (seed, pieces: number, start, length)
+        self.next: list[int] = []  # remainders, the next seeds; not free
+        self.placed: list[tuple] = []
+
+    def pool(self) -> np.ndarray:
+        """All that isn't placed, with open windows and remainders given back."""
+        for _, pieces in self.open:
+            self._back(pieces)
+        self.free[self.next] = True
+        self.open, self.next, self.after = [], [], 0
+        return np.flatnonzero(self.free)
+
+    def size(self) -> tuple[int, int]:
+        """(documents, ids) that aren't placed."""
+        held = [p for _, pieces in self.open for p in pieces]
+        return (int(self.free.sum()) + len(self.next) + len(held),
+                int(self.left[self.free].sum()) + int(self.left[self.next].sum()) + sum(p[2] for p in held))
+
+    def _back(self, pieces: list[tuple]) -> None:
+        for num, start, length in pieces:
+            self.start[num], self.left[num], self.free[num] = start, length, True
+
+    def begin(self, n: int) -> np.ndarray:
+        """The seeds of ``n`` windows: open ones first, then remainders, then documents from all over the table."""
+        for _, pieces in self.open[n:]:
+            self._back(pieces)
+        del self.open[n:]
+        new, self.next = self.next[:n - len(self.open)], self.next[n - len(self.open):]
+        self.free[self.next] = True
+        self.next = []
+        more = np.flatnonzero(self.free)
+        want = min(n - len(self.open) - len(new), len(more))
+        new += more[np.arange(want) * len(more) // max(want, 1)].tolist()
+        for num in new:
+            self.open.append((num, []))
+            self._take(len(self.open) - 1, num)
+        self.after = 0
+        return np.array([s for s, _ in self.open], np.int64)
+
+    def _take(self, w: int, num: int) -> bool:
+        """Put a document into a window; whether that is full now."""
+        pieces = self.open[w][1]
+        room = WINDOW - sum(p[2] for p in pieces)
+        take = min(room, int(self.left[num]))
+        pieces.append((num, int(self.start[num]), take))
+        self.start[num] += take
+        self.left[num] -= take
+        self.free[num] = False
+        if take == room and self.left[num]:
+            self.next.append(num)
+        return take == room
+
+    def fill(self, lists: list[np.ndarray]) -> None:
+        """Let each window take its neighbours, best first, until it is full or its list ends."""
+        still = []
+        for w, found in enumerate(lists):
+            full = False
+            for num in found.tolist():
+                if self.free[num]:
+                    full = self._take(w, num)
+                    if full:
+                        break
+            while not full and len(found) < LIST:  # no other unused document shares a term with the seed
+                while self.after < len(self.free) and not self.free[self.after]:
+                    self.after += 1
+                if self.after == len(self.free):
+                    break
+                num = self.after
+                full = self._take(w, num)
+                self.open[w] = (num, self.open[w][1])
+                if not self.bare[num]:
+                    break
+            if full:
+                self.close(self.open[w][1])
+            else:
+                still.append(self.open[w])
+        self.open = still
+
+    def close(self, pieces: list[tuple]) -> None:
+        at = 0
+        for num, start, length in pieces:
+            self.placed.append((num, start, length, self.sequence, at))
+            at += length
+        self.sequence += 1
+
+    def finish(self, nums: np.ndarray, shard: Shard) -> None:
+        """Place the last documents; the last window is cut into powers of two, so that it needs no padding."""
+        pieces: list[tuple] = []
+        for i in _order(shard, self.left[nums].astype(np.int64), WINDOW):
+            num = int(nums[i])
+            while self.left[num]:
+                take = min(int(self.left[num]), WINDOW - sum(p[2] for p in pieces))
+                pieces.append((num, int(self.start[num]), take))
+                self.start[num] += take
+                self.left[num] -= take
+                if sum(p[2] for p in pieces) == WINDOW:
+                    self.close(pieces)
+                    pieces = []
+        while pieces:
+            room, size = 0, 1 << (sum(p[2] for p in pieces).bit_length() - 1)
             now: list[tuple] = []
             while room < size:
-                name, number, start, ids, total = left.pop(0)
-                take = min(len(ids), size - room)
-                now.append((name, number, start, ids[:take], total))
-                if take < len(ids):
-                    left.insert(0, (name, number, start + take, ids[take:], total))
+                num, start, length = pieces.pop(0)
+                take = min(length, size - room)
+                now.append((num, start, take))
+                if take < length:
+                    pieces.insert(0, (num, start + take, length - take))
                 room += take
-            out += self._close(now)
-        return self._batch(out)
-
-    def _close(self, pieces: list[tuple]) -> list[tuple]:
-        rows, at = [], 0
-        for name, number, start, ids, total in pieces:
-            rows.append(self._row(name, number, start, ids, total, self.sequence, at))
-            at += len(ids)
-        self.sequence += 1
-        return rows
-
-    @staticmethod
-    def _row(name, number: int, start: int, ids: np.ndarray, total: int, sequence: int, at: int) -> tuple:
-        return name, start, len(ids), zlib.crc32(ids.astype("<u4").tobytes()), total, sequence, at, number, at == 0
-
-    @staticmethod
-    def _batch(rows: list[tuple]) -> pa.RecordBatch:
-        names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "row", "seed"]
-        kinds = [*[pa.int64()] * 8, pa.bool_()]
-        cols = list(zip(*rows, strict=True)) or [()] * len(names)
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=names)
+            self.close(now)
+
+
+def pack(docs: DataFrame, tokenizer: str, drop_space: bool = False, end_id: int = 1) -> DataFrame:
+    """One row for each piece: where it comes from (doc_id, start, length, ``row``: which of rows
+    that share a doc_id), where it goes (sequence_id, offset), its digest, and whether it opens its sequence."""
+    spark, path = docs.sparkSession, common.scratch(docs.sparkSession, "packing")
+    ids = common.written(tokenised(docs, tokenizer, drop_space, end_id)
+                         .withColumn("row", F.monotonically_increasing_id()), f"{path}/ids")
+    idf, mean = corpus_statistics(ids, end_id)
+    common_terms = np.argsort(idf, kind="stable")[:DENSE_TERMS]
+
+    counted = ids.groupBy(F.shiftright("row", 33).alias("part")).count().orderBy("part").collect()
+    part, n_rows = np.array([r["part"] for r in counted], np.int64), np.array([r["count"] for r in counted], np.int64)
+    first = np.cumsum(n_rows) - n_rows  # rows are numbered without gaps
+
+    def terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            row, (flat, sizes) = b.column(1).to_numpy(), tokens.ids_of(b.column(0))
+            doc, term, n = _terms(flat, sizes, end_id)
+            each = np.bincount(doc, minlength=len(sizes))
+            num = first[np.searchsorted(part, row >> 33)] + (row & ((1 << 33) - 1))
+            yield pa.RecordBatch.from_arrays([pa.array(num), pa.array(sizes), tokens.binary(term.astype(np.uint16), each),
+                                              tokens.binary(np.minimum(n, (1 << 16) - 1).astype(np.uint16), each)],
+                                             names=["num", "n_ids", "terms", "counts"])
+
+    def lengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            got = np.stack([b.column(0).to_numpy(), b.column(1).to_numpy(), b.column(2).to_numpy()])
+            yield pa.RecordBatch.from_arrays([pa.array([got.astype(np.int64).tobytes()], pa.binary())], names=["got"])
+
+    index = common.written(ids.select("ids", "row").mapInArrow(terms, INDEX), f"{path}/index-0")
+    total = int(n_rows.sum())
+    rests, starts, bare = np.zeros(total, np.int16), np.zeros(total, np.int32), np.zeros(total, bool)
+    for r in index.select("num", "n_ids", F.length("terms").alias("n")).mapInArrow(lengths, "got binary").toLocalIterator():
+        num, size, n = np.frombuffer(bytes(r["got"]), np.int64).reshape(3, -1)
+        rests[num], starts[num], bare[num] = size % WINDOW, size // WINDOW * WINDOW, n == 0
+
+    def put(w: Windows) -> None:
+        cols = [np.array(c, np.int64) for c in zip(*w.placed, strict=True)] or [np.zeros(0, np.int64)] * 5
+        at = np.searchsorted(first, cols[0], side="right") - 1 if total else cols[0]
+        rows = (part[at] << 33) + cols[0] - first[at] if total else cols[0]
+        t = pa.Table.from_arrays([pa.array(c) for c in (rows, *cols[1:])], names=_names(PLACE))
+        spark.createDataFrame(t, PLACE).write.mode("append").parquet(f"{path}/places")
+        w.placed = []
+
+    w, written = Windows(rests, starts, bare), total
+    while (size := w.size())[0] > FINAL_DOCS:
+        seeds = w.begin(max(1, min(ROUND_WINDOWS, size[1] // (4 * WINDOW))))
+        w.fill(nearest(index, w.free, seeds, idf, mean, common_terms))
+        if len(w.placed) >= FINAL_DOCS:
+            put(w)
+        if (now := w.size()[0]) < written // 2:  # what is placed needn't be read again
+            live = w.free.copy()
+            live[w.next] = True
+            live[[p[0] for _, pieces in w.open for p in pieces]] = True
+            live[[s for s, _ in w.open]] = True
+            index, written = common.written(_kept(index, live), f"{path}/index-{now}"), now
+    last = w.pool()
+    wanted = np.zeros(total, bool)
+    wanted[last] = True
+    t = _kept(index, wanted).toArrow().sort_by("num").combine_chunks()
+    if len(last):
+        w.finish(last, Shard.of_terms(t, idf, mean))
+    put(w)
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sequence = (1 + TaskContext.get().partitionId()) << 32  # of full windows; the others count from 0
+        for b in batches:
+            flat, sizes = tokens.ids_of(b.column(1))
+            begin, out = np.cumsum(sizes) - sizes, []
+            for i, (name, number, places) in enumerate(zip(b.column(0).to_pylist(), b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True)):
+                n = int(sizes[i])
+                own = [(s, WINDOW, sequence + s // WINDOW, 0) for s in range(0, n // WINDOW * WINDOW, WINDOW)]
+                sequence += len(own)
+                for start, length, seq, at in own + [(p["start"], p["length"], p["sequence_id"], p["offset"]) for p in places or ()]:
+                    piece = flat[begin[i] + start:begin[i] + start + length]
+                    out.append((name, start, length, zlib.crc32(piece.astype("<u4").tobytes()), n, seq, at, number, at == 0))
+            yield _batch(out)
+
+    places = (spark.read.schema(PLACE).parquet(f"{path}/places").groupBy("row")
+              .agg(F.collect_list(F.struct("start", "length", "sequence_id", "offset")).alias("places")))
+    return ids.join(places, "row", "left").select("doc_id", "ids", "row", "places").mapInArrow(rows, PIECE)
+
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    names = _names(PIECE)
+    kinds = [*[pa.int64()] * 8, pa.bool_()]
+    cols = list(zip(*rows, strict=True)) or [()] * len(names)
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=names)

@@ -90,3 +90,35 @@ def test_binary_columns_round_trip():
     flat, sizes = np.arange(10, dtype=np.uint16), np.array([3, 0, 7])
     back, n = tokens.ids_of(pa.chunked_array([tokens.binary(flat, sizes)]))
     assert back.tolist() == flat.tolist() and n.tolist() == sizes.tolist()
+
+
+def test_the_whole_table_is_searched_with_all_terms(spark, monkeypatch):
+    """Lists of seeds over several blocks against BM25 with every term of the seed over every document."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    monkeypatch.setattr(packing, "FINAL_DOCS", 80)
+    seen = []
+
+    def nearest(index, unused, seeds, idf, mean, common_terms, real=packing.nearest):
+        got = real(index, unused, seeds, idf, mean, common_terms)
+        seen.append((index.collect(), unused.copy(), seeds, got, idf, mean))
+        return got
+    monkeypatch.setattr(packing, "nearest", nearest)
+    check(docs.collect(), packing.pack(docs, BYTE).collect())
+    index, unused, seeds, lists, idf, mean = seen[0]
+    weights = {}
+    for r in index:
+        terms, n = np.frombuffer(bytes(r.terms), np.uint16), np.frombuffer(bytes(r.counts), np.uint16)
+        weights[r.num] = dict(zip(terms.tolist(), idf[terms] * n * 2.2 / (n + 1.2 * (0.25 + 0.75 * r.n_ids / mean)), strict=True))
+    assert len(seen) > 1 and len(seeds) > 1 and max(len(weights[s]) for s in seeds) > 16
+    for seed, got in zip(seeds.tolist(), lists, strict=True):
+        score = {d: sum(v for t, v in w.items() if t in weights[seed]) for d, w in weights.items() if unused[d]}
+        want = sorted((v for v in score.values() if v > 0), reverse=True)[:packing.LIST]
+        assert len(set(got.tolist())) == len(got) and np.allclose([score[d] for d in got.tolist()], want, rtol=1e-4)
+
+
+def test_rounds_with_odd_documents(spark, monkeypatch):
+    """No terms, equal texts, more windows than lists can fill at once."""
+    monkeypatch.setattr(packing, "FINAL_DOCS", 70)
+    monkeypatch.setattr(packing, "LIST", 8)
+    docs = odd_docs(spark, [doc(50 + i, "") for i in range(40)] + [doc(100, "copy of this " * 200)] * 30)
+    check(docs.collect(), packing.pack(docs, BYTE).collect())
