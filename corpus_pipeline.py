@@ -40,7 +40,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of the packed sequences."""
-    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), literals=True)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

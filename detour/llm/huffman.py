@@ -35,10 +35,10 @@ BLOCK = ("part int, block int, first long, n_ids long, doc_ids array<bigint>, si
          "checkpoints array<bigint>, bits binary")
 
 
-def tokenised(docs: DataFrame, path: str, drop_space: bool, end_id: int = 1) -> DataFrame:
+def tokenised(docs: DataFrame, path: str, drop_space: bool, end_id: int = 1, literals: bool = False) -> DataFrame:
     """(doc_id, ids: 16-bit little-endian, n_ids): the whole text's ids and the end id."""
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok = tokens.tokenizer(path, drop_space)
+        tok = tokens.tokenizer(path, drop_space, literals)
         for b in batches:
             flat, sizes = tok.ids(b.column(1), end_id)
             yield pa.RecordBatch.from_arrays([b.column(0), tokens.binary(flat, sizes), pa.array(sizes)],
@@ -155,10 +155,10 @@ def unpack_bits(words: np.ndarray, at: np.ndarray, counts: np.ndarray, symbol: n
     return out[back][np.arange(out.shape[1])[None, :] < counts[:, None]]
 
 
-def write_tokens(docs: DataFrame, path: str, tokenizer: str, drop_space: bool, end_id: int = 1) -> str:
+def write_tokens(docs: DataFrame, path: str, tokenizer: str, drop_space: bool, end_id: int = 1, literals: bool = False) -> str:
     """Write the ids of ``docs`` (doc_id, text), in ascending doc_id, below ``path``."""
     spark = docs.sparkSession
-    ids = common.written(tokenised(docs, tokenizer, drop_space, end_id)
+    ids = common.written(tokenised(docs, tokenizer, drop_space, end_id, literals)
                          .withColumns({"tie": F.xxhash64("ids"), "row": F.monotonically_increasing_id()}),
                          common.scratch(spark, "token_ids"))
     counts = np.zeros(1 << 16, np.int64)

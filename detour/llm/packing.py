@@ -368,11 +368,11 @@ class Windows:
             self.close(now)
 
 
-def pack(docs: DataFrame, tokenizer: str, drop_space: bool = False, end_id: int = 1) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, drop_space: bool = False, end_id: int = 1, literals: bool = False) -> DataFrame:
     """One row for each piece: where it comes from (doc_id, start, length, ``row``: which of rows
     that share a doc_id), where it goes (sequence_id, offset), its digest, and whether it opens its sequence."""
     spark, path = docs.sparkSession, common.scratch(docs.sparkSession, "packing")
-    ids = common.written(tokenised(docs, tokenizer, drop_space, end_id)
+    ids = common.written(tokenised(docs, tokenizer, drop_space, end_id, literals)
                          .withColumn("row", F.monotonically_increasing_id()), f"{path}/ids")
     idf, mean = corpus_statistics(ids, end_id)
     common_terms = np.argsort(idf, kind="stable")[:DENSE_TERMS]

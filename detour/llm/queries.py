@@ -14,7 +14,7 @@ URL_RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.exa
 
 
 def op1_bm25_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(common.load(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.pack(common.load(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), literals=True)
 
 
 def op2_factorisation_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,7 +41,7 @@ def op6_perspective_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_huffman_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = huffman.write_tokens(common.load(spark, sf_dir, "documents"), common.scratch(spark, "tokens"),
-                                public_tokenizers.path("word_bpe_49k.json"), drop_space=True)
+                                public_tokenizers.path("word_bpe_49k.json"), drop_space=True, literals=True)
     return huffman.read_tokens(spark, path, digests=True)
 
 

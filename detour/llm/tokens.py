@@ -6,11 +6,15 @@ white space that follows other characters, and between a letter and an ASCII
 punctuation mark (apostrophes excepted: contractions). Only pieces that the worker has not met go to
 the library; ids of all others come from the cache. Cutting at boundaries of the
 tokenizer's own pre-tokens leaves the ids unchanged.
+
+Literals of added tokens (such as <|endoftext|>) are text like any other, or, with ``literals``, get
+their ids as by the tokenizer's defaults: what stands between them is then cut on its own.
 """
 
 from __future__ import annotations
 
 import os
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -28,24 +32,26 @@ _KIND[97:123] = _LETTER
 for _lo, _hi in ((33, 39), (40, 48), (58, 65), (91, 97), (123, 127)):
     _KIND[_lo:_hi] = _MARK
 
-_OPEN: dict[str, "PieceTokenizer"] = {}
+_OPEN: dict[tuple[str, bool], "PieceTokenizer"] = {}
 
 
-def tokenizer(path: str, drop_space: bool) -> "PieceTokenizer":
+def tokenizer(path: str, drop_space: bool, literals: bool = False) -> "PieceTokenizer":
     """The worker's tokenizer for ``path``; its cache lives as long as the worker does."""
-    if path not in _OPEN:
-        _OPEN[path] = PieceTokenizer(path, drop_space)
-    return _OPEN[path]
+    if (path, literals) not in _OPEN:
+        _OPEN[path, literals] = PieceTokenizer(path, drop_space, literals=literals)
+    return _OPEN[path, literals]
 
 
 class PieceTokenizer:
     """``drop_space``: the tokenizer drops white space, so pieces can leave it out."""
 
-    def __init__(self, path: str, drop_space: bool, cache_pieces: int = CACHE_PIECES):
+    def __init__(self, path: str, drop_space: bool, cache_pieces: int = CACHE_PIECES, literals: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.lib = Tokenizer.from_file(path)
-        self.lib.encode_special_tokens = True
+        self.lib.encode_special_tokens = not literals
+        self.added = {t.content.encode(): i for i, t in self.lib.get_added_tokens_decoder().items()} if literals else {}
+        self.literal = re.compile(b"|".join(re.escape(x) for x in sorted(self.added, key=len, reverse=True))) if self.added else None
         if self.lib.get_vocab_size() > 1 << 16:
             raise ValueError("ids are kept in 16 bits")
         self.drop_space = drop_space
@@ -134,11 +140,29 @@ class PieceTokenizer:
         edge = np.concatenate([[0], total])[pieces]
         return self.pool[take], np.diff(edge)
 
+    def _split(self, raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """As _chunk, with the literals of added tokens as pieces of their own."""
+        blob = raw.tobytes() if self.literal else b""
+        if not self.literal or not self.literal.search(blob):
+            return self._chunk(raw, at)
+        ends = at.tolist()
+        found = [m for lo, hi in zip(ends, ends[1:]) for m in self.literal.finditer(blob, lo, hi)]
+        starts = np.array([m.start() for m in found], np.int64)
+        edges = np.unique(np.concatenate([at, starts, np.array([m.end() for m in found], np.int64)]))
+        ids, n = self._chunk(raw, edges)
+        literal = np.searchsorted(edges, starts)
+        text = np.ones(len(n), bool)
+        text[literal] = False
+        ids, n = ids[np.repeat(text, n)], np.where(text, n, 0)
+        ids = np.insert(ids, (np.cumsum(n) - n)[literal], np.array([self.added[m.group()] for m in found], np.uint16))
+        n[literal] = 1
+        return ids, np.diff(np.concatenate([[0], np.cumsum(n)])[np.searchsorted(edges, at)])
+
     def ids(self, column: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts with ``end_id`` after each, their numbers); null counts as empty."""
         got, sizes = [], []
         for _, _, raw, at in tb.chunks(column):
-            ids, n = self._chunk(raw, at)
+            ids, n = self._split(raw, at)
             got.append(np.insert(ids, np.cumsum(n), np.uint16(end_id)))
             sizes.append(n + 1)
         if not got:

@@ -30,3 +30,15 @@ def test_same_ids_as_the_library(name, drop, cache):
     assert sizes.tolist() == [len(w) for w in want]
     for text, w, got in zip(texts, want, np.split(ids, np.cumsum(sizes)[:-1]), strict=True):
         assert got.tolist() == w, text
+
+
+@pytest.mark.parametrize("name,drop", FILES)
+def test_literals_of_added_tokens(name, drop):
+    """Against the library left at its defaults."""
+    lib, rng = Tokenizer.from_file(P.path(name)), random.Random(7)
+    alphabet = ["<|endoftext|>", "<|startoftext|>", "<|endof", "text|>", "<|", "|>", " ", "  ", "\n", "one", "'s", "é", "語", ",", "12", "a"]
+    texts = (ODD_TEXTS + ["one <|endoftext|> two", "<|endoftext|>", "cut <|endof", "text|> here", "<|endoftext|><|endoftext|>"]
+             + ["".join(rng.choices(alphabet, k=rng.randrange(20))) for _ in range(400)])
+    ids, sizes = PieceTokenizer(P.path(name), drop, literals=True).ids(pa.array(texts, pa.string()), 1)
+    for text, got in zip(texts, np.split(ids, np.cumsum(sizes)[:-1]), strict=True):
+        assert got.tolist() == lib.encode(text or "", add_special_tokens=False).ids + [1], text
