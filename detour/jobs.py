@@ -28,6 +28,7 @@ from detour.operators.parse import quarantine
 from detour.operators.paths import nearest_paths
 from detour.operators.reports import alert_summary, first_alerts, latest_alerts
 from detour.operators.status import events_from_documents, poll_counts
+from detour.operators.upsert import latest_per_key
 from detour import schemas as S
 from detour.params import DEFAULT, Params
 from detour.schemas import STATUS_EVENT
@@ -126,7 +127,8 @@ def seed(spark: SparkSession, stations_path: str, nearby_path: str | None, membe
     if nearby_path is not None:
         nb = land(nearby_path, S.NEARBY_DOC, "nearby")
     else:
-        pairs = nearby_pairs(stations_from_documents(st).dropDuplicates(["station_id"]), stop_points, p.radius_m)
+        stations = latest_per_key(stations_from_documents(st), ["station_id"], ["seq"])  # as in the node table
+        pairs = nearby_pairs(stations, stop_points, p.radius_m)
         nb = D.landed(nearby_documents(pairs), f"{out_dir}/documents/nearby")
     D.rejected_documents(st, nb, mb).write.parquet(f"{out_dir}/rejected")
     current = read_graph(spark, current_dir) if current_dir else None

@@ -78,6 +78,20 @@ def test_seed_without_nearby_documents(spark, tmp_path):
     assert [(r.stop_id, r.name) for r in g.bus_stops.collect()] == [("B1", "near")] and g.served_by.count() == 1
 
 
+def test_a_moved_station_has_the_stops_of_its_last_place(spark, tmp_path):
+    _, _, mb = seed_files(tmp_path)
+    st, ids = tmp_path / "moved.json", [f"S{i}" for i in range(20)]
+    st.write_text("\n".join(json.dumps({"stopPoints": [{**station(i, "n"), "lat": lat} for i in ids]}) for lat in (51.5, 51.6)))
+    points = spark.createDataFrame(
+        [("B1", "old", 51.5005, -0.1, "NaptanPublicBusCoachTram", [("r1", "1")]), ("B2", "new", 51.6005, -0.1, "NaptanPublicBusCoachTram", [("r2", "2")])],
+        "id string, commonName string, lat double, lon double, stopType string, lines array<struct<id:string,name:string>>")
+    out = fresh_path(spark, "test", "seed")
+    jobs.seed(spark, str(st), None, mb, out, stop_points=points)
+    g = jobs.read_graph(spark, out)
+    assert sorted((r.station_id, r.stop_id) for r in g.has_nearby_stop.collect()) == sorted((i, "B2") for i in ids)
+    assert {r.lat for r in g.stations.collect()} == {51.6}
+
+
 def test_appended_rows_are_read(spark):
     base = fresh_path(spark, "test", "tables")
     spark.range(5).write.parquet(f"{base}/t.parquet")
