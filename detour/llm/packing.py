@@ -39,6 +39,7 @@ BLOCK_DOCS = 8192  # scored at once, for QUERY_ROWS seeds
 QUERY_ROWS = 256
 LIST = 32          # neighbours a seed gets in a round
 DENSE_TERMS = 512  # the commonest terms are scored by a matrix product
+COLLECTED = 16 << 20  # bytes of lists that the driver merges itself; more are merged by tasks
 QUERY_TERMS = None  # of a seed: all
 K1, B = 1.2, 0.75
 
@@ -192,9 +193,9 @@ def _kept(table: DataFrame, wanted: np.ndarray) -> DataFrame:
     return table.mapInArrow(keep, table.schema)
 
 
-def _hashed(seed: np.ndarray | int, num: np.ndarray) -> np.ndarray:
+def _hashed(seed: int, num: np.ndarray) -> np.ndarray:
     """Breaks ties, differently for each seed: equal texts don't all ask for the same copies."""
-    return (num.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ np.uint64(seed) * np.uint64(0xC2B2AE3D27D4EB4F)) * np.uint64(0xFF51AFD7ED558CCD)
+    return (num.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ np.uint64(seed * 0xC2B2AE3D27D4EB4F % (1 << 64))) * np.uint64(0xFF51AFD7ED558CCD)
 
 
 def nearest(index: DataFrame, unused: np.ndarray, seeds: np.ndarray, idf: np.ndarray, mean: float, common_terms: np.ndarray) -> list[np.ndarray]:
@@ -240,9 +241,13 @@ def nearest(index: DataFrame, unused: np.ndarray, seeds: np.ndarray, idf: np.nda
         out = [x for x in [*out, (now, nums.tobytes())] if x[0] >= 0]
         yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int32()), pa.array([x[1] for x in out], pa.binary())], names=["q", "nums"])
 
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    got = (_kept(index, unused).mapInArrow(score, "q int, nums binary, scores binary")
-           .repartition(n, "q").sortWithinPartitions("q").mapInArrow(merge, "q int, nums binary").toArrow())
+    scored = _kept(index, unused).mapInArrow(score, "q int, nums binary, scores binary")
+    blocks = index.rdd.getNumPartitions() + len(unused) // BLOCK_DOCS
+    if len(seeds) * blocks * LIST * 12 <= COLLECTED:
+        got = pa.Table.from_batches(merge(scored.toArrow().combine_chunks().sort_by("q").to_batches()))
+    else:
+        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        got = scored.repartition(n, "q").sortWithinPartitions("q").mapInArrow(merge, "q int, nums binary").toArrow()
     lists = [np.zeros(0, np.int64)] * len(seeds)
     for q, nums in zip(got.column("q").to_pylist(), got.column("nums").to_pylist(), strict=True):
         lists[q] = np.frombuffer(nums, np.int64)

@@ -120,5 +120,6 @@ def test_rounds_with_odd_documents(spark, monkeypatch):
     """No terms, equal texts, more windows than lists can fill at once."""
     monkeypatch.setattr(packing, "FINAL_DOCS", 70)
     monkeypatch.setattr(packing, "LIST", 8)
+    monkeypatch.setattr(packing, "COLLECTED", 0)
     docs = odd_docs(spark, [doc(50 + i, "") for i in range(40)] + [doc(100, "copy of this " * 200)] * 30)
     check(docs.collect(), packing.pack(docs, BYTE).collect())
