@@ -1,11 +1,12 @@
-"""Token ids by the tokenizers library, with a bounded cache of word pieces per worker.
+"""Token ids by the tokenizers and sentencepiece libraries, with a bounded cache of word pieces per worker.
 
-The library spends most of its time on splitting and on words it has met before. A text
+A library spends most of its time on splitting and on words it has met before. A text
 is therefore cut, with numpy, where the tokenizer is certain to cut as well: before
 white space that follows other characters, and between a letter and an ASCII
 punctuation mark (apostrophes excepted: contractions). Only pieces that the worker has not met go to
 the library; ids of all others come from the cache. Cutting at boundaries of the
-tokenizer's own pre-tokens leaves the ids unchanged.
+tokenizer's own pre-tokens leaves the ids unchanged. The cache is looked up by a hash of the piece, and every
+hit is compared with the cached piece byte by byte; pieces that share a hash with another go to the library.
 
 Literals of added tokens (such as <|endoftext|>) are text like any other, or, with ``literals``, get
 their ids as by the tokenizer's defaults: what stands between them is then cut on its own.
@@ -15,6 +16,7 @@ from __future__ import annotations
 
 import os
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -35,10 +37,35 @@ for _lo, _hi in ((33, 39), (40, 48), (58, 65), (91, 97), (123, 127)):
 _OPEN: dict[tuple[str, bool], "PieceTokenizer"] = {}
 
 
+class Pool:
+    """An array that grows at its end."""
+
+    def __init__(self, kind: type):
+        self.held, self.used = np.zeros(1 << 16, kind), 0
+
+    def add(self, values: np.ndarray) -> int:
+        """Where ``values`` begin."""
+        at = self.used
+        while at + len(values) > len(self.held):
+            self.held = np.concatenate([self.held, np.zeros_like(self.held)])
+        self.used += len(values)
+        self.held[at:self.used] = values
+        return at
+
+    def kept(self) -> np.ndarray:
+        return self.held[:self.used]
+
+
+def runs(first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """first[0], first[0] + 1, ... (count[0] of them), first[1], ..."""
+    total = np.cumsum(count)
+    return np.arange(total[-1] if len(total) else 0) + np.repeat(first - (total - count), count)
+
+
 def tokenizer(path: str, drop_space: bool, literals: bool = False) -> "PieceTokenizer":
     """The worker's tokenizer for ``path``; its cache lives as long as the worker does."""
     if (path, literals) not in _OPEN:
-        _OPEN[path, literals] = PieceTokenizer(path, drop_space, literals=literals)
+        _OPEN[path, literals] = SentencePieces(path) if path.endswith(".model") else PieceTokenizer(path, drop_space, literals=literals)
     return _OPEN[path, literals]
 
 
@@ -56,14 +83,14 @@ class PieceTokenizer:
             raise ValueError("ids are kept in 16 bits")
         self.drop_space = drop_space
         self.cache_pieces = cache_pieces
+        self.bytes_of: list[bytes] = []  # of each id; given, ``faithful`` tells which documents of the last call they gave back
+        self.faithful = np.zeros(0, bool)
         self._forget()
 
     def _forget(self) -> None:
         self.keys = np.zeros(0, np.uint64)
-        self.first = np.zeros(0, np.int64)
-        self.count = np.zeros(0, np.int64)
-        self.pool = np.zeros(1 << 16, np.uint16)
-        self.used = 0
+        self.where = np.zeros((0, 5), np.int64)  # first id, number of ids, first byte, number of bytes, whether ids give the bytes
+        self.pool, self.bytes = Pool(np.uint16), Pool(np.uint8)
 
     def _cuts(self, raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         kind = _KIND[raw]
@@ -86,32 +113,41 @@ class PieceTokenizer:
             starts, ends = starts[keep], ends[keep]
         return starts, ends
 
-    def _learn(self, raw: np.ndarray, keys: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
-        blob = raw.tobytes()
-        texts = [blob[s:e].decode("utf-8") for s, e in zip(starts.tolist(), ends.tolist(), strict=True)]
-        if len(self.keys) + len(texts) > self.cache_pieces:
-            raise OverflowError
-        all_ids, counts = [], []
-        for k in range(0, len(texts), LEARN_PIECES):  # an encoding holds far more than its ids
-            some = texts[k:k + LEARN_PIECES]
+    def _encode(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(all ids, number of ids by piece), from the library."""
+        ids, counts = [np.zeros(0, np.uint16)], [np.zeros(0, np.int64)]
+        for k in range(0, len(pieces), LEARN_PIECES):  # an encoding holds far more than its ids
+            some = [x.decode("utf-8") for x in pieces[k:k + LEARN_PIECES]]
             got = self.lib.encode(some, is_pretokenized=True, add_special_tokens=False)
-            own = np.asarray(got.ids, np.uint16)
-            of = np.asarray(got.word_ids, np.int64) if len(own) else np.zeros(0, np.int64)
-            all_ids.append(own)
+            ids.append(np.asarray(got.ids, np.uint16))
+            of = np.asarray(got.word_ids, np.int64) if len(ids[-1]) else np.zeros(0, np.int64)
             counts.append(np.bincount(of, minlength=len(some)).astype(np.int64))
-        ids, count = np.concatenate(all_ids), np.concatenate(counts)
-        first = self.used + np.cumsum(count) - count
-        while self.used + len(ids) > len(self.pool):
-            self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
-        self.pool[self.used:self.used + len(ids)] = ids
-        self.used += len(ids)
-        where = np.searchsorted(self.keys, keys)
-        self.keys = np.insert(self.keys, where, keys)
-        self.first = np.insert(self.first, where, first)
-        self.count = np.insert(self.count, where, count)
+        return np.concatenate(ids), np.concatenate(counts)
+
+    def _given_back(self, pieces: list[bytes], ids: np.ndarray, count: np.ndarray) -> np.ndarray:
+        """1 for the pieces that are the joined bytes of their ids."""
+        if not self.bytes_of:
+            return np.zeros(len(pieces), np.int64)
+        of, edge = [self.bytes_of[i] for i in ids.tolist()], np.cumsum(count).tolist()
+        return np.array([b"".join(of[e - n:e]) == x for x, n, e in zip(pieces, count.tolist(), edge, strict=True)], np.int64)
+
+    def _learn(self, raw: np.ndarray, keys: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
+        if len(self.keys) + len(keys) > self.cache_pieces:
+            raise OverflowError
+        blob = raw.tobytes()
+        pieces = [blob[s:e] for s, e in zip(starts.tolist(), ends.tolist(), strict=True)]
+        ids, count = self._encode(pieces)
+        size = ends - starts
+        new = np.stack([self.pool.add(ids) + np.cumsum(count) - count, count,
+                        self.bytes.add(np.frombuffer(b"".join(pieces), np.uint8)) + np.cumsum(size) - size, size,
+                        self._given_back(pieces, ids, count)], axis=1)
+        keys, self.where = np.concatenate([self.keys, keys]), np.concatenate([self.where, new])
+        order = np.argsort(keys, kind="stable")
+        self.keys, self.where = keys[order], self.where[order]
 
     def _chunk(self, raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(all ids, number of ids by document)"""
+        self.faithful = np.diff(at) == 0
         if not len(raw):
             return np.zeros(0, np.uint16), np.zeros(len(at) - 1, np.int64)
         starts, ends = self._cuts(raw, at)
@@ -132,13 +168,34 @@ class PieceTokenizer:
                 self._forget()
                 self.cache_pieces = max(self.cache_pieces, len(keys))
                 self._learn(raw, keys, starts[sample], ends[sample])
-        where = np.searchsorted(self.keys, keys)[inverse]
-        first, count = self.first[where], self.count[where]
+        got = self.where[np.searchsorted(self.keys, keys)[inverse]]
+        first, count, back, pool = got[:, 0], got[:, 1], got[:, 4], self.pool.kept()
+        wrong = self._differs(raw, starts, ends, got)
+        if len(wrong):  # another piece has this one's hash
+            blob = raw.tobytes()
+            own = [blob[s:e] for s, e in zip(starts[wrong].tolist(), ends[wrong].tolist(), strict=True)]
+            ids, n = self._encode(own)
+            first, count, back = first.copy(), count.copy(), back.copy()
+            first[wrong], count[wrong], back[wrong] = len(pool) + np.cumsum(n) - n, n, self._given_back(own, ids, n)
+            pool = np.concatenate([pool, ids])
         total = np.cumsum(count)
-        take = np.arange(total[-1]) + np.repeat(first - (total - count), count)
         pieces = np.searchsorted(starts, at)  # pieces before each document
         edge = np.concatenate([[0], total])[pieces]
-        return self.pool[take], np.diff(edge)
+        if self.bytes_of:
+            self.faithful = np.diff(np.concatenate([[0], np.cumsum(back == 0)])[pieces]) == 0
+        return pool[runs(first, count)], np.diff(edge)
+
+    def _differs(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, got: np.ndarray) -> np.ndarray:
+        """The spans whose bytes aren't those of the cached piece."""
+        size = ends - starts
+        same = size == got[:, 3]
+        if not same.all():
+            starts, size, got = starts[same], size[same], got[same]
+        unlike = raw[runs(starts, size)] != self.bytes.kept()[runs(got[:, 2], size)]
+        if unlike.any():
+            edge = np.concatenate([[0], np.cumsum(unlike)])[np.concatenate([[0], np.cumsum(size)])]
+            same[np.flatnonzero(same)[edge[1:] > edge[:-1]]] = False
+        return np.flatnonzero(~same)
 
     def _split(self, raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """As _chunk, with the literals of added tokens as pieces of their own."""
@@ -158,16 +215,63 @@ class PieceTokenizer:
         n[literal] = 1
         return ids, np.diff(np.concatenate([[0], np.cumsum(n)])[np.searchsorted(edges, at)])
 
-    def ids(self, column: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts with ``end_id`` after each, their numbers); null counts as empty."""
-        got, sizes = [], []
-        for _, _, raw, at in tb.chunks(column):
+    def of_bytes(self, raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(all ids, their number by document) of texts that lie in ``raw`` one after the other."""
+        return self._split(raw, at)
+
+    def slices(self, column: pa.Array, end_id: int | None) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+        """(first row, last row + 1, ids of their texts with ``end_id``, if any, after each, their numbers), a bounded stretch of
+        text at a time; null counts as empty."""
+        for lo, hi, raw, at in tb.chunks(column):
             ids, n = self._split(raw, at)
-            got.append(np.insert(ids, np.cumsum(n), np.uint16(end_id)))
-            sizes.append(n + 1)
+            yield (lo, hi, ids, n) if end_id is None else (lo, hi, np.insert(ids, np.cumsum(n), np.uint16(end_id)), n + 1)
+
+    def ids(self, column: pa.Array, end_id: int | None) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, their numbers), as by :meth:`slices`."""
+        got = [x[2:] for x in self.slices(column, end_id)]
         if not got:
             return np.zeros(0, np.uint16), np.zeros(0, np.int64)
-        return np.concatenate(got), np.concatenate(sizes)
+        return np.concatenate([x[0] for x in got]), np.concatenate([x[1] for x in got])
+
+
+class SentencePieces(PieceTokenizer):
+    """A sentencepiece BPE model. Two bytes that stand side by side in no piece of the vocabulary are never merged: texts
+    are cut between them, where a character begins."""
+
+    BOUNDARY = "\u2581"
+
+    def __init__(self, path: str, cache_pieces: int = CACHE_PIECES):
+        from sentencepiece import SentencePieceProcessor
+        self.lib = SentencePieceProcessor(model_file=path)
+        size = self.lib.get_piece_size()
+        if size > 1 << 16:
+            raise ValueError("ids are kept in 16 bits")
+        self.joined = np.zeros((256, 256), bool)
+        for p in map(self.lib.id_to_piece, range(size)):
+            for text in (p, p.replace(self.BOUNDARY, " ")):  # in a text both stand for a boundary
+                raw = np.frombuffer(text.encode(), np.uint8)
+                self.joined[raw[:-1], raw[1:]] = True
+        first, last = self.BOUNDARY.encode()[0], self.BOUNDARY.encode()[-1]
+        self.joined[32, first] = self.joined[last, 32] = True
+        if self.joined[10].any() or self.joined[:, 10].any():
+            raise ValueError("pieces with line feeds")
+        self.lead = len(self.lib.encode("\n"))  # the ids of a first space and a line feed
+        self.literal, self.cache_pieces, self.bytes_of, self.faithful = None, cache_pieces, [], np.zeros(0, bool)
+        self._forget()
+
+    def _cuts(self, raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        cut = np.zeros(len(raw) + 1, bool)
+        cut[1:-1] = ~self.joined[raw[:-1], raw[1:]] & (raw[1:] & 0xC0 != 0x80)
+        cut[at] = True
+        edges = np.flatnonzero(cut)
+        return edges[:-1], edges[1:]
+
+    def _encode(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        # The library puts a space before what it is given: the piece's own, or one that a line feed cuts off.
+        own = [x[:1] == b" " and len(x) > 1 for x in pieces]
+        got = self.lib.encode([(x[1:] if o else b"\n" + x).decode("utf-8") for x, o in zip(pieces, own, strict=True)], num_threads=1)
+        got = [x if o else x[self.lead:] for x, o in zip(got, own, strict=True)]
+        return np.array([i for x in got for i in x], np.uint16), np.array([len(x) for x in got], np.int64)
 
 
 def binary(flat: np.ndarray, sizes: np.ndarray) -> pa.Array:
