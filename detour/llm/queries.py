@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from detour.llm import common, dedup, huffman, labelled, packing, perspectives, probminhash, quality, sharding, toxicity, urlmodel, winnowing
+from detour.llm import alignment, common, completion, dedup, huffman, labelled, merkle, packing, perspectives, probminhash, quality, sharding, toxicity, urlmodel, winnowing
 from detour.llm.oracle import ORACLE_SQL
 
 URL_RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"),
@@ -60,6 +60,28 @@ def op10_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return probminhash.classes(common.load(spark, sf_dir, "documents")).select("doc_id", "class_id", "representative", "class_size", "kept")
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = alignment.align(common.load(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+def op12_bin_completion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return completion.pack(common.load(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def manifest_rows(docs: DataFrame, **options) -> DataFrame:
+    """The manifest of documents, and what each row's proof says of its text without line feeds, for the ids chosen by crc32."""
+    struck = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    text = F.when(struck, F.translate("text", "\n", "")).otherwise(F.col("text"))
+    found = merkle.manifest(docs, other=[F.col("doc_id"), F.col("source"), F.col("lang"), F.col("n_chars"), text], **options)
+    return found.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest().alias("proof_sha256"), F.col("other_root").alias("folded_root"),
+                        (F.col("other_root") == F.col("root")).alias("verified"))
+
+
+def op13_butterfly_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest_rows(common.load(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline  # it stands at the repository's top and imports this subpackage
     return corpus_pipeline.run(spark, sf_dir)
@@ -67,5 +89,6 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_bm25_packing, op2_factorisation_machine, op3_jump_sharding, op4_winnowing, op5_stream_dedup, op6_perspective_rotation,
-    op7_huffman_tokens, op8_url_markov, op9_boosted_toxicity, op10_probminhash, pipeline)}
+    op7_huffman_tokens, op8_url_markov, op9_boosted_toxicity, op10_probminhash,
+    op11_token_alignment, op12_bin_completion, op13_butterfly_manifest, pipeline)}
 __all__ = ["ORACLE_SQL", "QUERIES"]
