@@ -258,7 +258,8 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 0, window: int = WINDOW,
     """(doc_id, row, piece, start, length, ids_crc32, sequence_id, offset) of every piece of ``docs``; ``row`` tells rows
     that share a doc_id apart."""
     spark, path = docs.sparkSession, common.scratch(docs.sparkSession, "completion")
-    dealt = common.ranged(pieces(docs, tokenizer, end_id, window, literals), ["length", "row", "piece"], f"{path}/pieces")
+    found = common.written(pieces(docs, tokenizer, end_id, window, literals), f"{path}/pieces")  # a range's bounds are sampled first
+    dealt = common.ranged(found, ["length", "row", "piece"], f"{path}/ranges")
     counts = np.zeros(window + 1, np.int64)
     for r in dealt.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect():  # a row for each length up to the window
         counts[r["length"]] = r["n"]
