@@ -1,3 +1,4 @@
+import functools
 import random
 
 import numpy as np
@@ -15,6 +16,7 @@ from .helpers import ODD_TEXTS
 FILES = [("byte_bpe_50k.json", False), ("word_bpe_49k.json", True)]
 
 
+@functools.cache
 def library(name):
     t = Tokenizer.from_file(P.path(name))
     t.encode_special_tokens = True
