@@ -40,8 +40,8 @@ _OPEN: dict[tuple[str, bool], "PieceTokenizer"] = {}
 class Pool:
     """An array that grows at its end."""
 
-    def __init__(self, kind: type):
-        self.held, self.used = np.zeros(1 << 16, kind), 0
+    def __init__(self, kind: type, width: int | None = None):
+        self.held, self.used = np.zeros(1 << 16 if width is None else (1 << 14, width), kind), 0
 
     def add(self, values: np.ndarray) -> int:
         """Where ``values`` begin."""
@@ -88,8 +88,8 @@ class PieceTokenizer:
         self._forget()
 
     def _forget(self) -> None:
-        self.keys = np.zeros(0, np.uint64)
-        self.where = np.zeros((0, 5), np.int64)  # first id, number of ids, first byte, number of bytes, whether ids give the bytes
+        self.keys, self.slots = np.zeros(0, np.uint64), np.zeros(0, np.int32)  # sorted hashes, and the pieces' rows in where
+        self.where = Pool(np.int64, 5)  # first id, number of ids, first byte, number of bytes, whether ids give the bytes
         self.pool, self.bytes = Pool(np.uint16), Pool(np.uint8)
 
     def _cuts(self, raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -141,9 +141,9 @@ class PieceTokenizer:
         new = np.stack([self.pool.add(ids) + np.cumsum(count) - count, count,
                         self.bytes.add(np.frombuffer(b"".join(pieces), np.uint8)) + np.cumsum(size) - size, size,
                         self._given_back(pieces, ids, count)], axis=1)
-        keys, self.where = np.concatenate([self.keys, keys]), np.concatenate([self.where, new])
-        order = np.argsort(keys, kind="stable")
-        self.keys, self.where = keys[order], self.where[order]
+        slots = self.where.add(new) + np.arange(len(keys), dtype=np.int32)
+        at = np.searchsorted(self.keys, keys)
+        self.keys, self.slots = np.insert(self.keys, at, keys), np.insert(self.slots, at, slots)
 
     def _chunk(self, raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(all ids, number of ids by document)"""
@@ -168,7 +168,7 @@ class PieceTokenizer:
                 self._forget()
                 self.cache_pieces = max(self.cache_pieces, len(keys))
                 self._learn(raw, keys, starts[sample], ends[sample])
-        got = self.where[np.searchsorted(self.keys, keys)[inverse]]
+        got = self.where.kept()[self.slots[np.searchsorted(self.keys, keys)[inverse]]]
         first, count, back, pool = got[:, 0], got[:, 1], got[:, 4], self.pool.kept()
         wrong = self._differs(raw, starts, ends, got)
         if len(wrong):  # another piece has this one's hash
