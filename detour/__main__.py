@@ -1,4 +1,4 @@
-"""Command line: python -m detour {ingest,seed,stream,report} ..."""
+"""Command line: python -m detour {ingest,watch,seed,stream,compact,report} ..."""
 
 from __future__ import annotations
 
@@ -34,11 +34,22 @@ def main(argv=None) -> None:
     r.add_argument("--kafka-options", default=None, help="JSON object of Kafka source options")
     r.add_argument("--run-id", default=None)
     r.add_argument("--quarantine", default=None)
+    r.add_argument("--partials", default=None, help="folder for partial results of each batch, for reports")
     r.add_argument("--available-now", action="store_true", help="process what is there, then stop")
     r.add_argument("--trigger", default=None, help="processing-time interval, default 30 seconds")
     p = sub.add_parser("report", help="summarise the alert history")
     p.add_argument("history")
     p.add_argument("--run-id", default=None, help="report one run only (partition pruning)")
+    p.add_argument("--partials", default=None, help="folder of partial results: summary and newest alerts without reading alerts")
+    w = sub.add_parser("watch", help="line-status JSON documents that arrive -> broker records, as a running job")
+    for name in ("docs", "out", "checkpoint", "quarantine"):
+        w.add_argument(name)
+    w.add_argument("--run-id", required=True, help="the same on every restart from the checkpoint")
+    w.add_argument("--available-now", action="store_true", help="process what is there, then stop")
+    k = sub.add_parser("compact", help="closed history batches into large files")
+    k.add_argument("history")
+    k.add_argument("--keep-open", type=int, default=1, help="newest batches of a run that are left alone")
+    k.add_argument("--grace", type=int, default=86_400, help="seconds before what was replaced is deleted")
     args = ap.parse_args(argv)
 
     from detour import jobs
@@ -64,12 +75,17 @@ def main(argv=None) -> None:
         trigger = ({"availableNow": True} if args.available_now
                    else {"processingTime": args.trigger} if args.trigger else None)
         for q in jobs.stream(records, args.options, args.history, args.checkpoint, args.run_id, trigger,
-                             args.quarantine):
+                             args.quarantine, partials_path=args.partials):
             q.awaitTermination()
     elif args.cmd == "report":
-        for name, df in jobs.report(spark, args.history, args.run_id).items():
+        for name, df in jobs.report(spark, args.history, args.run_id, args.partials).items():
             print(name)
             df.show(truncate=False)
+    elif args.cmd == "watch":
+        trigger = {"availableNow": True} if args.available_now else None
+        jobs.ingest_stream(spark, args.docs, args.out, args.checkpoint, args.quarantine, args.run_id, trigger).awaitTermination()
+    elif args.cmd == "compact":
+        print(jobs.compact_history(spark, args.history, args.keep_open, args.grace))
 
 
 if __name__ == "__main__":

@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from detour.fixed import BROKER_TIME_COLUMN
 from detour.schemas import STATUS_EVENT
@@ -26,7 +27,8 @@ def rejected(parsed: DataFrame, schema=STATUS_EVENT) -> Column:
     """A record whose every schema field came out null (bad JSON, null value,
     a JSON array ...). Such rows are dropped by the disruption filter; this predicate
     lets a caller count them into a quarantine output instead."""
-    present = [F.col(f.name).isNotNull() for f in schema.fields]
+    fields = schema.fields if isinstance(schema, StructType) else StructType.fromDDL(schema).fields
+    present = [F.col(f.name).isNotNull() for f in fields]
     return ~reduce(lambda a, b: a | b, present, F.lit(False))
 
 

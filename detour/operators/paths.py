@@ -10,10 +10,11 @@ from __future__ import annotations
 
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from detour.operators.graph import Graph
+from detour.operators.sizing import broadcast_while_few
 
 PATH_COLUMNS = ["station_name", "bus_stop_name", "bus_stop_id", "lat", "lon", "distance_metres", "route_name"]
 ID_COLUMNS = ["line_id", "station_id", "stop_id", "route_id"]
@@ -63,17 +64,61 @@ def restrict_line(g: Graph, line_id) -> Graph:
                    serves=g.serves.filter(F.col("line_id") == F.lit(line_id)))
 
 
+# Steps of the distance in which path rows are counted: a doubling takes STEPS of them.
+STEPS = 16
+_MOST, _NAN, _NULL = 1_000_000, 2_000_000, 3_000_000
+
+
+def distance_step(distance: str = "distance_metres") -> Column:
+    """A whole number that never falls as the distance rises: equal or later steps for what sorts later (NaN after all
+    numbers, null last)."""
+    d = F.col(distance).cast("double")
+    step = F.floor(F.signum(d) * F.least(F.log2(F.abs(d) + F.lit(1.0)) * F.lit(STEPS), F.lit(float(_MOST))))
+    return F.when(d.isNull(), F.lit(_NULL)).when(F.isnan(d), F.lit(_NAN)).otherwise(step).cast("int")
+
+
+def _counted_pairs(g: Graph) -> DataFrame:
+    """(line_id, station_id, stop_id, distance_metres, _step, _n): the pairs that have path rows, and how many."""
+    routes = _stop_routes(g).groupBy("stop_id").agg(F.count(F.lit(1)).alias("_n"))
+    serves = (g.serves.join(g.lines.select("line_id"), "line_id", "left_semi")
+                      .join(g.stations.select("station_id"), "station_id", "left_semi"))
+    near = g.has_nearby_stop.select("station_id", "stop_id", "distance_metres").join(routes, "stop_id")
+    return (serves.join(near, "station_id").join(g.bus_stops.select("stop_id"), "stop_id", "left_semi")
+                  .withColumn("_step", distance_step()))
+
+
+def last_steps(pairs: DataFrame, limit: int) -> DataFrame:
+    """(line_id, _last): the distance step in which the ``limit``-th path row of each line lies; lines with fewer rows are left
+    out. One partial sum for each line and step leaves a task, whatever the number of pairs."""
+    per = pairs.groupBy("line_id", "_step").agg(F.sum("_n").alias("_n"))
+    w = Window.partitionBy("line_id").orderBy("_step").rowsBetween(Window.unboundedPreceding, 0)
+    return (per.withColumn("_upto", F.sum("_n").over(w)).filter(F.col("_upto") >= F.lit(limit))
+               .groupBy("line_id").agg(F.min("_step").alias("_last")))
+
+
+def nearest_pairs(g: Graph, limit: int) -> DataFrame:
+    """(line_id, station_id, stop_id, distance_metres) of the pairs that can hold one of a line's first ``limit``
+    path rows: an exact cut before pairs are expanded into routes and named, without a sort."""
+    pairs = _counted_pairs(g)
+    last = broadcast_while_few(last_steps(pairs, limit), g.lines)  # a row for each line at most
+    return (pairs.join(last, "line_id", "left")
+                 .filter(F.col("_last").isNull() | (F.col("_step") <= F.col("_last")))
+                 .select("line_id", "station_id", "stop_id", "distance_metres"))
+
+
 def nearest_paths(g: Graph, limit: int | None = 100) -> DataFrame:
     """T1 + T2: the ``limit`` nearest path rows per line with their rank ``rn``.
 
-    The rows of a line are cut by a ``row_number`` filter that Spark evaluates partially on the
-    map side (``WindowGroupLimit``): each task keeps its own ``limit`` rows per line,
-    so a line with a huge neighbourhood never reaches one task whole, and every
-    table of the graph is read once. ``limit=None`` returns all path rows without ``rn``:
-    ranking them would put a line whole into one task; consumers rank the few they keep.
+    The pairs of line, station and stop are cut at the distance where a line's ``limit``-th row lies
+    (:func:`nearest_pairs`); only those are expanded and ranked. What is left is cut by a ``row_number``
+    filter that Spark evaluates partially on the map side (``WindowGroupLimit``), so equal distances in any
+    number don't bring a line into one task. ``limit=None`` returns all path rows without ``rn``: ranking them would
+    put a line whole into one task; consumers rank the few they keep.
     """
-    rows = path_rows(g)
     if limit is None:
-        return rows
+        return path_rows(g)
+    stations = g.stations.select("station_id", F.col("name").alias("station_name"))
+    stops = g.bus_stops.select("stop_id", F.col("name").alias("bus_stop_name"), "lat", "lon")
+    rows = _finish(nearest_pairs(g, limit).join(stations, "station_id").join(stops, "stop_id").join(_stop_routes(g), "stop_id"))
     w = Window.partitionBy("line_id").orderBy(*_row_order())
     return rows.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= limit)

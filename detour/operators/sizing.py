@@ -18,3 +18,9 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> D
 def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows; reads at most ``max_rows + 1``."""
     return df.limit(max_rows + 1).count() <= max_rows
+
+
+def broadcast_while_few(df: DataFrame, of: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Hint a broadcast of ``df``, which has a short row for each row of ``of`` at most, while those are few. The count
+    runs on ``of`` (a dimension table), not on the plan of ``df``."""
+    return F.broadcast(df) if row_count_at_most(of, max_rows) else df

@@ -17,6 +17,8 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 from detour.functions.columns import gridlock_label, iso_utc, py_timestamp_str, title_from_id
 from detour.operators import graph as G
 from detour.operators.alerts import build_alerts
+from detour.operators.buckets import read_buckets, upsert_buckets
+from detour.operators.constraints import ConstraintViolation, audit, audit_written, require_clean
 from detour.operators.geo_join import radius_join as _radius_join
 from detour.operators.options import bounded_options, line_options as _line_options
 from detour.operators.parse import disrupted, parse_records, rejected
@@ -34,6 +36,7 @@ from detour.sources.documents import REQUIRED_POINT, incomplete, landed, read_js
 from detour.sources.tables import load_table
 from detour.session import fresh_path
 from detour.sources.vocabulary import line_vocabulary
+from detour.streaming.processor import current_snapshot, publish_snapshot
 
 LOOKUP_LINE = 7
 P = DEFAULT
@@ -122,20 +125,30 @@ def document_status_events(spark, base):
     return events_from_documents(docs, iso_utc(F.col("poll_ts")), P, keep=["event_id"])
 
 
+def status_texts(spark: SparkSession, base: str) -> DataFrame:
+    """The status documents as JSON texts: some without id, name or statuses, some broken off."""
+    e = F.col("event_id")
+    json = F.to_json(F.struct(F.when(e % 11 != 0, F.col("id")).alias("id"), F.when(e % 13 != 0, F.col("name")).alias("name"),
+                              F.when(e % 7 != 0, F.col("lineStatuses")).otherwise(F.slice("lineStatuses", 1, 0)).alias("lineStatuses")))
+    return proxy.status_documents(_t(spark, base, "events")).select(
+        F.when(e % 17 == 0, F.substring(json, 1, 10)).otherwise(json).alias("value"))
+
+
+def intake_counts(events: DataFrame, bad: DataFrame) -> DataFrame:
+    """Events by line and severity, and how many documents were rejected."""
+    events = events.groupBy(F.lit("accepted").alias("state"), "line_id", "line_name", "severity_code", "severity_desc").agg(F.count(F.lit(1)).alias("n"))
+    bad = bad.groupBy(F.lit("rejected").alias("state"), F.col("kind").alias("line_id"), F.col("reason").alias("line_name")).agg(F.count(F.lit(1)).alias("n"))
+    return events.unionByName(bad.withColumns({"severity_code": F.lit(-1), "severity_desc": F.lit("")}))
+
+
 def intake_status_events(spark, base):
     """S3, P6, F1 over JSON files: documents without id, name or statuses and broken ones, written and
     read back; events by line and severity, and how many documents were rejected."""
-    path, e = fresh_path(spark, "intake", "status"), F.col("event_id")
-    json = F.to_json(F.struct(F.when(e % 11 != 0, F.col("id")).alias("id"), F.when(e % 13 != 0, F.col("name")).alias("name"),
-                              F.when(e % 7 != 0, F.col("lineStatuses")).otherwise(F.slice("lineStatuses", 1, 0)).alias("lineStatuses")))
-    proxy.status_documents(_t(spark, base, "events")).select(
-        F.when(e % 17 == 0, F.substring(json, 1, 10)).otherwise(json).alias("value")).write.text(path)
+    path = fresh_path(spark, "intake", "status")
+    status_texts(spark, base).write.text(path)
     raw = landed(read_line_status(spark, path), f"{path}-parsed")
-    events = events_from_documents(raw, F.lit("2024-01-01T00:00:00+00:00"), P).groupBy(
-        F.lit("accepted").alias("state"), "line_id", "line_name", "severity_code", "severity_desc").agg(F.count(F.lit(1)).alias("n"))
-    bad = unparsed(raw, "line status").groupBy(F.lit("rejected").alias("state"), F.col("kind").alias("line_id"),
-                                               F.col("reason").alias("line_name")).agg(F.count(F.lit(1)).alias("n"))
-    return events.unionByName(bad.withColumns({"severity_code": F.lit(-1), "severity_desc": F.lit("")}))
+    events = events_from_documents(raw, F.lit("2024-01-01T00:00:00+00:00"), P)
+    return intake_counts(events, unparsed(raw, "line status"))
 
 
 def intake_stations(spark, base):
@@ -271,6 +284,41 @@ def edge_upsert(spark, base):
                   ["l_shipdate", "l_orderkey", "l_linenumber", "price_seq"]).drop("is_updated")
 
 
+def edge_upsert_buckets(spark, base):
+    """The writes of ``edge_upsert`` as three upserts onto a bucketed table: the earlier half, the later half, and
+    one station's last writes again, which reach a few buckets only."""
+    root, keys, seq = fresh_path(spark, "edge_upsert_buckets"), ["station_id", "stop_id"], ["l_shipdate", "l_orderkey", "l_linenumber", "price_seq"]
+    li = _t(spark, base, "lineitem")
+    inc = li.select(F.col("l_suppkey").alias("station_id"), F.col("l_partkey").alias("stop_id"), F.col("l_extendedprice").alias("distance_metres"),
+                    "l_shipdate", "l_orderkey", "l_linenumber", F.col("l_extendedprice").alias("price_seq"))
+    middle = li.agg(F.expr("percentile_approx(l_shipdate, 0.5)")).first()[0]
+    later = F.col("l_shipdate") > F.lit(middle)
+    for part in (inc.filter(~later | F.col("l_shipdate").isNull()), inc.filter(later),
+                 inc.filter(F.col("station_id") == inc.select("station_id").first()[0])):
+        upsert_buckets(spark, root, part, keys, seq, buckets=16)
+    return read_buckets(spark, root)
+
+
+def audited_publish(spark, base):
+    """The order lines as a table keyed by order and line, loaded onto an older snapshot: the rows that keep the key, those
+    in quarantine, and which snapshot is current after it."""
+    root, new = fresh_path(spark, "audited"), fresh_path(spark, "audited")
+    publish_snapshot(spark, root, "old")
+    _t(spark, base, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey").write.parquet(f"{new}/order_lines")
+    table, keys = spark.read.parquet(f"{new}/order_lines"), ["l_orderkey", "l_linenumber"]
+    try:
+        require_clean(audit_written(spark, {"order_lines": (table, keys)}, f"{new}/quarantine"), f"{new}/quarantine")
+        publish_snapshot(spark, root, "new")
+    except ConstraintViolation:
+        pass
+    fields = ["l_orderkey", "l_linenumber", "l_partkey"]
+    kept = audit(table, keys)[0].select(F.lit("kept").alias("state"), F.lit("").alias("reason"), *fields)
+    row = F.from_json("row", table.schema)
+    bad = spark.read.parquet(f"{new}/quarantine").select(F.lit("quarantined").alias("state"), "reason", *[row[c].alias(c) for c in fields])
+    now = spark.createDataFrame([("current", current_snapshot(spark, root), -1, -1, -1)], kept.schema)
+    return kept.unionByName(bad).unionByName(now)
+
+
 def edge_upsert_existing(spark, base):
     """The stops within the radius written onto the listed edges: kept, updated and new ones."""
     inc = proxy.radius_edges(spark, base).withColumn("seq", F.lit(1))
@@ -449,7 +497,9 @@ def batch_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "node_upsert": node_upsert,
         "document_upsert": document_upsert,
         "edge_upsert": edge_upsert,
+        "edge_upsert_buckets": edge_upsert_buckets,
         "edge_upsert_existing": edge_upsert_existing,
+        "audited_publish": audited_publish,
         "guarded_edges": guarded_edges,
         "line_vocabulary": line_vocabulary_q,
         "link_counts": link_counts,

@@ -21,8 +21,12 @@ REQUIRED_POINT = ("id", "commonName", "lat", "lon")   # a station or stop withou
 REJECTED = "kind string, reason string, raw string"
 
 
-def read_json(spark: SparkSession, path: str, schema: StructType, streaming: bool = False, multiline: bool = False) -> DataFrame:
+def read_json(spark: SparkSession, path: str, schema: StructType, streaming: bool = False, multiline: bool = False,
+              max_files: int | None = None) -> DataFrame:
+    """``max_files``: of a batch, in a stream."""
     r = spark.readStream if streaming else spark.read
+    if streaming and max_files:
+        r = r.option("maxFilesPerTrigger", str(max_files))
     r = r.schema(StructType([*schema.fields, StructField(CORRUPT, StringType())]))
     df = r.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).option("multiLine", multiline).json(path)
     if streaming:
@@ -32,9 +36,10 @@ def read_json(spark: SparkSession, path: str, schema: StructType, streaming: boo
         F.monotonically_increasing_id().alias("place")))
 
 
-def read_line_status(spark: SparkSession, path: str, streaming: bool = False, multiline: bool = False) -> DataFrame:
+def read_line_status(spark: SparkSession, path: str, streaming: bool = False, multiline: bool = False,
+                     max_files: int | None = None) -> DataFrame:
     """S3: raw line records ``id, name, lineStatuses[]``, and ``_corrupt``."""
-    return read_json(spark, path, S.RAW_LINE, streaming, multiline)
+    return read_json(spark, path, S.RAW_LINE, streaming, multiline, max_files)
 
 
 def landed(docs: DataFrame, path: str) -> DataFrame:

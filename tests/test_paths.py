@@ -191,3 +191,29 @@ def test_alerts_same_with_and_without_broadcast(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def test_distance_steps_never_fall(spark):
+    from detour.operators.paths import distance_step
+    rnd = random.Random(2)
+    values = [0.0, -0.0, 1e-300, -1e-300, 1e308, -1e308, float("inf"), float("-inf"), float("nan"), None, 299.99999999999994, 300.0, 300.00000000000006]
+    values += [rnd.choice([-1, 1]) * 2 ** rnd.uniform(-20, 60) for _ in range(500)] + [float(i) for i in range(-40, 400)]
+    df = spark.createDataFrame([(v,) for v in values], "distance_metres double").select("distance_metres", distance_step().alias("s"))
+    got = [r.s for r in df.orderBy(F.col("distance_metres").asc_nulls_last()).collect()]
+    assert got == sorted(got) and None not in got
+
+
+def test_cut_with_odd_distances_and_dangling_edges(spark):
+    """Null, NaN, negative and equal distances, pairs without routes, edges to nothing: the rows of full ranking."""
+    rnd = random.Random(11)
+    kinds = [None, float("nan"), float("inf"), -5.0, 0.0, 7.0, 7.0, 7.25, 300.0, 1e9]
+    near = [(f"S{s}", f"B{b:02d}", rnd.choice(kinds)) for s in range(5) for b in rnd.sample(range(30), 14)]
+    routes = [(f"B{b:02d}", f"r{r}", f"{r}") for b in range(30) for r in rnd.sample(range(9), rnd.choice([0, 0, 1, 4]))]
+    g = make_graph(spark, near, routes, lines=("L1", "L2"))
+    g = g.__class__(**{**g.tables(), "stations": g.stations.filter("station_id <> 'S3'"), "bus_stops": g.bus_stops.filter("stop_id <> 'B07'"),
+                       "bus_routes": g.bus_routes.filter("route_id <> 'r2'"), "serves": g.serves.filter("NOT (line_id = 'L2' AND station_id < 'S2')")})
+    cols = ["line_id", "station_id", "stop_id", "route_id", "rn"]
+    w = Window.partitionBy("line_id").orderBy(F.col("distance_metres").asc_nulls_last(), "station_id", "stop_id", "route_id")
+    slow = path_rows(g).withColumn("rn", F.row_number().over(w)).select(*cols).collect()
+    for k in (0, 1, 2, 5, 13, 40, 10_000):
+        assert sorted(nearest_paths(g, k).select(*cols).collect()) == sorted(r for r in slow if r.rn <= k)

@@ -48,9 +48,14 @@ def test_no_distance_but_the_documented_radius(spark):
     assert C.P.radius_m == 300.0
 
 
-def test_line_lookup_reads_each_table_once_a_role(spark):
-    p = plan(C.line_lookup(spark, SF))
-    assert p.count("part.parquet") <= 3 and "hashpartitioning(stop_id" not in p
+@pytest.mark.parametrize("query", [C.nearest_paths_q, C.line_lookup])
+def test_pairs_are_cut_before_they_are_expanded(spark, query):
+    """The rows that are named, joined with their routes and ranked are those within the line's last distance step."""
+    p = plan(query(spark, SF)).split("\n")
+    cut = next(i for i, x in enumerate(p) if "_step" in x and "_last" in x and "Filter" in x)
+    above = "\n".join(p[:cut])
+    assert "WindowGroupLimit" in above and above.count("Join") >= 3 and "hashpartitioning(stop_id" not in above
+    assert "WindowGroupLimit" not in "\n".join(p[cut:])
 
 
 def test_upsert_leaves_the_current_table_in_place(spark):
