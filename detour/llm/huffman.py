@@ -25,11 +25,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from detour.llm import common, tokens
+from detour.llm import textbytes as tb
 
 MAX_LENGTH = 16
 BLOCK_IDS = 16_384
 STRIDE = 256
-LANES = 4096
+LANES = 1024       # decoded side by side
+SLICE_IDS = 1 << 18
 
 BLOCK = ("part int, block int, first long, n_ids long, doc_ids array<bigint>, sizes array<bigint>, "
          "checkpoints array<bigint>, bits binary")
@@ -40,9 +42,9 @@ def tokenised(docs: DataFrame, path: str, drop_space: bool, end_id: int = 1, lit
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = tokens.tokenizer(path, drop_space, literals)
         for b in batches:
-            flat, sizes = tok.ids(b.column(1), end_id)
-            yield pa.RecordBatch.from_arrays([b.column(0), tokens.binary(flat, sizes), pa.array(sizes)],
-                                             names=["doc_id", "ids", "n_ids"])
+            for lo, hi, flat, sizes in tok.slices(b.column(1), end_id):
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), tokens.binary(flat, sizes), pa.array(sizes)],
+                                                 names=["doc_id", "ids", "n_ids"])
 
     common.python_tasks(docs.sparkSession)
     return docs.select("doc_id", "text").mapInArrow(encode, "doc_id long, ids binary, n_ids long")
@@ -155,6 +157,17 @@ def unpack_bits(words: np.ndarray, at: np.ndarray, counts: np.ndarray, symbol: n
     return out[back][np.arange(out.shape[1])[None, :] < counts[:, None]]
 
 
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch of (doc_id, ids) in stretches of about SLICE_IDS ids: packing holds many times an id's bytes."""
+    at = np.cumsum(tb.flat(batch.column(1))[1][1:] // 2)
+    lo = 0
+    while lo < len(at):
+        before = int(at[lo - 1]) if lo else 0
+        hi = max(lo + 1, int(np.searchsorted(at, before + SLICE_IDS, "right")))
+        yield batch.slice(lo, hi - lo)
+        lo = hi
+
+
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, drop_space: bool, end_id: int = 1, literals: bool = False) -> str:
     """Write the ids of ``docs`` (doc_id, text), in ascending doc_id, below ``path``."""
     spark = docs.sparkSession
@@ -170,10 +183,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, drop_space: bool, e
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes, part, block, first = canonical(lengths), TaskContext.get().partitionId(), 0, 0
-        for b in batches:
+        for b in (x for batch in batches for x in _slices(batch)):
             flat, sizes = tokens.ids_of(b.column(1))
-            if not len(sizes):
-                continue
             start = np.cumsum(sizes) - sizes
             doc_block = np.unique(start // BLOCK_IDS, return_inverse=True)[1]
             n = int(doc_block[-1]) + 1
