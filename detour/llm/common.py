@@ -15,6 +15,7 @@ from detour.session import fresh_path
 
 # Arrow batches of documents stay small whatever the row count: texts may be long.
 ARROW_ROWS = 1000
+ARROW_BYTES = 8 << 20
 
 # A broadcast side is hinted only when its counted rows times their stated width fit here.
 MAX_BROADCAST_BYTES = 64 << 20
@@ -28,6 +29,7 @@ def python_tasks(spark: SparkSession) -> None:
     """Before Python runs in tasks: bound what one Arrow batch holds, and send this package
     to the workers (once a context), as ``--py-files`` would."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
     sc = spark.sparkContext
     if not getattr(sc, "_detour_sent", False):
         package = os.path.dirname(os.path.abspath(detour.__file__))
