@@ -248,8 +248,9 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, rows: int = TRAIN_ROW
 
 
 def clean(docs: DataFrame, labelled_docs: DataFrame, labels: DataFrame, learn: Column, threshold: float, rows: int = TRAIN_ROWS) -> DataFrame:
-    """The rows of ``docs`` (all their columns) that score below ``threshold``."""
-    plain, names = common.neutral(docs)
-    text = next(n for n, c in names.items() if c == "text")
-    rated = fit(labelled_docs, labels, learn, rows)(plain, text, carry_text=True)
-    return common.restored(rated.where(F.col("score_") < threshold), names)
+    """The rows of ``docs`` (all their columns), which must come straight from files, that score below ``threshold``.
+
+    Texts go to the scoring once and don't come back: the rows to drop are known by their place."""
+    found = common.located(docs, ["text"])
+    bad = fit(labelled_docs, labels, learn, rows)(found).where(F.col("score_") >= threshold).select("at_")
+    return common.without(docs, common.written(bad, common.scratch(docs.sparkSession, "toxic_rows")))
