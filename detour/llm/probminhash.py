@@ -9,13 +9,14 @@ Jaccard similarity J_P (the Jaccard similarity, if all counts are one).
 
 BANDS bands of ROWS registers make the buckets: at J_P = 0.8 a pair meets in one with probability
 1 - (1 - 0.8^4)^24 > 0.999996. J_P of candidates is then computed from the whole texts.
-A bucket never emits all its pairs. Shingles that no other document in the buckets has bound J_P from
-above, and so do counts of shingles by class: a document with too many unshared ones can't
-reach the similarity with any other, and of the rest most pairs that are below it can't. Members are compared with one pivot of the bucket, the one with the
-least share of such shingles; linked ones are merged into components, and again with other
-pivots, until the pairs left between different components are bounded by a multiple of the
-members; of these all that the bound allows are compared. Within a component no comparison is
-needed any more, so no class that all pairs would give is lost.
+Shingles that no other document in the buckets has bound J_P from above, and so do counts of shingles by class: a document
+with too many unshared ones can't reach the similarity with any other of its bucket, and of the rest most pairs that are
+below it can't. Members are compared with one pivot of the bucket, the most central one: whose buckets, over all bands, hold the
+most documents (an original among its edited copies). Linked ones are merged into components. Each bucket whose pairs left
+between different components are at most ``PAIRS_PER_MEMBER`` for each of its own members is then compared pair by pair, as far as the
+bounds allow; the others get further pivots, each from outside the components of the former ones. Within a component no
+comparison is needed any more, so no class that all pairs would give is lost. A bucket of many documents that the
+bounds allow to be similar, but that aren't, comes down to its pairs after ``PIVOT_ROUNDS`` pivots.
 
 Texts with the same words in the same order are copies and are represented by one of them; a class
 is a connected component of links. Null counts as empty; texts without words are copies
@@ -44,21 +45,28 @@ BANDS, ROWS = 24, 4
 M = BANDS * ROWS
 CLASSES = 128  # of shingles, for an upper bound of what two texts share
 PIVOT_ROUNDS = 6
-PAIRS_PER_MEMBER = 100  # pairs between components that may be left to look at, for each member of a bucket
+PAIRS_PER_MEMBER = 16  # pairs between components that are compared one by one, for each member of their bucket
 
 _GOLD = 0x9E3779B97F4A7C15
 
 
-def weighted(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(words' hashes, words by document, document, shingle, weight) of a chunk of texts."""
-    h, _, _, counts = tb.words(raw, at)
+def weighted(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(the words, each closed by a zero byte, their offsets by document, words by document, document, shingle, weight) of
+    a chunk of texts."""
+    codes, starts, ends, counts = tb.word_spans(raw, at)
+    h = tb.prime_hashes(codes, starts, ends)
+    size = ends - starts + 1
+    end = np.cumsum(size)
+    joined = np.append(codes, np.uint8(0))[np.arange(end[-1] if len(end) else 0) + np.repeat(starts - (end - size), size)]
+    joined[end - 1] = 0
+    edge = np.concatenate([[0], end])[np.concatenate([[0], np.cumsum(counts)])]
     shingles, runs = tb.run_hashes(h, counts, SHINGLE)
     doc = np.repeat(np.arange(len(counts), dtype=np.uint64), runs)
     pairs = np.sort(doc << np.uint64(52) | shingles >> np.uint64(12))
     first = np.flatnonzero(np.concatenate([[True], pairs[1:] != pairs[:-1]])[:len(pairs)])
     weight = np.diff(np.concatenate([first, [len(pairs)]]))
     pairs = pairs[first]
-    return h, counts, (pairs >> np.uint64(52)).astype(np.int64), pairs & np.uint64((1 << 52) - 1), weight
+    return joined, edge, counts, (pairs >> np.uint64(52)).astype(np.int64), pairs & np.uint64((1 << 52) - 1), weight
 
 
 def sketch(doc: np.ndarray, shingle: np.ndarray, weight: np.ndarray, n: int) -> np.ndarray:
@@ -112,11 +120,10 @@ def sketched(docs: DataFrame) -> DataFrame:
         for b in batches:
             content, keys = [], []
             for _, _, raw, at in tb.chunks(b.column("text")):
-                h, counts, doc, shingle, weight = weighted(raw, at)
+                joined, edge, counts, doc, shingle, weight = weighted(raw, at)
                 key = bands(sketch(doc, shingle, weight, len(counts)))
-                end = np.cumsum(counts)
-                for i, (n, e) in enumerate(zip(counts.tolist(), end.tolist(), strict=True)):
-                    data = h[e - n:e].tobytes() if n else b"\0" + raw[at[i]:at[i + 1]].tobytes()
+                for i, n in enumerate(counts.tolist()):  # words, or a text without any
+                    data = joined[edge[i]:edge[i + 1]].tobytes() if n else b"\0" + raw[at[i]:at[i + 1]].tobytes()
                     content.append(hashlib.md5(data).digest())
                     keys.append(key[i] if n else None)
             yield pa.RecordBatch.from_arrays(
@@ -146,7 +153,7 @@ def probability_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, n
 def _sets(column: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
     out = []
     for _, _, raw, at in tb.chunks(column):
-        _, counts, doc, shingle, weight = weighted(raw, at)
+        _, _, counts, doc, shingle, weight = weighted(raw, at)
         edge = np.searchsorted(doc, np.arange(len(counts) + 1))
         out += [(shingle[s:e], weight[s:e]) for s, e in zip(edge[:-1], edge[1:], strict=True)]
     return out
@@ -172,7 +179,7 @@ def rare(texts: DataFrame) -> DataFrame:
         for b in batches:
             node = b.column("node").to_numpy()
             for lo, hi, raw, at in tb.chunks(b.column("text")):
-                yield node[lo:hi], *weighted(raw, at)[2:]
+                yield node[lo:hi], *weighted(raw, at)[3:]
 
     def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for node, doc, shingle, weight in chunked(batches):
@@ -214,11 +221,21 @@ def _possible(a: str, b: str, similarity: float) -> Column:
     return shares[0] & shares[1] & F.when(sets, (both >= needed) & shared).otherwise(F.lit(True))
 
 
-def _between(members: DataFrame) -> int:
-    """Pairs of members of one bucket in different components, counted without making them."""
+def _pairs_left(members: DataFrame) -> DataFrame:
+    """(band, key, few) of the buckets that hold more than one component: whether the pairs between them are few."""
     part = members.groupBy("band", "key", "component").agg(F.count(F.lit(1)).alias("n"))
-    whole = part.groupBy("band", "key").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("own"))
-    return whole.agg(F.coalesce(F.sum((F.col("n") * F.col("n") - F.col("own")) / 2), F.lit(0.0))).first()[0]
+    whole = part.groupBy("band", "key").agg(F.count(F.lit(1)).alias("parts"), F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("own"))
+    left = (F.col("n") * F.col("n") - F.col("own")) / 2
+    return whole.where("parts > 1").select("band", "key", (left <= F.lit(PAIRS_PER_MEMBER) * F.col("n")).alias("few"))
+
+
+def _able(members: DataFrame, similarity: float) -> DataFrame:
+    """Without the members that can't reach ``similarity`` with any other of their bucket: sets (all counts are one) among sets, which
+    share fewer shingles with others than even the shortest of them needs."""
+    is_set = F.col("n") == F.col("weight")
+    least = members.groupBy("band", "key").agg(F.min("n").alias("least_n"), F.min(is_set).alias("all_sets"))
+    needed = F.lit(similarity) * (F.col("n") + F.col("least_n")) / F.lit(1 + similarity) - F.lit(1e-6)
+    return members.join(least, ["band", "key"]).where(~F.col("all_sets") | (F.col("n") - F.col("own") >= needed)).drop("least_n", "all_sets")
 
 
 def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -236,8 +253,9 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     nodes = common.written(rows.groupBy("content").agg(least, F.first("keys").alias("keys"))
                            .select(F.monotonically_increasing_id().alias("node"), "content", "first", "keys"), f"{path}/nodes")
     buckets = nodes.select("node", F.posexplode("keys").alias("band", "key"))
-    full = buckets.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("band", "key")
+    full = buckets.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("band", "key", F.col("n").alias("held"))
     members = common.written(buckets.join(full, ["band", "key"]), f"{path}/members")
+    central = members.groupBy("node").agg(F.sum("held").alias("central"))  # documents of its buckets, over all bands
 
     wanted = nodes.join(members.select("node").distinct(), "node", "left_semi").select("node", F.col("first.text_key").alias("text_key"))
     texts = common.written(keyed.select("text_key", "text").join(common.broadcast_if_small(wanted, 100), "text_key")
@@ -245,27 +263,33 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
 
     stats = ["n", "own", "weight", "own_weight", "hist"]
     able = common.written(rare(texts), f"{path}/rare").where(F.col("own_weight") <= (1 - similarity + 1e-9) * F.col("weight"))
-    members = common.written(members.join(able, "node"), f"{path}/able")
-    looked_at = PAIRS_PER_MEMBER * members.count()
+    members = common.written(_able(members.drop("held").join(able.join(central, "node"), "node"), similarity), f"{path}/able")
 
     def sides(df: DataFrame, suffix: str, *more: str) -> DataFrame:
         return df.select("band", "key", *[F.col(c).alias(c + suffix) for c in ("node", "component", *stats, *more)])
 
     checked = common.written(spark.createDataFrame([], "u long, v long, linked boolean"), f"{path}/checked0")
-    of = members.select("node").distinct().withColumn("component", F.col("node"))
+    every = members.select("node").distinct()
+    of = every.withColumn("component", F.col("node"))
+    asked = spark.createDataFrame([], "band int, key long, pivot long")  # the former pivots
     for step in range(1, PIVOT_ROUNDS + 2):
-        placed = common.written(members.join(of, "node"), f"{path}/placed{step}")
-        left = _between(placed)
-        if not left:
+        placed = members.join(of, "node")
+        open_ = common.written(_pairs_left(placed), f"{path}/open{step}")
+        if open_.isEmpty():
             break
-        last = step > PIVOT_ROUNDS or step > 1 and left <= looked_at  # few are left: all of them
-        if last:
-            others = sides(placed, "_b")
-        else:
-            first = F.col("own_weight") / F.col("weight") if step == 1 else F.xxhash64(F.lit(step), "node")
-            best = placed.groupBy("band", "key").agg(F.min(F.struct(first, "node", "component", *stats)).alias("p")).select("band", "key", "p.*")
-            others = sides(best, "_b")
-        apart = F.col("component_a") < F.col("component_b") if last else F.col("component_a") != F.col("component_b")
+        placed = common.written(placed.join(open_, ["band", "key"]), f"{path}/placed{step}")
+        few = F.lit(True) if step > PIVOT_ROUNDS else F.lit(False) if step == 1 else F.col("few")
+        # The next pivot is the most central member outside the components of the former ones.
+        former = asked.join(of.withColumnRenamed("node", "pivot"), "pivot").select("band", "key", "component").distinct()
+        rest = placed.where(~few)
+        fresh = rest if step == 1 else rest.join(former, ["band", "key", "component"], "left_anti")
+        best = fresh.groupBy("band", "key").agg(F.min(F.struct((-F.col("central")).alias("order"), "node", "component", *stats)).alias("p")).select("band", "key", "p.*")
+        best = common.written(best.select("band", "key", "node", "component", *stats), f"{path}/pivots{step}")
+        asked = asked.unionByName(best.select("band", "key", F.col("node").alias("pivot")))
+        others = sides(best, "_b").withColumn("pivot", F.lit(True))
+        if step > 1 or step > PIVOT_ROUNDS:  # few pairs, or every member is with a former pivot: all pairs
+            others = others.unionByName(sides(placed.join(best.select("band", "key"), ["band", "key"], "left_anti"), "_b").withColumn("pivot", F.lit(False)))
+        apart = (F.col("component_a") < F.col("component_b")) | F.col("pivot") & (F.col("component_a") != F.col("component_b"))
         met = sides(placed, "_a").withColumnsRenamed({"band": "band_a", "key": "key_a"})
         pairs = met.join(others, (F.col("band_a") == F.col("band")) & (F.col("key_a") == F.col("key")) & apart & _possible("_a", "_b", similarity))
         pairs = pairs.select(F.greatest("node_a", "node_b").alias("u"), F.least("node_a", "node_b").alias("v")).distinct()
@@ -273,10 +297,9 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
         found = common.written(similar(new, texts, similarity), f"{path}/found{step}")
         checked = checked.unionByName(found)
         of = components.components(checked.where("linked").select("u", "v"), f"{path}/components{step}")
-        of = common.written(members.select("node").distinct().join(of, "node", "left")
+        of = common.written(every.join(of, "node", "left")
                             .select("node", F.coalesce("component", "node").alias("component")), f"{path}/of{step}")
-        if last:
-            break
+        members = placed.select(*members.columns).join(best.select("band", "key"), ["band", "key"])  # the others are done
 
     named = nodes.select("node", "content", "first").join(of, "node", "left").select(
         "content", "first", F.coalesce("component", "node").alias("component"))

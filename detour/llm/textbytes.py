@@ -88,6 +88,32 @@ def span_hashes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
     return Spans(codes).hash(starts, ends) if len(starts) else np.zeros(0, np.uint64)
 
 
+_PRIMES = (2**31 - 1, 2**31 - 19)
+_BASES = (1_103_515_245, 1_664_525_291)
+_PRIME_POWERS: list[tuple[np.ndarray, np.ndarray]] = []
+
+
+def _powers_modulo(base: int, prime: int, n: int) -> np.ndarray:
+    out = np.ones(1, np.uint64)
+    while len(out) < n:
+        out = np.concatenate([out, out * np.uint64(pow(base, len(out), prime)) % np.uint64(prime)])
+    return out[:n]
+
+
+def prime_hashes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of byte spans from polynomials modulo two primes. Unlike :class:`Spans`, whose modulus is a power of two, no
+    regular pattern of bytes makes spans collide; for keys that aren't compared with their bytes."""
+    n = len(codes) + 1
+    if not _PRIME_POWERS or len(_PRIME_POWERS[0][0]) < n:
+        size = max(n, CHUNK_BYTES + 1)
+        _PRIME_POWERS[:] = [(_powers_modulo(b, p, size), _powers_modulo(pow(b, -1, p), p, size)) for b, p in zip(_BASES, _PRIMES, strict=True)]
+    both = []
+    for (up, down), prime in zip(_PRIME_POWERS, map(np.uint64, _PRIMES), strict=True):
+        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum((codes.astype(np.uint64) + np.uint64(1)) * up[:n - 1] % prime)])
+        both.append((total[ends] - total[starts]) % prime * down[starts] % prime)
+    return mix((both[0] << np.uint64(31) | both[1]) ^ (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+
+
 def word_spans(raw: np.ndarray, at: np.ndarray, fold: np.ndarray = FOLD) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(folded bytes, start, end, count by document) of the words, in the order of the text."""
     codes = fold[raw]

@@ -9,6 +9,7 @@ from detour.llm import components, probminhash as pm
 from detour.session import fresh_path
 
 from .helpers import DOCS, SMALL, clashing, doc, odd_docs, reread, table
+from .test_tokens import ONE_HASH
 
 
 def find(parent, a):
@@ -127,3 +128,23 @@ def test_components_against_union_find(spark):
     got = components.components(spark.createDataFrame(edges, "u long, v long"), fresh_path(spark, uuid.uuid4().hex)).collect()
     want = {n: find(parent, n) for e in edges if e[0] != e[1] for n in e}
     assert {r.node: r.component for r in got} == want and len(got) == len(want)
+
+
+def test_words_that_share_a_plain_hash_stay_apart(spark):
+    """Regular patterns of two letters, equal under a polynomial hash modulo 2**64."""
+    few = " ".join(f"z{i}" for i in range(5))
+    docs = table(spark, [doc(i, f"{few} {w} {few}") for i, w in enumerate(ONE_HASH)], DOCS)
+    assert sorted(r.class_size for r in pm.classes(docs).collect()) == [1, 1]
+
+
+def test_copies_that_only_their_original_is_like(spark):
+    """Edited copies of one text: nearly all pairs of them are too far apart, most are near the original."""
+    rng, base = random.Random(6), [f"b{i}" for i in range(150)]
+    rows = []
+    for i in range(200):
+        w = base[:]
+        for _ in range(0 if i == 7 else rng.randrange(1, 9)):
+            w[rng.randrange(150)] = f"e{rng.randrange(10**7)}"
+        rows.append(doc(i, " ".join(w)))
+    docs = table(spark, rows, DOCS)
+    assert key(classes_of(pm.classes(docs).collect())) == key(brute(docs.collect()))
