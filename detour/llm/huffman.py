@@ -159,7 +159,7 @@ def unpack_bits(words: np.ndarray, at: np.ndarray, counts: np.ndarray, symbol: n
 
 def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     """A batch of (doc_id, ids) in stretches of about SLICE_IDS ids: packing holds many times an id's bytes."""
-    at = np.cumsum(tb.flat(batch.column(1))[1][1:] // 2)
+    at = tb.flat(batch.column(1))[1][1:] // 2
     lo = 0
     while lo < len(at):
         before = int(at[lo - 1]) if lo else 0

@@ -52,6 +52,6 @@ def test_run_packs_what_the_stages_keep(spark):
 def test_all_queries_are_registered():
     import __spark_entry__ as entry
     registered = entry.queries()
-    assert {f"op{n}_" for n in range(1, 11)} == {q.split("_")[0] + "_" for q in QUERIES if q != "pipeline"}
+    assert {f"op{n}_" for n in range(1, 14)} == {q.split("_")[0] + "_" for q in QUERIES if q != "pipeline"}
     assert set(QUERIES) <= set(registered) and set(ORACLE_SQL) <= set(entry.oracle_sql())
     assert np.all([callable(registered[q]) for q in QUERIES]) and P.path("byte_bpe_50k.json")
