@@ -7,9 +7,9 @@ another window and is a seed itself. When no unused document shares a term with
 next unused document follows and is the seed. Every term of the seed counts, and every unused document of
 the table is scored: windows are filled in rounds, in each of which blocks of the index score the
 seeds of many windows, and the blocks' best are merged into one list for each seed. Windows take from
-their lists in turn; a list that ends before its window is full is asked for again in the next round. The last
-documents are ordered by one index over all of them. So every window is full but
-the last, which is cut into powers of two.
+their lists in turn; a list that ends before its window is full is asked for again in the next round. Rounds go on while
+a whole window of ids is left, however small the table; what remains, fewer ids than a window has, is ordered in the same
+way and cut into powers of two. So every other window is full.
 
 The terms are token ids, so every table of statistics is bounded by the vocabulary. The driver holds a few
 bytes for each document (what is left of it, whether it is used) and the lists of one round.
@@ -30,16 +30,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from detour.llm import common, tokens
+from detour.llm import textbytes as tb
 from detour.llm.huffman import tokenised
 
 WINDOW = 2048
-FINAL_DOCS = 4096  # when so few are left, one index holds them all
 ROUND_WINDOWS = 8192
 BLOCK_DOCS = 8192  # scored at once, for QUERY_ROWS seeds
 QUERY_ROWS = 256
-LIST = 32          # neighbours a seed gets in a round
+LIST = 32          # neighbours a seed gets in a round, or as many as would fill its window twice if these are more
 DENSE_TERMS = 512  # the commonest terms are scored by a matrix product
-COLLECTED = 16 << 20  # bytes of lists that the driver merges itself; more are merged by tasks
+PLACED = 1 << 16   # pieces that the driver holds before it writes them
 QUERY_TERMS = None  # of a seed: all
 K1, B = 1.2, 0.75
 
@@ -93,7 +93,7 @@ class Shard:
     def of_terms(cls, table: pa.Table, idf: np.ndarray, mean: float) -> "Shard":
         """From rows of the written index."""
         terms, n_terms = tokens.ids_of(table.column("terms"))
-        counts, sizes = tokens.ids_of(table.column("counts"))[0], table.column("n_ids").to_numpy()
+        counts, sizes = np.frombuffer(tb.flat(table.column("counts"))[0].tobytes(), np.uint32), table.column("n_ids").to_numpy()
         self = cls.__new__(cls)
         self._build(np.repeat(np.arange(len(sizes)), n_terms), terms.astype(np.int64), counts, sizes, idf, mean)
         return self
@@ -105,8 +105,8 @@ class Shard:
         self.edge = np.searchsorted(term[by_term], np.arange((1 << 16) + 1))
         self.n = len(sizes)
 
-    def best(self, queries: list[np.ndarray], common_terms: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """(query, its best documents, their scores), LIST of them at most."""
+    def best(self, queries: list[np.ndarray], common_terms: np.ndarray, most: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(query, its best documents, their scores), ``most`` of them at most."""
         column = np.full(1 << 16, -1)
         column[common_terms] = np.arange(len(common_terms))
         dense = np.zeros((len(common_terms), self.n), np.float32)
@@ -126,7 +126,7 @@ class Shard:
                     spans = [slice(b, e) for b, e in zip(self.edge[rare].tolist(), self.edge[rare.astype(np.int64) + 1].tolist(), strict=True)]
                     score = score + np.bincount(np.concatenate([self.doc[s] for s in spans]),
                                                 np.concatenate([self.weight[s] for s in spans]), self.n)
-                top = np.argpartition(-score, LIST)[:LIST] if self.n > LIST else np.arange(self.n)
+                top = np.argpartition(-score, most)[:most] if self.n > most else np.arange(self.n)
                 top = top[score[top] > 0]
                 if len(top):
                     yield lo + i, top, score[top].astype(np.float32)
@@ -198,8 +198,9 @@ def _hashed(seed: int, num: np.ndarray) -> np.ndarray:
     return (num.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ np.uint64(seed * 0xC2B2AE3D27D4EB4F % (1 << 64))) * np.uint64(0xFF51AFD7ED558CCD)
 
 
-def nearest(index: DataFrame, unused: np.ndarray, seeds: np.ndarray, idf: np.ndarray, mean: float, common_terms: np.ndarray) -> list[np.ndarray]:
-    """For each of ``seeds``, the numbers of its best documents among all ``unused`` ones of the table, best first."""
+def nearest(index: DataFrame, unused: np.ndarray, seeds: np.ndarray, idf: np.ndarray, mean: float, common_terms: np.ndarray,
+            most: int) -> list[np.ndarray]:
+    """For each of ``seeds``, the numbers of its ``most`` best documents among all ``unused`` ones of the table, best first."""
     spark, is_seed = index.sparkSession, np.zeros(len(unused), bool)
     is_seed[seeds] = True
     own = _kept(index.select("num", "terms"), is_seed).toArrow()
@@ -213,7 +214,7 @@ def nearest(index: DataFrame, unused: np.ndarray, seeds: np.ndarray, idf: np.nda
         def block() -> Iterator[pa.RecordBatch]:
             t = pa.Table.from_batches(held).combine_chunks()
             num, rows = t.column("num").to_numpy(), []
-            for q, top, value in Shard.of_terms(t, idf, mean).best(sent.value, common_terms):
+            for q, top, value in Shard.of_terms(t, idf, mean).best(sent.value, common_terms, most):
                 rows.append((q, num[top].tobytes(), value.tobytes()))
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), (pa.int32(), pa.binary(), pa.binary()), strict=True)],
@@ -236,18 +237,13 @@ def nearest(index: DataFrame, unused: np.ndarray, seeds: np.ndarray, idf: np.nda
                     out.append((now, nums.tobytes()))
                     now, nums, scores = q, np.zeros(0, np.int64), np.zeros(0, np.float32)
                 nums, scores = np.concatenate([nums, np.frombuffer(n, np.int64)]), np.concatenate([scores, np.frombuffer(v, np.float32)])
-                order = np.lexsort((_hashed(q, nums), -scores))[:LIST]
+                order = np.lexsort((_hashed(q, nums), -scores))[:most]
                 nums, scores = nums[order], scores[order]
         out = [x for x in [*out, (now, nums.tobytes())] if x[0] >= 0]
         yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int32()), pa.array([x[1] for x in out], pa.binary())], names=["q", "nums"])
 
     scored = _kept(index, unused).mapInArrow(score, "q int, nums binary, scores binary")
-    blocks = index.rdd.getNumPartitions() + len(unused) // BLOCK_DOCS
-    if len(seeds) * blocks * LIST * 12 <= COLLECTED:
-        got = pa.Table.from_batches(merge(scored.toArrow().combine_chunks().sort_by("q").to_batches()))
-    else:
-        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        got = scored.repartition(n, "q").sortWithinPartitions("q").mapInArrow(merge, "q int, nums binary").toArrow()
+    got = scored.repartition("q").sortWithinPartitions("q").mapInArrow(merge, "q int, nums binary").toArrow()
     lists = [np.zeros(0, np.int64)] * len(seeds)
     for q, nums in zip(got.column("q").to_pylist(), got.column("nums").to_pylist(), strict=True):
         lists[q] = np.frombuffer(nums, np.int64)
@@ -314,8 +310,8 @@ class Windows:
             self.next.append(num)
         return take == room
 
-    def fill(self, lists: list[np.ndarray]) -> None:
-        """Let each window take its neighbours, best first, until it is full or its list ends."""
+    def fill(self, lists: list[np.ndarray], most: int) -> None:
+        """Let each window take its neighbours, best first, until it is full or its list, of ``most`` at most, ends."""
         still = []
         for w, found in enumerate(lists):
             full = False
@@ -324,7 +320,7 @@ class Windows:
                     full = self._take(w, num)
                     if full:
                         break
-            while not full and len(found) < LIST:  # no other unused document shares a term with the seed
+            while not full and len(found) < most:  # no other unused document shares a term with the seed
                 while self.after < len(self.free) and not self.free[self.after]:
                     self.after += 1
                 if self.after == len(self.free):
@@ -393,7 +389,7 @@ def pack(docs: DataFrame, tokenizer: str, drop_space: bool = False, end_id: int
             each = np.bincount(doc, minlength=len(sizes))
             num = first[np.searchsorted(part, row >> 33)] + (row & ((1 << 33) - 1))
             yield pa.RecordBatch.from_arrays([pa.array(num), pa.array(sizes), tokens.binary(term.astype(np.uint16), each),
-                                              tokens.binary(np.minimum(n, (1 << 16) - 1).astype(np.uint16), each)],
+                                              tokens.binary(n.astype(np.uint32), each)],
                                              names=["num", "n_ids", "terms", "counts"])
 
     def lengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -417,10 +413,11 @@ def pack(docs: DataFrame, tokenizer: str, drop_space: bool = False, end_id: int
         w.placed = []
 
     w, written = Windows(rests, starts, bare), total
-    while (size := w.size())[0] > FINAL_DOCS:
-        seeds = w.begin(max(1, min(ROUND_WINDOWS, size[1] // (4 * WINDOW))))
-        w.fill(nearest(index, w.free, seeds, idf, mean, common_terms))
-        if len(w.placed) >= FINAL_DOCS:
+    while (size := w.size())[1] >= WINDOW:
+        most = max(LIST, 2 * WINDOW * size[0] // size[1])
+        seeds = w.begin(max(1, min(ROUND_WINDOWS * LIST // most, size[1] // (3 * WINDOW))))
+        w.fill(nearest(index, w.free, seeds, idf, mean, common_terms, most), most)
+        if len(w.placed) >= PLACED:
             put(w)
         if (now := w.size()[0]) < written // 2:  # what is placed needn't be read again
             live = w.free.copy()
@@ -428,7 +425,7 @@ def pack(docs: DataFrame, tokenizer: str, drop_space: bool = False, end_id: int
             live[[p[0] for _, pieces in w.open for p in pieces]] = True
             live[[s for s, _ in w.open]] = True
             index, written = common.written(_kept(index, live), f"{path}/index-{now}"), now
-    last = w.pool()
+    last = w.pool()  # fewer ids than a window has
     wanted = np.zeros(total, bool)
     wanted[last] = True
     t = _kept(index, wanted).toArrow().sort_by("num").combine_chunks()

@@ -95,11 +95,10 @@ def test_binary_columns_round_trip():
 def test_the_whole_table_is_searched_with_all_terms(spark, monkeypatch):
     """Lists of seeds over several blocks against BM25 with every term of the seed over every document."""
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
-    monkeypatch.setattr(packing, "FINAL_DOCS", 80)
     seen = []
 
-    def nearest(index, unused, seeds, idf, mean, common_terms, real=packing.nearest):
-        got = real(index, unused, seeds, idf, mean, common_terms)
+    def nearest(index, unused, seeds, idf, mean, common_terms, most, real=packing.nearest):
+        got = real(index, unused, seeds, idf, mean, common_terms, most)
         seen.append((index.collect(), unused.copy(), seeds, got, idf, mean))
         return got
     monkeypatch.setattr(packing, "nearest", nearest)
@@ -107,7 +106,7 @@ def test_the_whole_table_is_searched_with_all_terms(spark, monkeypatch):
     index, unused, seeds, lists, idf, mean = seen[0]
     weights = {}
     for r in index:
-        terms, n = np.frombuffer(bytes(r.terms), np.uint16), np.frombuffer(bytes(r.counts), np.uint16)
+        terms, n = np.frombuffer(bytes(r.terms), np.uint16), np.frombuffer(bytes(r.counts), np.uint32)
         weights[r.num] = dict(zip(terms.tolist(), idf[terms] * n * 2.2 / (n + 1.2 * (0.25 + 0.75 * r.n_ids / mean)), strict=True))
     assert len(seen) > 1 and len(seeds) > 1 and max(len(weights[s]) for s in seeds) > 16
     for seed, got in zip(seeds.tolist(), lists, strict=True):
@@ -118,8 +117,6 @@ def test_the_whole_table_is_searched_with_all_terms(spark, monkeypatch):
 
 def test_rounds_with_odd_documents(spark, monkeypatch):
     """No terms, equal texts, more windows than lists can fill at once."""
-    monkeypatch.setattr(packing, "FINAL_DOCS", 70)
     monkeypatch.setattr(packing, "LIST", 8)
-    monkeypatch.setattr(packing, "COLLECTED", 0)
     docs = odd_docs(spark, [doc(50 + i, "") for i in range(40)] + [doc(100, "copy of this " * 200)] * 30)
     check(docs.collect(), packing.pack(docs, BYTE).collect())
