@@ -19,20 +19,26 @@ from detour.operators import graph as G
 from detour.operators.alerts import build_alerts
 from detour.operators.buckets import read_buckets, upsert_buckets
 from detour.operators.constraints import ConstraintViolation, audit, audit_written, require_clean
+from detour.operators.geo_cells import adaptive_radius_join
 from detour.operators.geo_join import radius_join as _radius_join
+from detour.operators.lookup import lookup_paths, write_clustered
 from detour.operators.options import bounded_options, line_options as _line_options
-from detour.operators.parse import disrupted, parse_records, rejected
+from detour.operators.parse import disrupted, field_faults, parse_records, rejected
+from detour.operators.path_tables import bucketed_path_rows, write_path_tables
 from detour.operators.paths import (
     PATH_COLUMNS, nearest_paths as _nearest, path_rows, restrict_line,
 )
 from detour.operators.reports import payload_preview
 from detour.operators.status import events_from_documents, events_from_worst, poll_counts, split_by_disruption, worst_status_rows
+from detour.operators.uncapped import gridlock_lines, uncapped_options
 from detour.operators.upsert import upsert
 from detour.params import DEFAULT, Params
 from detour.plans import proxy
-from detour.schemas import METRO_STATION_TYPE, STATION_DOC
+from detour.schemas import MEMBERSHIP_DOC, METRO_STATION_TYPE, NEARBY_DOC, STATION_DOC
 from detour.sources.broker import to_broker_records
-from detour.sources.documents import REQUIRED_POINT, incomplete, landed, read_json, read_line_status, station_points, unparsed
+from detour.sources.documents import (
+    REQUIRED_POINT, incomplete, landed, read_json, read_line_status, rejected_documents, station_points, unparsed,
+)
 from detour.sources.tables import load_table
 from detour.session import fresh_path
 from detour.sources.vocabulary import line_vocabulary
@@ -173,6 +179,33 @@ def intake_stations(spark, base):
                             .agg(F.count(F.lit(1)).alias("n")))
 
 
+def intake_network(spark, base):
+    """S5, S6, P7, P14 over JSON files: nearby and membership documents, some broken off, some with stops, routes or members that lack
+    their id, and lines without any member; stops by station, routes by station, members by line, and the rejected rows counted."""
+    path, stop, route, member = fresh_path(spark, "intake", "network"), F.col("stop_id"), F.col("p_brand"), F.col("s_suppkey")
+    part = _t(spark, base, "part").select(F.col("p_partkey").alias("stop_id"), "p_name", "p_brand", *proxy.lat_lon("p_partkey", proxy.STOP_MULT))
+    nearby = F.to_json(F.struct(F.col("station_id").cast("string").alias("station_id"), F.array(F.struct(
+        F.when(stop % 13 != 0, stop.cast("string")).alias("id"), F.col("p_name").alias("commonName"), "lat", "lon",
+        F.col("distance_metres").alias("distance"),
+        F.array(F.struct(F.when(stop % 11 != 0, route).alias("id"), route.alias("name"))).alias("lines"))).alias("stopPoints")))
+    proxy.listed_edges(spark, base).join(part, "stop_id").select(
+        F.when(stop % 17 == 0, F.substring(nearby, 1, 20)).otherwise(nearby).alias("value")).write.text(f"{path}/nearby")
+    members = _t(spark, base, "supplier").select(F.to_json(F.struct(F.col("s_nationkey").cast("string").alias("line_id"), F.array(F.struct(
+        F.when(member % 9 != 0, member.cast("string")).alias("id"),
+        F.when(member % 10 != 3, F.lit(METRO_STATION_TYPE)).otherwise(F.lit("other")).alias("stopType"))).alias("stops"))).alias("value"))
+    empty = _t(spark, base, "nation").select(F.to_json(F.struct(F.concat(F.lit("empty-"), F.col("n_nationkey").cast("string")).alias("line_id"),
+                                                                F.array().cast("array<struct<id:string,stopType:string>>").alias("stops"))).alias("value"))
+    members.unionByName(empty).write.text(f"{path}/members")
+    nb = landed(read_json(spark, f"{path}/nearby", NEARBY_DOC), f"{path}/nearby-parsed")
+    mb = landed(read_json(spark, f"{path}/members", MEMBERSHIP_DOC), f"{path}/members-parsed")
+    _, near, routes, _ = G.nearby_from_documents(nb)
+    lines = G.lines_from_members(G.members_from_documents(mb), count_as="n")
+    count = lambda df, kind: df.groupBy(F.lit(kind).alias("kind"), F.col("station_id").alias("name")).agg(F.count(F.lit(1)).alias("n"))
+    bad = rejected_documents(spark.createDataFrame([], STATION_DOC), nb, mb)
+    return (count(near, "stops").unionByName(count(routes, "routes")).unionByName(lines.select(F.lit("members").alias("kind"), F.col("line_id").alias("name"), "n"))
+            .unionByName(bad.groupBy(F.concat(F.lit("rejected "), "kind").alias("kind"), F.col("reason").alias("name")).agg(F.count(F.lit(1)).alias("n"))))
+
+
 def worst_status(spark, base):
     """A12 (row form), D6, F1, F4, P10, P11: worst status per line and poll."""
     return _worst(spark, base)
@@ -209,6 +242,19 @@ def quarantine_counts(spark, base):
                       F.count_if(rejected(parsed, schema)).alias("n_rejected"))
 
 
+def field_faults_q(spark, base):
+    """P2, D18 by field: broker records with wrong types, a missing line, an unknown field, or no object at all; counts by field and fault."""
+    e = F.col("event_id")
+    severity = F.when(e % 7 == 0, F.lit('"n/a"')).when(e % 11 == 0, F.lit("3.5")).otherwise(F.floor("value").cast("string"))
+    text = F.concat(F.lit('{"event_type":"status","severity_code":'), severity,
+                    F.lit(',"is_disrupted":'), F.when(e % 13 == 0, F.lit('"yes"')).otherwise(F.lit("true")),
+                    F.when(e % 17 != 0, F.concat(F.lit(',"line_id":"'), F.col("user_id").cast("string"), F.lit('"'))).otherwise(F.lit("")),
+                    F.when(e % 19 == 0, F.lit(',"depot":{"id":1}')).otherwise(F.lit("")), F.lit("}"))
+    rec = _t(spark, base, "events").select(F.when(e % 23 == 0, F.substring(text, 1, 12)).otherwise(text).cast("binary").alias("value"),
+                                           F.col("ts").cast("timestamp").alias("timestamp"))
+    return field_faults(rec, required=("line_id",)).groupBy("field", "fault").agg(F.count(F.lit(1)).alias("n"), F.count("given").alias("n_given"))
+
+
 PAYLOAD_FIELDS = ["event_id", "event_type", "line_id", "line_name", "severity_code", "severity_desc",
                   "is_disrupted", "disruption_detail", "ingested_at_utc"]
 PAYLOAD_SCHEMA = ("event_id long, event_type string, line_id long, line_name string, severity_code int, "
@@ -375,6 +421,31 @@ def line_lookup(spark, base):
     return _nearest(g, P.path_limit)
 
 
+def line_lookup_clustered(spark, base):
+    """P12 by key: the lookup of ``line_lookup`` on the graph written in the clustered layout."""
+    path = fresh_path(spark, "clustered")
+    write_clustered(proxy.listed_graph(spark, base), path)
+    return lookup_paths(spark, path, LOOKUP_LINE)
+
+
+def line_paths_bucketed(spark, base):
+    """J1 from bucketed tables: the path rows of ``line_paths`` without an exchange."""
+    path = fresh_path(spark, "path_tables")
+    write_path_tables(proxy.graph(spark, base), path, buckets=8)
+    return bucketed_path_rows(spark, path)
+
+
+def uncapped_options_q(spark, base):
+    """A2-A4 without a cap, D4: counts, first names and flag of each line over all its path rows."""
+    o = uncapped_options(proxy.graph_with_gaps(spark, base))
+    return o.withColumn("display_routes", F.array_join("display_routes", "|"))
+
+
+def uncapped_gridlock(spark, base):
+    """A4 without a cap: the flag alone, under the stricter rule."""
+    return gridlock_lines(proxy.graph(spark, base), STRICT)
+
+
 def nearest_paths_q(spark, base):
     """The 100 nearest path rows per line."""
     return _nearest(proxy.listed_graph(spark, base), P.path_limit)
@@ -437,6 +508,24 @@ def radius_join(spark, base):
     return pairs.withColumn("distance_metres", F.round("distance_metres", 3))
 
 
+CROWD = 3   # every third station and stop stands in one place of some 400 m
+
+
+def _crowded(key: str, mults: tuple[int, int]) -> list[Column]:
+    dense = F.col(key) % CROWD == 0
+    lat, lon = proxy.lat_lon(key, mults)
+    return [F.when(dense, proxy.coord(key, mults[0], 10007, 51.5, 0.004)).otherwise(lat).alias("lat"),
+            F.when(dense, proxy.coord(key, mults[1], 10009, -0.1, 0.004)).otherwise(lon).alias("lon")]
+
+
+def radius_join_crowded(spark, base):
+    """J3 with a dense place: stations and stops of which a third stand in one cell, which is split."""
+    st = _t(spark, base, "supplier").select(F.col("s_suppkey").alias("station_id"), *_crowded("s_suppkey", proxy.STATION_MULT))
+    stops = _t(spark, base, "customer").select(F.col("c_custkey").alias("stop_id"), *_crowded("c_custkey", proxy.STOP_MULT))
+    pairs = adaptive_radius_join(st, stops, P.radius_m, earth_radius_m=P.earth_radius_m, most=1000)
+    return pairs.withColumn("distance_metres", F.round("distance_metres", 3))
+
+
 def nearby_seed(spark, base):
     """P8 + J3 graph build: bus stops (customers of one segment) within the radius of
     each station, with the routes each stop lists."""
@@ -485,10 +574,12 @@ def batch_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "document_status_events": document_status_events,
         "intake_status_events": intake_status_events,
         "intake_stations": intake_stations,
+        "intake_network": intake_network,
         "status_counts": status_counts,
         "disruption_split": disruption_split,
         "parse_props": parse_props,
         "quarantine_counts": quarantine_counts,
+        "field_faults": field_faults_q,
         "event_payload": event_payload,
         "iso_timestamp": iso_timestamp,
         "type_filter": type_filter,
@@ -506,7 +597,11 @@ def batch_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "key_violations": key_violations,
         "graph_summary": graph_summary,
         "line_paths": line_paths,
+        "line_paths_bucketed": line_paths_bucketed,
         "line_lookup": line_lookup,
+        "line_lookup_clustered": line_lookup_clustered,
+        "uncapped_options": uncapped_options_q,
+        "uncapped_gridlock": uncapped_gridlock,
         "nearest_paths": nearest_paths_q,
         "nearby_stops_top20": nearby_stops_top20,
         "line_options": line_options_q,
@@ -515,6 +610,7 @@ def batch_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "document_graph_options": document_graph_options,
         "gridlock_label": gridlock_label_q,
         "radius_join": radius_join,
+        "radius_join_crowded": radius_join_crowded,
         "nearby_seed": nearby_seed,
         "stations_per_line": stations_per_line,
         "stops_per_station": stops_per_station,

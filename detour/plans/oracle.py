@@ -155,11 +155,18 @@ def oracle_sql() -> dict[str, str]:
     # The streaming jobs, and the other ways to the same tables, must give the plain answers exactly.
     for name, plain in {"stream_disrupted": "disrupted_events", "stream_alerts": "gridlock_alerts", "stream_replay": "gridlock_alerts",
                         "history_compacted": "gridlock_alerts", "partial_summary": "alert_summary", "partial_latest": "latest_alerts",
-                        "intake_stream": "intake_status_events", "edge_upsert_buckets": "edge_upsert"}.items():
+                        "intake_stream": "intake_status_events", "edge_upsert_buckets": "edge_upsert", "line_lookup_clustered": "line_lookup",
+                        "line_paths_bucketed": "line_paths"}.items():
         sql[name] = sql[plain]
     return sql
 
 
+def _crowded(key: str, a: int, b: int) -> str:
+    lat = f"(51.5 + (CAST(({key} * {a}) % 10007 AS DOUBLE) / CAST(10007 AS DOUBLE)) * CAST(0.004 AS DOUBLE))"
+    lon = f"(CAST(-0.1 AS DOUBLE) + (CAST(({key} * {b}) % 10009 AS DOUBLE) / CAST(10009 AS DOUBLE)) * CAST(0.004 AS DOUBLE))"
+    return f"CASE WHEN {key} % 3 = 0 THEN {lat} ELSE {_lat(key, a)} END, CASE WHEN {key} % 3 = 0 THEN {lon} ELSE {_lon(key, b)} END"
+
+
 def _oracle_sql() -> dict[str, str]:
     a = _alerts()
     return {
@@ -215,6 +222,17 @@ FROM supplier WHERE s_suppkey % 2 = 0 OR (s_suppkey % 25 <> 3 AND s_suppkey % 10
 UNION ALL SELECT 'rejected', 'station document', 'not parsed', count(*) FROM supplier WHERE s_suppkey % 25 = 3 HAVING count(*) > 0
 UNION ALL SELECT 'rejected', 'station', 'lacks one of id, commonName, lat, lon', count(*) FROM supplier
 WHERE s_suppkey % 25 <> 3 AND s_suppkey % 10 IN (7, 9) HAVING count(*) > 0""",
+        "intake_network": f"""WITH {_LISTED_EDGES},
+n AS (SELECT CAST(station_id AS VARCHAR) AS name, stop_id FROM edges WHERE stop_id IN (SELECT p_partkey FROM part)),
+m AS (SELECT CAST(s_nationkey AS VARCHAR) AS name, s_suppkey AS k FROM supplier),
+r AS (SELECT 'stops' AS kind, name FROM n WHERE stop_id % 17 <> 0 AND stop_id % 13 <> 0
+UNION ALL SELECT 'routes', name FROM n WHERE stop_id % 17 <> 0 AND stop_id % 13 <> 0 AND stop_id % 11 <> 0
+UNION ALL SELECT 'members', name FROM m WHERE k % 9 <> 0 AND k % 10 <> 3
+UNION ALL SELECT 'rejected nearby document', 'not parsed' FROM n WHERE stop_id % 17 = 0
+UNION ALL SELECT 'rejected stop', 'lacks one of station_id, id, commonName, lat, lon' FROM n WHERE stop_id % 17 <> 0 AND stop_id % 13 = 0
+UNION ALL SELECT 'rejected route', 'lacks one of id' FROM n WHERE stop_id % 17 <> 0 AND stop_id % 11 = 0
+UNION ALL SELECT 'rejected member', 'lacks one of line_id, id' FROM m WHERE k % 9 = 0)
+SELECT kind, name, count(*) AS n FROM r GROUP BY kind, name""",
         "status_counts": _worst() + """SELECT ingested_at_utc, count(*) AS n_lines,
        count(*) FILTER (WHERE NOT is_disrupted) AS n_ok, count(*) FILTER (WHERE is_disrupted) AS n_disrupted
 FROM w GROUP BY ingested_at_utc""",
@@ -223,6 +241,13 @@ FROM w GROUP BY ingested_at_utc""",
         "quarantine_counts": """SELECT count(*) AS n_records,
        count(*) FILTER (WHERE TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) IS NULL) AS n_rejected
 FROM events""",
+        "field_faults": """WITH e AS (SELECT event_id AS e FROM events),
+f AS (SELECT '' AS field, 'not an object' AS fault, CAST(NULL AS VARCHAR) AS given FROM e WHERE e % 23 = 0
+UNION ALL SELECT 'severity_code', 'wrong type', 'x' FROM e WHERE e % 23 <> 0 AND (e % 7 = 0 OR e % 11 = 0)
+UNION ALL SELECT 'is_disrupted', 'wrong type', 'x' FROM e WHERE e % 23 <> 0 AND e % 13 = 0
+UNION ALL SELECT 'line_id', 'missing', NULL FROM e WHERE e % 23 <> 0 AND e % 17 = 0
+UNION ALL SELECT 'depot', 'unknown field', 'x' FROM e WHERE e % 23 <> 0 AND e % 19 = 0)
+SELECT field, fault, count(*) AS n, count(given) AS n_given FROM f GROUP BY field, fault""",
         "event_payload": "WITH " + _EV.strip() + f"""
 SELECT {_EVENT_COLS} FROM ev""",
         "iso_timestamp": f"""SELECT event_id, {_iso('ts')} AS ingested_at_utc, {_pystr('ts')} AS processed_at_utc,
@@ -286,6 +311,19 @@ SELECT line_id, station_id, stop_id, route_id, station_name, bus_stop_name, bus_
        distance_metres, route_name FROM paths""",
         "line_lookup": "WITH " + _paths(True) + """
 SELECT * FROM ranked WHERE line_id = 7 AND rn <= 100""",
+        "uncapped_options": "WITH " + _paths(True, gaps=True) + """,
+opts AS (
+  SELECT line_id, count(DISTINCT station_name) AS n_stations, max(CASE WHEN route_name IS NULL THEN 1 ELSE 0 END) AS unnamed,
+         count(DISTINCT route_name) + max(CASE WHEN route_name IS NULL THEN 1 ELSE 0 END) AS n_routes,
+         list_sort(list_distinct(list(route_name))) AS routes
+  FROM paths GROUP BY line_id)
+SELECT CAST(n.n_nationkey AS BIGINT) AS line_id, n.n_name AS graph_line_name, CAST(coalesce(o.n_stations, 0) AS INTEGER) AS n_stations,
+       CAST(coalesce(o.n_routes, 0) AS INTEGER) AS n_routes,
+       coalesce(array_to_string(list_slice(o.routes, 1, 10 - o.unnamed), '|'), '') AS display_routes, coalesce(o.n_routes, 0) < 3 AS gridlock_alert
+FROM nation n LEFT JOIN opts o ON o.line_id = n.n_nationkey""",
+        "uncapped_gridlock": "WITH " + _paths() + """
+SELECT CAST(n.n_nationkey AS BIGINT) AS line_id, count(DISTINCT p.route_name) < 10 AS gridlock_alert
+FROM nation n LEFT JOIN paths p ON p.line_id = n.n_nationkey GROUP BY n.n_nationkey""",
         "nearest_paths": "WITH " + _paths(True) + """
 SELECT * FROM ranked WHERE rn <= 100""",
         "nearby_stops_top20": "WITH " + _paths(True) + """
@@ -347,6 +385,10 @@ d AS (SELECT station_id, stop_id,
                + cos(radians(lat1)) * cos(radians(lat2)) * pow(sin(radians(lon2 - lon1) / 2), 2),
                CAST(1.0 AS DOUBLE)))) AS dist
       FROM st, cu)
+SELECT station_id, stop_id, round(dist, 3) AS distance_metres FROM d WHERE dist <= 300.0""",
+        "radius_join_crowded": f"""WITH st(station_id, lat1, lon1) AS (SELECT s_suppkey, {_crowded('s_suppkey', 7919, 6151)} FROM supplier),
+cu(stop_id, lat2, lon2) AS (SELECT c_custkey, {_crowded('c_custkey', 4421, 9203)} FROM customer),
+d AS (SELECT station_id, stop_id, {_DIST} AS dist FROM st, cu)
 SELECT station_id, stop_id, round(dist, 3) AS distance_metres FROM d WHERE dist <= 300.0""",
         "nearby_seed": f"""WITH st AS (SELECT s_suppkey AS station_id, {_lat('s_suppkey', 7919)} AS lat1,
                    {_lon('s_suppkey', 6151)} AS lon1 FROM supplier),
