@@ -32,9 +32,9 @@ p AS (SELECT DISTINCT conv_id, role AS perspective FROM t WHERE role <> 'system'
 v AS (SELECT p.conv_id, perspective, turn, role, text,
              CASE WHEN role = 'system' THEN 'system' WHEN role = perspective THEN 'assistant' ELSE 'user' END AS rendered_role,
              '<|im_start|>' || CASE WHEN role = 'system' THEN 'system' WHEN role = perspective THEN 'assistant'
-                               ELSE 'user name=' || role END || chr(10) AS header
+                               ELSE 'user name=' || translate(replace(role, '<|im_', '<| im_'), chr(13) || chr(10), '  ') END || chr(10) AS header
       FROM t JOIN p ON t.conv_id IS NOT DISTINCT FROM p.conv_id),
-s AS (SELECT *, header || text || '<|im_end|>' || chr(10) AS segment FROM v),
+s AS (SELECT *, header || replace(text, '<|im_', '<| im_') || '<|im_end|>' || chr(10) AS segment FROM v),
 o AS (SELECT *, row_number() OVER w - 1 AS position,
              (coalesce(sum(length(segment)) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::BIGINT AS start
       FROM s WINDOW w AS (PARTITION BY conv_id, perspective ORDER BY turn NULLS FIRST, role, text))

@@ -6,6 +6,9 @@ One row holds one turn of one view: its text in chat markup and where it stands
 rendered dialogue, so that a conversation of any length needs no row of its own size. The
 view is the concatenation of its segments by ``position``.
 
+Texts and names can't forge turns: a control mark in them (``<|im_start|>``, ``<|im_end|>``) is rendered with a blank after its
+``<|``, and a line break in a name as a blank. Speakers are told apart by their names as given.
+
 Turns are ordered by (turn, role, text), nulls first; turns that are equal in all three keep any order. A null
 role speaks as ``unknown``; a null text is empty; a null conv_id is a conversation like
 others; conversations without a participant (system turns only) have no view; repeated
@@ -23,10 +26,16 @@ CONTEXT_ROLES = ("system",)
 UNKNOWN = "unknown"
 
 
+def _plain(text: Column) -> Column:
+    """Without control marks."""
+    return F.replace(text, F.lit("<|im_"), F.lit("<| im_"))
+
+
 def _header(role: Column, perspective: Column, context: Column) -> Column:
-    return (F.when(context, F.concat(F.lit("<|im_start|>"), role, F.lit("\n")))
+    name = F.translate(_plain(role), "\r\n", "  ")
+    return (F.when(context, F.concat(F.lit("<|im_start|>"), name, F.lit("\n")))
             .when(role == perspective, F.lit("<|im_start|>assistant\n"))
-            .otherwise(F.concat(F.lit("<|im_start|>user name="), role, F.lit("\n"))))
+            .otherwise(F.concat(F.lit("<|im_start|>user name="), name, F.lit("\n"))))
 
 
 def rotate(turns: DataFrame, context_roles: tuple[str, ...] = CONTEXT_ROLES) -> DataFrame:
@@ -37,7 +46,8 @@ def rotate(turns: DataFrame, context_roles: tuple[str, ...] = CONTEXT_ROLES) ->
     said = turns.select("conv_id", "turn", F.coalesce("role", F.lit(UNKNOWN)).alias("role"), common.text_or_empty().alias("text"))
     people = said.where(~context).select(F.col("conv_id").alias("of"), F.col("role").alias("perspective")).distinct()
     header = _header(F.col("role"), F.col("perspective"), context)
-    segment = F.concat(header, F.col("text"), F.lit("<|im_end|>\n"))
+    body_text = _plain(F.col("text"))
+    segment = F.concat(header, body_text, F.lit("<|im_end|>\n"))
     views = said.join(people, F.col("conv_id").eqNullSafe(F.col("of")), "inner").drop("of").withColumn("row", F.monotonically_increasing_id())
     group = ["conv_id", "perspective"]
     order = [*group, "turn", "role", "text", "row"]
@@ -48,4 +58,4 @@ def rotate(turns: DataFrame, context_roles: tuple[str, ...] = CONTEXT_ROLES) ->
         "conv_id", "perspective", "position", "turn", "role",
         F.when(context, F.col("role")).when(own, F.lit("assistant")).otherwise(F.lit("user")).alias("rendered_role"),
         segment.alias("segment"), "start", body.alias("trained_start"),
-        (body + F.length(F.concat("text", F.lit("<|im_end|>")))).alias("trained_end"))
+        (body + F.length(F.concat(body_text, F.lit("<|im_end|>")))).alias("trained_end"))
