@@ -7,8 +7,8 @@ fingerprints, and each match is extended to the spans that have the fingerprint
 checked word by word. A test item of fewer words is one window, found by the hash of all its words.
 
 The test side's fingerprints also make a Bloom filter, which keeps other fingerprints of the
-documents out of the join; beyond ``BLOOM_KEYS`` fingerprints it is left out and the join, which
-then shuffles, does all the work. Results don't depend on it.
+documents out of the join. It grows with the test side up to ``MAX_BITS``; beyond two million fingerprints
+each has fewer bits and more of the others pass (one in twenty at 32 million). Results don't depend on it.
 
 Null or empty texts have no words and no hits; items without words have no window; a null
 item_id counts as ''; repeated rows are judged alike, each for itself; an empty table of items
@@ -28,8 +28,8 @@ SPAN = 10
 K = 5
 W = SPAN - K + 1
 SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"  # words have letters of both cases here
-BLOOM_KEYS = 1_000_000
-BLOOM_BITS = 128  # for each key
+BLOOM_BITS = 128     # for each key
+MAX_BITS = 1 << 28   # of the filter: 32 MB in each task
 
 
 def words(text: Column) -> Column:
@@ -109,8 +109,8 @@ def matched(docs: DataFrame, items: DataFrame, text: str = "text") -> tuple[Data
     count = marks.count()
     short = [r["size"] for r in windows.where(F.col("size") < SPAN).select("size").distinct().collect()]  # at most nine
     keep = None
-    if 0 < count <= BLOOM_KEYS:
-        bits = max(64, 1 << (count * BLOOM_BITS - 1).bit_length())
+    if count:
+        bits = min(MAX_BITS, max(64, 1 << (count * BLOOM_BITS - 1).bit_length()))
         filt = common.written(bloom(marks, bits), f"{path}/bloom").scalar()
 
         def keep(mark: Column) -> Column:

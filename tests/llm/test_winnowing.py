@@ -56,10 +56,10 @@ def docs_of(spark):
     return odd_docs(spark, [doc(200 + i, t) for i, t in enumerate(texts)] + [doc(200, texts[0])])
 
 
-@pytest.mark.parametrize("bloom_keys", [0, 1_000_000])
-def test_odd_documents_and_short_items(spark, monkeypatch, bloom_keys):
-    """With and without the Bloom filter."""
-    monkeypatch.setattr(winnowing, "BLOOM_KEYS", bloom_keys)
+@pytest.mark.parametrize("bits", [64, 1 << 28])
+def test_odd_documents_and_short_items(spark, monkeypatch, bits):
+    """With a Bloom filter that lets nearly all pass, and with one of full size."""
+    monkeypatch.setattr(winnowing, "MAX_BITS", bits)
     check(docs_of(spark), items_of(spark))
 
 
