@@ -13,9 +13,13 @@ def remainder(key: Column, modulus: int) -> Column:
 
 def sample(docs: DataFrame, labels: DataFrame, label: str, learn: Column, rows: int, key: str = "doc_id") -> DataFrame:
     """(text columns of ``docs``, label_, part_): at most ``rows`` labelled rows for which ``learn``
-    holds, those of least hash; ``part_`` is 0 to 99 by another hash. Rows without a label or key are left out."""
+    holds, those of least hash; ``part_`` is 0 to 99 by another hash. Rows without a label or key are left out; of
+    rows that share a key, the one with the greatest hash of its columns is taken."""
     chosen = (labels.where(F.col(key).isNotNull() & F.col(label).isNotNull() & learn)
               .groupBy(F.col(key).alias("key_")).agg(F.max(label).cast("int").alias("label_"))
               .withColumn("order_", F.xxhash64("key_")).orderBy("order_", "key_").limit(rows)
               .select("key_", "label_", F.pmod(F.xxhash64(F.lit("part"), "key_"), F.lit(100)).cast("int").alias("part_")))
-    return docs.join(F.broadcast(chosen), F.col(key) == F.col("key_")).drop("key_")  # at most ``rows`` rows are broadcast
+    found = docs.join(F.broadcast(chosen), F.col(key) == F.col("key_"))  # at most ``rows`` rows are broadcast
+    row = F.struct(*[F.col(c) for c in docs.columns])
+    one = found.groupBy("key_", "label_", "part_").agg(F.max_by(row, F.xxhash64(*[F.col(c) for c in docs.columns])).alias("row_"))
+    return one.select("row_.*", "label_", "part_")

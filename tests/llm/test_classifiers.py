@@ -119,3 +119,13 @@ def test_scores_are_mllibs(spark):
         v = r.features
         got = quality.machine(np.zeros(len(v.indices), int), v.indices, v.values, 1, model.intercept, model.linear.toArray(), model.factors.toArray())
         assert np.isclose(got[0], r.raw)
+
+
+def test_the_sample_is_bounded_in_rows(spark):
+    """A key that many rows share gives one of them, always the same."""
+    docs = table(spark, [doc(1, f"text {i}") for i in range(500)] + [doc(i, "one") for i in range(2, 40)], DOCS)
+    labels = table(spark, [(i, 1, i % 2) for i in range(1, 40)] + [(1, 0, 0)], LABELS, 1)
+    got = [labelled.sample(docs.select("doc_id", "text"), labels, "toxic", F.lit(True), 25).collect() for _ in range(2)]
+    assert len(got[0]) == 25 and len({r.doc_id for r in got[0]}) == 25 and sorted(got[0]) == sorted(got[1])
+    everything = labelled.sample(docs.repartition(7).select("doc_id", "text"), labels, "toxic", F.lit(True), 1000).collect()
+    assert len(everything) == 39 and {tuple(r) for r in got[0]} <= {tuple(r) for r in everything}
