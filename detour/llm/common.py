@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import shutil
 import tempfile
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 import detour
+from detour.llm import tokens
 from detour.session import fresh_path
 
 # Arrow batches of documents stay small whatever the row count: texts may be long.
@@ -38,6 +42,33 @@ def python_tasks(spark: SparkSession) -> None:
         sc._detour_sent = True
 
 
+def _give_back() -> None:
+    """Return to the system what the worker has freed: allocators keep it otherwise, and workers live on."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
+Work = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+
+def lean(work: Work, tokenizes: bool = False) -> Work:
+    """``work`` for ``mapInArrow`` in a worker that holds little between tasks. Tokenizers and their caches of pieces, which
+    earlier steps may have left in the worker, go unless ``work`` ``tokenizes``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not tokenizes:
+            tokens.forget()
+            _give_back()
+        try:
+            yield from work(batches)
+        finally:
+            _give_back()
+    return run
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder for intermediate tables below ``spark.checkpoint.dir``."""
     return fresh_path(spark, "llm", name)

@@ -47,7 +47,7 @@ def tokenised(docs: DataFrame, path: str, drop_space: bool, end_id: int = 1, lit
                                                  names=["doc_id", "ids", "n_ids"])
 
     common.python_tasks(docs.sparkSession)
-    return docs.select("doc_id", "text").mapInArrow(encode, "doc_id long, ids binary, n_ids long")
+    return docs.select("doc_id", "text").mapInArrow(common.lean(encode, tokenizes=True), "doc_id long, ids binary, n_ids long")
 
 
 def id_counts(ids: DataFrame) -> DataFrame:

@@ -26,7 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from detour.llm import common, tokens
@@ -71,7 +71,7 @@ def corpus_statistics(ids: DataFrame, end_id: int = 1) -> tuple[np.ndarray, floa
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([seen, [-1, -2]]).astype(np.int32)),
                                           pa.array(np.concatenate([df[seen], [docs, length]]))], names=["id", "n"])
 
-    got = ids.select("ids").mapInArrow(count, "id int, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    got = ids.select("ids").mapInArrow(common.lean(count), "id int, n long").groupBy("id").agg(F.sum("n").alias("n"))
     df, docs, length = np.zeros(1 << 16, np.int64), 0, 0
     for r in got.toLocalIterator():  # a row for each id of the vocabulary at most
         if r["id"] >= 0:
@@ -180,9 +180,9 @@ def _names(schema: str) -> list[str]:
     return [c.split()[0] for c in schema.split(",")]
 
 
-def _kept(table: DataFrame, wanted: np.ndarray) -> DataFrame:
-    """The rows of the index whose number is set in ``wanted``."""
-    sent = table.sparkSession.sparkContext.broadcast(np.packbits(wanted))
+def _keeping(spark: SparkSession, wanted: np.ndarray) -> common.Work:
+    """Lets the rows of the index pass whose number is set in ``wanted``."""
+    sent = spark.sparkContext.broadcast(np.packbits(wanted))
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = sent.value
@@ -190,7 +190,12 @@ def _kept(table: DataFrame, wanted: np.ndarray) -> DataFrame:
             num = b.column(0).to_numpy()
             yield b.filter(pa.array(bits[num >> 3] >> (7 - (num & 7)).astype(np.uint8) & 1 == 1))
 
-    return table.mapInArrow(keep, table.schema)
+    return keep
+
+
+def _kept(table: DataFrame, wanted: np.ndarray) -> DataFrame:
+    """The rows of the index whose number is set in ``wanted``."""
+    return table.mapInArrow(common.lean(_keeping(table.sparkSession, wanted)), table.schema)
 
 
 def _hashed(seed: int, num: np.ndarray) -> np.ndarray:
@@ -242,8 +247,9 @@ def nearest(index: DataFrame, unused: np.ndarray, seeds: np.ndarray, idf: np.nda
         out = [x for x in [*out, (now, nums.tobytes())] if x[0] >= 0]
         yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int32()), pa.array([x[1] for x in out], pa.binary())], names=["q", "nums"])
 
-    scored = _kept(index, unused).mapInArrow(score, "q int, nums binary, scores binary")
-    got = scored.repartition("q").sortWithinPartitions("q").mapInArrow(merge, "q int, nums binary").toArrow()
+    keep = _keeping(spark, unused)  # in the worker that scores: two steps in a row would each have one
+    scored = index.mapInArrow(common.lean(lambda batches: score(keep(batches))), "q int, nums binary, scores binary")
+    got = scored.repartition("q").sortWithinPartitions("q").mapInArrow(common.lean(merge), "q int, nums binary").toArrow()
     lists = [np.zeros(0, np.int64)] * len(seeds)
     for q, nums in zip(got.column("q").to_pylist(), got.column("nums").to_pylist(), strict=True):
         lists[q] = np.frombuffer(nums, np.int64)
@@ -397,10 +403,10 @@ def pack(docs: DataFrame, tokenizer: str, drop_space: bool = False, end_id: int
             got = np.stack([b.column(0).to_numpy(), b.column(1).to_numpy(), b.column(2).to_numpy()])
             yield pa.RecordBatch.from_arrays([pa.array([got.astype(np.int64).tobytes()], pa.binary())], names=["got"])
 
-    index = common.written(ids.select("ids", "row").mapInArrow(terms, INDEX), f"{path}/index-0")
+    index = common.written(ids.select("ids", "row").mapInArrow(common.lean(terms), INDEX), f"{path}/index-0")
     total = int(n_rows.sum())
     rests, starts, bare = np.zeros(total, np.int16), np.zeros(total, np.int32), np.zeros(total, bool)
-    for r in index.select("num", "n_ids", F.length("terms").alias("n")).mapInArrow(lengths, "got binary").toLocalIterator():
+    for r in index.select("num", "n_ids", F.length("terms").alias("n")).mapInArrow(common.lean(lengths), "got binary").toLocalIterator():
         num, size, n = np.frombuffer(bytes(r["got"]), np.int64).reshape(3, -1)
         rests[num], starts[num], bare[num] = size % WINDOW, size // WINDOW * WINDOW, n == 0
 
@@ -449,7 +455,7 @@ def pack(docs: DataFrame, tokenizer: str, drop_space: bool = False, end_id: int
 
     places = (spark.read.schema(PLACE).parquet(f"{path}/places").groupBy("row")
               .agg(F.collect_list(F.struct("start", "length", "sequence_id", "offset")).alias("places")))
-    return ids.join(places, "row", "left").select("doc_id", "ids", "row", "places").mapInArrow(rows, PIECE)
+    return ids.join(places, "row", "left").select("doc_id", "ids", "row", "places").mapInArrow(common.lean(rows), PIECE)
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:

@@ -131,7 +131,7 @@ def sketched(docs: DataFrame) -> DataFrame:
                 names=[*[f.name for f in rest], "content", "keys"])
 
     added = [T.StructField("content", T.BinaryType()), T.StructField("keys", T.ArrayType(T.LongType()))]
-    return docs.mapInArrow(run, T.StructType([*rest, *added]))
+    return docs.mapInArrow(common.lean(run), T.StructType([*rest, *added]))
 
 
 def probability_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
@@ -169,7 +169,7 @@ def similar(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
 
     a = texts.select(F.col("node").alias("u"), F.col("text").alias("a"))
     b = texts.select(F.col("node").alias("v"), F.col("text").alias("b"))
-    return pairs.join(a, "u").join(b, "v").select("u", "v", "a", "b").mapInArrow(check, "u long, v long, linked boolean")
+    return pairs.join(a, "u").join(b, "v").select("u", "v", "a", "b").mapInArrow(common.lean(check), "u long, v long, linked boolean")
 
 
 def rare(texts: DataFrame) -> DataFrame:
@@ -197,10 +197,10 @@ def rare(texts: DataFrame) -> DataFrame:
                  pa.array(hist, pa.list_(pa.int16()))], names=["node", "n", "weight", "hist"])
 
     given = texts.select("node", "text")
-    by = given.mapInArrow(shingles, "node long, shingle long, weight long").groupBy("shingle").agg(
+    by = given.mapInArrow(common.lean(shingles), "node long, shingle long, weight long").groupBy("shingle").agg(
         F.count(F.lit(1)).alias("texts"), F.min("node").alias("node"), F.min("weight").alias("weight"))
     own = by.where("texts = 1").groupBy("node").agg(F.count(F.lit(1)).alias("own"), F.sum("weight").alias("own_weight"))
-    whole = given.mapInArrow(sizes, "node long, n long, weight long, hist array<smallint>")
+    whole = given.mapInArrow(common.lean(sizes), "node long, n long, weight long, hist array<smallint>")
     return whole.join(own, "node", "left").select("node", "n", "weight", "hist", F.coalesce("own", F.lit(0)).cast("long").alias("own"),
                                                   F.coalesce("own_weight", F.lit(0)).cast("long").alias("own_weight"))
 

@@ -63,12 +63,17 @@ def runs(first: np.ndarray, count: np.ndarray) -> np.ndarray:
 
 
 def tokenizer(path: str, drop_space: bool, literals: bool = False) -> "PieceTokenizer":
-    """The worker's tokenizer for ``path``; its cache lives as long as the worker does."""
+    """The worker's tokenizer for ``path``; its cache lives until a step that needs none runs in the worker."""
     if (path, literals) not in _OPEN:
         _OPEN[path, literals] = SentencePieces(path) if path.endswith(".model") else PieceTokenizer(path, drop_space, literals=literals)
     return _OPEN[path, literals]
 
 
+def forget() -> None:
+    """Drop the worker's tokenizers."""
+    _OPEN.clear()
+
+
 class PieceTokenizer:
     """``drop_space``: the tokenizer drops white space, so pieces can leave it out."""
 

@@ -176,7 +176,7 @@ def _unit_counts(texts: DataFrame, among: np.ndarray | None) -> DataFrame:
             unit, n = np.unique(np.concatenate(seen) if seen else np.zeros(0, np.uint64), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(unit.view(np.int64)), pa.array(n)], names=["unit", "n"])
 
-    return texts.select("text").mapInArrow(count, "unit long, n long").groupBy("unit").agg(F.sum("n").alias("n"))
+    return texts.select("text").mapInArrow(common.lean(count), "unit long, n long").groupBy("unit").agg(F.sum("n").alias("n"))
 
 
 def learn_lexicon(sample: DataFrame) -> Lexicon:
@@ -212,7 +212,7 @@ def featured(docs: DataFrame, learned: Lexicon, text: str = "text", carry_text:
             dense = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1) * len(FEATURES), pa.int32()), pa.array(x.ravel()))
             yield pa.RecordBatch.from_arrays([*[b.column(f.name) for f in rest], dense], names=[*[f.name for f in rest], "dense"])
 
-    return docs.mapInArrow(run, T.StructType([*rest, T.StructField("dense", T.ArrayType(T.DoubleType()))]))
+    return docs.mapInArrow(common.lean(run), T.StructType([*rest, T.StructField("dense", T.ArrayType(T.DoubleType()))]))
 
 
 Score = Callable[..., DataFrame]
