@@ -38,7 +38,7 @@ ROUND_WINDOWS = 8192
 BLOCK_DOCS = 8192  # scored at once, for QUERY_ROWS seeds
 QUERY_ROWS = 256
 LIST = 32          # neighbours a seed gets in a round, or as many as would fill its window twice if these are more
-DENSE_TERMS = 512  # the commonest terms are scored by a matrix product
+DENSE_TERMS = 768  # the commonest terms are scored by a matrix product
 PLACED = 1 << 16   # pieces that the driver holds before it writes them
 QUERY_TERMS = None  # of a seed: all
 K1, B = 1.2, 0.75

@@ -24,6 +24,7 @@ import pyarrow as pa
 from detour.llm import textbytes as tb
 
 CACHE_PIECES = 1_000_000
+CACHE_BYTES = 64 << 20  # of all cached pieces together
 LEARN_PIECES = 4096
 
 _SPACE, _LETTER, _MARK, _OTHER = 1, 2, 3, 0
@@ -46,8 +47,9 @@ class Pool:
     def add(self, values: np.ndarray) -> int:
         """Where ``values`` begin."""
         at = self.used
-        while at + len(values) > len(self.held):
-            self.held = np.concatenate([self.held, np.zeros_like(self.held)])
+        if at + len(values) > len(self.held):  # by a quarter, not double: the pool is most of what a worker holds
+            more = max(at + len(values) - len(self.held), len(self.held) // 4)
+            self.held = np.concatenate([self.held, np.zeros((more, *self.held.shape[1:]), self.held.dtype)])
         self.used += len(values)
         self.held[at:self.used] = values
         return at
@@ -94,7 +96,7 @@ class PieceTokenizer:
 
     def _forget(self) -> None:
         self.keys, self.slots = np.zeros(0, np.uint64), np.zeros(0, np.int32)  # sorted hashes, and the pieces' rows in where
-        self.where = Pool(np.int64, 5)  # first id, number of ids, first byte, number of bytes, whether ids give the bytes
+        self.where = Pool(np.int32, 5)  # first id, number of ids, first byte, number of bytes, whether ids give the bytes
         self.pool, self.bytes = Pool(np.uint16), Pool(np.uint8)
 
     def _cuts(self, raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -137,12 +139,12 @@ class PieceTokenizer:
         return np.array([b"".join(of[e - n:e]) == x for x, n, e in zip(pieces, count.tolist(), edge, strict=True)], np.int64)
 
     def _learn(self, raw: np.ndarray, keys: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
-        if len(self.keys) + len(keys) > self.cache_pieces:
+        size = ends - starts
+        if len(self.keys) + len(keys) > self.cache_pieces or (self.bytes.used and self.bytes.used + int(size.sum()) > CACHE_BYTES):
             raise OverflowError
         blob = raw.tobytes()
         pieces = [blob[s:e] for s, e in zip(starts.tolist(), ends.tolist(), strict=True)]
         ids, count = self._encode(pieces)
-        size = ends - starts
         new = np.stack([self.pool.add(ids) + np.cumsum(count) - count, count,
                         self.bytes.add(np.frombuffer(b"".join(pieces), np.uint8)) + np.cumsum(size) - size, size,
                         self._given_back(pieces, ids, count)], axis=1)
