@@ -37,10 +37,11 @@ BLOCK = ("part int, block int, first long, n_ids long, doc_ids array<bigint>, si
          "checkpoints array<bigint>, bits binary")
 
 
-def tokenised(docs: DataFrame, path: str, drop_space: bool, end_id: int = 1, literals: bool = False) -> DataFrame:
+def tokenised(docs: DataFrame, path: str, drop_space: bool, end_id: int = 1, literals: bool = False,
+              cache_pieces: int = tokens.CACHE_PIECES) -> DataFrame:
     """(doc_id, ids: 16-bit little-endian, n_ids): the whole text's ids and the end id."""
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok = tokens.tokenizer(path, drop_space, literals)
+        tok = tokens.tokenizer(path, drop_space, literals, cache_pieces)
         for b in batches:
             for lo, hi, flat, sizes in tok.slices(b.column(1), end_id):
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), tokens.binary(flat, sizes), pa.array(sizes)],

@@ -41,6 +41,7 @@ LIST = 32          # neighbours a seed gets in a round, or as many as would fill
 DENSE_TERMS = 768  # the commonest terms are scored by a matrix product
 PLACED = 1 << 16   # pieces that the driver holds before it writes them
 QUERY_TERMS = None  # of a seed: all
+CACHE_PIECES = 400_000  # of a tokenising worker: earlier stages of a pipeline leave it little memory
 K1, B = 1.2, 0.75
 
 PIECE = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
@@ -95,13 +96,13 @@ class Shard:
         terms, n_terms = tokens.ids_of(table.column("terms"))
         counts, sizes = np.frombuffer(tb.flat(table.column("counts"))[0].tobytes(), np.uint32), table.column("n_ids").to_numpy()
         self = cls.__new__(cls)
-        self._build(np.repeat(np.arange(len(sizes)), n_terms), terms.astype(np.int64), counts, sizes, idf, mean)
+        self._build(np.repeat(np.arange(len(sizes), dtype=np.int32), n_terms), terms, counts, sizes, idf, mean)
         return self
 
     def _build(self, doc: np.ndarray, term: np.ndarray, n: np.ndarray, sizes: np.ndarray, idf: np.ndarray, mean: float) -> None:
         self.term_of, self.begin = term, np.searchsorted(doc, np.arange(len(sizes) + 1))
         by_term = np.argsort(term, kind="stable")
-        self.doc, self.weight = doc[by_term], _weights(doc, term, n, sizes, idf, mean)[by_term]
+        self.doc, self.weight = doc[by_term].astype(np.int32), _weights(doc, term, n, sizes, idf, mean)[by_term]
         self.edge = np.searchsorted(term[by_term], np.arange((1 << 16) + 1))
         self.n = len(sizes)
 
@@ -379,7 +380,7 @@ def pack(docs: DataFrame, tokenizer: str, drop_space: bool = False, end_id: int
     """One row for each piece: where it comes from (doc_id, start, length, ``row``: which of rows
     that share a doc_id), where it goes (sequence_id, offset), its digest, and whether it opens its sequence."""
     spark, path = docs.sparkSession, common.scratch(docs.sparkSession, "packing")
-    ids = common.written(tokenised(docs, tokenizer, drop_space, end_id, literals)
+    ids = common.written(tokenised(docs, tokenizer, drop_space, end_id, literals, CACHE_PIECES)
                          .withColumn("row", F.monotonically_increasing_id()), f"{path}/ids")
     idf, mean = corpus_statistics(ids, end_id)
     common_terms = np.argsort(idf, kind="stable")[:DENSE_TERMS]
@@ -430,7 +431,7 @@ def pack(docs: DataFrame, tokenizer: str, drop_space: bool = False, end_id: int
             live[w.next] = True
             live[[p[0] for _, pieces in w.open for p in pieces]] = True
             live[[s for s, _ in w.open]] = True
-            index, written = common.written(_kept(index, live), f"{path}/index-{now}"), now
+            index, written = common.written(_kept(index, live).coalesce(1 + now // BLOCK_DOCS), f"{path}/index-{now}"), now
     last = w.pool()  # fewer ids than a window has
     wanted = np.zeros(total, bool)
     wanted[last] = True

@@ -64,10 +64,11 @@ def runs(first: np.ndarray, count: np.ndarray) -> np.ndarray:
     return np.arange(total[-1] if len(total) else 0) + np.repeat(first - (total - count), count)
 
 
-def tokenizer(path: str, drop_space: bool, literals: bool = False) -> "PieceTokenizer":
+def tokenizer(path: str, drop_space: bool, literals: bool = False, cache_pieces: int = CACHE_PIECES) -> "PieceTokenizer":
     """The worker's tokenizer for ``path``; its cache lives until a step that needs none runs in the worker."""
     if (path, literals) not in _OPEN:
-        _OPEN[path, literals] = SentencePieces(path) if path.endswith(".model") else PieceTokenizer(path, drop_space, literals=literals)
+        _OPEN[path, literals] = (SentencePieces(path, cache_pieces) if path.endswith(".model")
+                                 else PieceTokenizer(path, drop_space, cache_pieces, literals))
     return _OPEN[path, literals]
 
 
