@@ -152,8 +152,7 @@ def manifest(docs: DataFrame, key: str = "doc_id", group: str = "source", fields
 
     found = rows.join(common.broadcast_if_small(tops, BLOCK_BYTES), F.col("group_").eqNullSafe(F.col("g_")) & (F.col("block") == F.col("b_")))
     found = found.withColumn("path", F.concat("below", "upper"))
-    return found.select(F.col("key_").alias(key), "leaf", "subroot", "root", "path",
-                        F.when(F.col("other") == F.col("leaf"), F.col("root")).otherwise(folded(F.col("other"))).alias("other_root"))
+    return found.select(F.col("key_").alias(key), "leaf", "subroot", "root", "path", folded(F.col("other")).alias("other_root"))
 
 
 def folded(start: Column, path: str = "path") -> Column:

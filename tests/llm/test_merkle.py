@@ -3,6 +3,7 @@ import zlib
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from detour.llm import merkle, queries
 
@@ -107,3 +108,11 @@ def test_other_fanout(spark):
         root, paths = merkle.subtree(leaves, None, fanout)
         assert root == levels_of(leaves, fanout)[-1][0]
         assert paths == [siblings(levels_of(leaves, fanout), i, fanout) for i in range(23)]
+
+
+def test_every_row_is_folded(spark, monkeypatch):
+    """The root of an unchanged row is recomputed from its leaf and siblings as well, not copied."""
+    monkeypatch.setattr(merkle, "folded", lambda start, path="path": F.concat(F.lit("folded "), start))
+    docs = table(spark, [doc(4, "a"), doc(5, "b")], DOCS)
+    rows = merkle.manifest(docs).collect()
+    assert len(rows) == 2 and all(r.other_root == f"folded {r.leaf}" for r in rows)
