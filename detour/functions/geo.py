@@ -58,3 +58,18 @@ def lon_cell(lon, n_cells: Column) -> Column:
 def is_point(lat, lon) -> Column:
     """Coordinates that are a place: no null, NaN, infinity or latitude beyond a pole."""
     return F.coalesce((F.abs(lat) <= F.lit(90.0)) & (F.abs(lon) <= F.lit(1e6)), F.lit(False))
+
+
+def maybe_within(lat1: Column, cos1: Column, lon1: Column, lat2: Column, cos2: Column, lon2: Column, distance_m: float,
+                 radius_m: float = EARTH_RADIUS_M) -> Column:
+    """True for every pair within ``distance_m``, and for few others: products only. ``cos1`` and ``cos2`` are of the latitudes.
+
+    sin(x / 2) >= x / 2 (1 - x^2 / 24) for 0 <= x <= pi bounds the haversine from below; gaps in longitude beyond half a turn are left
+    to the exact test."""
+    def least_sin(deg: Column) -> Column:
+        x = F.radians(deg)
+        return x * F.lit(0.5) * (F.lit(1.0) - x * x * F.lit(1 / 24))
+
+    u, v = least_sin(lat2 - lat1), least_sin(lon2 - lon1)
+    most = math.sin(min(distance_m / (2 * radius_m), math.pi / 2)) ** 2 * (1 + CELL_MARGIN) + 1e-18
+    return (F.abs(lon2 - lon1) > F.lit(180.0)) | (u * u + cos1 * cos2 * v * v <= F.lit(most))

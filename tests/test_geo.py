@@ -104,3 +104,33 @@ def test_one_bad_latitude_changes_nothing_else(spark):
     want = brute(L, R, 300.0)
     bad = [(900, float("nan"), 0.0), (901, 89.99999, 10.0), (902, 95.0, 0.0), (903, None, 0.0), (904, 51.5, float("nan")), (905, 90.0, -120.0)]
     assert _run(spark, L + bad, R + bad, 300.0) == want | {(901, 901), (901, 905), (905, 901), (905, 905)}
+
+
+def test_crowded_candidates_are_dealt_into_slices(spark):
+    """Tasks are made for candidates, not bytes: one cell's pairs don't stay in one task, and duplicates pair as before."""
+    rnd = random.Random(9)
+    L = [(i % 35, 51.5 + rnd.random() * 0.002, -0.1 + rnd.random() * 0.002) for i in range(40)] + [(90, 60.0, 179.9995), (91, None, 0.0)]
+    R = [(i, 51.5 + rnd.random() * 0.002, -0.1 + rnd.random() * 0.002) for i in range(400)] + [(900, 60.0, -179.9998), (901, 95.0, 0.0)]
+    Ld = spark.createDataFrame(L, "station_id long, lat double, lon double")
+    Rd = spark.createDataFrame(R + R[:50], "stop_id long, lat double, lon double")
+    plain, dealt = radius_join(Ld, Rd, 100.0), radius_join(Ld, Rd, 100.0, task_candidates=500)
+    key = lambda df: sorted((r.station_id, r.stop_id, r.distance_metres) for r in df.collect())
+    assert key(dealt) == key(plain) and {k[:2] for k in key(dealt)} == brute([x for x in L if x[1]], R, 100.0)
+    per_task = [len(t) for t in dealt.rdd.glom().collect()]
+    assert max(per_task) < sum(per_task) / 3
+
+
+def test_quick_bound_keeps_every_pair(spark):
+    """The products that go before the exact distance lose no pair, however near the radius."""
+    from pyspark.sql import functions as F
+
+    from detour.functions.geo import maybe_within
+    rnd, rows = random.Random(4), []
+    for _ in range(2000):
+        lat, lon, step = rnd.uniform(-89.9, 89.9), rnd.uniform(-180, 180), 10 ** rnd.uniform(-6, 2)
+        rows.append((lat, lon, max(min(lat + rnd.uniform(-step, step), 90.0), -90.0), lon + rnd.uniform(-step, step)))
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double").withColumn("m", haversine_m("a", "b", "c", "d"))
+    cos = lambda c: F.cos(F.radians(c))
+    for r in (0.5, 300.0, 1e6):
+        q = maybe_within(F.col("a"), cos("a"), F.col("b"), F.col("c"), cos("c"), F.col("d"), r)
+        assert df.filter(F.col("m") <= r).count() > 0 and df.filter((F.col("m") <= r) & ~q).isEmpty()
