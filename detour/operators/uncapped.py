@@ -30,6 +30,11 @@ def _served(g: Graph) -> DataFrame:
             .select("stop_id", "route_name").distinct())
 
 
+def line_routes(g: Graph) -> DataFrame:
+    """(line_id, route_name), distinct, over all paths."""
+    return line_stops(g).select("line_id", "stop_id").distinct().join(_served(g), "stop_id").select("line_id", "route_name").distinct()
+
+
 def first_names(pairs: DataFrame, key: str, name: str, most: int) -> DataFrame:
     """(key, names: the first ``most`` in order, null first, n_first: how many of them). ``pairs`` must be distinct. Each task
     sends at most ``most`` rows a key (a partial ``WindowGroupLimit``)."""
@@ -62,6 +67,5 @@ def uncapped_options(g: Graph, p: Params = DEFAULT) -> DataFrame:
 
 def gridlock_lines(g: Graph, p: Params = DEFAULT) -> DataFrame:
     """(line_id, gridlock_alert) of every line over all of its paths: only the first ``min_routes`` names of a line are looked for."""
-    routes = line_stops(g).select("line_id", "stop_id").distinct().join(_served(g), "stop_id").select("line_id", "route_name").distinct()
-    first = first_names(routes, "line_id", "route_name", p.min_routes)
+    first = first_names(line_routes(g), "line_id", "route_name", p.min_routes)
     return g.lines.select("line_id").join(first, "line_id", "left").select("line_id", _reached(F.col("n_first"), p).alias("gridlock_alert"))
