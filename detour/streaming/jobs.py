@@ -81,17 +81,27 @@ def stream_alerts(spark: SparkSession, base: str) -> DataFrame:
     return C.alert_scalars(read_history(spark, history))
 
 
+FILE_ROWS = 50_000   # of a file of a batch: the tasks that read a batch grow with it
+
+
+def write_batches(rows: DataFrame, path: str, batches: int) -> int:
+    """Write ``rows`` for ``batches`` batches of about the same size, each of as many files as its rows make; that number."""
+    files = max(-(-rows.count() // (batches * FILE_ROWS)), 1)
+    rows.repartition(batches * files).write.parquet(path)
+    return files
+
+
 def stream_replay(spark: SparkSession, base: str) -> DataFrame:
-    """The events in four files, a batch for each; the same run twice under fresh checkpoints
+    """The events in four batches; the same run twice under fresh checkpoints
     (every batch is replayed), each batch of the first written twice: the history must still
     hold each alert once."""
     history, files = fresh_path(spark, "stream_replay", "history"), fresh_path(spark, "stream_replay", "events")
     events = load_table(spark, base, "events")
-    events.repartition(4).write.parquet(files)
+    per_batch = write_batches(events, files, 4)
     options = _snapshot(spark, base)
     run_id = uuid.uuid4().hex
     for written_twice in (True, False):
-        parts = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", "1").parquet(files)
+        parts = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", str(per_batch)).parquet(files)
         parsed = disrupted(C.broker_events(parts), processed_at=F.col("event_hub_timestamp"))
         _run_alerts(spark, base, history, options, run_id, parsed, written_twice)
     return C.alert_scalars(read_history(spark, history))
@@ -131,10 +141,10 @@ def history_options_exploded(spark: SparkSession, base: str) -> DataFrame:
 
 
 def _four_batches(spark: SparkSession, base: str, name: str) -> tuple[DataFrame, str]:
-    """The events in four files, a batch for each: (the disrupted ones as a stream, folder)."""
+    """The events in four batches: (the disrupted ones as a stream, folder)."""
     files, events = fresh_path(spark, name, "events"), load_table(spark, base, "events")
-    events.repartition(4).write.parquet(files)
-    parts = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", "1").parquet(files)
+    per_batch = write_batches(events, files, 4)
+    parts = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", str(per_batch)).parquet(files)
     return disrupted(C.broker_events(parts), processed_at=F.col("event_hub_timestamp")), files
 
 
@@ -193,7 +203,7 @@ def stream_quarantine(spark: SparkSession, base: str) -> DataFrame:
     records = to_broker_records(events, C.PAYLOAD_FIELDS, timestamp_col="ts").withColumn("event_id", F.get_json_object(F.col("value").cast("string"), "$.event_id").cast("long"))
     broken = F.col("event_id") % 17 == 0
     records = records.select(F.when(broken, F.substring(F.col("value").cast("string"), 1, 12).cast("binary")).otherwise(F.col("value")).alias("value"), "timestamp")
-    records.repartition(2).write.parquet(files)
+    per_batch = write_batches(records, files, 2)
     writer = AlertBatchWriter(_snapshot(spark, base), history, uuid.uuid4().hex, C.P, keep=["event_id"])
     both = AlertAndQuarantineWriter(writer, bad, C.PAYLOAD_SCHEMA, F.col("event_hub_timestamp")).outputs()
 
@@ -204,7 +214,7 @@ def stream_quarantine(spark: SparkSession, base: str) -> DataFrame:
         BatchOutputs(both.outputs[:1], both.run_id, both.prepare)(batch, batch_id)
         raise Lost("between the outputs")
 
-    stream = spark.readStream.schema(records.schema).option("maxFilesPerTrigger", "1").parquet(files)
+    stream = spark.readStream.schema(records.schema).option("maxFilesPerTrigger", str(per_batch)).parquet(files)
     try:
         start_alert_stream(stream, dies, checkpoint, AVAILABLE_NOW).awaitTermination()
     except StreamingQueryException:

@@ -132,3 +132,12 @@ def test_history_carries_the_alert_contract(spark):
         if f.name == "line_id":
             continue
         assert norm(got[f.name].dataType.simpleString()) == f.dataType.simpleString(), f.name
+
+
+def test_a_large_batch_is_read_by_many_tasks(spark, tmp_path, monkeypatch):
+    """Four batches whatever the size; a larger one comes in more files."""
+    from detour.streaming import jobs
+    monkeypatch.setattr(jobs, "FILE_ROWS", 10)
+    assert jobs.write_batches(spark.range(400), str(tmp_path / "many"), 4) == 10
+    assert len(list((tmp_path / "many").glob("part-*"))) == 40 and spark.read.parquet(str(tmp_path / "many")).distinct().count() == 400
+    assert jobs.write_batches(spark.range(40), str(tmp_path / "few"), 4) == 1
