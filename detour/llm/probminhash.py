@@ -14,9 +14,9 @@ with too many unshared ones can't reach the similarity with any other of its buc
 below it can't. Members are compared with one pivot of the bucket, the most central one: whose buckets, over all bands, hold the
 most documents (an original among its edited copies). Linked ones are merged into components. Each bucket whose pairs left
 between different components are at most ``PAIRS_PER_MEMBER`` for each of its own members is then compared pair by pair, as far as the
-bounds allow; the others get further pivots, each from outside the components of the former ones. Within a component no
+bounds allow; the others get further pivots, each from outside the components of the former ones, while these link anything. Within a component no
 comparison is needed any more, so no class that all pairs would give is lost. A bucket of many documents that the
-bounds allow to be similar, but that aren't, comes down to its pairs after ``PIVOT_ROUNDS`` pivots.
+bounds allow to be similar, but that aren't, comes down to its pairs after a round that links nothing, or ``PIVOT_ROUNDS`` pivots.
 
 Texts with the same words in the same order are copies and are represented by one of them; a class
 is a connected component of links. Null counts as empty; texts without words are copies
@@ -45,6 +45,7 @@ BANDS, ROWS = 24, 4
 M = BANDS * ROWS
 CLASSES = 128  # of shingles, for an upper bound of what two texts share
 PIVOT_ROUNDS = 6
+HELD_SHINGLES = 1 << 20  # of texts that a task keeps between batches of pairs
 PAIRS_PER_MEMBER = 16  # pairs between components that are compared one by one, for each member of their bucket
 
 _GOLD = 0x9E3779B97F4A7C15
@@ -159,17 +160,30 @@ def _sets(column: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
     return out
 
 
-def similar(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """(u, v, linked) of pairs (u, v): whether J_P of their texts reaches ``similarity``."""
+def _checked(similarity: float) -> common.Work:
+    """(u, v, linked) of pairs (u, v) and their texts (a, b). A text is taken apart once for the pairs of a batch, and of the next ones
+    while the task holds it."""
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         for b in batches:
-            got = [probability_jaccard(x, y) >= similarity - 1e-12
-                   for x, y in zip(_sets(b.column("a")), _sets(b.column("b")), strict=True)]
+            if sum(len(s[0]) for s in held.values()) > HELD_SHINGLES:
+                held = {}
+            sides = [b.column(c).to_numpy() for c in ("u", "v")]
+            for nodes, column in zip(sides, ("a", "b"), strict=True):
+                node, at = np.unique(nodes, return_index=True)
+                new = [k for k, n in enumerate(node.tolist()) if n not in held]
+                held.update(zip(node[new].tolist(), _sets(b.column(column).take(pa.array(at[new]))), strict=True))
+            got = [probability_jaccard(held[x], held[y]) >= similarity - 1e-12 for x, y in zip(*[s.tolist() for s in sides], strict=True)]
             yield pa.RecordBatch.from_arrays([b.column("u"), b.column("v"), pa.array(got, pa.bool_())], names=["u", "v", "linked"])
 
+    return check
+
+
+def similar(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """(u, v, linked) of pairs (u, v): whether J_P of their texts reaches ``similarity``."""
     a = texts.select(F.col("node").alias("u"), F.col("text").alias("a"))
     b = texts.select(F.col("node").alias("v"), F.col("text").alias("b"))
-    return pairs.join(a, "u").join(b, "v").select("u", "v", "a", "b").mapInArrow(common.lean(check), "u long, v long, linked boolean")
+    return pairs.join(a, "u").join(b, "v").select("u", "v", "a", "b").mapInArrow(common.lean(_checked(similarity)), "u long, v long, linked boolean")
 
 
 def rare(texts: DataFrame) -> DataFrame:
@@ -238,6 +252,14 @@ def _able(members: DataFrame, similarity: float) -> DataFrame:
     return members.join(least, ["band", "key"]).where(~F.col("all_sets") | (F.col("n") - F.col("own") >= needed)).drop("least_n", "all_sets")
 
 
+def _merged(of: DataFrame, linked: DataFrame, path: str) -> DataFrame:
+    """``of`` (node, component) after the components that ``linked`` (u, v) joins are one."""
+    end = lambda c: of.select(F.col("node").alias(c), F.col("component").alias(f"{c}_of"))
+    edges = linked.join(end("u"), "u").join(end("v"), "v").select(F.col("u_of").alias("u"), F.col("v_of").alias("v"))
+    into = components.components(edges, f"{path}/components").select(F.col("node").alias("component"), F.col("component").alias("into"))
+    return common.written(of.join(into, "component", "left").select("node", F.coalesce("into", "component").alias("component")), f"{path}/all")
+
+
 def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(doc_id, class_id, representative, class_size, kept, class_row, row, at_) of every row of ``docs``, which must
     come straight from files; ``at_`` is the row's locator.
@@ -272,13 +294,15 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     every = members.select("node").distinct()
     of = every.withColumn("component", F.col("node"))
     asked = spark.createDataFrame([], "band int, key long, pivot long")  # the former pivots
+    pivots = True
     for step in range(1, PIVOT_ROUNDS + 2):
         placed = members.join(of, "node")
         open_ = common.written(_pairs_left(placed), f"{path}/open{step}")
         if open_.isEmpty():
             break
         placed = common.written(placed.join(open_, ["band", "key"]), f"{path}/placed{step}")
-        few = F.lit(True) if step > PIVOT_ROUNDS else F.lit(False) if step == 1 else F.col("few")
+        pivots = pivots and step <= PIVOT_ROUNDS
+        few = F.lit(True) if not pivots else F.lit(False) if step == 1 else F.col("few")
         # The next pivot is the most central member outside the components of the former ones.
         former = asked.join(of.withColumnRenamed("node", "pivot"), "pivot").select("band", "key", "component").distinct()
         rest = placed.where(~few)
@@ -287,7 +311,7 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
         best = common.written(best.select("band", "key", "node", "component", *stats), f"{path}/pivots{step}")
         asked = asked.unionByName(best.select("band", "key", F.col("node").alias("pivot")))
         others = sides(best, "_b").withColumn("pivot", F.lit(True))
-        if step > 1 or step > PIVOT_ROUNDS:  # few pairs, or every member is with a former pivot: all pairs
+        if step > 1 or not pivots:  # few pairs, or every member is with a former pivot: all pairs
             others = others.unionByName(sides(placed.join(best.select("band", "key"), ["band", "key"], "left_anti"), "_b").withColumn("pivot", F.lit(False)))
         apart = (F.col("component_a") < F.col("component_b")) | F.col("pivot") & (F.col("component_a") != F.col("component_b"))
         met = sides(placed, "_a").withColumnsRenamed({"band": "band_a", "key": "key_a"})
@@ -296,9 +320,11 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
         new = pairs if step == 1 else pairs.join(checked.select("u", "v"), ["u", "v"], "left_anti")
         found = common.written(similar(new, texts, similarity), f"{path}/found{step}")
         checked = checked.unionByName(found)
-        of = components.components(checked.where("linked").select("u", "v"), f"{path}/components{step}")
-        of = common.written(every.join(of, "node", "left")
-                            .select("node", F.coalesce("component", "node").alias("component")), f"{path}/of{step}")
+        linked = found.where("linked").select("u", "v")
+        if linked.isEmpty():  # further pivots would rarely link more: all pairs that are left come next
+            pivots = pivots and step == 1
+        else:
+            of = _merged(of, linked, f"{path}/of{step}")
         members = placed.select(*members.columns).join(best.select("band", "key"), ["band", "key"])  # the others are done
 
     named = nodes.select("node", "content", "first").join(of, "node", "left").select(

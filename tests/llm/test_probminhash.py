@@ -148,3 +148,23 @@ def test_copies_that_only_their_original_is_like(spark):
         rows.append(doc(i, " ".join(w)))
     docs = table(spark, rows, DOCS)
     assert key(classes_of(pm.classes(docs).collect())) == key(brute(docs.collect()))
+
+
+def test_a_text_is_taken_apart_once_for_its_pairs(monkeypatch):
+    """All pairs of 40 texts, in one task: the sets of each text are computed once, however many pairs it has."""
+    texts = variants(40, 8)
+    taken = []
+    monkeypatch.setattr(pm, "_sets", lambda column, real=pm._sets: taken.append(len(column)) or real(column))
+
+    pairs = [{"u": i, "v": j, "a": texts[i], "b": texts[j]} for i in range(40) for j in range(i)]
+    got = [r for b in pm._checked(0.8)(iter(pa.Table.from_pylist(pairs).to_batches(max_chunksize=100))) for r in b.to_pylist()]
+    sets = pm._sets(pa.array(texts))
+    assert [(r["u"], r["v"], r["linked"]) for r in got] == [(p["u"], p["v"], pm.probability_jaccard(sets[p["u"]], sets[p["v"]]) >= 0.8 - 1e-12) for p in pairs]
+    assert sum(taken[:-1]) == 40
+
+
+def test_few_edges_need_no_shuffle(spark):
+    """A component's rounds over few edges are one stage each: none of them is dealt among tasks."""
+    edges = spark.createDataFrame([(i, i + 1) for i in range(30)], "u long, v long").coalesce(1)
+    plan = components._small_star(components._large_star(edges, 60), 60)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan and "BroadcastExchange" in plan
