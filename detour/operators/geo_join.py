@@ -11,13 +11,14 @@ place (null, NaN, latitude beyond 90 degrees) pair with nothing.
 
 Few bytes of points can make many pairs, so tasks are dealt by candidates, which are counted by cell first: beyond
 ``task_candidates`` both sides are shuffled into as many tasks as that takes, and a cell of more is dealt in slices of its
-stops, each with all of the cell's stations. Stops that agree in key and place share a slice.
+stops, each with all of the cell's stations. Stops that agree in key, place and plain carried columns share a slice.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType
 
 from detour.functions.geo import EARTH_RADIUS_M, haversine_m, is_point, lat_band, lat_step, lon_cell, lon_cells, maybe_within
 from detour.operators.sizing import broadcast_if_bounded, row_count_at_most
@@ -62,40 +63,58 @@ def candidate_count(left: DataFrame, right: DataFrame, radius_m: float, earth_ra
     return _total(_candidates(_cells_around(lat, lon, L, dlat, radius_m, earth_radius_m), _cell_of(lat, lon, R, dlat, radius_m, earth_radius_m)))
 
 
-def _sliced(L: DataFrame, R: DataFrame, cells: DataFrame, total: int, task_candidates: int) -> tuple[DataFrame, DataFrame]:
+def _plain(df: DataFrame, columns: list[str]) -> list[str]:
+    return [c for c in columns if isinstance(df.schema[c].dataType, AtomicType)]
+
+
+def _sliced(L: DataFrame, R: DataFrame, cells: DataFrame, total: int, task_candidates: int, carry: list[str]) -> tuple[DataFrame, DataFrame]:
     """Both sides dealt into tasks by cell and ``_slice``."""
     most = max(task_candidates // SLICES, 1)
     slices = F.greatest(F.ceil(F.col("_nl").cast("double") * F.col("_nr") / F.lit(float(most))), F.ceil(F.col("_nr") / F.lit(SLICE_STOPS))).cast("long")
     cut = broadcast_if_bounded(cells.select(*CELL, F.least(slices, F.col("_nr")).alias("_slices")).filter(F.col("_slices") > 1))
     n = F.coalesce(F.col("_slices"), F.lit(1).cast("long"))
     L = L.join(cut, CELL, "left").withColumn("_slice", F.explode(F.sequence(F.lit(0).cast("long"), n - 1))).drop("_slices")
-    R = R.join(cut, CELL, "left").withColumn("_slice", F.pmod(F.xxhash64("_rk", "_rlat", "_rlon"), n)).drop("_slices")
+    R = R.join(cut, CELL, "left").withColumn("_slice", F.pmod(F.xxhash64("_rk", "_rlat", "_rlon", *_plain(R, carry)), n)).drop("_slices")
     # A fixed number, and not below the session's own: else the planner deals anew, by bytes, into few.
     tasks = max(min(-(-total // task_candidates), MAX_TASKS), int(L.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     return L.repartition(tasks, *CELL, "_slice"), R.repartition(tasks, *CELL, "_slice")
 
 
+def celled(left: DataFrame, right: DataFrame, radius_m: float, left_key: str, right_key: str, earth_radius_m: float,
+           left_carry: list[str], carry: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Both sides with their cells: partners share a ``CELL``, in which the left side stands once for each neighbourhood it is in."""
+    dlat = lat_step(radius_m, earth_radius_m)
+    cos = lambda c: F.cos(F.radians(c))
+    L = left.filter(is_point(F.col("lat"), F.col("lon"))).select(
+        F.col(left_key).alias("_lk"), F.col("lat").alias("_llat"), F.col("lon").alias("_llon"), cos("lat").alias("_lcos"), *left_carry)
+    R = right.filter(is_point(F.col("lat"), F.col("lon"))).select(
+        F.col(right_key).alias("_rk"), F.col("lat").alias("_rlat"), F.col("lon").alias("_rlon"), cos("lat").alias("_rcos"), *carry)
+    return (_cells_around(F.col("_llat"), F.col("_llon"), L, dlat, radius_m, earth_radius_m),
+            _cell_of(F.col("_rlat"), F.col("_rlon"), R, dlat, radius_m, earth_radius_m))
+
+
+def matched(candidates: DataFrame, radius_m: float, left_key: str, right_key: str, earth_radius_m: float, out: str, carry: list[str]) -> DataFrame:
+    """The pairs of joined :func:`celled` sides that lie within the radius."""
+    d = haversine_m(F.col("_llat"), F.col("_llon"), F.col("_rlat"), F.col("_rlon"), earth_radius_m)
+    near = maybe_within(F.col("_llat"), F.col("_lcos"), F.col("_llon"), F.col("_rlat"), F.col("_rcos"), F.col("_rlon"), radius_m, earth_radius_m)
+    return (candidates.filter(near & (d <= F.lit(float(radius_m))))
+            .select(F.col("_lk").alias(left_key), F.col("_rk").alias(right_key), d.alias(out), *carry))
+
+
 def radius_join(left: DataFrame, right: DataFrame, radius_m: float,
                 left_key: str = "station_id", right_key: str = "stop_id",
                 earth_radius_m: float = EARTH_RADIUS_M, out: str = "distance_metres",
                 max_broadcast_points: int = 100_000, carry: list[str] | None = None,
-                task_candidates: int = TASK_CANDIDATES) -> DataFrame:
+                task_candidates: int = TASK_CANDIDATES, left_carry: list[str] | None = None) -> DataFrame:
     """Pairs (left_key, right_key, distance) with distance <= radius_m, and the columns
-    ``carry`` of the right side.
+    ``left_carry`` of the left side and ``carry`` of the right side.
 
     Both inputs need ``lat`` and ``lon`` in degrees. ``left`` is the side that is
     replicated nine times, so pass the smaller one there. Up to ``max_broadcast_points``
     left points the replicated side is broadcast, if one task's candidates are not exceeded.
     """
-    carry = carry or []
-    dlat = lat_step(radius_m, earth_radius_m)
-    cos = lambda c: F.cos(F.radians(c))
-    L = left.filter(is_point(F.col("lat"), F.col("lon"))).select(
-        F.col(left_key).alias("_lk"), F.col("lat").alias("_llat"), F.col("lon").alias("_llon"), cos("lat").alias("_lcos"))
-    R = right.filter(is_point(F.col("lat"), F.col("lon"))).select(
-        F.col(right_key).alias("_rk"), F.col("lat").alias("_rlat"), F.col("lon").alias("_rlon"), cos("lat").alias("_rcos"), *carry)
-    L = _cells_around(F.col("_llat"), F.col("_llon"), L, dlat, radius_m, earth_radius_m)
-    R = _cell_of(F.col("_rlat"), F.col("_rlon"), R, dlat, radius_m, earth_radius_m)
+    carry, left_carry = carry or [], left_carry or []
+    L, R = celled(left, right, radius_m, left_key, right_key, earth_radius_m, left_carry, carry)
 
     n_left, on = left.limit(max_broadcast_points + 1).count(), CELL
     joined = F.broadcast(L) if n_left <= max_broadcast_points else L.hint("merge")
@@ -105,9 +124,6 @@ def radius_join(left: DataFrame, right: DataFrame, radius_m: float,
         cells = left.sparkSession.read.parquet(path)
         total = _total(cells)
         if total > task_candidates:
-            L, R = _sliced(L, R, cells, total, task_candidates)
+            L, R = _sliced(L, R, cells, total, task_candidates, carry)
             joined, on = L.hint("merge"), [*CELL, "_slice"]
-    d = haversine_m(F.col("_llat"), F.col("_llon"), F.col("_rlat"), F.col("_rlon"), earth_radius_m)
-    near = maybe_within(F.col("_llat"), F.col("_lcos"), F.col("_llon"), F.col("_rlat"), F.col("_rcos"), F.col("_rlon"), radius_m, earth_radius_m)
-    return (joined.join(R, on).filter(near & (d <= F.lit(float(radius_m))))
-             .select(F.col("_lk").alias(left_key), F.col("_rk").alias(right_key), d.alias(out), *carry))
+    return matched(joined.join(R, on), radius_m, left_key, right_key, earth_radius_m, out, [*left_carry, *carry])

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from detour.functions.columns import title_from_id
 from detour.operators.geo_join import radius_join
+from detour.operators.nearby import Nearby
 from detour.operators.upsert import distinct_edges, latest_per_key, upsert
 from detour.schemas import BUS_STOP_TYPE, METRO_STATION_TYPE
 from detour.sources import documents as D
@@ -29,9 +30,18 @@ class Graph:
     bus_stops: DataFrame
     bus_routes: DataFrame
     serves: DataFrame
-    has_nearby_stop: DataFrame
+    has_nearby_stop: DataFrame | Nearby
     served_by: DataFrame
 
+    def __getattribute__(self, name: str):
+        value = object.__getattribute__(self, name)
+        return value.edges if isinstance(value, Nearby) else value
+
+    def nearby(self) -> Nearby | None:
+        """How ``has_nearby_stop`` is made where it isn't a table: a graph may be built with either."""
+        value = object.__getattribute__(self, "has_nearby_stop")
+        return value if isinstance(value, Nearby) else None
+
     def tables(self) -> dict[str, DataFrame]:
         return {k: getattr(self, k) for k in self.__dataclass_fields__}
 

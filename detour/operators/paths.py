@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from detour.operators.graph import Graph
+from detour.operators.nearby import Nearby
 from detour.operators.sizing import broadcast_while_few
 
 PATH_COLUMNS = ["station_name", "bus_stop_name", "bus_stop_id", "lat", "lon", "distance_metres", "route_name"]
@@ -53,8 +54,30 @@ def _finish(rows: DataFrame) -> DataFrame:
                        "lat", "lon", "distance_metres", "route_name")
 
 
+# What the sides of path rows carry besides keys and places.
+PLACED_LEFT, PLACED_RIGHT = ["line_id", "station_name"], ["bus_stop_name", "stop_lat", "stop_lon", "route_id", "route_name"]
+
+
+def placed_sides(g: Graph, near: Nearby) -> tuple[DataFrame, DataFrame]:
+    """The path rows of ``g`` before stations meet stops: (lines' calls by the places of their stations, hops from stops to
+    routes by the places of the stops)."""
+    calls = (g.serves.join(g.lines.select("line_id"), "line_id", "left_semi")
+             .join(g.stations.select("station_id", F.col("name").alias("station_name")), "station_id"))
+    hops = (g.bus_stops.select("stop_id", F.col("name").alias("bus_stop_name"), F.col("lat").alias("stop_lat"), F.col("lon").alias("stop_lon"))
+            .join(_stop_routes(g), "stop_id"))
+    return (near.stations.select("station_id", "lat", "lon").join(calls, "station_id"),
+            near.stops.select("stop_id", "lat", "lon").join(hops, "stop_id"))
+
+
+def finish_placed(pairs: DataFrame) -> DataFrame:
+    """The path rows of joined :func:`placed_sides`."""
+    return _finish(pairs.withColumnsRenamed({"stop_lat": "lat", "stop_lon": "lon"}))
+
+
 def path_rows(g: Graph) -> DataFrame:
-    """Every path row, unordered."""
+    """Every path row, unordered. Edges that follow from places are made last, with all columns: they don't move."""
+    if near := g.nearby():
+        return finish_placed(near.pairs(*placed_sides(g, near), PLACED_LEFT, PLACED_RIGHT))
     return _finish(_station_stop_pairs(g).join(_stop_routes(g), "stop_id"))
 
 

@@ -7,6 +7,8 @@ rows that no incoming key replaces with the latest incoming row per key.
 
 from __future__ import annotations
 
+from abc import ABC, abstractmethod
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,7 +26,22 @@ def latest_per_key(rows: DataFrame, keys: list[str], order: list[str]) -> DataFr
     return rows.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
 
 
-def upsert(existing: DataFrame | None, incoming: DataFrame, keys: list[str], seq: list[str],
+class MadeRows(ABC):
+    """Incoming rows that follow from smaller tables. They may be many more than these, so an upsert asks here for what it would
+    else find by moving the rows. All are of one write: of a key's rows, any is the last."""
+
+    keys: list[str]
+
+    @abstractmethod
+    def one_per_key(self) -> DataFrame:
+        """The rows, one for each key."""
+
+    @abstractmethod
+    def unmatched(self, existing: DataFrame) -> DataFrame:
+        """The rows of ``existing`` whose key none of the rows has; null keys are keys."""
+
+
+def upsert(existing: DataFrame | None, incoming: DataFrame | MadeRows, keys: list[str], seq: list[str],
            mode: str = "upsert", max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Apply ``incoming`` (ordered by ``seq``) on top of ``existing`` (one row per key).
 
@@ -34,8 +51,16 @@ def upsert(existing: DataFrame | None, incoming: DataFrame, keys: list[str], seq
 
     The incoming rows are cut to the last write per key; the current rows stay where no
     incoming key replaces them (an anti join, null keys included). Up to ``max_broadcast_rows``
-    incoming rows their keys are broadcast, so that the current table isn't shuffled.
+    incoming rows their keys are broadcast, so that the current table isn't shuffled. Of :class:`MadeRows` nothing is shuffled.
     """
+    if isinstance(incoming, MadeRows):
+        if list(incoming.keys) != keys:
+            raise ValueError(f"the rows' keys are {incoming.keys}")
+        new = incoming.one_per_key()
+        payload, new = new.columns, new.withColumn("is_updated", F.lit(True))
+        if existing is None or mode == "replace":
+            return new
+        return incoming.unmatched(existing.select(*payload)).withColumn("is_updated", F.lit(False)).unionByName(new)
     payload = [c for c in incoming.columns if c not in seq]
     new = latest_per_key(incoming, keys, seq).select(*payload, F.lit(True).alias("is_updated"))
     if existing is None or mode == "replace":

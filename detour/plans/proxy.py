@@ -26,6 +26,7 @@ from detour.functions.columns import iso_utc
 from detour.operators.geo_join import radius_join
 from detour.operators.graph import Graph
 from detour.operators.growing import Within, gridlock_edges, nearest_edges
+from detour.operators.nearby import Nearby
 from detour.params import DEFAULT, Params
 from detour.sources.tables import load_table
 
@@ -65,7 +66,12 @@ def listed_edges(spark: SparkSession, base: str) -> DataFrame:
 def radius_edges(spark: SparkSession, base: str, p: Params = DEFAULT) -> DataFrame:
     """(station_id, stop_id, distance_metres): the stops within the documented radius of each
     station (J3), the distance to the millimetre."""
-    return _edges_within(spark, base, p)(stations(spark, base), p.radius_m)
+    return nearby(spark, base, p).edges
+
+
+def nearby(spark: SparkSession, base: str, p: Params = DEFAULT) -> Nearby:
+    """:func:`radius_edges` as its two sides."""
+    return Nearby(stations(spark, base), bus_stops(spark, base), p.radius_m, p.earth_radius_m, digits=3)
 
 
 def _edges_within(spark: SparkSession, base: str, p: Params) -> Within:
@@ -75,7 +81,7 @@ def _edges_within(spark: SparkSession, base: str, p: Params) -> Within:
     return within
 
 
-def _graph(spark: SparkSession, base: str, near: DataFrame | None) -> Graph:
+def _graph(spark: SparkSession, base: str, near: DataFrame | Nearby | None) -> Graph:
     nation = load_table(spark, base, "nation")
     supplier = load_table(spark, base, "supplier")
     part = load_table(spark, base, "part")
@@ -94,7 +100,7 @@ def _graph(spark: SparkSession, base: str, near: DataFrame | None) -> Graph:
 
 def graph(spark: SparkSession, base: str, p: Params = DEFAULT) -> Graph:
     """The network whose nearby stops are those within the documented radius."""
-    return _graph(spark, base, radius_edges(spark, base, p))
+    return _graph(spark, base, nearby(spark, base, p))
 
 
 def nearest_graph(spark: SparkSession, base: str, p: Params = DEFAULT) -> Graph:

@@ -1,0 +1,77 @@
+"""Edges that follow from places: joined, looked up and kept in tables without being moved or stored."""
+
+import random
+from dataclasses import replace
+
+import pytest
+from pyspark.sql import functions as F
+
+from detour.operators import nearby as N
+from detour.operators.graph import Graph
+from detour.operators.paths import path_rows
+from detour.plans import catalog as C
+from tests.conftest import SF
+from tests.test_plans import plan
+
+KEYS = ["station_id", "stop_id"]
+HAVERSINE = "1.27420176E7"   # twice the radius of the earth, by which the exact distance is known in a plan
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def _above(text: str, what: str) -> list[str]:
+    """The operators between the root of a plan and those that hold ``what``."""
+    lines, out = text.split("\n"), []
+    depth = lambda x: len(x) - len(x.lstrip(" :+-"))
+    assert any(what in x for x in lines)
+    for i, x in enumerate(lines):
+        if what in x:
+            d = depth(x)
+            for y in reversed(lines[:i]):
+                if depth(y) < d:
+                    d = depth(y)
+                    out.append(y)
+    return out
+
+
+def _cloud(rnd, n, first, width=0.004):
+    return [(first + i, f"n{first + i}", 51.5 + rnd.random() * width, -0.1 + rnd.random() * width) for i in range(n)]
+
+
+def _graph(spark, width=0.004):
+    """Stations and stops that come twice, at one place and at two, without key and without place; dangling calls and routes."""
+    rnd = random.Random(12)
+    stations, stops = _cloud(rnd, 30, 0, width), _cloud(rnd, 60, 100, width)
+    stations += [stations[0], (1, "moved", 51.501, -0.099), (None, "x", 51.501, -0.099), (40, "nowhere", None, 0.0)]
+    stops += [stops[0], (101, "moved", 51.502, -0.098), (None, "y", 51.502, -0.098), (None, "z", 51.501, -0.099), (170, "pole", 95.0, 0.0)]
+    st = spark.createDataFrame(stations, "station_id long, name string, lat double, lon double")
+    sp = spark.createDataFrame(stops, "stop_id long, name string, lat double, lon double")
+    return Graph(
+        lines=spark.createDataFrame([(i, f"l{i}") for i in range(5)], "line_id long, name string"), stations=st, bus_stops=sp,
+        bus_routes=spark.createDataFrame([(f"r{i}", f"R{i}") for i in range(6)], "route_id string, name string"),
+        serves=spark.createDataFrame([(i % 7, i) for i in range(35)] + [(0, 3), (0, 3), (1, None)], "line_id long, station_id long"),
+        has_nearby_stop=N.Nearby(st, sp, 200.0, C.P.earth_radius_m, 3),
+        served_by=spark.createDataFrame([(100 + i, f"r{i % 8}") for i in range(58)] + [(105, "r1"), (105, "r1"), (None, "r1")], "stop_id long, route_id string"))
+
+
+def _rows(df):
+    return sorted(map(str, map(tuple, df.collect())))
+
+
+def test_path_rows_of_places_equal_those_of_stored_edges(spark):
+    g = _graph(spark)
+    stored = replace(g, has_nearby_stop=g.has_nearby_stop)
+    assert g.nearby() and not stored.nearby()
+    want = _rows(path_rows(stored))
+    assert len(want) > 500 and _rows(path_rows(g)) == want and path_rows(g).columns == path_rows(stored).columns
+
+
+def test_no_edge_moves_for_line_paths(spark, no_broadcast):
+    above = _above(plan(C.line_paths(spark, SF)), HAVERSINE)
+    assert above and not any("Exchange" in x or "Join" in x for x in above)
