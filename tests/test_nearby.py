@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 
 from detour.operators import nearby as N
 from detour.operators.graph import Graph
+from detour.operators.path_tables import bucketed_path_rows, open_path_table, write_path_tables
 from detour.operators.paths import path_rows
 from detour.plans import catalog as C
+from detour.session import fresh_path
 from tests.conftest import SF
 from tests.test_plans import plan
 
@@ -75,3 +77,16 @@ def test_path_rows_of_places_equal_those_of_stored_edges(spark):
 def test_no_edge_moves_for_line_paths(spark, no_broadcast):
     above = _above(plan(C.line_paths(spark, SF)), HAVERSINE)
     assert above and not any("Exchange" in x or "Join" in x for x in above)
+
+
+@pytest.mark.parametrize("parts", [1, 3])
+def test_bucketed_paths_store_stops_not_edges(spark, no_broadcast, parts):
+    g, path = _graph(spark, width=0.001), fresh_path(spark, "path-tables-test")
+    write_path_tables(g, path, buckets=4, parts=parts)
+    rows, stored = bucketed_path_rows(spark, path), replace(g, has_nearby_stop=g.has_nearby_stop)
+    p = plan(rows)
+    assert _rows(rows) == _rows(path_rows(stored)) and "Exchange" not in p and "SortMergeJoin" in p
+    hops = g.bus_stops.join(g.bus_stops.select("stop_id"), "stop_id").join(g.served_by, "stop_id").count()
+    assert open_path_table(spark, path, "hops").count() <= hops < rows.count() / 5
+    write_path_tables(stored, f"{path}-stored", buckets=4, parts=parts)
+    assert _rows(bucketed_path_rows(spark, f"{path}-stored")) == _rows(rows)
