@@ -367,8 +367,7 @@ def audited_publish(spark, base):
 
 def edge_upsert_existing(spark, base):
     """The stops within the radius written onto the listed edges: kept, updated and new ones."""
-    inc = proxy.radius_edges(spark, base).withColumn("seq", F.lit(1))
-    return upsert(proxy.listed_edges(spark, base), inc, ["station_id", "stop_id"], ["seq"])
+    return upsert(proxy.listed_edges(spark, base), proxy.nearby(spark, base), ["station_id", "stop_id"], [])
 
 
 def guarded_edges(spark, base):

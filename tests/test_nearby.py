@@ -10,6 +10,7 @@ from detour.operators import nearby as N
 from detour.operators.graph import Graph
 from detour.operators.path_tables import bucketed_path_rows, open_path_table, write_path_tables
 from detour.operators.paths import path_rows
+from detour.operators.upsert import upsert
 from detour.plans import catalog as C
 from detour.session import fresh_path
 from tests.conftest import SF
@@ -90,3 +91,28 @@ def test_bucketed_paths_store_stops_not_edges(spark, no_broadcast, parts):
     assert open_path_table(spark, path, "hops").count() <= hops < rows.count() / 5
     write_path_tables(stored, f"{path}-stored", buckets=4, parts=parts)
     assert _rows(bucketed_path_rows(spark, f"{path}-stored")) == _rows(rows)
+
+
+@pytest.mark.parametrize("most", [1_000_000, 0])
+@pytest.mark.parametrize("null", [True, False])
+def test_upsert_of_places_equals_that_of_their_edges(spark, monkeypatch, most, null):
+    monkeypatch.setattr(N, "MAX_BROADCAST_PLACES", most)
+    near = _graph(spark).nearby()
+    if not null:
+        near = replace(near, stations=near.stations.filter("station_id is not null"), stops=near.stops.filter("stop_id is not null"))
+    cur = spark.range(35).crossJoin(spark.range(95, 175).withColumnRenamed("id", "stop_id")).select(F.col("id").alias("station_id"), "stop_id", F.lit(-1.0).alias("distance_metres"))
+    cur = cur.unionByName(spark.createDataFrame([(None, None, -2.0), (None, 100, -2.0), (3, None, -2.0)], "station_id long, stop_id long, distance_metres double"))
+    got, plain = upsert(cur, near, KEYS, []), upsert(cur, near.edges.withColumn("seq", F.lit(1)), KEYS, ["seq"])
+    key = lambda df: sorted(str((r.station_id, r.stop_id, r.is_updated)) for r in df.collect())
+    assert got.columns == plain.columns and got.dtypes == plain.dtypes and key(got) == key(plain) and len(set(key(got))) == len(key(got))
+    made = {tuple(r) for r in near.edges.collect()}
+    assert {tuple(r)[:3] for r in got.filter("is_updated").collect()} <= made
+    assert got.filter("not is_updated and distance_metres < 0").count() == got.filter("not is_updated").count() > 0
+    assert key(upsert(None, near, KEYS, [])) == key(plain.filter("is_updated")) == key(upsert(cur, near, KEYS, [], mode="replace"))
+    with pytest.raises(ValueError):
+        upsert(cur, near, ["stop_id"], [])
+
+
+def test_no_edge_moves_for_the_upsert(spark, no_broadcast):
+    above = _above(plan(C.edge_upsert_existing(spark, SF)), HAVERSINE)
+    assert above and not any("Exchange" in x or "Window" in x or "Join" in x for x in above)
